@@ -6,7 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from millrace.llm.decontamination import contaminated_regions
+from millrace.llm.fuzzy_passages import fuzzy_passages
 from millrace.llm.kd_shards import kd_shards
+from millrace.llm.media_source import media_columns
 from millrace.llm.near_dedup import near_duplicate_classes
 from millrace.llm.packing import pack_documents
 from millrace.llm.quality import quality_scores
@@ -19,6 +22,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminated_regions(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(_table(spark, sf_dir, "documents"))
 
@@ -31,6 +38,10 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(_table(spark, sf_dir, "documents"))
 
 
+def op5_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return media_columns(_table(spark, sf_dir, "documents"))
+
+
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
@@ -43,11 +54,28 @@ def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(_table(spark, sf_dir, "pages"))
 
 
+def op9_fuzzy_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fuzzy_passages(_table(spark, sf_dir, "documents"))
+
+
 def op10_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kd_shards(_table(spark, sf_dir, "documents"), shards=40)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_best_fit_packing, op3_secret_scan, op4_token_counts, op6_quality, op7_near_dedup, op8_url_filter, op10_kd_shards)
+    f.__name__: f
+    for f in (
+        op1_decontamination,
+        op2_best_fit_packing,
+        op3_secret_scan,
+        op4_token_counts,
+        op5_media_columns,
+        op6_quality,
+        op7_near_dedup,
+        op8_url_filter,
+        op9_fuzzy_passages,
+        op10_kd_shards,
+    )
 }
+#: Equivalents in DuckDB SQL; the other queries are tested against brute force.
 ORACLES: dict[str, str] = {}
