@@ -97,7 +97,7 @@ def caption_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.join(table(spark, sf_dir, "labels").select("doc_id", "quality"), "doc_id", "left").select("doc_id", "source", F.coalesce("quality", F.lit(-1)).alias("quality"), F.coalesce("n_chars", F.lit(100)).cast("long").alias("score"))
 
 
-@query("select p_brand, count(*)::bigint as n, round(avg(p_retailprice), 4) as avg_price from part where p_name is not null group by p_brand having count(*) > 5 and avg(p_retailprice) > 1000")
+@query("select p_brand, count(*)::bigint as n, round(avg(p_retailprice), 4) as avg_price from part where p_name is not null group by p_brand having count(*) > 1")
 def grouped_having(spark: SparkSession, sf_dir: str) -> DataFrame:
     g = table(spark, sf_dir, "part").filter("p_name is not null").groupBy("p_brand").agg(F.count("*").alias("n"), F.avg("p_retailprice").alias("a"))
-    return g.filter("n > 5 and a > 1000").select("p_brand", "n", F.round("a", 4).alias("avg_price"))
+    return g.filter("n > 1").select("p_brand", "n", F.round("a", 4).alias("avg_price"))

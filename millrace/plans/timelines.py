@@ -138,7 +138,7 @@ with l as (select user_id, ts, event_id, try_cast(json_extract_string(props, '$.
 select user_id, arg_max(k, (ts, event_id)) filter (k is not null) as k, arg_max(high, (ts, event_id)) filter (high is not null) as high from l group by user_id""")
 def log_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The last value seen of each field, by user."""
-    ev = table(spark, sf_dir, "events").select("user_id", "ts", "event_id", F.get_json_object("props", "$.k").cast("long").alias("k"), F.when(F.col("value") > 100, F.col("value")).alias("high"))
+    ev = table(spark, sf_dir, "events").select("user_id", "ts", "event_id", F.get_json_object("props", "$.k").try_cast("long").alias("k"), F.when(F.col("value") > 100, F.col("value")).alias("high"))
     return L.fold_last(ev, "user_id", ["ts", "event_id"], ["k", "high"])
 
 

@@ -73,7 +73,7 @@ def list_files(spark: SparkSession, folders: list[str], pattern: str) -> DataFra
 def parse_frame_name(name) -> dict:  # noqa: ANN001
     """Scene, position, frame number and time text out of a frame's file name."""
     parts = F.split(F.regexp_replace(name, r"\.[^.]+$", ""), "_")
-    part = lambda p: F.element_at(F.filter(parts, lambda x: x.rlike(p)), 1)
+    part = lambda p: F.get(F.filter(parts, lambda x: x.rlike(p)), F.lit(0))
     return {
         "scene": parts[0],
         "pos": F.regexp_extract(part(r"^pos\d+$"), r"\d+", 0).cast("int"),
