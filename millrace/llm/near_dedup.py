@@ -140,13 +140,76 @@ def _similar(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
     return close.select("a", "b", "left", "right").mapInArrow(run, "a binary, b binary")
 
 
-def near_duplicate_classes(df: DataFrame, text: str = "text", doc_id: str = "doc_id", k: int = 5, threshold: float = 0.8, bands: int = 36, rows: int = 7) -> DataFrame:
+def _block_links(entries: DataFrame, sets: DataFrame, threshold: float, block: int = 256) -> DataFrame:
+    """Links between different parts of the same bucket, for crowded buckets (band, node, part).
+
+    A bucket's documents are dealt to blocks of about `block`; two blocks at a time meet in a task that counts all
+    overlaps by a product of incidence matrices. Only links come out, never the pairs that were compared.
+    """
+
+    def run(frame: pd.DataFrame) -> pd.DataFrame:
+        items = [np.frombuffer(x, np.uint32) for x in frame["items"]]
+        size = np.array([len(x) for x in items], np.float32)
+        value, column, times = np.unique(np.concatenate(items), return_inverse=True, return_counts=True)
+        owner = np.repeat(np.arange(len(items)), [len(x) for x in items])
+        place = np.cumsum(times > 1) - 1  # columns of the items that two documents have
+        owner, column = owner[times[column] > 1], place[column[times[column] > 1]]
+        shared = np.zeros((len(items), len(items)), np.float32)
+        order = np.argsort(column, kind="stable")
+        owner, column = owner[order], column[order]
+        for low in range(0, int(column[-1]) + 1 if len(column) else 0, 4096):
+            part = slice(*np.searchsorted(column, [low, low + 4096]))
+            matrix = np.zeros((len(items), 4096), np.float32)
+            matrix[owner[part], column[part] - low] = 1
+            shared += matrix @ matrix.T
+        near = shared >= threshold * (size[:, None] + size[None, :] - shared) - 1e-4
+        kind = pd.factorize(frame["part"])[0]
+        x, y = np.nonzero(np.triu(near & (kind[:, None] != kind[None, :])))
+        node = frame["node"].to_numpy()
+        return pd.DataFrame({"a": [min(node[i], node[j]) for i, j in zip(x, y, strict=True)], "b": [max(node[i], node[j]) for i, j in zip(x, y, strict=True)]})
+
+    blocks = entries.groupBy("band").agg(F.ceil(F.count("*") / block).alias("blocks"))
+    dealt = entries.select("band", "node", "part").join(blocks, "band").withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")))
+    dealt = dealt.withColumn("with", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    dealt = dealt.select("band", F.least("own", "with").alias("i"), F.greatest("own", "with").alias("j"), "node", "part")
+    return dealt.join(sets.select("node", "items"), "node").groupBy("band", "i", "j").applyInPandas(run, "a binary, b binary")
+
+
+def _shared_items(nodes: DataFrame, sets: DataFrame) -> DataFrame:
+    """node, n (items of its multiset), shared (those that another one of the nodes has too)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            items = [np.frombuffer(x, np.int32) for x in batch.column(1).to_pylist()]
+            owner = np.repeat(np.arange(batch.num_rows), [len(x) for x in items])
+            for start in range(0, len(owner), 100_000):
+                part = slice(start, start + 100_000)
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(owner[part])), pa.array(np.concatenate(items)[part])], ["node", "item"])
+
+    own = sets.join(nodes, "node").select("node", "items", "n")
+    rows = own.select("node", "items").mapInArrow(run, "node binary, item int")
+    lone = rows.groupBy("item").agg(F.count("*").alias("times"), F.min("node").alias("node")).filter("times = 1").groupBy("node").agg(F.count("*").alias("lone"))
+    return own.select("node", "n").join(lone, "node", "left").select("node", "n", (F.col("n") - F.coalesce("lone", F.lit(0))).alias("shared"))
+
+
+def _open_buckets(entries: DataFrame, links: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Components of the links, and the entries (band, node, part, main, size) of buckets that hold several of them."""
+    labels = components(links)
+    named = entries.join(labels, "node", "left").select("band", "node", F.coalesce("component", "node").alias("part"))
+    counts = named.groupBy("band", "part").agg(F.count("*").alias("n"))
+    mixed = counts.groupBy("band").agg(F.count("*").alias("parts"), F.max_by("part", F.struct("n", "part")).alias("main"), F.sum("n").alias("size")).filter("parts > 1")
+    return labels, written(named.join(mixed.select("band", "main", "size"), "band"), "near-open")
+
+
+def near_duplicate_classes(df: DataFrame, text: str = "text", doc_id: str = "doc_id", k: int = 5, threshold: float = 0.8, bands: int = 36, rows: int = 7, crowd: int = 16) -> DataFrame:
     """doc_id, class_id, class_size, is_kept: one row for each row of df.
 
     36 bands of 7 components meet two documents of similarity 0.8 with probability 0.9998. In a bucket every document
     is checked against the bucket's first one; then, only in buckets that still hold several components, documents
-    outside the bucket's main component are checked against those of other components. So a large group of copies
-    costs a number of checks in proportion to its size, and no candidate pair between components is left out.
+    outside the bucket's main component are checked, against a random one of it first, then against all of other
+    components. In buckets of over `crowd` documents, a document is passed over if it can't have a link (similarity s
+    needs an overlap of s / (1 + s) of both sizes, and no overlap exceeds what a document shares with any other of these
+    documents), and the rest is compared in blocks. No candidate pair between components is left out.
     """
     docs = written(sketch(df, text, doc_id, k, bands, rows).withColumn("row", F.monotonically_increasing_id()), "near-sketch")
     every = docs.select(F.explode("bands").alias("band"), "node")
@@ -159,17 +222,27 @@ def near_duplicate_classes(df: DataFrame, text: str = "text", doc_id: str = "doc
 
     tested = entries.filter("node <> lead").select(F.col("lead").alias("a"), F.col("node").alias("b")).distinct()
     links = written(_similar(tested, sets, threshold), "near-links")
-    labels = components(links)
-
-    named = entries.join(labels, "node", "left").select("band", "node", F.coalesce("component", "node").alias("part"))
-    counts = named.groupBy("band", "part").agg(F.count("*").alias("n"))
-    mixed = counts.groupBy("band").agg(F.count("*").alias("parts"), F.max_by("part", F.struct("n", "part")).alias("main")).filter("parts > 1")
-    open_ = written(named.join(mixed.select("band", "main"), "band"), "near-open")
-    stray = open_.filter("part <> main").select("band", F.col("node").alias("x"), F.col("part").alias("x_part"))
-    other = open_.select("band", F.col("node").alias("y"), F.col("part").alias("y_part"), "main")
+    for salt in range(2):
+        # parts of one component that the first documents didn't join: strays against a random member of the main part
+        labels, open_ = _open_buckets(entries, links)
+        guide = open_.filter("part = main").groupBy("band").agg(F.min_by("node", F.xxhash64("node", "band", F.lit(salt))).alias("guide"))
+        tries = open_.filter("part <> main").join(guide, "band").select(F.least("node", "guide").alias("a"), F.greatest("node", "guide").alias("b")).distinct()
+        tries = written(tries.join(tested, ["a", "b"], "left_anti"), "near-tries")
+        tested = tested.unionByName(tries)
+        links = links.unionByName(written(_similar(tries, sets, threshold), "near-links"))
+    labels, open_ = _open_buckets(entries, links)
+    room = _shared_items(open_.filter(F.col("size") > crowd).select("node").distinct(), sets)
+    able = open_.join(room, "node", "left").withColumn("n", F.col("n").cast("double"))
+    least = able.groupBy("band").agg(F.min("n").alias("least"))
+    share = threshold / (1 + threshold)
+    fits = F.col("n").isNull() | (F.col("shared") >= share * (F.col("n") + F.greatest("least", threshold * F.col("n"))) - 1e-9)
+    able = written(able.join(least, "band").filter(fits), "near-able")
+    few, many = able.filter(F.col("size") <= crowd), able.filter(F.col("size") > crowd)
+    stray = few.filter("part <> main").select("band", F.col("node").alias("x"), F.col("part").alias("x_part"))
+    other = few.select("band", F.col("node").alias("y"), F.col("part").alias("y_part"), "main")
     met = stray.join(other, "band").filter("x_part <> y_part and (y_part = main or x < y)")
     pairs = met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct().join(tested, ["a", "b"], "left_anti")
-    links = links.unionByName(written(_similar(pairs, sets, threshold), "near-links-more"))
+    links = links.unionByName(written(_similar(pairs, sets, threshold).unionByName(_block_links(many, sets, threshold)), "near-links"))
     labels = components(links)
 
     nodes = docs.groupBy("node").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")).alias("first"), F.count("*").alias("n"))
