@@ -34,13 +34,16 @@ _GOLDEN = _U(0x9E3779B97F4A7C15)
 
 
 def bag_min_hash(element: np.ndarray, weight: np.ndarray, doc: np.ndarray, docs: int, components_: int) -> np.ndarray:
-    """Signatures (docs x components) of weighted sets given as flat arrays; documents without elements get infinity."""
+    """Signatures (docs x components) of weighted sets given as flat arrays; documents without elements get infinity.
+
+    Elements are mixed before they seed a process, so that numbers with a pattern don't give related processes.
+    """
     m = components_
     out = np.full(docs * m, np.inf)
     if not len(element):
         return out.reshape(docs, m)
     # one process for each element and each stretch [low, low + width) of the weight axis that it reaches into
-    seeds, lows, widths, tops, owners = [element], [np.zeros(len(element))], [np.ones(len(element))], [weight], [doc]
+    seeds, lows, widths, tops, owners = [mix(element)], [np.zeros(len(element))], [np.ones(len(element))], [weight], [doc]
     low = 1
     while (reach := weight > low).any():
         n = int(reach.sum())

@@ -71,7 +71,7 @@ def jaccard_classes(rows, k=5):
     groups = defaultdict(list)
     for i in range(len(rows)):
         groups[find(i)].append(rows[i][0])
-    return sorted(sorted(g, key=str) for g in groups.values())
+    return sorted(sorted(g) for g in groups.values())
 
 
 def found_classes(df):
