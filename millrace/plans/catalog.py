@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from millrace.plans import captions, relations, reports, samples, timelines, vectors
+from millrace.plans import assessments, captions, relations, reports, samples, timelines, vectors
 from millrace.plans.registry import ORACLES, QUERIES
 
-__all__ = ["ORACLES", "QUERIES", "captions", "relations", "reports", "samples", "timelines", "vectors"]
+__all__ = ["ORACLES", "QUERIES", "assessments", "captions", "relations", "reports", "samples", "timelines", "vectors"]

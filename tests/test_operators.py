@@ -124,3 +124,17 @@ def test_files_round_trip(spark, tmp_path):
     parsed = names.limit(1).select(*(v.alias(k) for k, v in files.parse_frame_name(F.col("n")).items())).first()
     assert tuple(parsed) == ("scene1", 3, 120, "t4.5s")
     assert rows(files.manifest({"a": df, "b": df.limit(0)}), "stage", "rows", "status") == [("a", 2, "complete"), ("b", 0, "empty")]
+
+
+def test_log_lines_and_scores(spark):
+    from millrace.functions import scores as C
+
+    lines = ["epoch 3/10", "steps: 120/900 loss=0.123 lr=1e-4", "CUDA out of memory error", "Traceback (most recent call last)", "fine"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(lines)], "i int, line string").select("i", *(v.alias(k) for k, v in C.log_fields(F.col("line")).items()))
+    got = df.orderBy("i").collect()
+    assert (got[0]["epoch"], got[1]["step"], got[1]["loss"], got[1]["rate"]) == (3, 120, 0.123, 1e-4)
+    assert [r["error"] for r in got] == [None, None, "oom_error", "generic_error", None]
+    folded = L.fold_last(df.withColumn("job", F.lit(1)), "job", ["i"], ["epoch", "step", "error"]).first()
+    assert (folded["epoch"], folded["step"], folded["error"]) == (3, 120, "generic_error")
+    m = spark.range(1).select(C.motion_match(F.lit(5.0), F.lit(1.0), 0.2, 0.6).alias("low"), C.motion_match(F.lit(20.0), F.lit(1.0), 0.2, 0.6).alias("in")).first()
+    assert (m["low"]["matches"], round(m["low"]["confidence"], 6), m["in"]["matches"], m["in"]["confidence"]) == (False, 0.6, True, 1.0)
