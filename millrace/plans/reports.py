@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.functions import geometry as G
-from millrace.functions import text as T
 from millrace.operators import records as R
 from millrace.operators import sampling as S
 from millrace.plans.captions import _VALID_CTE, validated
