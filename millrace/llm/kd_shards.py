@@ -26,10 +26,10 @@ def _known(df: DataFrame, columns: str, values: list[tuple]) -> DataFrame:
     return df.join(F.broadcast(df.sparkSession.createDataFrame(values, f"node long, {columns}")), "node")
 
 
-def coordinates(df: DataFrame, dims: list[str], weight: str, text_hash: Column, id_hash: Column) -> DataFrame:
+def coordinates(df: DataFrame, dims: list[str], text_hash: Column, id_hash: Column) -> DataFrame:
     """Add k0, k1, ...: the 60-bit coordinate of each dimension, scaled over the whole table."""
     ends = df.agg(*(f(F.col(d).cast("double")).alias(f"{n}{i}") for i, d in enumerate(dims) for n, f in (("low", F.min), ("high", F.max)))).first()
-    tie = F.shiftrightunsigned(text_hash, 46).bitwiseOR(F.lit(0)) * F.lit(1 << 12) + F.shiftrightunsigned(id_hash, 52)
+    tie = F.shiftrightunsigned(text_hash, 46) * F.lit(1 << 12) + F.shiftrightunsigned(id_hash, 52)
     keys = {}
     for i, d in enumerate(dims):
         low, high = ends[f"low{i}"] or 0.0, ends[f"high{i}"] or 0.0
@@ -104,7 +104,7 @@ def kd_shards(df: DataFrame, shards: int | None = 40, target_bytes: int | None =
     ).withColumn("size_dim", F.log(F.col("size").cast("double")))
     rows = written(rows, "kd-rows")
     dims = ["size_dim", "source_dim", "lang_dim", "doc_id"]
-    rows = coordinates(rows, dims, "size", F.col("text_hash"), F.xxhash64("doc_id", "text_hash"))
+    rows = coordinates(rows, dims, F.col("text_hash"), F.xxhash64("doc_id", "text_hash"))
     rows = written(rows.select("doc_id", "size", "text_crc32", "text_hash", *(f"k{i}" for i in range(len(dims)))), "kd-keys")
     if target_bytes:
         shards = max(1, -(-(rows.agg(F.sum("size")).first()[0] or 0) // target_bytes))
