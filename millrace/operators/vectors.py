@@ -135,3 +135,47 @@ def kmeans_report(df: DataFrame, vector: str, k: int, seed: int = 42) -> DataFra
     squares = F.aggregate(F.zip_with("x", "centre", lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda s, x: s + x)
     return placed.groupBy("cluster").agg(F.count("*").alias("size"), F.avg(F.sqrt(squares)).alias("mean_distance"))
 
+
+
+def leader_clusters(df: DataFrame, group: str, key: str, bits: str, distance: int) -> DataFrame:
+    """Leader clustering within groups: in key order each free row leads and takes every later free row within `distance` bits.
+
+    Adds leader (its own key for leaders). Equal hashes are one row here, so copies cost nothing; a group is one call.
+    """
+
+    def run(frame):  # noqa: ANN001, ANN202
+        import numpy as np
+
+        frame = frame.sort_values(key).reset_index(drop=True)
+        first = frame.drop_duplicates(bits)
+        h, keys = first[bits].to_numpy().astype(np.int64).view(np.uint64), first[key].to_numpy()
+        leader = np.full(len(h), -1, np.int64)
+        for i in range(len(h)):
+            if leader[i] < 0:
+                free = (leader < 0) & (np.bitwise_count(h ^ h[i]) <= distance)
+                leader[free] = keys[i]
+        return frame.assign(leader=frame[bits].map(dict(zip(first[bits], leader, strict=True))))
+
+    return df.groupBy(group).applyInPandas(run, _plus(df, "leader long"))
+
+
+def merge_clusters(df: DataFrame, label: str, merged: list[int]) -> DataFrame:
+    """Members of the merged labels get a new label: the greatest one plus 1."""
+    new = df.agg(F.max(label) + 1).first()[0]
+    return df.withColumn(label, F.when(F.col(label).isin(merged), F.lit(new)).otherwise(F.col(label)))
+
+
+def split_cluster(df: DataFrame, key: str, label: str, split: int, assignment: DataFrame) -> DataFrame:
+    """Members of one label get the labels of the assignment (key, new_label); those it doesn't list go."""
+    named = df.filter(F.col(label) == split).join(assignment, key).withColumn(label, F.col("new_label")).drop("new_label")
+    return df.filter(F.col(label) != split).unionByName(named.select(*df.columns))
+
+
+def cluster_sizes(df: DataFrame, label: str, noise: int = -1) -> DataFrame:
+    """One row: clusters without noise, mean, population deviation, least, greatest and median size, and the share of noise."""
+    sizes = df.groupBy(label).agg(F.count("*").alias("n"))
+    real = F.when(F.col(label) != noise, F.col("n"))
+    return sizes.agg(
+        F.count(real).alias("clusters"), F.avg(real).alias("mean"), F.stddev_pop(real).alias("std"), F.min(real).alias("least"), F.max(real).alias("most"),
+        F.median(real).alias("median"), (F.coalesce(F.sum(F.when(F.col(label) == noise, F.col("n"))), F.lit(0)) / F.sum("n")).alias("noise"),
+    )

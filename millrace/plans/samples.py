@@ -97,3 +97,14 @@ def quality_weighted_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     spot = F.row_number().over(Window.partitionBy("user_id").orderBy("ts", "event_id"))
     placed = ev.select("event_id", "user_id", spot.alias("position"), "value")
     return S.greedy_gap(placed, "user_id", "position", "value", 5, 12)
+
+
+@query("""
+with f as (select o_custkey as scene, (o_orderkey % 10)::int as pos, max(o_orderkey) as frame from orders group by all), w as (select distinct scene, unnest([1, 5, 8]) as pos from f)
+select w.pos, count(frame)::bigint as sampled, count(*) filter (frame is null)::bigint as missing, coalesce(sum(frame), 0)::bigint as frames from w left join f on w.scene = f.scene and w.pos = f.pos group by w.pos""")
+def scene_position_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """For each scene the wanted positions: how many frames there are and how many are missing; the last name of a place counts."""
+    frames = table(spark, sf_dir, "orders").groupBy(F.col("o_custkey").alias("scene"), (F.col("o_orderkey") % 10).cast("int").alias("pos")).agg(F.max("o_orderkey").alias("frame"))
+    wanted = frames.select("scene").distinct().select("scene", F.explode(F.array(F.lit(1), F.lit(5), F.lit(8))).alias("pos"))
+    found = wanted.join(frames, ["scene", "pos"], "left")
+    return found.groupBy("pos").agg(F.count("frame").alias("sampled"), F.count_if(F.col("frame").isNull()).alias("missing"), F.coalesce(F.sum("frame"), F.lit(0)).alias("frames"))

@@ -94,3 +94,22 @@ def diverse_points(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def kmeans_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return V.kmeans_report(_vectors(spark, sf_dir), "embedding", 5)
+
+
+@query()
+def leader_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leader clusters of sign hashes within each label; order-dependent, so a function over each label."""
+    rows = _vectors(spark, sf_dir).select("vec_id", "label", sign_hash(F.col("embedding")).alias("bits"))
+    return V.leader_clusters(rows, "label", "vec_id", "bits", 20).select("vec_id", "label", "leader")
+
+
+@query("""
+with e as (select vec_id, case when label in (1, 3) then (select max(label) + 1 from embeddings) else label end as label from embeddings),
+s as (select vec_id, case when label = 2 then 20 + vec_id % 2 else label end as label from e where label <> 2 or vec_id % 3 <> 0), n as (select label, count(*) as n from s group by label)
+select count(*)::bigint as clusters, round(avg(n), 6) as mean, round(stddev_pop(n), 6) as std, min(n)::bigint as least, max(n)::bigint as most, median(n)::double as median, 0.0::double as noise from n""")
+def cluster_edits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sizes after two labels are merged and a third is split in two, without every third of its members."""
+    rows = V.merge_clusters(_vectors(spark, sf_dir).select("vec_id", "label"), "label", [1, 3])
+    chosen = rows.filter("label = 2 and vec_id % 3 <> 0").select("vec_id", (20 + F.col("vec_id") % 2).cast("int").alias("new_label"))
+    sizes = V.cluster_sizes(V.split_cluster(rows, "vec_id", "label", 2, chosen), "label")
+    return sizes.select("clusters", *(F.round(c, 6).alias(c) for c in ("mean", "std")), "least", "most", "median", F.col("noise").cast("double").alias("noise"))
