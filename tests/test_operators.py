@@ -138,3 +138,19 @@ def test_log_lines_and_scores(spark):
     assert (folded["epoch"], folded["step"], folded["error"]) == (3, 120, "generic_error")
     m = spark.range(1).select(C.motion_match(F.lit(5.0), F.lit(1.0), 0.2, 0.6).alias("low"), C.motion_match(F.lit(20.0), F.lit(1.0), 0.2, 0.6).alias("in")).first()
     assert (m["low"]["matches"], round(m["low"]["confidence"], 6), m["in"]["matches"], m["in"]["confidence"]) == (False, 0.6, True, 1.0)
+
+
+def test_poses(spark):
+    from millrace.functions import poses as P
+
+    def body(left, right, hip_left, hip_right):
+        p = [(0.0, 0.0)] * 17
+        p[5], p[6], p[11], p[12], p[13], p[14] = (left, 100.0), (right, 100.0), (hip_left, 0.0), (hip_right, 0.0), (hip_left, -60.0), (hip_right, -60.0)
+        return p
+
+    rows = [("front", body(-10.0, 10.0, -10.0, 10.0), [0.9] * 17), ("side", body(1.0, -1.0, -10.0, 10.0), [0.9] * 17), ("hidden", body(-10.0, 10.0, -10.0, 10.0), [0.1] * 17)]
+    df = spark.createDataFrame(rows, "n string, p array<struct<x double, y double>>, s array<double>")
+    got = {r["n"]: r for r in df.select("n", P.normalized(F.col("p"), F.col("s")).alias("z"), P.standing(F.col("p")).alias("up"), P.view(F.col("p"), F.col("s")).alias("v")).collect()}
+    assert (got["front"]["z"][5]["x"], got["front"]["z"][5]["y"], got["front"]["up"]) == (-0.1, 1.0, True)
+    assert got["hidden"]["z"] is None and tuple(got["side"]["v"]) == ("side_left", 0.8)
+    assert got["front"]["v"]["name"] == "three_quarter_right" and got["hidden"]["v"]["name"] == "back_right"
