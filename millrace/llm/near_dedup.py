@@ -182,16 +182,16 @@ def _shared_items(nodes: DataFrame, sets: DataFrame) -> DataFrame:
     """node, n (items of its multiset), shared (those that another one of the nodes has too)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """One row for each item of a batch, with its occurrences: what many copies share is combined before the shuffle."""
         for batch in batches:
             items = [np.frombuffer(x, np.int32) for x in batch.column(1).to_pylist()]
-            owner = np.repeat(np.arange(batch.num_rows), [len(x) for x in items])
-            for start in range(0, len(owner), 100_000):
-                part = slice(start, start + 100_000)
-                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(owner[part])), pa.array(np.concatenate(items)[part])], ["node", "item"])
+            value, first, times = np.unique(np.concatenate(items), return_index=True, return_counts=True)
+            owner = np.repeat(np.arange(batch.num_rows), [len(x) for x in items])[first]
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(owner)), pa.array(value), pa.array(times, pa.int64())], ["node", "item", "times"])
 
     own = sets.join(nodes, "node").select("node", "items", "n")
-    rows = own.select("node", "items").mapInArrow(run, "node binary, item int")
-    lone = rows.groupBy("item").agg(F.count("*").alias("times"), F.min("node").alias("node")).filter("times = 1").groupBy("node").agg(F.count("*").alias("lone"))
+    rows = own.select("node", "items").mapInArrow(run, "node binary, item int, times long")
+    lone = rows.groupBy("item").agg(F.sum("times").alias("times"), F.min("node").alias("node")).filter("times = 1").groupBy("node").agg(F.count("*").alias("lone"))
     return own.select("node", "n").join(lone, "node", "left").select("node", "n", (F.col("n") - F.coalesce("lone", F.lit(0))).alias("shared"))
 
 

@@ -104,6 +104,31 @@ def test_near_classes_of_odd_rows(odd, none):
     assert near_duplicate_classes(none).count() == 0
 
 
+def test_shared_items_count_what_others_have(spark):
+    from millrace.llm.near_dedup import _shared_items
+
+    rnd = random.Random(7)
+    bags = {bytes([i]): sorted(rnd.sample(range(60), rnd.randrange(1, 9))) for i in range(20)}
+    sets = spark.createDataFrame([(bytearray(k), bytearray(np.array(v, np.int32).tobytes()), len(v)) for k, v in bags.items()], "node binary, items binary, n long").repartition(3)
+    have = Counter(x for v in bags.values() for x in v)
+    got = {bytes(r["node"]): (r["n"], r["shared"]) for r in _shared_items(sets.select("node"), sets).collect()}
+    assert got == {k: (len(v), sum(have[x] > 1 for x in v)) for k, v in bags.items()}
+
+
+def test_block_links_equal_all_pairs(spark):
+    from millrace.llm.near_dedup import _block_links
+
+    rnd = random.Random(11)
+    bags = {}
+    for i in range(60):
+        base = list(range(100 * (i % 3), 100 * (i % 3) + 40))
+        bags[bytes([i])] = sorted({x if rnd.random() > 0.06 else 10_000 + rnd.randrange(10**6) for x in base})
+    sets = spark.createDataFrame([(bytearray(k), bytearray(np.array(v, np.uint32).tobytes()), len(v)) for k, v in bags.items()], "node binary, items binary, n long")
+    entries = spark.createDataFrame([(1, bytearray(k), bytearray(bytes([k[0] % 7]))) for k in bags], "band long, node binary, part binary")
+    want = {(a, b) for a in bags for b in bags if a < b and a[0] % 7 != b[0] % 7 and len(set(bags[a]) & set(bags[b])) >= 0.8 * len(set(bags[a]) | set(bags[b]))}
+    assert want and {(bytes(r["a"]), bytes(r["b"])) for r in _block_links(entries, sets, 0.8, 16).collect()} == want
+
+
 def test_signatures_estimate_weighted_similarity():
     m = 4096
     element = np.arange(1, 9, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
