@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from millrace.llm import queries as Q
 from millrace.llm.decontamination import BenchmarkIndex, contaminated_regions, decontaminate
-from millrace.llm.fuzzy_passages import chains, fuzzy_passages
+from millrace.llm.fuzzy_passages import align, chains, fuzzy_passages, stretches
 from millrace.llm.kd_shards import kd_shards
 from millrace.llm.media_source import ArchiveReader, from_image, media_columns, read_archives, to_image, write_archives
 from millrace.llm.near_dedup import bag_min_hash, near_duplicate_classes
@@ -441,6 +441,59 @@ def test_passages_of_odd_rows(spark, odd, none):
     assert fuzzy_passages(copy).count() == 2
 
 
+def longest_stretches(x, y):
+    """All pairs of equal words as first and last: the longest passage, then those on both sides of it."""
+    best = None
+    for i in range(len(x)):
+        for j in range(len(x) - 1, i, -1):
+            sides = [(p[j] - p[i] + 1, [p[k] for k in range(i, j + 1)]) for p in (x, y)]
+            if all(w >= 50 and j - i + 1 >= 0.8 * w - 1e-9 and all(2 * k >= p[k] - p[0] and 2 * k >= p[-1] - p[-1 - k] for k in range(len(p))) for w, p in sides) and (best is None or j - i > best[1] - best[0]):
+                best = (i, j)
+                break
+    if best is None:
+        return []
+    i, j = best
+    return longest_stretches(x[:i], y[:i]) + [(x[i], x[j], y[i], y[j])] + longest_stretches(x[j + 1 :], y[j + 1 :])
+
+
+def most_equal(a, b):
+    """Length of the longest common subsequence."""
+    row = [0] * (len(b) + 1)
+    for v in a:
+        last = 0
+        for j, w in enumerate(b):
+            last, row[j + 1] = row[j + 1], max(row[j + 1], row[j], last + (v == w))
+    return row[-1]
+
+
+def test_stretches_equal_brute_force():
+    rnd = random.Random(4)
+    for _ in range(60):
+        shares = [rnd.choice((0.2, 0.6, 0.8, 0.9, 1)) for _ in range(3)]
+        a = [f"w{i}" for i in range(150)]
+        b = [w if rnd.random() < shares[i // 50] else "changed" for i, w in enumerate(a) if rnd.random() < 0.99]
+        to = align([np.array([hash(w) & 0xFFFFFF for w in a])], [np.array([hash(w) & 0xFFFFFF for w in b])], np.array([0]))[0]
+        x = np.flatnonzero(to >= 0)
+        assert len(x) == most_equal(a, b)
+        assert [(x[i], x[j], to[x[i]], to[x[j]]) for i, j in stretches(x, to[x])] == longest_stretches(x.tolist(), to[x].tolist())
+
+
+def test_two_passages_of_a_pair_are_both_found(spark):
+    rnd = random.Random(5)
+    text = lambda n: [f"w{rnd.randrange(10**6)}" for _ in range(n)]
+    rows, want = [], {}
+    for n, gap in ((60, 20), (60, 40), (60, 80), (60, 150), (100, 60)):
+        first, second, at = text(n), text(n), len(rows)
+        rows += [text(30) + first + text(gap) + second + text(30), text(45) + first + text(gap) + second + text(10)]
+        want[at] = set(range(30, 30 + n)) | set(range(30 + n + gap, 30 + 2 * n + gap)) | (set(range(30 + n, 30 + n + gap)) if gap <= n / 2 else set())
+    got = fuzzy_passages(spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(rows)], "doc_id long, text string")).collect()
+    covered = defaultdict(set)
+    for r in got:
+        covered[r["doc_id"]] |= set(range(r["start_word"], r["end_word"]))
+        covered[r["other_doc_id"]] |= set(range(r["other_start_word"], r["other_end_word"]))
+    assert {i: covered[i] for i in want} == want
+
+
 def test_chains_pass_over_gaps_in_order():
     x = np.array([0, 10, 20, 200, 30, 5])
     y = np.array([100, 110, 120, 50, 131, 300])
