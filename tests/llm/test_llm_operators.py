@@ -494,6 +494,28 @@ def test_two_passages_of_a_pair_are_both_found(spark):
     assert {i: covered[i] for i in want} == want
 
 
+def test_passages_are_found_past_documents_that_share_their_parts(spark):
+    rnd = random.Random(6)
+    text = lambda n: [f"w{rnd.randrange(10**6)}" for _ in range(n)]
+    rows, shared = [], {}
+    for _ in range(20):
+        passage = text(60)
+        bad = [w if i % 3 else "changed" for i, w in enumerate(passage)]
+        parts = [passage[:30], passage[30:], passage[:42], passage[18:], passage[10:50], passage[:25] + bad[25:], bad[:30] + passage[30:]]
+        for part in rnd.sample(parts, 7):
+            rows.append(text(20) + part + text(20))
+        for before in (40, 70, 15):
+            shared[len(rows)] = set(range(before, before + 60))
+            rows.append(text(before) + passage + text(30))
+    deal = rnd.sample(range(len(rows)), len(rows))
+    df = spark.createDataFrame([(i, " ".join(rows[i])) for i in deal], "doc_id long, text string")
+    covered = defaultdict(set)
+    for r in fuzzy_passages(df).collect():
+        covered[r["doc_id"]] |= set(range(r["start_word"], r["end_word"]))
+        covered[r["other_doc_id"]] |= set(range(r["other_start_word"], r["other_end_word"]))
+    assert all(covered[i] >= want for i, want in shared.items())
+
+
 def test_chains_pass_over_gaps_in_order():
     x = np.array([0, 10, 20, 200, 30, 5])
     y = np.array([100, 110, 120, 50, 131, 300])
