@@ -516,6 +516,27 @@ def test_passages_are_found_past_documents_that_share_their_parts(spark):
     assert all(covered[i] >= want for i, want in shared.items())
 
 
+def edited_recall(spark, edits, passages=150):
+    """Share of edited copies of 60 words, in unlike contexts, that are found in both documents."""
+    rnd = random.Random(8)
+    text = lambda n: [f"w{rnd.randrange(10**6)}" for _ in range(n)]
+    rows, kinds = [], sorted(edits)
+    for i in range(passages * len(kinds)):
+        edit, passage = edits[kinds[i % len(kinds)]], text(60)
+        rows += [text(70) + passage + text(70), text(70) + [f"x{rnd.random()}" if edit(k, rnd) else w for k, w in enumerate(passage)] + text(70)]
+    found = Counter()
+    for r in fuzzy_passages(spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(rows)], "doc_id long, text string")).select("doc_id", "other_doc_id").distinct().collect():
+        found[kinds[min(r) // 2 % len(kinds)]] += min(r) // 2 == max(r) // 2
+    return {k: found[k] / passages for k in kinds}
+
+
+def test_edited_passages_are_found(spark):
+    every = lambda n: lambda k, rnd: k % n == n // 2
+    recall = edited_recall(spark, {"6": every(6), "7": every(7), "8": every(8), "10": every(10), "12": every(12)})
+    print(recall)
+    assert recall["12"] >= 0.97 and recall["10"] >= 0.95 and recall["8"] >= 0.9 and recall["7"] >= 0.85 and recall["6"] >= 0.75, recall
+
+
 def test_chains_pass_over_gaps_in_order():
     x = np.array([0, 10, 20, 200, 30, 5])
     y = np.array([100, 110, 120, 50, 131, 300])
