@@ -28,12 +28,20 @@ VALIDATION_PATTERNS = [
     (r"\d{4,}", "Long number sequence"),
 ]
 FORBIDDEN = ["anime", "manga", "cartoon", "image", "picture", "photo", "screenshot", "hd", "4k", "8k", "high resolution", "masterpiece", "best quality"]
+#: White space as Python has it, and word characters, in the classes that all engines read alike.
+SPACE = r"[\s\x0b\x1c-\x1f\x85\p{Z}]"
+WORD = r"a-zA-Z0-9_\p{L}\p{M}\p{N}"
 MIN_TOKENS, OPTIMAL_MIN, OPTIMAL_MAX, MAX_TOKENS = 10, 40, 77, 150
 
 
+def bound(value: Column, use) -> Column:  # noqa: ANN001
+    """use(value) with value computed once a row, however often use names it."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def split_words(text: Column) -> Column:
     """Words between white space; none for an empty text."""
-    return F.filter(F.split(text, r"\s+"), lambda w: w != "")
+    return F.filter(F.split(text, f"{SPACE}+"), lambda w: w != "")
 
 
 def caption_words(text: Column) -> Column:
@@ -48,7 +56,7 @@ def sd_tokens(text: Column) -> Column:
 
 def pattern_tokens(text: Column) -> Column:
     """Count of Unicode words and single other marks."""
-    return F.size(F.regexp_extract_all(F.lower(text), F.lit(r"(?U)\w+|[^\w\s]"), F.lit(0)))
+    return F.size(F.regexp_extract_all(F.lower(text), F.lit(f"[{WORD}]+|[^{WORD}\\s\\x0b\\x1c-\\x1f\\x85\\p{{Z}}]"), F.lit(0)))
 
 
 def quarter_tokens(text: Column) -> Column:
@@ -76,25 +84,32 @@ def first_repeated(words: Column, over: int, min_chars: int) -> Column:
 
     Equal words are neighbours in the sorted words, so one pass over neighbours at distance `over` finds them.
     """
-    placed = F.array_sort(F.transform(words, lambda w, i: F.struct(w.alias("word"), i.alias("at"))))
-    later = F.slice(placed, over + 1, F.greatest(F.size(placed), F.lit(1)))
-    runs = F.zip_with(placed, later, lambda a, b: F.when((a["word"] == b["word"]) & (F.char_length(a["word"]) > min_chars), F.struct(a["at"].alias("at"), a["word"].alias("word"))))
-    return F.array_min(runs)["word"]
+    placed = F.transform(words, lambda w, i: F.struct(w.alias("word"), i.alias("at")))
+    placed = F.array_sort(F.filter(placed, lambda p: F.char_length(p["word"]) > min_chars))
+
+    def least(p: Column) -> Column:
+        later = F.slice(p, over + 1, F.greatest(F.size(p), F.lit(1)))
+        return F.array_min(F.zip_with(p, later, lambda a, b: F.when(a["word"] == b["word"], F.struct(a["at"].alias("at"), a["word"].alias("word")))))
+
+    return bound(placed, least)["word"]
 
 
-def caption_issues(text: Column) -> Column:
-    """Names of all failed caption checks, in the order of the checks; patterns ignore case."""
-    tokens = sd_tokens(text)
-    repeated = first_repeated(caption_words(F.lower(text)), 3, 3)
+def caption_issues(text: Column, words: Column | None = None, tokens: Column | None = None) -> Column:
+    """Names of all failed caption checks, in the order of the checks; patterns ignore case.
+
+    words: the caption words of the lower-case text, and tokens: the estimate, where they have been made before.
+    """
+    tokens = sd_tokens(text) if tokens is None else tokens
+    repeated = first_repeated(caption_words(F.lower(text)) if words is None else words, 3, 3)
     found = [F.when(text.rlike(f"(?i){p}"), F.lit(name)) for name, p in ISSUE_PATTERNS]
     length = F.when(tokens > 100, F.lit("too_long")).when(tokens < 10, F.lit("too_short"))
     return F.array_compact(F.array(*found, length, F.concat(F.lit("word_repeated:"), repeated)))
 
 
-def validation_issues(text: Column, trigger: str | None = None) -> Column:
-    """Issues of the stricter validator, in the order of its checks."""
-    tokens = pattern_tokens(text)
-    low = F.lower(text)
+def validation_issues(text: Column, trigger: str | None = None, tokens: Column | None = None, low: Column | None = None) -> Column:
+    """Issues of the stricter validator, in the order of its checks; tokens and the lower-case text where they have been made before."""
+    tokens = pattern_tokens(text) if tokens is None else tokens
+    low = F.lower(text) if low is None else low
     checks = []
     if trigger:
         at = F.locate(trigger.lower(), low) - 1

@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from millrace.operators.rounds import quantiles
+
 
 def require_columns(df: DataFrame, required: list[str]) -> DataFrame:
     """df itself; raises where a required column is missing."""
@@ -36,10 +38,10 @@ def unprocessed(items: DataFrame, done: DataFrame, key: str) -> DataFrame:
 
 
 def upsert(base: DataFrame, changes: DataFrame, key: list[str], version: str) -> DataFrame:
-    """The row with the highest version of each key, of both tables."""
+    """The row with the highest version of each key, of both tables; of equal versions the greatest row."""
     rows = base.unionByName(changes)
     rest = [c for c in rows.columns if c not in key]
-    return rows.groupBy(*key).agg(F.max_by(F.struct(*rest), F.col(version)).alias("_last")).select(*key, *(F.col(f"_last.{c}").alias(c) for c in rest))
+    return rows.groupBy(*key).agg(F.max_by(F.struct(*rest), F.struct(version, *rest)).alias("_last")).select(*key, *(F.col(f"_last.{c}").alias(c) for c in rest))
 
 
 def reasons(checks: list[tuple[Column, str]]) -> Column:
@@ -55,11 +57,12 @@ def first_reason(checks: list[tuple[Column, str]]) -> Column:
 def describe(df: DataFrame, columns: list[str]) -> DataFrame:
     """count, mean, sample deviation, min, linear quartiles and max of each column, a row a column."""
     rows = df.select(F.expr("stack({}, {}) as (metric, value)".format(len(columns), ", ".join(f"'{c}', cast(`{c}` as double)" for c in columns))))
-    quartile = lambda p: F.percentile("value", p)
-    return rows.groupBy("metric").agg(
-        F.count("value").alias("n"), F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"), F.min("value").alias("min"),
-        quartile(0.25).alias("q25"), quartile(0.5).alias("q50"), quartile(0.75).alias("q75"), F.max("value").alias("max"),
+    sums = rows.groupBy("metric").agg(
+        F.count("value").alias("n"), F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"), F.min("value").alias("min"), F.max("value").alias("max")
     )
+    at = lambda p: F.max(F.when(F.col("share") == p, F.col("quantile")))
+    cuts = quantiles(rows, ["metric"], "value", [0.25, 0.5, 0.75]).groupBy("metric").agg(at(0.25).alias("q25"), at(0.5).alias("q50"), at(0.75).alias("q75"))
+    return sums.join(cuts, "metric", "left")
 
 
 def top_per_group(df: DataFrame, group: list[str], order: list[Column], k: int) -> DataFrame:
@@ -71,3 +74,21 @@ def top_per_group(df: DataFrame, group: list[str], order: list[Column], k: int)
 def tier(score: Column, a: float, b: float) -> Column:
     """A from a on, B from b on, else C; null stays null."""
     return F.when(score >= a, "A").when(score >= b, "B").when(score.isNotNull(), "C")
+
+
+def merge_suggestions(clusters: DataFrame, name: str, size: str, k: int, noise: str = "noise", share: float = 0.2) -> DataFrame:
+    """a, b, score: pairs of which one name contains the other (0.7), else both clusters are below a share of the mean size (0.5).
+
+    A name meets its parts that are as long as some other name, so names are joined on equality and not pair by pair. Of
+    the pairs of small clusters only the first k can be wanted, and these are among the k + 1 first small names.
+    """
+    mean = clusters.agg(F.avg(size).alias("_mean"))
+    rows = clusters.crossJoin(F.broadcast(mean)).select(F.col(name).alias("name"), (F.col(size) < share * F.col("_mean")).alias("small")).filter(F.col("name") != noise)
+    lengths = rows.select(F.char_length("name").alias("n")).agg(F.collect_set("n").alias("lengths"))  # as many as names have lengths
+    parts = F.flatten(F.transform("lengths", lambda n: F.when(n < F.char_length("name"), F.transform(F.sequence(F.lit(1), F.char_length("name") - n + 1), lambda i: F.substring("name", i, n))).otherwise(F.array().cast("array<string>"))))
+    inner = rows.crossJoin(F.broadcast(lengths)).select("name", F.explode(F.array_distinct(parts)).alias("part"))
+    held = inner.join(rows.select(F.col("name").alias("part")), "part").select(F.least("name", "part").alias("a"), F.greatest("name", "part").alias("b"), F.lit(0.7).alias("score"))
+    small = rows.filter("small").select("name").orderBy("name")
+    first = small.limit(k + 1)
+    both = first.toDF("a").join(F.broadcast(first.toDF("b")), F.col("a") < F.col("b")).withColumn("score", F.lit(0.5))
+    return held.unionByName(both).groupBy("a", "b").agg(F.max("score").alias("score")).orderBy(F.desc("score"), "a", "b").limit(k)

@@ -6,24 +6,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.functions.vector import md5_key, uniform
+from millrace.operators.rounds import picked_in_rounds, quantiles
 
 
 def random_order(seed: int, key: str) -> list[Column]:
     return [md5_key(F.lit(f"{seed}:"), F.col(key).cast("string")), F.col(key)]
 
 
-def with_position(df: DataFrame, order: list[str], name: str = "position", parts: int = 64) -> DataFrame:
-    """Add 0, 1, ... in the order of the given columns, without one task for all rows.
-
-    Rows are range-partitioned and numbered within their partition; the partitions' counts (one row each) add up to offsets.
-    """
-    cut = df.repartitionByRange(parts, *order).withColumn("_part", F.spark_partition_id())
-    counts = cut.groupBy("_part").agg(F.count("*").alias("_n"))
-    before = counts.select("_part", (F.sum("_n").over(Window.orderBy("_part")) - F.col("_n")).alias("_before"))
-    nth = F.row_number().over(Window.partitionBy("_part").orderBy(*order)) - 1
-    return cut.withColumn("_nth", nth).join(F.broadcast(before), "_part").withColumn(name, (F.col("_nth") + F.col("_before")).cast("long")).drop("_part", "_nth", "_before")
-
-
 def fill_quota(df: DataFrame, group: list[str], order: list[Column], target: int) -> DataFrame:
     """The first `target` rows of each group; put the tier first in `order` to fill from one tier, then the next."""
     rank = F.row_number().over(Window.partitionBy(*group).orderBy(*order))
@@ -31,14 +20,16 @@ def fill_quota(df: DataFrame, group: list[str], order: list[Column], target: int
 
 
 def category_quota(df: DataFrame, category: str, ratios: dict[str, float], order: list[Column], target: int) -> DataFrame:
-    """floor(target x ratio) rows of each category; what is missing comes from all other rows in the same order."""
+    """floor(target x ratio) rows of each category; what is missing comes from all other rows in the same order.
+
+    Of a category no row after its quota and `target` more can be taken, so Spark limits each category before the shuffle.
+    """
     quota = F.coalesce(*(F.when(F.col(category) == c, F.lit(int(target * r))) for c, r in ratios.items()), F.lit(0))
-    ranked = df.withColumn("rank", F.row_number().over(Window.partitionBy(category).orderBy(*order)))
+    ranked = df.withColumn("rank", F.row_number().over(Window.partitionBy(category).orderBy(*order))).filter(F.col("rank") <= 2 * target)
     marked = ranked.withColumn("chosen", F.when(F.col("rank") <= quota, "quota").otherwise("fill"))
-    picked = marked.filter("chosen = 'quota'")
-    missing = target - picked.count()  # at most `target`, a parameter
-    rest = marked.filter("chosen = 'fill'").orderBy(*order).limit(max(0, missing))
-    return picked.unionByName(rest).drop("rank")
+    taken = F.sum(F.when(F.col("chosen") == "quota", 1)).over(Window.partitionBy(F.lit(0)))
+    place = F.row_number().over(Window.partitionBy("chosen").orderBy(*order))
+    return marked.withColumns({"taken": F.coalesce(taken, F.lit(0)), "place": place}).filter((F.col("chosen") == "quota") | (F.col("place") <= target - F.col("taken"))).drop("rank", "taken", "place")
 
 
 def median_cap(df: DataFrame, group: list[str], target: int) -> DataFrame:
@@ -51,7 +42,7 @@ def median_cap(df: DataFrame, group: list[str], target: int) -> DataFrame:
 
 def stratified(df: DataFrame, score: str, key: str, strata: int, per_stratum: int, seed: int) -> DataFrame:
     """per_stratum rows of each score stratum (linear percentiles, upper edges excluded), in random order."""
-    edges = df.agg(F.percentile(score, F.array(*(F.lit(i / strata) for i in range(1, strata)))).alias("edges"))
+    edges = quantiles(df, [], score, [i / strata for i in range(1, strata)]).agg(F.collect_list("quantile").alias("edges"))
     cut = df.crossJoin(F.broadcast(edges)).withColumn("stratum", F.size(F.filter("edges", lambda e: F.col(score) >= e))).drop("edges")
     return fill_quota(cut, ["stratum"], random_order(seed, key), per_stratum)
 
@@ -82,22 +73,10 @@ def temporal_segments(df: DataFrame, group: str, order: list[str], score: str, n
 def greedy_gap(df: DataFrame, group: str, position: str, score: str, gap: int, target: int) -> DataFrame:
     """Per group, rows by falling score that are at least `gap` positions from all taken ones, then the best of the rest.
 
-    The rule is sequential, so a group is one call; groups must be of bounded size.
+    Positions are unique in a group. The sequential rule takes one row of each group in a round, `target` rounds in all.
     """
-    names = [f.name for f in df.schema.fields]
-
-    def run(frame):  # noqa: ANN001, ANN202
-        import bisect
-
-        frame = frame.sort_values([score, position], ascending=[False, True])
-        taken, order, left = [], [], []
-        for at, row in zip(frame[position], frame.index, strict=True):
-            i = bisect.bisect_left(taken, at)
-            if len(order) < target and (i == 0 or at - taken[i - 1] >= gap) and (i == len(taken) or taken[i] - at >= gap):
-                taken.insert(i, at)
-                order.append(row)
-            else:
-                left.append(row)
-        return frame.loc[(order + left)[:target], names]
-
-    return df.groupBy(group).applyInPandas(run, df.schema)
+    apart = ~F.exists("picks", lambda p: F.abs(p[position] - F.col(position)) < gap)
+    first = picked_in_rounds(df, group, position, [], F.col(score), apart, target).select(group, position, "pick")
+    named = df.join(first, [group, position], "left")
+    rank = F.row_number().over(Window.partitionBy(group).orderBy(F.col("pick").isNull(), "pick", F.desc(score), position))
+    return named.withColumn("rank", rank).filter(F.col("rank") <= target).select(*df.columns)

@@ -2,27 +2,46 @@
 
 from __future__ import annotations
 
+from itertools import combinations
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.functions.vector import dot, hamming
+from millrace.functions.vector import dot, hamming, md5_key
+from millrace.operators.rounds import picked_in_rounds, settle_first_wins, written
+
+
+def fingerprints(df: DataFrame, key: list[str], text: str) -> DataFrame:
+    """key, bits: 60 bits of a text, each the last bit of the least hash among the words that fall to it.
+
+    Stands in for an image's perceptual hash: texts that differ in few words differ in few bits.
+    """
+    words = df.select(*key, F.explode(F.array_distinct(F.split(F.lower(text), r"\s+"))).alias("w")).filter("w <> ''").withColumn("m", md5_key(F.col("w")))
+    least = words.groupBy(*key, (F.col("m") % 60).alias("spot")).agg(F.min(F.expr("m div 60")).alias("m"))
+    return least.groupBy(*key).agg(F.bit_or(F.call_function("shiftleft", F.col("m") % 2, F.col("spot").cast("int"))).alias("bits"))
 
 
-def _plus(df: DataFrame, column: str) -> str:
-    return ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields), column])
+def _long(x: int) -> Column:
+    """The 64 bits of a number as a long."""
+    return F.lit(x - (1 << 64) if x >> 63 else x).cast("long")
 
 
-def best_match(rows: DataFrame, references: DataFrame, key: str, vector: str, name: str, threshold: float) -> DataFrame:
+def best_match(rows: DataFrame, references: DataFrame, key: str, vector: str, name: str, threshold: float, block: int = 10_000) -> DataFrame:
     """The reference name with the greatest dot product; null below the threshold, the lesser name where two are equal.
 
-    references: a stated set (name, vector), averaged or chosen beforehand; it is checked to be small and sent to all tasks.
+    references: a stated set (name, vector), averaged or chosen beforehand. It is sent to all tasks in blocks of about
+    `block` vectors, and each block meets every row.
     """
-    if references.count() > 10_000:
-        raise ValueError("references are a stated set of at most 10,000 vectors")
-    refs = F.broadcast(references.select(F.col(name).alias("_name"), F.col(vector).alias("_ref")))
-    scored = rows.crossJoin(refs).withColumn("score", F.round(dot(F.col(vector), F.col("_ref")), 9))
-    best = scored.groupBy(key).agg(F.min_by(F.struct("_name", "score"), F.struct(-F.col("score"), "_name")).alias("b"))
-    return best.select(key, F.when(F.col("b.score") >= threshold, F.col("b._name")).alias("match"), F.col("b.score").alias("score"))
+    refs = written(references.select(F.col(name).alias("_name"), F.col(vector).alias("_ref")), "references")
+    blocks = max(1, -(-refs.count() // block))
+    best = None
+    for i in range(blocks):
+        part = refs.filter(F.pmod(F.xxhash64("_name"), F.lit(blocks)) == i) if blocks > 1 else refs
+        scored = rows.crossJoin(F.broadcast(part)).withColumn("score", F.round(dot(F.col(vector), F.col("_ref")), 9))
+        own = scored.select(key, F.struct((-F.col("score")).alias("less"), "_name").alias("s"))
+        best = own if best is None else best.union(own)
+    best = best.groupBy(key).agg(F.min("s").alias("b"))
+    return best.select(key, F.when(-F.col("b.less") >= threshold, F.col("b._name")).alias("match"), (-F.col("b.less")).alias("score"))
 
 
 def centroids(df: DataFrame, label: str, vector: str) -> DataFrame:
@@ -56,62 +75,44 @@ def transitions(df: DataFrame, group: str, order: str, vector: str, threshold: f
     return df.withColumn("kept", ends | F.coalesce(F.round(before, 9) >= threshold, F.lit(False)) | F.coalesce(F.round(after, 9) >= threshold, F.lit(False)))
 
 
-def hamming_pairs(df: DataFrame, key: str, bits: Column, distance: int, total_bits: int = 64) -> DataFrame:
-    """Pairs of distinct hashes within `distance` bits: hashes that are equal in one of distance + 1 bands meet.
+def hamming_pairs(df: DataFrame, key: str, bits: Column, distance: int, total_bits: int = 64, group: list[str] | None = None) -> DataFrame:
+    """Pairs of distinct hashes within `distance` bits, in each group.
 
+    Of m bands one differs in at most distance // m bits. So hashes meet that are equal in a band after up to `radius` bits
+    of it are turned over; m is the least number that loses no pair, and bands are wide, so few others meet.
     Equal hashes are one class: the pairs are between the classes' least keys, `members` has their sizes.
     """
-    classes = df.select(F.col(key).alias("k"), bits.alias("h")).groupBy("h").agg(F.min("k").alias("k"), F.count("*").alias("members"))
-    bands = distance + 1
+    group = group or []
+    classes = df.select(*group, F.col(key).alias("k"), bits.alias("h")).groupBy(*group, "h").agg(F.min("k").alias("k"), F.count("*").alias("members"))
+    radius = 0 if distance < 4 else 2
+    bands = -(-(distance + 1) // (radius + 1))
     width = total_bits // bands
-    mask = (1 << width) - 1
-    cut = F.array(*(F.struct(F.lit(i).alias("band"), F.shiftrightunsigned("h", i * width).bitwiseAND(F.lit(mask).cast("long")).alias("part")) for i in range(bands)))
-    entries = classes.withColumn("b", F.explode(cut)).select("k", "h", "members", "b.*")
-    a, b = (entries.select("band", "part", *(F.col(c).alias(f"{c}_{s}") for c in ("k", "h", "members"))) for s in ("a", "b"))
-    met = a.join(b, ["band", "part"]).filter("k_a < k_b").withColumn("distance", hamming(F.col("h_a"), F.col("h_b"))).filter(F.col("distance") <= distance)
-    return met.select("k_a", "k_b", "members_a", "members_b", "distance").distinct()
+    turned = [sum(1 << p for p in c) for r in range(radius + 1) for c in combinations(range(width), r)]
+    part = lambda i: F.shiftrightunsigned("h", i * width).bitwiseAND(_long((1 << width) - 1))
+    cut = F.array(*(F.struct(F.lit(i).alias("band"), part(i).alias("part")) for i in range(bands)))
+    entries = classes.withColumn("b", F.explode(cut)).select(*group, "k", "h", "members", "b.*")
+    probes = entries.withColumn("part", F.explode(F.transform(F.array(*map(_long, turned)), lambda t: F.col("part").bitwiseXOR(t)))) if radius else entries
+    a, b = (t.select(*group, "band", "part", *(F.col(c).alias(f"{c}_{s}") for c in ("k", "h", "members"))) for t, s in ((probes, "a"), (entries, "b")))
+    met = a.join(b, [*group, "band", "part"]).filter("k_a < k_b").withColumn("distance", hamming(F.col("h_a"), F.col("h_b"))).filter(F.col("distance") <= distance)
+    return met.select(*group, "k_a", "k_b", "members_a", "members_b", "distance").distinct()
 
 
-def first_wins(df: DataFrame, group: str, key: str, bits: str, distance: int) -> DataFrame:
+def first_wins(df: DataFrame, group: str, key: str, bits: str, distance: int, total_bits: int = 64) -> DataFrame:
     """Greedy dedup within groups: a row is kept unless it is within `distance` bits of a row kept before, in key order.
 
-    Adds duplicate_of (null for kept rows). The rule depends on the order, so a group is one call and must be bounded.
+    Adds duplicate_of, the first kept row that is near (null for kept rows). Keys are unique. Rows with a kept leader are
+    also what leader clustering gives: there each free row takes every later free row that is near.
     """
-
-    def run(frame):  # noqa: ANN001, ANN202
-        import numpy as np
-
-        frame = frame.sort_values(key)
-        kept_bits, kept_keys, of = np.zeros(len(frame), np.uint64), [], []
-        for k, h in zip(frame[key], frame[bits], strict=True):
-            near = np.flatnonzero(np.bitwise_count(kept_bits[: len(kept_keys)] ^ np.uint64(h & (2**64 - 1))) <= distance)
-            if len(near):
-                of.append(kept_keys[near[0]])
-            else:
-                kept_bits[len(kept_keys)] = np.uint64(h & (2**64 - 1))
-                kept_keys.append(k)
-                of.append(None)
-        return frame.assign(duplicate_of=of).astype({"duplicate_of": "Int64"})
-
-    return df.groupBy(group).applyInPandas(run, _plus(df, "duplicate_of long"))
+    firsts = df.groupBy(group, bits).agg(F.min(key).alias("k"))
+    pairs = hamming_pairs(df, key, F.col(bits), distance, total_bits, [group]).select(F.col("k_a").alias("a"), F.col("k_b").alias("b"))
+    led = firsts.join(settle_first_wins(firsts.select("k"), pairs), "k").select(group, bits, "leader")
+    return df.join(led, [group, bits]).withColumn("duplicate_of", F.when(F.col("leader") != F.col(key), F.col("leader"))).select(*df.columns, "duplicate_of")
 
 
 def farthest_points(df: DataFrame, group: str, key: str, bits: str, n: int) -> DataFrame:
-    """n rows of each group by the max-min rule on Hamming distance, from the row with the least key on."""
-
-    def run(frame):  # noqa: ANN001, ANN202
-        import numpy as np
-
-        frame = frame.sort_values(key).reset_index(drop=True)
-        h = frame[bits].to_numpy().view(np.uint64)
-        chosen, away = [0], np.bitwise_count(h ^ h[0]).astype(int)
-        while len(chosen) < min(n, len(h)):
-            away[chosen] = -1
-            chosen.append(int(away.argmax()))
-            away = np.minimum(away, np.bitwise_count(h ^ h[chosen[-1]]))
-        return frame.iloc[chosen].assign(pick=range(len(chosen)))
-
-    return df.groupBy(group).applyInPandas(run, _plus(df, "pick int"))
+    """n rows of each group by the max-min rule on Hamming distance, from the row with the least key on: a round a row."""
+    away = F.coalesce(F.array_min(F.transform("picks", lambda p: hamming(F.col(bits), p[bits]))), F.lit(0))
+    return df.join(picked_in_rounds(df, group, key, [bits], away, F.lit(True), n).select(group, key, "pick"), [group, key]).select(*df.columns, "pick")
 
 
 def exact_dedup(df: DataFrame, digest: Column, order: list[str], key: str) -> DataFrame:
@@ -136,27 +137,12 @@ def kmeans_report(df: DataFrame, vector: str, k: int, seed: int = 42) -> DataFra
     return placed.groupBy("cluster").agg(F.count("*").alias("size"), F.avg(F.sqrt(squares)).alias("mean_distance"))
 
 
-
-def leader_clusters(df: DataFrame, group: str, key: str, bits: str, distance: int) -> DataFrame:
+def leader_clusters(df: DataFrame, group: str, key: str, bits: str, distance: int, total_bits: int = 64) -> DataFrame:
     """Leader clustering within groups: in key order each free row leads and takes every later free row within `distance` bits.
 
-    Adds leader (its own key for leaders). Equal hashes are one row here, so copies cost nothing; a group is one call.
+    Adds leader (its own key for leaders).
     """
-
-    def run(frame):  # noqa: ANN001, ANN202
-        import numpy as np
-
-        frame = frame.sort_values(key).reset_index(drop=True)
-        first = frame.drop_duplicates(bits)
-        h, keys = first[bits].to_numpy().astype(np.int64).view(np.uint64), first[key].to_numpy()
-        leader = np.full(len(h), -1, np.int64)
-        for i in range(len(h)):
-            if leader[i] < 0:
-                free = (leader < 0) & (np.bitwise_count(h ^ h[i]) <= distance)
-                leader[free] = keys[i]
-        return frame.assign(leader=frame[bits].map(dict(zip(first[bits], leader, strict=True))))
-
-    return df.groupBy(group).applyInPandas(run, _plus(df, "leader long"))
+    return first_wins(df, group, key, bits, distance, total_bits).withColumn("leader", F.coalesce("duplicate_of", key)).drop("duplicate_of")
 
 
 def merge_clusters(df: DataFrame, label: str, merged: list[int]) -> DataFrame:
@@ -171,6 +157,14 @@ def split_cluster(df: DataFrame, key: str, label: str, split: int, assignment: D
     return df.filter(F.col(label) != split).unionByName(named.select(*df.columns))
 
 
+def outlier_clusters(df: DataFrame, label: str, noise: int = -1, share: float = 0.2) -> DataFrame:
+    """label, n, is_outlier: noise always, and of two or more clusters those below a share of the mean size."""
+    sizes = df.groupBy(label).agg(F.count("*").alias("n"))
+    mean = sizes.agg(F.avg("n").alias("_mean"), F.count("*").alias("_k"))
+    small = (F.col("_k") >= 2) & (F.col("n") < share * F.col("_mean"))
+    return sizes.crossJoin(F.broadcast(mean)).select(label, "n", ((F.col(label) == noise) | small).alias("is_outlier"))
+
+
 def cluster_sizes(df: DataFrame, label: str, noise: int = -1) -> DataFrame:
     """One row: clusters without noise, mean, population deviation, least, greatest and median size, and the share of noise."""
     sizes = df.groupBy(label).agg(F.count("*").alias("n"))

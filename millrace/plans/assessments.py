@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions import scores as C
 from millrace.functions.vector import md5_key
+from millrace.operators.rounds import positions, quantiles
 from millrace.plans.registry import query
 from millrace.session import table
 
@@ -64,9 +65,9 @@ def metric_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Mean, population deviation, ends, median and count above a threshold for each metric."""
     ev = table(spark, sf_dir, "events").select(F.col("value").cast("double").alias("value"), F.hour("ts").cast("double").alias("hour"), (F.col("event_id") % 13).cast("double").alias("gap"))
     v = F.col("v")
-    return ev.unpivot([], ["value", "hour", "gap"], "metric", "v").groupBy("metric").agg(
-        F.round(F.avg(v), 6).alias("mean"), F.round(F.stddev_pop(v), 6).alias("std"), F.min(v).alias("min"), F.max(v).alias("max"), F.round(F.percentile(v, 0.5), 6).alias("median"), F.count_if(v >= 6).alias("at_least")
-    )
+    long = ev.unpivot([], ["value", "hour", "gap"], "metric", "v")
+    median = quantiles(long, ["metric"], "v", [0.5]).select("metric", F.round("quantile", 6).alias("median"))
+    return long.groupBy("metric").agg(F.round(F.avg(v), 6).alias("mean"), F.round(F.stddev_pop(v), 6).alias("std"), F.min(v).alias("min"), F.max(v).alias("max"), F.count_if(v >= 6).alias("at_least")).join(median, "metric")
 
 
 @query("""
@@ -75,7 +76,7 @@ select event_id, e.event_type, value from events e join p on e.event_type = p.ev
 def top_fifth(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows at or above the 80th linear percentile of their type."""
     ev = table(spark, sf_dir, "events").select("event_id", "event_type", "value")
-    cut = ev.groupBy("event_type").agg(F.percentile("value", 0.8).alias("cut"))
+    cut = quantiles(ev, ["event_type"], "value", [0.8]).select("event_type", F.col("quantile").alias("cut"))
     return ev.join(cut, "event_type").filter("value >= cut").drop("cut")
 
 
@@ -99,8 +100,6 @@ n as (select p_partkey, row_number() over (order by p_partkey) - 1 as i from par
 select p_partkey, a, b from n join ra on i % na = ia join rb on i % nb = ib""")
 def balanced_prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Values of two dimensions given out in turn, so that uses of a value differ by one at most."""
-    from millrace.operators.sampling import with_position
-
     p = table(spark, sf_dir, "part")
 
     def turn(column: str, name: str) -> tuple[DataFrame, int]:
@@ -109,7 +108,7 @@ def balanced_prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
         return ranked, values.count()
 
     (a, na), (b, nb) = turn("p_brand", "a"), turn("p_type", "b")
-    n = with_position(p.filter("p_size <= 10").select("p_partkey"), ["p_partkey"], "i", 8)
+    n = positions(p.filter("p_size <= 10").select("p_partkey"), ["p_partkey"], "i")
     n = n.withColumns({"ia": F.col("i") % na, "ib": F.col("i") % nb})
     return n.join(a, "ia").join(b, "ib").select("p_partkey", "a", "b")
 

@@ -10,7 +10,7 @@ from millrace.plans.registry import query
 from millrace.session import table
 
 _CLEAN = """translate({0}, '.,!?;:()[]{{}}"''-', repeat(' ', 15))"""
-_WORDS = r"list_filter(string_split_regex({0}, '\s+'), lambda w: w <> '')"
+_WORDS = rf"list_filter(string_split_regex({{0}}, '{T.SPACE.replace('{', '{{').replace('}', '}}')}+'), lambda w: w <> '')"
 
 
 def words_sql(text: str) -> str:
@@ -21,7 +21,7 @@ def plain_words_sql(text: str) -> str:
     return _WORDS.format(text)
 
 
-TOKENS_SQL = r"len(regexp_extract_all(lower(text), '[\p{L}\p{M}\p{N}_]+|[^\p{L}\p{M}\p{N}_\s]'))"
+TOKENS_SQL = rf"len(regexp_extract_all(lower(text), '[{T.WORD}]+|[^{T.WORD}{T.SPACE[1:-1]}]'))"
 SD_SQL = f"(len({words_sql('text')}) + length(text) // 8)"
 
 
@@ -39,10 +39,11 @@ select doc_id, len({plain_words_sql('text')})::bigint as n_words, {SD_SQL}::bigi
 from documents""")
 def caption_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = F.col("text")
-    return table(spark, sf_dir, "documents").select(
+    rows = table(spark, sf_dir, "documents").select("doc_id", "text", F.lower("text").alias("low"))
+    return rows.select(
         "doc_id", F.size(T.split_words(t)).cast("long").alias("n_words"), T.sd_tokens(t).cast("long").alias("sd_tokens"), T.pattern_tokens(t).cast("long").alias("pattern_tokens"),
-        T.quarter_tokens(t).cast("long").alias("quarter_tokens"), T.list_tokens(t).cast("long").alias("list_tokens"), T.style(t).alias("style"), F.md5(F.lower(t)).alias("digest"),
-        F.lower(t).contains("the").alias("has_trigger"),
+        T.quarter_tokens(t).cast("long").alias("quarter_tokens"), T.list_tokens(t).cast("long").alias("list_tokens"), T.style(t).alias("style"), F.md5("low").alias("digest"),
+        F.col("low").contains("the").alias("has_trigger"),
     )
 
 
@@ -63,7 +64,10 @@ issues as (
 
 
 def _issues(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").select("doc_id", "source", "lang", T.caption_issues(F.col("text")).alias("issues"))
+    rows = table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "text", T.caption_words(F.lower("text")).alias("words"))
+    tokens = F.size("words") + F.floor(F.char_length("text") / 8)  # as many words as in the text as it is
+    rows = rows.withColumn("tokens", tokens)
+    return rows.select("doc_id", "source", "lang", T.caption_issues(F.col("text"), F.col("words"), F.col("tokens")).alias("issues"))
 
 
 @query(_ISSUES_CTE + " select doc_id, len(issues)::bigint as n_issues, array_to_string(issues, '; ') as issues from issues")
@@ -100,7 +104,8 @@ scored as (select *, greatest(0, least(100, 100 - case when tokens < 10 then 30
 
 def validated(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = F.col("text")
-    rows = table(spark, sf_dir, "documents").select("doc_id", "source", "lang", T.pattern_tokens(t).alias("tokens"), T.validation_issues(t).alias("issues"))
+    rows = table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "text", T.pattern_tokens(t).alias("tokens"), F.lower(t).alias("low"))
+    rows = rows.select("doc_id", "source", "lang", "tokens", T.validation_issues(t, None, F.col("tokens"), F.col("low")).alias("issues"))
     return rows.withColumn("score", T.validation_score(F.col("tokens"), F.col("issues")))
 
 

@@ -20,11 +20,16 @@ def exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-select md5(lower(text)) as digest, count(*)::bigint as n, count(distinct source)::bigint as sources, array_to_string(list_sort(list(distinct source)), ',') as in_sources, min(source) as owner from documents group by 1 having count(distinct source) > 1""")
+with d as (select md5(lower(text)) as digest, lower(text) as t, source from documents), z as (select source, count(*) as size from documents group by source),
+g as (select digest, d.source, count(*) as n, min(size) as size, bool_or(contains(t, lower(d.source))) as named from d join z on d.source = z.source group by digest, d.source)
+select digest, sum(n)::bigint as n, count(*)::bigint as sources, array_to_string(list_sort(list(source)), ',') as in_sources, first(source order by named desc, size, source) as owner from g group by digest having count(*) > 1""")
 def cross_dataset_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Texts that occur in several sources."""
-    docs = table(spark, sf_dir, "documents").select("source", F.md5(F.lower("text")).alias("digest"))
-    g = docs.groupBy("digest", "source").agg(F.count("*").alias("n")).groupBy("digest").agg(F.sum("n").alias("n"), F.count("*").alias("sources"), F.array_join(F.sort_array(F.collect_set("source")), ",").alias("in_sources"), F.min("source").alias("owner"))
+    """Texts that occur in several sources, and who keeps each: the source that the text names, else the smallest one."""
+    docs = table(spark, sf_dir, "documents").select("source", F.md5(F.lower("text")).alias("digest"), F.lower("text").contains(F.lower("source")).alias("named"))
+    sizes = docs.groupBy("source").agg(F.count("*").alias("size"))
+    g = docs.groupBy("digest", "source").agg(F.count("*").alias("n"), F.max("named").alias("named")).join(sizes, "source")
+    owner = F.min_by("source", F.struct(~F.col("named"), "size", "source")).alias("owner")
+    g = g.groupBy("digest").agg(F.sum("n").alias("n"), F.count("*").alias("sources"), F.array_join(F.sort_array(F.collect_set("source")), ",").alias("in_sources"), owner)
     return g.filter("sources > 1")
 
 
@@ -56,16 +61,15 @@ def modulo_assign(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-with t as (select distinct p_brand as name from part union select distinct p_brand || ' ' || p_type from part where p_size = 1),
-s as (select a.name as a, b.name as b, 0.7 as score from t a join t b on a.name < b.name and (contains(a.name, b.name) or contains(b.name, a.name)))
-select a, b, score::double as score from s order by score desc, a, b limit 10""")
+with t as (select p_name as name from part where p_size <= 5 union all select split_part(p_name, ' ', 2) from part where p_size <= 5),
+u as (select name, count(*) as n from t group by name), o as (select *, n < 0.2 * avg(n) over () as small from u),
+s as (select a.name as a, b.name as b, case when contains(a.name, b.name) or contains(b.name, a.name) then 0.7 when a.small and b.small then 0.5 end as score from o a join o b on a.name < b.name where a.name <> 'noise' and b.name <> 'noise')
+select a, b, score::double as score from s where score is not null order by score desc, a, b limit 100""")
 def merge_suggestions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Cluster names of which one begins with the other: words of a name are joined to whole names."""
-    p = table(spark, sf_dir, "part")
-    names = p.select(F.col("p_brand").alias("name")).union(p.filter("p_size = 1").select(F.concat_ws(" ", "p_brand", "p_type"))).distinct()
-    runs = names.select("name", F.explode(F.array_distinct(F.transform(F.sequence(F.lit(1), F.char_length("name")), lambda n: F.substring("name", F.lit(1), n)))).alias("part")).filter("part <> name")
-    met = runs.join(names.select(F.col("name").alias("part")), "part")
-    return met.select(F.least("name", "part").alias("a"), F.greatest("name", "part").alias("b"), F.lit(0.7).alias("score")).distinct().orderBy(F.desc("score"), "a", "b").limit(10)
+    """Cluster names of which one contains the other (0.7), else two clusters that are both outliers by size (0.5); the first hundred."""
+    p = table(spark, sf_dir, "part").filter("p_size <= 5")
+    names = p.select(F.col("p_name").alias("name")).unionAll(p.select(F.split_part("p_name", F.lit(" "), F.lit(2)).alias("name")))
+    return R.merge_suggestions(names.groupBy("name").agg(F.count("*").alias("n")), "name", "n", 100)
 
 
 @query("""

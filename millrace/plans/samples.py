@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from millrace.operators import records as R
 from millrace.operators import sampling as S
+from millrace.operators.rounds import positions
 from millrace.plans.registry import query
 from millrace.session import table
 
@@ -87,12 +88,12 @@ def temporal_segments_best(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("select event_id, (row_number() over (order by ts, event_id) - 1)::bigint as position from events")
 def global_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A place for each event in the order of the whole table, numbered by ranges."""
-    return S.with_position(table(spark, sf_dir, "events").select("event_id", "ts"), ["ts", "event_id"]).select("event_id", "position")
+    return positions(table(spark, sf_dir, "events").select("event_id", "ts"), ["ts", "event_id"], "position").select("event_id", "position")
 
 
 @query()
 def quality_weighted_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per user the best events at least 5 positions apart; sequential, so a function over each user's events."""
+    """Per user the best events at least 5 positions apart, then the best of the rest, twelve in all."""
     ev = table(spark, sf_dir, "events").select("event_id", "user_id", "ts", "value")
     spot = F.row_number().over(Window.partitionBy("user_id").orderBy("ts", "event_id"))
     placed = ev.select("event_id", "user_id", spot.alias("position"), "value")

@@ -34,11 +34,13 @@ def nearest_to_centroid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return V.nearest_to_centroid(_vectors(spark, sf_dir), "vec_id", "label", "embedding", 3)
 
 
-@query("with c as (select label, count(*) as n from embeddings group by label), a as (select avg(n) as mean from c) select label, n::bigint as n, n < 0.9 * mean as is_outlier from c, a")
+@query("""
+with c as (select o_custkey as cluster, count(*) as n from orders where o_custkey % 50 <> 7 group by o_custkey union all select -1, count(*) from orders where o_custkey % 50 = 7), a as (select avg(n) as mean, count(*) as k from c)
+select cluster::bigint as cluster, n::bigint as n, cluster = -1 or (k >= 2 and n > 0 and n < 0.2 * mean) as is_outlier from c, a""")
 def outlier_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Clusters much smaller than the mean cluster."""
-    c = _vectors(spark, sf_dir).groupBy("label").agg(F.count("*").alias("n"))
-    return c.crossJoin(F.broadcast(c.agg(F.avg("n").alias("mean")))).select("label", "n", (F.col("n") < 0.9 * F.col("mean")).alias("is_outlier"))
+    """Noise (-1), and clusters of less than a fifth of the mean size."""
+    label = F.when(F.col("o_custkey") % 50 == 7, F.lit(-1).cast("long")).otherwise(F.col("o_custkey"))
+    return V.outlier_clusters(table(spark, sf_dir, "orders").select(label.alias("cluster")), "cluster")
 
 
 @query(_CENT + """, s as (select e.vec_id, c.label, round(list_sum(list_transform(list_zip(e.embedding, c.centroid), lambda z: z[1]::double * z[2])), 9) as score from embeddings e, c),
@@ -68,25 +70,37 @@ def transition_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return V.transitions(_vectors(spark, sf_dir), "label", "vec_id", "embedding", 0.2).select("vec_id", "label", "kept")
 
 
-@query("""
-with h as (select vec_id, array_to_string(list_transform(embedding[1:32], lambda x: case when x > 0 then '1' else '0' end), '') as bits from embeddings),
-c as (select bits, min(vec_id) as k, count(*) as members from h group by bits)
-select a.k as k_a, b.k as k_b, a.members::bigint as members_a, b.members::bigint as members_b, hamming(a.bits, b.bits)::int as distance from c a join c b on a.k < b.k where hamming(a.bits, b.bits) <= 5""")
+_PRINTS = """
+with w as (select distinct doc_id, source, unnest(string_split_regex(lower(text), '\\s+')) as w from documents), m as (select doc_id, source, ('0x' || substr(md5(w), 1, 15))::bigint as m from w where w <> ''),
+l as (select doc_id, source, m % 60 as spot, min(m // 60) as m from m group by all), h as (select doc_id, source, bit_or((m % 2) << spot)::bigint as bits from l group by all)"""
+
+
+def _prints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return V.fingerprints(table(spark, sf_dir, "documents").select("doc_id", "source", "text"), ["doc_id", "source"], "text")
+
+
+@query(_PRINTS + """, c as (select bits, min(doc_id) as k, count(*) as members from h group by bits)
+select a.k as k_a, b.k as k_b, a.members::bigint as members_a, b.members::bigint as members_b, bit_count(xor(a.bits, b.bits))::int as distance from c a join c b on a.k < b.k where bit_count(xor(a.bits, b.bits)) <= 8""")
 def near_dup_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pairs of vectors whose sign hashes of 32 bits differ in at most 5, by banding without loss."""
-    return V.hamming_pairs(_vectors(spark, sf_dir), "vec_id", sign_hash(F.col("embedding"), 32), 5, 32)
+    """Pairs of texts whose fingerprints of 60 bits differ in at most 8, by bands that lose no pair."""
+    return V.hamming_pairs(_prints(spark, sf_dir), "doc_id", F.col("bits"), 8, 60)
 
 
 @query()
 def first_wins_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Greedy first-wins dedup of sign hashes within each label; order-dependent, so a function over each label."""
-    rows = _vectors(spark, sf_dir).select("vec_id", "label", sign_hash(F.col("embedding")).alias("bits"))
-    return V.first_wins(rows, "label", "vec_id", "bits", 12).select("vec_id", "label", "duplicate_of")
+    """Greedy first-wins dedup of fingerprints within each source, at most 3 bits apart."""
+    return V.first_wins(_prints(spark, sf_dir), "source", "doc_id", "bits", 3, 60).select("doc_id", "source", "duplicate_of")
+
+
+@query()
+def leader_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leader clusters of fingerprints within each source, at most 12 bits apart."""
+    return V.leader_clusters(_prints(spark, sf_dir), "source", "doc_id", "bits", 12, 60).select("doc_id", "source", "leader")
 
 
 @query()
 def diverse_points(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Ten vectors of each label, each as far as can be from those before, on sign hashes."""
+    """Ten vectors of each label, each as far as can be from those before, on sign hashes of all components."""
     rows = _vectors(spark, sf_dir).select("vec_id", "label", sign_hash(F.col("embedding")).alias("bits"))
     return V.farthest_points(rows, "label", "vec_id", "bits", 10).select("vec_id", "label", "pick")
 
@@ -96,13 +110,6 @@ def kmeans_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return V.kmeans_report(_vectors(spark, sf_dir), "embedding", 5)
 
 
-@query()
-def leader_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Leader clusters of sign hashes within each label; order-dependent, so a function over each label."""
-    rows = _vectors(spark, sf_dir).select("vec_id", "label", sign_hash(F.col("embedding")).alias("bits"))
-    return V.leader_clusters(rows, "label", "vec_id", "bits", 20).select("vec_id", "label", "leader")
-
-
 @query("""
 with e as (select vec_id, case when label in (1, 3) then (select max(label) + 1 from embeddings) else label end as label from embeddings),
 s as (select vec_id, case when label = 2 then 20 + vec_id % 2 else label end as label from e where label <> 2 or vec_id % 3 <> 0), n as (select label, count(*) as n from s group by label)

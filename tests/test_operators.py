@@ -7,6 +7,7 @@ from millrace.functions import geometry as G
 from millrace.functions import text as T
 from millrace.functions.vector import cosine, hamming
 from millrace.operators import records as R
+from millrace.operators import rounds as P
 from millrace.operators import sampling as S
 from millrace.operators import timeline as L
 from millrace.operators import vectors as V
@@ -47,8 +48,34 @@ def test_quota_fills_from_the_rest(spark):
 
 
 def test_positions_are_gapless_over_ranges(spark):
-    df = spark.createDataFrame([(i * 7 % 101,) for i in range(101)], "x int")
-    assert rows(S.with_position(df, ["x"], parts=5), "x", "position") == [(i, i) for i in range(101)]
+    df = spark.createDataFrame([(i * 7 % 101, None if i % 3 == 0 else i % 2) for i in range(101)], "x int, g int")
+    assert rows(P.positions(df, ["x"], "at", 5), "x", "at") == [(i, i) for i in range(101)]
+    got = P.positions(df, ["x"], "at", 4, ["g"]).groupBy("g").agg(F.count("*").alias("n"), F.countDistinct("at").alias("d"), F.max("at").alias("m")).collect()
+    assert len(got) == 3 and all(r["n"] == r["d"] == r["m"] + 1 for r in got)
+    assert P.positions(df.limit(0), ["x"], "at").count() == 0
+
+
+def test_positions_of_many_rows_with_a_column_that_is_not_read(spark):
+    df = spark.range(4_000_000).select((F.col("id") * 48271 % 4_000_037).alias("x"), F.sha1(F.col("id").cast("string")).alias("unread"))
+    got = P.positions(df, ["x"], "at").agg(F.count("*").alias("n"), F.countDistinct("at").alias("d"), F.max("at").alias("m")).first()
+    assert tuple(got) == (4_000_000, 4_000_000, 3_999_999)
+
+
+def test_quantiles_interpolate(spark):
+    import numpy as np
+
+    data = [("a", float(i * i % 37)) for i in range(50)] + [("b", 1.0)] * 9 + [("b", 5.0), (None, 2.0), ("a", None)]
+    df = spark.createDataFrame(data, "g string, v double")
+    got = {(r["g"], r["share"]): r["quantile"] for r in P.quantiles(df, ["g"], "v", [0.0, 0.3, 0.95], 3).collect()}
+    for g in ("a", "b", None):
+        own = [v for k, v in data if k == g and v is not None]
+        assert [round(got[g, s], 9) for s in (0.0, 0.3, 0.95)] == [round(float(np.percentile(own, 100 * s)), 9) for s in (0.0, 0.3, 0.95)]
+
+
+def test_components_equal_union_find(spark):
+    links = [(i, i + 1) for i in range(20)] + [(50, x) for x in range(51, 60)] + [(70, 70), (3, 1)]
+    got = {r["node"]: r["component"] for r in P.components(spark.createDataFrame(links, "a long, b long")).collect()}
+    assert got == {i: 0 for i in range(21)} | {i: 50 for i in range(50, 60)} | {70: 70}
 
 
 def test_gap_rule(spark):
@@ -56,23 +83,61 @@ def test_gap_rule(spark):
     assert rows(S.greedy_gap(df, "g", "at", "score", 4, 4), "at") == [(1,), (5,), (8,), (9,)]
 
 
-def test_hamming_bands_lose_no_pair(spark):
+def near_hashes(n, most):
     import random
 
     rnd = random.Random(3)
-    bases = [rnd.getrandbits(63) for _ in range(5)]
-    hashes = [b ^ sum(1 << p for p in rnd.sample(range(63), d)) for b in bases for d in (0, 0, 1, 3, 4, 8)]
+    bases = [rnd.getrandbits(63) for _ in range(n)]
+    return [b ^ sum(1 << p for p in rnd.sample(range(63), d)) for b in bases for d in (0, 0, *range(1, most, 2))]
+
+
+def test_hamming_bands_lose_no_pair(spark):
+    hashes = near_hashes(5, 9)
     df = spark.createDataFrame(list(enumerate(hashes)), "k int, h long")
     first = {}
     for k, h in enumerate(hashes):
         first.setdefault(h, k)
-    want = sorted((a, b) for x, a in first.items() for y, b in first.items() if a < b and bin(x ^ y).count("1") <= 4)
-    assert rows(V.hamming_pairs(df, "k", F.col("h"), 4), "k_a", "k_b") == want
+    for distance in (0, 3, 4, 8, 12):
+        want = sorted((a, b) for x, a in first.items() for y, b in first.items() if a < b and (x ^ y).bit_count() <= distance)
+        assert rows(V.hamming_pairs(df, "k", F.col("h"), distance), "k_a", "k_b") == want
 
 
 def test_first_wins_depends_on_kept_rows_only(spark):
     df = spark.createDataFrame([("g", 1, 0b0), ("g", 2, 0b11), ("g", 3, 0b1111), ("h", 4, 0b0)], "g string, k long, h long")
-    assert rows(V.first_wins(df, "g", "k", "h", 2), "k", "duplicate_of") == [(1, None), (2, 1), (3, None), (4, None)]
+    assert {r["k"]: r["duplicate_of"] for r in V.first_wins(df, "g", "k", "h", 2).collect()} == {1: None, 2: 1, 3: None, 4: None}
+
+
+def test_greedy_rules_equal_the_sequential_ones(spark):
+    import random
+
+    rnd = random.Random(6)
+    hashes = near_hashes(6, 13)
+    rnd.shuffle(hashes)
+    data = [("gh"[i % 2], i, h) for i, h in enumerate(hashes)]
+    df = spark.createDataFrame(data, "g string, k long, h long")
+    for distance in (3, 8, 12):
+        kept, want = [], {}
+        for g, k, h in data:
+            want[k] = next((k2 for g2, k2, h2 in kept if g2 == g and (h ^ h2).bit_count() <= distance), None)
+            if want[k] is None:
+                kept.append((g, k, h))
+        assert {r["k"]: r["duplicate_of"] for r in V.first_wins(df, "g", "k", "h", distance).collect()} == want
+        assert {r["k"]: r["leader"] for r in V.leader_clusters(df, "g", "k", "h", distance).collect()} == {k: k if v is None else v for k, v in want.items()}
+    picks = {g: [] for g in "gh"}
+    for g, own in picks.items():
+        left = [(k, h) for g2, k, h in data if g2 == g]
+        for _ in range(5):
+            own.append(max(left, key=lambda r, own=own: (min(((r[1] ^ h).bit_count() for _, h in own), default=0), -r[0])))
+            left.remove(own[-1])
+    got = V.farthest_points(df, "g", "k", "h", 5).orderBy("g", "pick").collect()
+    assert [(r["g"], r["k"]) for r in got] == [(g, k) for g in "gh" for k, _ in picks[g]]
+
+
+def test_merge_suggestions_contain_at_any_place(spark):
+    data = [("ring", 100), ("small ring", 90), ("ringlet", 80), ("tiny", 1), ("odd", 2), ("noise", 1), ("noise ring", 60)]
+    df = spark.createDataFrame(data, "name string, n long")
+    got = [tuple(r) for r in R.merge_suggestions(df, "name", "n", 10).collect()]
+    assert got == [("noise ring", "ring", 0.7), ("ring", "ringlet", 0.7), ("ring", "small ring", 0.7), ("odd", "tiny", 0.5)]
 
 
 def test_text_functions(spark):
@@ -141,7 +206,7 @@ def test_log_lines_and_scores(spark):
 
 
 def test_poses(spark):
-    from millrace.functions import poses as P
+    from millrace.functions import poses as B
 
     def body(left, right, hip_left, hip_right):
         p = [(0.0, 0.0)] * 17
@@ -150,7 +215,7 @@ def test_poses(spark):
 
     rows = [("front", body(-10.0, 10.0, -10.0, 10.0), [0.9] * 17), ("side", body(1.0, -1.0, -10.0, 10.0), [0.9] * 17), ("hidden", body(-10.0, 10.0, -10.0, 10.0), [0.1] * 17)]
     df = spark.createDataFrame(rows, "n string, p array<struct<x double, y double>>, s array<double>")
-    got = {r["n"]: r for r in df.select("n", P.normalized(F.col("p"), F.col("s")).alias("z"), P.standing(F.col("p")).alias("up"), P.view(F.col("p"), F.col("s")).alias("v")).collect()}
+    got = {r["n"]: r for r in df.select("n", B.normalized(F.col("p"), F.col("s")).alias("z"), B.standing(F.col("p")).alias("up"), B.view(F.col("p"), F.col("s")).alias("v")).collect()}
     assert (got["front"]["z"][5]["x"], got["front"]["z"][5]["y"], got["front"]["up"]) == (-0.1, 1.0, True)
     assert got["hidden"]["z"] is None and tuple(got["side"]["v"]) == ("side_left", 0.8)
     assert got["front"]["v"]["name"] == "three_quarter_right" and got["hidden"]["v"]["name"] == "back_right"
