@@ -6,9 +6,13 @@ sum(min)/sum(max) is at least 0.8, or when their texts are equal. Classes are th
 
 BagMinHash draws, for every shingle, one Poisson process over time, weight and signature component. Weights are
 discretised at the integers, and the axis is cut at 1, 2, 4, 8, ...; a process for the stretch [2^k, 2^(k+1)) makes its
-points in the order of time and keeps those below the shingle's weight. The signature holds the earliest time of each
+points in the order of time; the bits of a point choose one half of the stretch after another down to its level, and
+points whose level is not below the shingle's weight don't count. The signature holds the earliest time of each
 component, so a process ends as soon as it is later than the latest component.
 
+A multiset is kept as the 32-bit hashes of its shingles with their occurrence numbers; two sets of n items have
+n^2 / 2^32 false common items on average (0.002 for n = 3000).
+
 Defined results: a null text counts as empty; texts without words form a class by exact equality only; rows with a null
 doc_id stay and take part, their class_id is the least doc_id of the class (null if it has none); repeated rows are in
 one class; further columns are ignored; an empty table gives an empty result.
@@ -20,7 +24,6 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -84,8 +87,16 @@ def multisets(data: np.ndarray, offsets: np.ndarray, k: int) -> tuple[np.ndarray
     return key & _U((1 << 54) - 1), count, (key >> _U(54)).astype(np.int64)
 
 
+def items_of(element: np.ndarray, count: np.ndarray, doc: np.ndarray, docs: int) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct 32-bit items (shingle and occurrence number) of all texts in order, and the first one of each text with the total last."""
+    nth = np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count, count)
+    item = mix(np.repeat(element, count) + nth.astype(_U) * _GOLDEN) >> _U(32)
+    key = np.unique((np.repeat(doc, count).astype(_U) << _U(32)) | item)
+    return key.astype(np.uint32), np.searchsorted(key >> _U(32), np.arange(docs + 1, dtype=_U))
+
+
 def sketch(df: DataFrame, text: str = "text", doc_id: str = "doc_id", k: int = 5, bands: int = 36, rows: int = 7) -> DataFrame:
-    """doc_id, node (md5 of the text), bands (array of band hashes; empty for texts without words)."""
+    """doc_id, node (md5 of the text), bands (array of band hashes; empty for texts without words), items and n (their number)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, data, offsets in slices(batches, "text", max_rows=1000):
@@ -97,29 +108,18 @@ def sketch(df: DataFrame, text: str = "text", doc_id: str = "doc_id", k: int = 5
             full = np.bincount(doc, minlength=batch.num_rows) > 0
             node = [hashlib.md5(x).digest() for x in texts_of(data, offsets)]
             lists = pa.ListArray.from_arrays(np.concatenate([[0], np.cumsum(full * bands)]).astype(np.int32), pa.array(band[full].ravel()))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(node, pa.binary()), lists], ["doc_id", "node", "bands"])
+            item, bound = items_of(element, weight, doc, batch.num_rows)
+            packed = pa.Array.from_buffers(pa.binary(), batch.num_rows, [None, pa.py_buffer((bound * 4).astype(np.int32)), pa.py_buffer(item)])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(node, pa.binary()), lists, packed, pa.array(np.diff(bound).astype(np.int64))], ["doc_id", "node", "bands", "items", "n"])
 
-    return df.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(run, "doc_id long, node binary, bands array<long>")
+    rows_ = df.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    return rows_.mapInArrow(run, "doc_id long, node binary, bands array<long>, items binary, n long")
 
 
-def _sets(df: DataFrame, k: int) -> DataFrame:
-    """node, items (sorted 32-bit hashes of shingle and occurrence number: a multiset as a set), n."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, data, offsets in slices(batches, "text", max_rows=1000):
-            element, count, doc = multisets(data, offsets, k)
-            nth = np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count, count)
-            item = mix(np.repeat(element, count) + nth.astype(_U) * _GOLDEN) >> _U(32)
-            owner = np.repeat(doc, count)
-            key = np.sort((owner.astype(_U) << _U(32)) | item)
-            bound = np.searchsorted(key >> _U(32), np.arange(batch.num_rows + 1, dtype=_U))
-            low = key.astype(np.uint32)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([low[a:b].tobytes() for a, b in zip(bound[:-1], bound[1:], strict=True)], pa.binary()), pa.array(np.diff(bound).astype(np.int64))],
-                ["node", "items", "n"],
-            )
-
-    return df.select("node", "text").mapInArrow(run, "node binary, items binary, n long")
+def overlap(x: np.ndarray, y: np.ndarray) -> int:
+    both = np.concatenate([x, y])
+    both.sort(kind="stable")
+    return int((both[1:] == both[:-1]).sum())
 
 
 def _similar(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
@@ -127,129 +127,124 @@ def _similar(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            a, b, left, right = (batch.column(i).to_pylist() for i in range(4))
             keep = np.zeros(batch.num_rows, bool)
-            for i, (x, y) in enumerate(zip(left, right, strict=True)):
+            for i, (x, y) in enumerate(zip(*(batch.column(c).to_pylist() for c in (2, 3)), strict=True)):
                 x, y = np.frombuffer(x, np.uint32), np.frombuffer(y, np.uint32)
-                both = np.concatenate([x, y])
-                both.sort(kind="stable")
-                shared = int((both[1:] == both[:-1]).sum())
-                keep[i] = shared >= threshold * (len(both) - shared) - 1e-9
-            yield pa.RecordBatch.from_arrays([pa.array(x, pa.binary()).filter(pa.array(keep)) for x in (a, b)], ["a", "b"])
-
-    left = sets.select(F.col("node").alias("a"), F.col("items").alias("left"), F.col("n").alias("left_n"))
-    right = sets.select(F.col("node").alias("b"), F.col("items").alias("right"), F.col("n").alias("right_n"))
-    close = pairs.join(right, "b").join(left, "a").filter(F.least("left_n", "right_n") >= threshold * F.greatest("left_n", "right_n"))
-    return close.select("a", "b", "left", "right").mapInArrow(run, "a binary, b binary")
-
+                shared = overlap(x, y)
+                keep[i] = shared >= threshold * (len(x) + len(y) - shared) - 1e-9
+            yield pa.RecordBatch.from_arrays([batch.column(i).filter(pa.array(keep)) for i in (0, 1)], ["a", "b"])
 
-def _block_links(entries: DataFrame, sets: DataFrame, threshold: float, block: int = 256) -> DataFrame:
-    """Links between different parts of the same bucket, for crowded buckets (band, node, part).
-
-    A bucket's documents are dealt to blocks of about `block`; two blocks at a time meet in a task that counts all
-    overlaps by a product of incidence matrices. Only links come out, never the pairs that were compared.
+    left = sets.select(F.col("id").alias("a"), F.col("items").alias("left"), F.col("n").alias("left_n"))
+    right = sets.select(F.col("id").alias("b"), F.col("items").alias("right"), F.col("n").alias("right_n"))
+    close = pairs.join(right, "b").join(left, "a").filter(F.least("left_n", "right_n") >= threshold * F.greatest("left_n", "right_n"))
+    return close.select("a", "b", "left", "right").mapInArrow(run, "a long, b long")
+
+
+def near(left: list[np.ndarray], right: list[np.ndarray], threshold: float) -> np.ndarray:
+    """Which of the left sets are similar to which of the right ones: by a product of incidence matrices unless there are few."""
+    a, b = (np.array([len(x) for x in side], np.float64) for side in (left, right))
+    fits = np.minimum(a[:, None], b[None, :]) >= threshold * np.maximum(a[:, None], b[None, :])
+    shared = np.zeros(fits.shape)
+    if fits.sum() <= 64:
+        for i, j in zip(*np.nonzero(fits), strict=True):
+            shared[i, j] = overlap(left[i], right[j])
+    else:
+        value, times = np.unique(np.concatenate(left + right), return_counts=True)
+        value = value[times > 1]
+        places = []
+        for side in (left, right):
+            owner, item = np.repeat(np.arange(len(side)), [len(x) for x in side]), np.concatenate(side)
+            at = np.minimum(np.searchsorted(value, item), max(len(value) - 1, 0))
+            hit = value[at] == item if len(value) else np.zeros(len(item), bool)
+            order = np.argsort(at[hit], kind="stable")
+            places.append((owner[hit][order], at[hit][order]))
+        for low in range(0, len(value), 4096):
+            ones = []
+            for (owner, at), side in zip(places, (left, right), strict=True):
+                part = slice(*np.searchsorted(at, [low, low + 4096]))
+                ones.append(np.zeros((len(side), 4096), np.float32))
+                ones[-1][owner[part], at[part] - low] = 1
+            shared += ones[0] @ ones[1].T
+    return fits & (shared >= threshold * (a[:, None] + b[None, :] - shared) - 1e-9)
+
+
+def _part_links(open_: DataFrame, sets: DataFrame, threshold: float, block: int = 256) -> DataFrame:
+    """Links (a, b) between the parts of buckets that hold several, given as band, id, part, main, size, away (from main).
+
+    Strays (documents outside a bucket's main part) are compared with every document of the bucket in another part. A
+    bucket's strays and its documents are dealt to blocks of about `block`, and each task has one block of either kind
+    at a time, so a bucket of any size is spread over many tasks. Only links of parts come out, never what was compared.
     """
 
-    def run(frame: pd.DataFrame) -> pd.DataFrame:
-        items = [np.frombuffer(x, np.uint32) for x in frame["items"]]
-        size = np.array([len(x) for x in items], np.float32)
-        value, column, times = np.unique(np.concatenate(items), return_inverse=True, return_counts=True)
-        owner = np.repeat(np.arange(len(items)), [len(x) for x in items])
-        place = np.cumsum(times > 1) - 1  # columns of the items that two documents have
-        owner, column = owner[times[column] > 1], place[column[times[column] > 1]]
-        shared = np.zeros((len(items), len(items)), np.float32)
-        order = np.argsort(column, kind="stable")
-        owner, column = owner[order], column[order]
-        for low in range(0, int(column[-1]) + 1 if len(column) else 0, 4096):
-            part = slice(*np.searchsorted(column, [low, low + 4096]))
-            matrix = np.zeros((len(items), 4096), np.float32)
-            matrix[owner[part], column[part] - low] = 1
-            shared += matrix @ matrix.T
-        near = shared >= threshold * (size[:, None] + size[None, :] - shared) - 1e-4
-        kind = pd.factorize(frame["part"])[0]
-        x, y = np.nonzero(np.triu(near & (kind[:, None] != kind[None, :])))
-        node = frame["node"].to_numpy()
-        return pd.DataFrame({"a": [min(node[i], node[j]) for i, j in zip(x, y, strict=True)], "b": [max(node[i], node[j]) for i, j in zip(x, y, strict=True)]})
-
-    blocks = entries.groupBy("band").agg(F.ceil(F.count("*") / block).alias("blocks"))
-    dealt = entries.select("band", "node", "part").join(blocks, "band").withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")))
-    dealt = dealt.withColumn("with", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-    dealt = dealt.select("band", F.least("own", "with").alias("i"), F.greatest("own", "with").alias("j"), "node", "part")
-    return dealt.join(sets.select("node", "items"), "node").groupBy("band", "i", "j").applyInPandas(run, "a binary, b binary")
-
-
-def _shared_items(nodes: DataFrame, sets: DataFrame) -> DataFrame:
-    """node, n (items of its multiset), shared (those that another one of the nodes has too)."""
+    def links_of(band: list[tuple]) -> Iterator[tuple[int, int]]:
+        stray = [r for r in band if r[0]]
+        other = [r for r in band if not r[0]]
+        if not stray or not other:
+            return
+        key, part, main = (np.array([r[i] for r in other]) for i in (1, 2, 3))
+        met = near([r[4] for r in stray], [r[4] for r in other], threshold)
+        for i, (_, id_, own, _, _) in enumerate(stray):
+            hits = met[i] & (part != own) & ((part == main) | (key > id_))  # two strays meet twice; one way is enough
+            for p in np.unique(part[hits]).tolist():
+                yield (own, p)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """One row for each item of a batch, with its occurrences: what many copies share is combined before the shuffle."""
+        held: list[tuple] = []
+        at, out = None, set()
         for batch in batches:
-            items = [np.frombuffer(x, np.int32) for x in batch.column(1).to_pylist()]
-            value, first, times = np.unique(np.concatenate(items), return_index=True, return_counts=True)
-            owner = np.repeat(np.arange(batch.num_rows), [len(x) for x in items])[first]
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(owner)), pa.array(value), pa.array(times, pa.int64())], ["node", "item", "times"])
-
-    own = sets.join(nodes, "node").select("node", "items", "n")
-    rows = own.select("node", "items").mapInArrow(run, "node binary, item int, times long")
-    lone = rows.groupBy("item").agg(F.sum("times").alias("times"), F.min("node").alias("node")).filter("times = 1").groupBy("node").agg(F.count("*").alias("lone"))
-    return own.select("node", "n").join(lone, "node", "left").select("node", "n", (F.col("n") - F.coalesce("lone", F.lit(0))).alias("shared"))
-
-
-def _open_buckets(entries: DataFrame, links: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Components of the links, and the entries (band, node, part, main, size) of buckets that hold several of them."""
-    labels = components(links)
-    named = entries.join(labels, "node", "left").select("band", "node", F.coalesce("component", "node").alias("part"))
-    counts = named.groupBy("band", "part").agg(F.count("*").alias("n"))
-    mixed = counts.groupBy("band").agg(F.count("*").alias("parts"), F.max_by("part", F.struct("n", "part")).alias("main"), F.sum("n").alias("size")).filter("parts > 1")
-    return labels, written(named.join(mixed.select("band", "main", "size"), "band"), "near-open")
-
-
-def near_duplicate_classes(df: DataFrame, text: str = "text", doc_id: str = "doc_id", k: int = 5, threshold: float = 0.8, bands: int = 36, rows: int = 7, crowd: int = 16) -> DataFrame:
-    """doc_id, class_id, class_size, is_kept: one row for each row of df.
-
-    36 bands of 7 components meet two documents of similarity 0.8 with probability 0.9998. In a bucket every document
-    is checked against the bucket's first one; then, only in buckets that still hold several components, documents
-    outside the bucket's main component are checked, against a random one of it first, then against all of other
-    components. In buckets of over `crowd` documents, a document is passed over if it can't have a link (similarity s
-    needs an overlap of s / (1 + s) of both sizes, and no overlap exceeds what a document shares with any other of these
-    documents), and the rest is compared in blocks. No candidate pair between components is left out.
+            columns = [batch.column(i).to_pylist() for i in range(8)]
+            for band, i, j, stray, id_, part, main, items in zip(*columns, strict=True):
+                if (band, i, j) != at:
+                    out.update(links_of(held))
+                    at, held = (band, i, j), []
+                held.append((stray, id_, part, main, np.frombuffer(items, np.uint32)))
+            if len(out) >= 10_000:
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out, strict=True)], ["a", "b"])
+                out = set()
+        out.update(links_of(held))
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out, strict=True)], ["a", "b"])
+
+    rows = open_.withColumns({"others": F.ceil(F.col("size") / block), "strays": F.ceil(F.col("away") / block)})
+    own = lambda n: F.pmod(F.xxhash64("id"), F.col(n))
+    every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
+    stray = rows.filter("part <> main").select("band", own("strays").alias("i"), every("others").alias("j"), F.lit(True).alias("stray"), "id", "part", "main")
+    other = rows.select("band", every("strays").alias("i"), own("others").alias("j"), F.lit(False).alias("stray"), "id", "part", "main")
+    dealt = stray.unionByName(other).join(sets.select("id", "items"), "id").select("band", "i", "j", "stray", "id", "part", "main", "items")
+    return dealt.repartition("band", "i", "j").sortWithinPartitions("band", "i", "j").mapInArrow(run, "a long, b long")
+
+
+def near_duplicate_classes(df: DataFrame, text: str = "text", doc_id: str = "doc_id", k: int = 5, threshold: float = 0.8, bands: int = 36, rows: int = 7) -> DataFrame:
+    """doc_id, class_id, class_size, is_kept, node: one row for each row of df.
+
+    36 bands of 7 components meet two documents of similarity 0.8 with probability 0.9998. Equal texts are one from the
+    start. In a bucket, every text is checked against the bucket's most central one (the one with most company in all its
+    buckets), which joins most of them; then, in buckets that still hold several components, all texts outside the main
+    component are checked against those of other components. No candidate pair between components is left out, and
+    which way a pair was compared doesn't depend on the bucket's size.
     """
     docs = written(sketch(df, text, doc_id, k, bands, rows).withColumn("row", F.monotonically_increasing_id()), "near-sketch")
-    every = docs.select(F.explode("bands").alias("band"), "node")
-    buckets = every.groupBy("band").agg(F.min("node").alias("lead"), F.max("node").alias("last")).filter("lead < last").select("band", "lead")
-    entries = written(every.join(buckets, "band").distinct(), "near-buckets")
-    wanted = entries.select("node").distinct().join(docs.groupBy("node").agg(F.coalesce(F.min("doc_id"), F.lit(-1)).alias("rid")), "node")
-    texts = df.select(F.coalesce(F.col(doc_id).cast("long"), F.lit(-1)).alias("rid"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    texts = texts.withColumn("node", F.unhex(F.md5("text"))).join(wanted, ["rid", "node"]).select("node", "text").dropDuplicates(["node"])
-    sets = written(_sets(texts, k), "near-sets")
-
-    tested = entries.filter("node <> lead").select(F.col("lead").alias("a"), F.col("node").alias("b")).distinct()
-    links = written(_similar(tested, sets, threshold), "near-links")
-    for salt in range(2):
-        # parts of one component that the first documents didn't join: strays against a random member of the main part
-        labels, open_ = _open_buckets(entries, links)
-        guide = open_.filter("part = main").groupBy("band").agg(F.min_by("node", F.xxhash64("node", "band", F.lit(salt))).alias("guide"))
-        tries = open_.filter("part <> main").join(guide, "band").select(F.least("node", "guide").alias("a"), F.greatest("node", "guide").alias("b")).distinct()
-        tries = written(tries.join(tested, ["a", "b"], "left_anti"), "near-tries")
-        tested = tested.unionByName(tries)
-        links = links.unionByName(written(_similar(tries, sets, threshold), "near-links"))
-    labels, open_ = _open_buckets(entries, links)
-    room = _shared_items(open_.filter(F.col("size") > crowd).select("node").distinct(), sets)
-    able = open_.join(room, "node", "left").withColumn("n", F.col("n").cast("double"))
-    least = able.groupBy("band").agg(F.min("n").alias("least"))
-    share = threshold / (1 + threshold)
-    fits = F.col("n").isNull() | (F.col("shared") >= share * (F.col("n") + F.greatest("least", threshold * F.col("n"))) - 1e-9)
-    able = written(able.join(least, "band").filter(fits), "near-able")
-    few, many = able.filter(F.col("size") <= crowd), able.filter(F.col("size") > crowd)
-    stray = few.filter("part <> main").select("band", F.col("node").alias("x"), F.col("part").alias("x_part"))
-    other = few.select("band", F.col("node").alias("y"), F.col("part").alias("y_part"), "main")
-    met = stray.join(other, "band").filter("x_part <> y_part and (y_part = main or x < y)")
-    pairs = met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct().join(tested, ["a", "b"], "left_anti")
-    links = links.unionByName(written(_similar(pairs, sets, threshold).unionByName(_block_links(many, sets, threshold)), "near-links"))
-    labels = components(links)
-
-    nodes = docs.groupBy("node").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")).alias("first"), F.count("*").alias("n"))
-    named = nodes.join(labels, "node", "left").withColumn("part", F.coalesce("component", "node"))
-    classes = named.groupBy("part").agg(F.min("first").alias("first"), F.sum("n").alias("class_size"))
-    member = named.select("node", "part").join(classes, "part").select("node", F.col("first.doc_id").alias("class_id"), F.col("first.row").alias("kept_row"), "class_size")
+    lead = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")).alias("lead")
+    nodes = docs.groupBy("node").agg(F.min(F.struct("row", "bands")).alias("first"), lead, F.count("*").alias("copies"))
+    nodes = written(nodes.select("node", F.col("first.row").alias("id"), F.col("first.bands").alias("bands"), "lead", "copies"), "near-texts")
+    every = nodes.select(F.explode("bands").alias("band"), "id")
+    buckets = every.groupBy("band").agg(F.count("*").alias("size")).filter("size > 1")
+    entries = written(every.join(buckets, "band"), "near-buckets")
+    listed = entries.select("id").distinct().hint("merge")  # the same plan at every size
+    sets = written(docs.select(F.col("row").alias("id"), "items", "n").join(listed, "id"), "near-sets")
+
+    company = entries.groupBy("id").agg(F.sum("size").alias("company"))
+    central = entries.join(company, "id").groupBy("band").agg(F.max(F.struct("company", "id")).alias("c")).select("band", F.col("c.id").alias("a"))
+    tries = entries.join(central, "band").filter("id <> a").select("a", F.col("id").alias("b")).distinct()
+    parts = written(components(_similar(tries, sets, threshold)), "near-parts")
+    named = entries.join(parts.withColumnRenamed("node", "id"), "id", "left").select("band", "id", F.coalesce("component", "id").alias("part"))
+    counts = named.groupBy("band", "part").agg(F.count("*").alias("n")).groupBy("band").agg(F.sum("n").alias("size"), F.max(F.struct("n", "part")).alias("m"))
+    mixed = counts.filter("size > m.n").select("band", F.col("m.part").alias("main"), "size", (F.col("size") - F.col("m.n")).alias("away"))
+    open_ = written(named.join(mixed, "band"), "near-open")
+    merged = components(_part_links(open_, sets, threshold)).select(F.col("node").alias("part"), F.col("component").alias("whole"))
+
+    labels = nodes.select("node", "id", "lead", "copies").join(parts.withColumnRenamed("node", "id"), "id", "left").withColumn("part", F.coalesce("component", "id"))
+    labels = labels.join(merged, "part", "left").select("node", "lead", "copies", F.coalesce("whole", "part").alias("class"))
+    classes = labels.groupBy("class").agg(F.min("lead").alias("first"), F.sum("copies").alias("class_size"))
+    member = labels.select("node", "class").join(classes, "class").select("node", F.col("first.doc_id").alias("class_id"), F.col("first.row").alias("kept_row"), "class_size")
     return docs.select("doc_id", "node", "row").join(member, "node").select("doc_id", "class_id", "class_size", (F.col("row") == F.col("kept_row")).alias("is_kept"), "node")

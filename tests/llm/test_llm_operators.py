@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from millrace.llm import queries as Q
 from millrace.llm.decontamination import BenchmarkIndex, contaminated_regions, decontaminate
-from millrace.llm.fuzzy_passages import align, chains, fuzzy_passages, stretches
+from millrace.llm.fuzzy_passages import aligned, chains, fuzzy_passages, stretches
 from millrace.llm.kd_shards import kd_shards
 from millrace.llm.media_source import ArchiveReader, from_image, media_columns, read_archives, to_image, write_archives
 from millrace.llm.near_dedup import bag_min_hash, near_duplicate_classes
@@ -104,29 +104,41 @@ def test_near_classes_of_odd_rows(odd, none):
     assert near_duplicate_classes(none).count() == 0
 
 
-def test_shared_items_count_what_others_have(spark):
-    from millrace.llm.near_dedup import _shared_items
-
-    rnd = random.Random(7)
-    bags = {bytes([i]): sorted(rnd.sample(range(60), rnd.randrange(1, 9))) for i in range(20)}
-    sets = spark.createDataFrame([(bytearray(k), bytearray(np.array(v, np.int32).tobytes()), len(v)) for k, v in bags.items()], "node binary, items binary, n long").repartition(3)
-    have = Counter(x for v in bags.values() for x in v)
-    got = {bytes(r["node"]): (r["n"], r["shared"]) for r in _shared_items(sets.select("node"), sets).collect()}
-    assert got == {k: (len(v), sum(have[x] > 1 for x in v)) for k, v in bags.items()}
-
-
-def test_block_links_equal_all_pairs(spark):
-    from millrace.llm.near_dedup import _block_links
+def test_part_links_equal_all_pairs(spark):
+    """One bucket in several parts, with blocks that are smaller, about as large, and larger than it."""
+    from millrace.llm.near_dedup import _part_links
 
     rnd = random.Random(11)
     bags = {}
     for i in range(60):
         base = list(range(100 * (i % 3), 100 * (i % 3) + 40))
-        bags[bytes([i])] = sorted({x if rnd.random() > 0.06 else 10_000 + rnd.randrange(10**6) for x in base})
-    sets = spark.createDataFrame([(bytearray(k), bytearray(np.array(v, np.uint32).tobytes()), len(v)) for k, v in bags.items()], "node binary, items binary, n long")
-    entries = spark.createDataFrame([(1, bytearray(k), bytearray(bytes([k[0] % 7]))) for k in bags], "band long, node binary, part binary")
-    want = {(a, b) for a in bags for b in bags if a < b and a[0] % 7 != b[0] % 7 and len(set(bags[a]) & set(bags[b])) >= 0.8 * len(set(bags[a]) | set(bags[b]))}
-    assert want and {(bytes(r["a"]), bytes(r["b"])) for r in _block_links(entries, sets, 0.8, 16).collect()} == want
+        bags[i] = sorted({x if rnd.random() > 0.06 else 10_000 + rnd.randrange(10**6) for x in base})
+    sets = spark.createDataFrame([(k, bytearray(np.array(v, np.uint32).tobytes())) for k, v in bags.items()], "id long, items binary")
+    open_ = spark.createDataFrame([(1, k, 100 + k % 7, 103) for k in bags] + [(2, k, 100 + k % 7, 100 + k % 5) for k in range(3)], "band long, id long, part long, main long")
+    open_ = open_.join(open_.groupBy("band").agg(F.count("*").alias("size"), F.count_if(F.col("part") != F.col("main")).alias("away")), "band")
+    alike = {(a, b) for a in bags for b in bags if a < b and a % 7 != b % 7 and len(set(bags[a]) & set(bags[b])) >= 0.8 * len(set(bags[a]) | set(bags[b]))}
+    want = {frozenset((100 + a % 7, 100 + b % 7)) for a, b in alike}
+    assert want
+    for block in (2, 16, 256):
+        assert {frozenset((r["a"], r["b"])) for r in _part_links(open_, sets, 0.8, block).collect()} == want
+
+
+def test_components_equal_union_find(spark):
+    from millrace.llm._components import components
+
+    rnd = random.Random(2)
+    links = [(i, i + 1) for i in range(40)] + [(100, 101 + i) for i in range(30)] + [(rnd.randrange(200, 300), rnd.randrange(200, 300)) for _ in range(60)] + [(500, 500), (41, 40)]
+    whole = {x: {x} for link in links for x in link if link[0] != link[1]}
+    for a, b in links:
+        if a != b and whole[a] is not whole[b]:
+            whole[a] |= whole[b]
+            for x in whole[b]:
+                whole[x] = whole[a]
+    got = defaultdict(set)
+    for r in components(spark.createDataFrame(links, "a long, b long")).collect():
+        got[r["component"]].add(r["node"])
+    assert sorted(map(sorted, got.values())) == sorted({tuple(sorted(v)): sorted(v) for v in whole.values()}.values())
+    assert components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
 def test_signatures_estimate_weighted_similarity():
@@ -456,26 +468,40 @@ def longest_stretches(x, y):
     return longest_stretches(x[:i], y[:i]) + [(x[i], x[j], y[i], y[j])] + longest_stretches(x[j + 1 :], y[j + 1 :])
 
 
-def most_equal(a, b):
-    """Length of the longest common subsequence."""
-    row = [0] * (len(b) + 1)
-    for v in a:
-        last = 0
-        for j, w in enumerate(b):
-            last, row[j + 1] = row[j + 1], max(row[j + 1], row[j], last + (v == w))
-    return row[-1]
-
-
 def test_stretches_equal_brute_force():
     rnd = random.Random(4)
     for _ in range(60):
         shares = [rnd.choice((0.2, 0.6, 0.8, 0.9, 1)) for _ in range(3)]
-        a = [f"w{i}" for i in range(150)]
-        b = [w if rnd.random() < shares[i // 50] else "changed" for i, w in enumerate(a) if rnd.random() < 0.99]
-        to = align([np.array([hash(w) & 0xFFFFFF for w in a])], [np.array([hash(w) & 0xFFFFFF for w in b])], np.array([0]))[0]
-        x = np.flatnonzero(to >= 0)
-        assert len(x) == most_equal(a, b)
-        assert [(x[i], x[j], to[x[i]], to[x[j]]) for i, j in stretches(x, to[x])] == longest_stretches(x.tolist(), to[x].tolist())
+        pairs = [(i, i + i // 40) for i in range(150) if rnd.random() < shares[i // 50]]
+        x, y = np.array(pairs).T
+        assert [(x[i], x[j], y[i], y[j]) for i, j in stretches(x, y)] == longest_stretches(x.tolist(), y.tolist())
+
+
+def test_alignment_of_a_chain_finds_the_most_equal_words():
+    """Anchors of four words with substitutions, insertions and deletions between them, against the longest common subsequence."""
+    rnd = random.Random(4)
+
+    def most_equal(a, b):
+        row = [0] * (len(b) + 1)
+        for v in a:
+            last = 0
+            for j, w in enumerate(b):
+                last, row[j + 1] = row[j + 1], max(row[j + 1], row[j], last + (v == w))
+        return row[-1]
+
+    for _ in range(80):
+        a, b, x, y = [], [], [], []
+        for _ in range(rnd.randrange(1, 8)):
+            x.append(len(a))
+            y.append(len(b))
+            block = [rnd.randrange(10**6) for _ in range(4 + rnd.randrange(12))]
+            a += block
+            b += block[:4] + [w if rnd.random() < 0.8 else -5 - len(b) - i for i, w in enumerate(block[4:])]
+            kind = rnd.randrange(3)
+            (a if kind == 1 else b).extend(rnd.randrange(10**6, 2 * 10**6) for _ in range(rnd.randrange(6) if kind else 0))
+        u, v = aligned(np.array(x), np.array(y), np.array(a, np.int64), np.array(b, np.int64))
+        assert all(np.diff(u) > 0) and all(np.diff(v) > 0) and all(a[i] == b[j] for i, j in zip(u, v, strict=True))
+        assert len(u) == most_equal(a, b)
 
 
 def test_two_passages_of_a_pair_are_both_found(spark):
@@ -538,11 +564,11 @@ def test_edited_passages_are_found(spark):
 
 
 def test_chains_pass_over_gaps_in_order():
-    x = np.array([0, 10, 20, 200, 30, 5])
-    y = np.array([100, 110, 120, 50, 131, 300])
-    best = chains(x, y)[0]
-    assert best == (0, 30, 100, 131, 4)
-    assert sum(c[4] for c in chains(x, y)) == 6
+    x = np.array([0, 5, 10, 20, 30, 200])
+    y = np.array([100, 300, 110, 120, 131, 50])
+    found = chains(x, y)
+    assert found[0].tolist() == [0, 2, 3, 4] and sorted(np.concatenate(found)) == list(range(6))
+    assert chains(np.array([3, 9, 40]), np.array([13, 19, 50]))[0].tolist() == [0, 1, 2]
 
 
 # shards
