@@ -9,7 +9,7 @@ them. Bands with enough shared q-grams are aligned, within the band only, and ke
 The benchmark is the stated query set: it is taken in blocks of at most 4 MB, each sent to all tasks, and every block
 meets every document; a block's size is fixed, the number of passes grows with the benchmark.
 
-Defined results: null texts and items are empty; an item shorter than q must occur as it is; an empty item matches
+Defined results: null texts and items are empty; a null item_id is kept; an item shorter than q must occur as it is; an empty item matches
 nothing; repeated rows give repeated results; an empty table gives an empty result; further columns are ignored.
 """
 
@@ -44,11 +44,12 @@ def _grams(plain: np.ndarray) -> np.ndarray:
 class BenchmarkIndex:
     """The q-grams of the windows of one block of items."""
 
-    def __init__(self, items: list[tuple[int, str]]) -> None:
+    def __init__(self, items: list[tuple[int | None, str | None]]) -> None:
         self.windows: list[np.ndarray] = []
+        self.ids = [item for item, _ in items]  # any, also null or repeated; inside, an item is known by its number
         self.item: list[int] = []
         self.short: list[tuple[int, bytes]] = []
-        for item, text in items:
+        for item, (_, text) in enumerate(items):
             plain = _PLAIN[np.frombuffer((text or "").strip().encode(), np.uint8)]
             if len(plain) < Q:
                 self.short += [(item, plain.tobytes())] if len(plain) else []
@@ -124,7 +125,7 @@ class BenchmarkIndex:
                 merged[-1] = (d, item, a, max(b, region[3]), max(e, region[4]))
             else:
                 merged.append(region)
-        return merged
+        return [(d, self.ids[item], a, b, e) for d, item, a, b, e in merged]
 
     def _align(self, plain: np.ndarray, offsets: np.ndarray, doc: np.ndarray, window: np.ndarray, low: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Least edits of each window against its document within diagonals low to low + 2k + 2, and where that begins and ends."""
