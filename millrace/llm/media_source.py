@@ -4,14 +4,17 @@
 spaces to a positive multiple of 192) and stores the images uncompressed in ZIP archives of about 32 MB in the shared
 folder. `spark.read.format("millrace_archive")` plans a partition for each byte range of each archive; a partition
 reads the members whose header lies in its range, streams them as Arrow batches of at most 8 MB, and opens a member
-again at its own offset when reading it fails, so one bad read costs one member and not its partition. The planner
-needs file names and sizes only; an archive's directory is read by the tasks.
+again at its own offset when reading it fails, so one bad read costs one member and not its partition. A member that
+fails four times ends the job, or with the option damaged = null gives a row with null media and the reason in `error`.
+The planner reads names and sizes from the table of names, a file of it at a time, and a task gets its own range only; an
+archive's directory is read by the tasks.
 
 Archives are named after the task attempt that writes them and a table of names is written by Spark, so archives of
 failed or repeated attempts are never read.
 
 Defined results: a null text counts as empty and gives one row of spaces; null doc_ids and repeated rows keep their
-rows; an empty table gives no archive and an empty result; further columns are ignored.
+rows; an empty table gives no archive and an empty result; further columns are ignored. A store must be one that
+both Hadoop and Arrow know (file, hdfs, s3a, gs).
 """
 
 from __future__ import annotations
@@ -28,6 +31,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -66,14 +70,37 @@ def from_image(image: bytes) -> bytes:
     return np.frombuffer(zlib.decompress(lines), np.uint8).reshape(-1, ROW + 1)[:, 1:].tobytes()
 
 
+#: What Hadoop calls a store, and what Arrow calls it.
+SCHEMES = {"s3a": "s3", "s3n": "s3"}
+
+
 def _store(folder: str) -> tuple[fs.FileSystem, str]:
-    return fs.FileSystem.from_uri(folder) if "://" in folder or folder.startswith("file:") else (fs.LocalFileSystem(), folder)
+    scheme, mark, rest = folder.partition(":")
+    return fs.FileSystem.from_uri(SCHEMES.get(scheme, scheme) + mark + rest)
+
+
+def _qualified(spark: SparkSession, folder: str) -> str:
+    """folder with its scheme; one without is in Hadoop's default file system, as for Spark's own readers."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(where).toString().replace("file:/", "file:///", 1)
+
+
+def _again(action, failures: tuple, pause: float = 0.1):  # noqa: ANN001, ANN202
+    """action(), up to TRIES times."""
+    for attempt in range(TRIES):
+        try:
+            return action()
+        except failures:
+            if attempt == TRIES - 1:
+                raise
+            time.sleep(pause * 2**attempt)
+    raise AssertionError
 
 
 def write_archives(df: DataFrame, text: str = "text", doc_id: str = "doc_id") -> str:
     """Write the archives of df's texts; returns the folder of the table of their names."""
     spark = df.sparkSession
-    folder = fresh_path(spark, "archives")
+    folder = _qualified(spark, fresh_path(spark, "archives"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, base = _store(folder)
@@ -112,14 +139,22 @@ class ByteRange(InputPartition):
 
 
 class ArchiveReader(DataSourceReader):
-    """Reads members (doc_id, n_bytes, media) of the archives named in the option `names`, a JSON list of [path, bytes]."""
+    """Reads members (doc_id, n_bytes, media, error) of the archives in the table of names at the option `names`."""
 
     def __init__(self, options: dict) -> None:
-        self.archives = json.loads(options["names"])
+        self.names = options["names"]
         self.range_bytes = int(options.get("range_bytes", RANGE_BYTES))
+        self.keep_damaged = options.get("damaged", "fail") == "null"
 
     def partitions(self) -> list[ByteRange]:
-        return [ByteRange(path, at, at + self.range_bytes) for path, size in self.archives for at in range(0, size, self.range_bytes)] or [ByteRange("", 0, 0)]
+        store, base = _store(self.names)
+        files = [f.path for f in store.get_file_info(fs.FileSelector(base)) if f.path.endswith(".parquet")]
+        found = []
+        for file in files:
+            listed = pq.read_table(file, columns=["name", "bytes"], filesystem=store)
+            for path, size in zip(listed["name"].to_pylist(), listed["bytes"].to_pylist(), strict=True):
+                found += [ByteRange(path, at, at + self.range_bytes) for at in range(0, size, self.range_bytes)]
+        return found or [ByteRange("", 0, 0)]
 
     def read(self, partition: ByteRange) -> Iterator[pa.RecordBatch]:
         if not partition.path:
@@ -127,28 +162,38 @@ class ArchiveReader(DataSourceReader):
         folder, name = partition.path.rsplit("/", 1)
         store, base = _store(folder)
         path = f"{base}/{name}"
-        with store.open_input_file(path) as whole, zipfile.ZipFile(whole) as directory:
-            members = [m for m in directory.infolist() if partition.start <= m.header_offset < partition.stop]
+
+        def directory() -> list[zipfile.ZipInfo]:
+            with store.open_input_file(path) as whole, zipfile.ZipFile(whole) as listed:
+                return listed.infolist()
+
+        members = [m for m in _again(directory, (OSError, ValueError, zipfile.BadZipFile)) if partition.start <= m.header_offset < partition.stop]
         out: list[tuple] = []
         held, handle = 0, None
+
+        def media_of(member: zipfile.ZipInfo) -> bytes:
+            nonlocal handle
+            try:
+                if handle is None:
+                    handle = store.open_input_file(path)
+                return self.member(handle, member)
+            except (OSError, ValueError):
+                if handle is not None:
+                    handle.close()
+                    handle = None
+                raise
+
         try:
             for member in members:
-                for attempt in range(TRIES):
-                    try:
-                        if handle is None:
-                            handle = store.open_input_file(path)
-                        media = self.member(handle, member)
-                        break
-                    except (OSError, ValueError):
-                        if handle is not None:
-                            handle.close()
-                            handle = None
-                        if attempt == TRIES - 1:
-                            raise
-                        time.sleep(0.1 * 2**attempt)
-                tags = json.loads(member.comment)
-                out.append((tags["doc_id"], tags["n_bytes"], media))
-                held += len(media)
+                tags, error = json.loads(member.comment), None
+                try:
+                    media = _again(lambda member=member: media_of(member), (OSError, ValueError))
+                except (OSError, ValueError) as failure:
+                    if not self.keep_damaged:
+                        raise
+                    media, error = None, f"{member.filename} at {member.header_offset}: {failure}"
+                out.append((tags["doc_id"], tags["n_bytes"], media, error))
+                held += len(media or b"")
                 if held >= BATCH_BYTES or len(out) >= 2000:
                     yield self.batch(out)
                     out, held = [], 0
@@ -174,8 +219,8 @@ class ArchiveReader(DataSourceReader):
 
     @staticmethod
     def batch(rows: list[tuple]) -> pa.RecordBatch:
-        keys, sizes, media = zip(*rows, strict=True)
-        return pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(sizes, pa.int64()), pa.array(media, pa.binary())], ["doc_id", "n_bytes", "media"])
+        kinds = (pa.int64(), pa.int64(), pa.binary(), pa.string())
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], ["doc_id", "n_bytes", "media", "error"])
 
 
 class ArchiveSource(DataSource):
@@ -184,17 +229,19 @@ class ArchiveSource(DataSource):
         return "millrace_archive"
 
     def schema(self) -> str:
-        return "doc_id long, n_bytes long, media binary"
+        return "doc_id long, n_bytes long, media binary, error string"
 
     def reader(self, schema) -> DataSourceReader:  # noqa: ANN001
         return ArchiveReader(self.options)
 
 
-def read_archives(spark: SparkSession, names: str, range_bytes: int = RANGE_BYTES) -> DataFrame:
-    """doc_id, n_bytes, media of all members of the archives named in a table of `write_archives`."""
+def read_archives(spark: SparkSession, names: str, range_bytes: int = RANGE_BYTES, damaged: str = "fail") -> DataFrame:
+    """doc_id, n_bytes, media, error of all members of the archives named in a table of `write_archives`.
+
+    damaged: what a member that can't be read does: "fail" ends the job, "null" gives a row with null media and the error.
+    """
     spark.dataSource.register(ArchiveSource)
-    listed = [[r["name"], r["bytes"]] for r in spark.read.parquet(names).toLocalIterator()]  # a name for each 32 MB of images
-    return spark.read.format("millrace_archive").option("names", json.dumps(listed)).option("range_bytes", range_bytes).load()
+    return spark.read.format("millrace_archive").option("names", names).option("range_bytes", range_bytes).option("damaged", damaged).load()
 
 
 def features_of(payload: bytes) -> str:
