@@ -150,13 +150,19 @@ def quality_scores(df: DataFrame, labels: DataFrame, text: str = "text", doc_id:
     return scored.select("doc_id", _held_out("doc_id").alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
-def keep_quality(df: DataFrame, labels: DataFrame, text: str = "text", doc_id: str = "doc_id", threshold: float = 0.5) -> DataFrame:
-    """The rows of df that score at least threshold, with their columns; texts don't leave their rows."""
-    model = df.sparkSession.sparkContext.broadcast(train(featured(df.join(labels.select(F.col("doc_id").alias("_l")).distinct(), F.col(doc_id) == F.col("_l"), "left_semi"), text, doc_id), labels))
-    names = df.columns
+def keep_quality(df: DataFrame, labels: DataFrame, text: str = "text", doc_id: str = "doc_id", threshold: float = 0.5, labelled: int = 200_000) -> DataFrame:
+    """The rows of df that score at least threshold, with their columns.
+
+    The classifier is fitted on a bounded sample: the `labelled` rows of labels whose doc_id has the least hashes. So their
+    ids can be sent to all tasks, and texts neither leave their rows nor are read twice but for the labelled ones.
+    """
+    sample = written(labels.select("doc_id", "quality").orderBy(F.xxhash64("doc_id")).limit(labelled), "quality-labels")
+    own = df.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    some = own.join(F.broadcast(sample.select("doc_id").distinct()), "doc_id", "left_semi")
+    model = df.sparkSession.sparkContext.broadcast(train(featured(some), sample))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, data, offsets in slices(batches, text):
             yield batch.filter(pa.array(model.value.score(statistics(data, offsets)) >= threshold))
 
-    return df.select(*names).mapInArrow(run, df.schema)
+    return df.mapInArrow(run, df.schema)
