@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from millrace.llm.decontamination import contaminated_regions
 from millrace.llm.fuzzy_passages import fuzzy_passages
 from millrace.llm import kd_shards as _kd
+from millrace.llm import secret_scan as _secrets
 from millrace.llm.kd_shards import kd_shards
 from millrace.llm.media_source import media_columns
 from millrace.llm.near_dedup import near_duplicate_classes
@@ -79,4 +80,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     )
 }
 #: Equivalents in DuckDB SQL; the other queries are tested against brute force.
-ORACLES: dict[str, str] = {"op10_kd_shards": _kd.oracle_sql(40)}
+ORACLES: dict[str, str] = {"op3_secret_scan": _secrets.oracle_sql(), "op10_kd_shards": _kd.oracle_sql(40)}

@@ -8,8 +8,9 @@ at most 200 characters away: an identifier or an endpoint needs a secret (assign
 an identifier (access or ident) or an endpoint. Candidates that overlap a strong span are not candidates.
 
 The scopes are an interval join: a part covers the 256-character bins that its span, widened by the scope, reaches; a
-candidate covers the bins of its own span; the semi-join on text and bin then tests the exact distance. So a text's
-parts are never paired with one another as a whole.
+candidate covers the bins of its own span; the semi-join on text and bin then tests the exact distance. Overlaps with
+strong spans are an anti-join of the same kind. So a text's parts are never paired with one another as a whole, and the
+work on a text grows with its length.
 
 Positions are code points, ends exclusive. Defined results: a null text counts as empty and has no spans; rows may
 repeat and doc_ids may be null, a row's result depends on its doc_id and text only; further columns are kept where
@@ -101,30 +102,35 @@ def find_secrets(df: DataFrame, text: str = "text", doc_id: str = "doc_id", keep
     raw = F.coalesce(F.col(text), F.lit(""))
     rows = df.select(F.col(doc_id).alias("_id"), raw.alias("_text"), F.xxhash64(raw).alias("_h1"), F.xxhash64(raw, F.lit(7)).alias("_h2"), F.struct(*(F.col(c) for c in keep)).alias("_kept") if keep else F.lit(None).alias("_kept"))
     rows = rows.select("_id", "_h1", "_h2", "_kept", *(_located(F.col("_text"), k).alias(k) for k in KINDS))
-    base = F.array_sort(F.concat(*KINDS[:STRONG]))
-    rows = rows.withColumn("base", base)
-    apart = lambda s: ~F.exists("base", lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"]))
-    rows = rows.withColumn("weak", F.when(F.size("ident") + F.size("endpoint") + F.size("opaque") > 0, F.filter(F.concat(*KINDS[STRONG:]), apart)).otherwise(F.col("ident")))
-    rows = written(rows.select("_id", "_h1", "_h2", *(["_kept"] if keep else []), "base", "weak"), "secret-spans")
+    rows = rows.select("_id", "_h1", "_h2", *(["_kept"] if keep else []), F.sort_array(F.concat(*KINDS[:STRONG])).alias("base"), F.concat(*KINDS[STRONG:]).alias("weak"))
+    rows = written(rows, "secret-spans")
 
     role = F.element_at(F.array(*(F.lit(ROLES[k]) for k in KINDS)), F.col("s.kind") + 1)
     key = ["_id", "_h1", "_h2"]
-    several = rows.filter(F.size("weak") + F.size(F.filter("base", lambda _: F.size("weak") > 0)) > 1)
+    lone = F.coalesce((F.size("weak") == 0) | (F.size("weak") + F.size("base") == 1), F.lit(True))
+    several = rows.filter(~lone)
     parts = several.select(*key, F.explode(F.concat("base", "weak")).alias("s")).withColumn("role", role).distinct()
-    wide = parts.select(*(F.col(k).alias(f"w{k}") for k in key), F.col("role").alias("w_role"), F.col("s.start").alias("w_start"), F.col("s.end").alias("w_end"))
-    wide = wide.withColumn("w_bin", F.explode(F.sequence(F.floor((F.col("w_start") - SCOPE) / BIN), F.floor((F.col("w_end") + SCOPE) / BIN))))
-    weak = parts.filter(F.col("s.kind") >= STRONG).withColumn("bin", F.explode(F.sequence(F.floor(F.col("s.start") / BIN), F.floor(F.col("s.end") / BIN))))
+    bins = lambda low, high: F.explode(F.sequence(F.floor(low / BIN), F.floor(high / BIN)))
+    strong = parts.filter(F.col("s.kind") < STRONG)
+    taken = strong.select(*(F.col(k).alias(f"w{k}") for k in key), F.col("s.start").alias("w_start"), F.col("s.end").alias("w_end"))
+    taken = taken.withColumn("w_bin", bins(F.col("w_start"), F.col("w_end") - 1))
+    weak = parts.filter(F.col("s.kind") >= STRONG).withColumn("bin", bins(F.col("s.start"), F.col("s.end") - 1))
+    same = F.col("_id").eqNullSafe(F.col("w_id")) & (F.col("_h1") == F.col("w_h1")) & (F.col("_h2") == F.col("w_h2")) & (F.col("bin") == F.col("w_bin"))
+    covered = weak.join(taken, same & (F.col("w_start") < F.col("s.end")) & (F.col("s.start") < F.col("w_end")), "left_semi").select(*key, "s", "role").distinct()
+    free = written(parts.filter(F.col("s.kind") >= STRONG).subtract(covered), "secret-candidates")
+
+    wide = strong.unionByName(free).select(*(F.col(k).alias(f"w{k}") for k in key), F.col("role").alias("w_role"), F.col("s.start").alias("w_start"), F.col("s.end").alias("w_end"))
+    wide = wide.withColumn("w_bin", bins(F.col("w_start") - SCOPE, F.col("w_end") + SCOPE))
+    weak = free.withColumn("bin", bins(F.col("s.start"), F.col("s.end")))
     met = (F.col("s.start") - SCOPE <= F.col("w_end")) & (F.col("w_start") <= F.col("s.end") + SCOPE)
     fits = F.when(F.col("role") == "secret", F.col("w_role") != "secret").otherwise(F.col("w_role") == "secret")
-    same = F.col("_id").eqNullSafe(F.col("w_id")) & (F.col("_h1") == F.col("w_h1")) & (F.col("_h2") == F.col("w_h2")) & (F.col("bin") == F.col("w_bin"))
     linked = weak.join(wide, same & met & fits, "left_semi").select(*key, "s").distinct().groupBy(*key).agg(F.collect_list("s").alias("linked"))
 
-    single = rows.filter(F.size("weak") + F.size(F.filter("base", lambda _: F.size("weak") > 0)) <= 1)
     out = [F.col("_id").alias("doc_id"), F.col("base")] + ([F.col("_kept")] if keep else [])
-    joined = several.alias("l").join(linked.toDF("r_id", "r_h1", "r_h2", "linked"), F.col("_id").eqNullSafe(F.col("r_id")) & (F.col("_h1") == F.col("r_h1")) & (F.col("_h2") == F.col("r_h2")), "left")
-    both = F.array_sort(F.concat("base", F.coalesce("linked", F.array().cast("array<struct<start:int,kind:int,end:int>>"))))
-    result = single.select(*out, F.col("base").alias("spans")).unionByName(joined.select(*out, both.alias("spans")))
-    return result.select("doc_id", "base", "spans", *(F.col(f"_kept.{c}").alias(f"kept_{c}") for c in keep))
+    joined = several.join(linked.toDF("r_id", "r_h1", "r_h2", "linked"), F.col("_id").eqNullSafe(F.col("r_id")) & (F.col("_h1") == F.col("r_h1")) & (F.col("_h2") == F.col("r_h2")), "left")
+    both = F.sort_array(F.concat("base", F.coalesce("linked", F.array().cast("array<struct<start:int,kind:int,end:int>>"))))
+    result = rows.filter(lone).select(*out, F.col("base").alias("spans")).unionByName(joined.select(*out, both.alias("spans")))
+    return result.select("doc_id", "base", "spans", *(F.col("_kept").getField(c).alias(f"kept_{c}") for c in keep))
 
 
 def secret_report(df: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
@@ -138,19 +144,76 @@ def redact(df: DataFrame, text: str = "text", doc_id: str = "doc_id", mask: str
     """df with every reported span of its texts replaced by mask; texts without spans stay as they are, null stays null."""
     columns = df.columns
     found = find_secrets(df, text, doc_id, keep=tuple(columns))
-    body, spans = F.col(f"kept_{text}"), F.col("spans")
-    step = F.aggregate(
-        spans,
-        F.struct(F.lit("").alias("out"), F.lit(0).alias("at")),
-        lambda a, s: F.when(
-            s["end"] <= a["at"], a
-        ).otherwise(
-            F.struct(
-                F.concat(a["out"], F.when(s["start"] < a["at"], F.lit("")).otherwise(F.concat(F.substring(body, a["at"] + 1, s["start"] - a["at"]), F.lit(mask)))).alias("out"),
-                s["end"].alias("at"),
-            )
-        ),
-        lambda a: F.concat(a["out"], F.substring(body, a["at"] + 1, F.char_length(body))),
-    )
-    new = F.when(F.size("spans") > 0, step).otherwise(body)
+    body = F.col(f"kept_{text}")
+    new = F.when(F.size("spans") > 0, _bound(_merged(F.col("spans")), lambda m: _masked(body, m, mask))).otherwise(body)
     return found.select(*(new.alias(c) if c == text else F.col(f"kept_{c}").alias(c) for c in columns))
+
+
+def _bound(value: Column, use) -> Column:  # noqa: ANN001
+    """use(value), with value made once a row."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def _merged(spans: Column) -> Column:
+    """Sorted spans as (start, end) with those that overlap joined: by running maxima of the ends, made by blocks."""
+    size, none = 64, F.array().cast("array<int>")
+
+    def joined(s: Column) -> Column:
+        ends = F.transform(s, lambda x: x["end"])
+        tops = F.transform(F.sequence(F.lit(0), F.floor((F.size(s) - 1) / size).cast("int")), lambda b: F.array_max(F.transform(F.slice(s, b * size + 1, size), lambda x: x["end"])))
+        tops = _bound(tops, lambda t: F.transform(t, lambda _, k: F.coalesce(F.array_max(F.slice(t, F.lit(1), k)), F.lit(-1))))
+        # the greatest end before each span
+        before = lambda t, e: F.transform(s, lambda x, i: F.struct(x["start"].alias("start"), x["end"].alias("end"), F.greatest(F.element_at(t, F.floor(i / size).cast("int") + 1), F.coalesce(F.array_max(F.when(i % size > 0, F.slice(e, i - i % size + 1, i % size)).otherwise(none)), F.lit(-1))).alias("upto")))
+        return _bound(ends, lambda e: _bound(tops, lambda t: _bound(before(t, e), islands)))
+
+    def islands(r: Column) -> Column:
+        first = F.filter(r, lambda x: x["start"] >= x["upto"])
+        last = F.concat(F.slice(F.transform(first, lambda x: x["upto"]), F.lit(2), F.size(first)), F.array(F.array_max(F.transform(r, lambda x: F.greatest(x["end"], x["upto"])))))
+        return F.zip_with(first, last, lambda a, b: F.struct(a["start"].alias("start"), b.alias("end")))
+
+    return _bound(spans, joined)
+
+
+def _masked(body: Column, spans: Column, mask: str, size: int = 64) -> Column:
+    """body with each of the disjoint spans replaced. It is cut into sections of some spans first, so that the search for a position never goes over the whole text."""
+    end = lambda m, i: F.when(i > 0, F.element_at(m, F.greatest(i, F.lit(1)))["end"]).otherwise(F.lit(0))  # noqa: E731  of the span before the i-th
+
+    def section(k: Column) -> Column:
+        own, start = F.slice(spans, k * size + 1, size), end(spans, k * size)
+        part = F.substring(body, start + 1, F.element_at(own, -1)["end"] - start)
+        piece = lambda p, o, at: F.array_join(F.transform(o, lambda s, i: F.concat(F.substring(p, F.greatest(end(o, i), at) - at + 1, s["start"] - F.greatest(end(o, i), at)), F.lit(mask))), "")
+        return _bound(F.struct(part.alias("p"), own.alias("o"), start.alias("at")), lambda b: piece(b["p"], b["o"], b["at"]))
+
+    sections = F.transform(F.sequence(F.lit(0), F.floor((F.size(spans) - 1) / size).cast("int")), section)
+    return F.concat(F.array_join(sections, ""), F.substring(body, F.element_at(spans, -1)["end"] + 1, F.char_length(body)))
+
+
+def oracle_sql() -> str:
+    """The same report in DuckDB. Its patterns have no look-around: whole runs of characters are taken and then tested."""
+    run, dots = "[A-Za-z0-9+/_]+", "[0-9.]+"
+    patterns = {"assign": ASSIGN, "access": PATTERNS["access"], "hex": PATTERNS["hex"], "ident": PATTERNS["ident"], "url": r"https?://[A-Za-z0-9.-]+(?::[0-9]+)?", "ip": dots, "opaque": run}
+    tests = {
+        "assign": f"length(regexp_extract(hit, '{ASSIGN.replace(chr(39), chr(39) * 2)}', 2)) >= 6", "access": "length(hit) >= 20", "hex": "true", "ident": "true", "url": "true",
+        "ip": r"regexp_full_match(hit, '[0-9]{1,3}(\.[0-9]{1,3}){3}')", "opaque": "length(hit) >= 16 and regexp_matches(hit, '[A-Za-z]') and regexp_matches(hit, '[0-9]')",
+    }
+    kinds = {"url": "endpoint", "ip": "endpoint"}
+    tables = []
+    for k, p in patterns.items():
+        p = p.replace("'", "''")
+        tables.append(f"""
+u_{k} as (select rid, unnest(regexp_extract_all(body, '{p}')) as hit, unnest(string_split_regex(body, '{p}')) as gap, generate_subscripts(string_split_regex(body, '{p}'), 1) as i from t where regexp_matches(body, '{p}')),
+s_{k} as (select rid, {KINDS.index(kinds.get(k, k))} as kind, hit, (sum(length(gap) + length(hit)) over (partition by rid order by i))::bigint as stop from u_{k} where hit is not null),
+f_{k} as (select rid, kind, stop - length(hit) as start, stop from s_{k} where {tests[k]})""")
+    named = f"({KINDS})[kind + 1] || ':' || start || ':' || stop"
+    role = "({})[{}.kind + 1]"
+    roles = str([ROLES[k] for k in KINDS])
+    return f"""with t as (select row_number() over () as rid, doc_id, coalesce(text, '') as body from documents),{",".join(tables)},
+base as (select * from f_assign union all select * from f_access union all select * from f_hex),
+ips as (select * from f_ip i where not exists (select 1 from f_url u where u.rid = i.rid and u.start < i.stop and i.start < u.stop)),
+weak as (select * from (select * from f_ident union all select * from f_url union all select * from ips union all select * from f_opaque) w where not exists (select 1 from base b where b.rid = w.rid and b.start < w.stop and w.start < b.stop)),
+parts as (select * from base union all select * from weak),
+linked as (select * from weak w where exists (select 1 from parts p where p.rid = w.rid and w.start - {SCOPE} <= p.stop and p.start <= w.stop + {SCOPE} and ({role.format(roles, 'w')} = 'secret') <> ({role.format(roles, 'p')} = 'secret'))),
+b as (select rid, count(*) filter (kind = 0) as n_assign, count(*) filter (kind = 1) as n_access, count(*) filter (kind = 2) as n_hex, string_agg({named}, ',' order by start, kind) as listed from base group by rid),
+a as (select rid, string_agg({named}, ',' order by start, kind) as listed, count(*) filter (kind >= {STRONG}) as n from (select * from base union all select * from linked) group by rid)
+select doc_id, coalesce(n_assign, 0)::bigint as n_assign, coalesce(n_access, 0)::bigint as n_access, coalesce(n_hex, 0)::bigint as n_hex, sha256(coalesce(b.listed, '')) as base_sha256, coalesce(a.listed, '') as spans, coalesce(a.n, 0)::bigint as n_linked
+from t left join b on t.rid = b.rid left join a on t.rid = a.rid"""
