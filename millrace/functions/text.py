@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import re
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -27,6 +31,8 @@ VALIDATION_PATTERNS = [
     (r"(?i)\b(beautiful|gorgeous|stunning|amazing)\b", "Overused adjective"),
     (r"\d{4,}", "Long number sequence"),
 ]
+#: Texts without any of a pattern's hints don't match it; the test costs less than the pattern.
+HINTS = {"Repeated intensifier": "(?:ver|reall|extremel|absolutel)y\\s", "ALL CAPS words": "[A-Z]{3}"}
 FORBIDDEN = ["anime", "manga", "cartoon", "image", "picture", "photo", "screenshot", "hd", "4k", "8k", "high resolution", "masterpiece", "best quality"]
 #: White space as Python has it, and word characters, in the classes that all engines read alike.
 SPACE = r"[\s\x0b\x1c-\x1f\x85\p{Z}]"
@@ -41,12 +47,12 @@ def bound(value: Column, use) -> Column:  # noqa: ANN001
 
 def split_words(text: Column) -> Column:
     """Words between white space; none for an empty text."""
-    return F.filter(F.split(text, f"{SPACE}+"), lambda w: w != "")
+    return F.array_remove(F.split(text, f"{SPACE}+"), "")
 
 
 def caption_words(text: Column) -> Column:
-    """Words after each punctuation mark became a space."""
-    return split_words(F.translate(text, PUNCTUATION, " " * len(PUNCTUATION)))
+    """Words between white space and punctuation marks."""
+    return F.array_remove(F.split(text, f"[{re.escape(PUNCTUATION)}{SPACE[1:-1]}]+"), "")
 
 
 def sd_tokens(text: Column) -> Column:
@@ -56,7 +62,7 @@ def sd_tokens(text: Column) -> Column:
 
 def pattern_tokens(text: Column) -> Column:
     """Count of Unicode words and single other marks."""
-    return F.size(F.regexp_extract_all(F.lower(text), F.lit(f"[{WORD}]+|[^{WORD}\\s\\x0b\\x1c-\\x1f\\x85\\p{{Z}}]"), F.lit(0)))
+    return F.size(F.regexp_extract_all(F.lower(text), F.lit(r"(?U)\w+|[^\w\s\x1c-\x1f]"), F.lit(0)))
 
 
 def quarter_tokens(text: Column) -> Column:
@@ -65,7 +71,7 @@ def quarter_tokens(text: Column) -> Column:
 
 def list_tokens(text: Column) -> Column:
     """Words after commas and dots became spaces."""
-    return F.size(split_words(F.translate(text, ",.", "  ")))
+    return F.size(F.array_remove(F.split(text, f"[,.{SPACE[1:-1]}]+"), ""))
 
 
 def content_words(text: Column) -> Column:
@@ -73,9 +79,9 @@ def content_words(text: Column) -> Column:
     return F.filter(caption_words(F.lower(text)), lambda w: (F.char_length(w) > 1) & ~w.isin(STOPWORDS))
 
 
-def style(text: Column) -> Column:
-    low = F.lower(text)
-    flat, solid = (F.exists(F.array(*map(F.lit, terms)), lambda t: low.contains(t)) for terms in (STYLE_2D, STYLE_3D))
+def style(text: Column, low: Column | None = None) -> Column:
+    low = F.lower(text) if low is None else low
+    flat, solid = (reduce(or_, (low.contains(t) for t in terms)) for terms in (STYLE_2D, STYLE_3D))
     return F.when(flat & solid, "mixed").when(solid, "3d").when(flat, "2d").otherwise("unknown")
 
 
@@ -85,7 +91,7 @@ def first_repeated(words: Column, over: int, min_chars: int) -> Column:
     Equal words are neighbours in the sorted words, so one pass over neighbours at distance `over` finds them.
     """
     placed = F.transform(words, lambda w, i: F.struct(w.alias("word"), i.alias("at")))
-    placed = F.array_sort(F.filter(placed, lambda p: F.char_length(p["word"]) > min_chars))
+    placed = F.sort_array(F.filter(placed, lambda p: F.char_length(p["word"]) > min_chars))
 
     def least(p: Column) -> Column:
         later = F.slice(p, over + 1, F.greatest(F.size(p), F.lit(1)))
@@ -121,7 +127,7 @@ def validation_issues(text: Column, trigger: str | None = None, tokens: Column |
         .when(tokens > MAX_TOKENS, named("Too long"))
         .when(tokens > OPTIMAL_MAX, named("Above optimal length"))
     )
-    checks += [F.when(text.rlike(p), F.lit(name)) for p, name in VALIDATION_PATTERNS]
+    checks += [F.when(text.rlike(HINTS[name]) & text.rlike(p) if name in HINTS else text.rlike(p), F.lit(name)) for p, name in VALIDATION_PATTERNS]
     checks += [F.when(low.contains(w), F.lit(f"Contains '{w}' (avoid style/quality tags)")) for w in FORBIDDEN]
     checks.append(F.when(text.rlike(r"\A\s|\s\z"), "Leading/trailing whitespace"))
     checks.append(F.when(text.contains("  "), "Double spaces"))

@@ -125,15 +125,30 @@ def positions(df: DataFrame, order: list[str], name: str, parts: int | None = No
 def quantiles(df: DataFrame, group: list[str], value: str, shares: list[float], parts: int | None = None) -> DataFrame:
     """group, share, quantile: exact quantiles with linear interpolation, nulls left out.
 
-    The rows next to a quantile are found by their position, so no task holds the values of a group.
+    Equal values are counted first. Values are dealt to parts by cut points from a sample; the parts' counts tell which few
+    parts hold the wanted places, and only these are sorted. So no task holds all values of a group.
     """
-    rows = df.select(*group, F.col(value).cast("double").alias("_v")).filter("_v is not null")
-    placed = positions(rows, ["_v"], "_at", parts, group)
-    sizes = rows.groupBy(*group).agg(F.count("*").alias("_n"))
-    wanted = sizes.select(*group, "_n", F.explode(F.array(*(F.lit(s) for s in shares))).alias("share")).withColumn("_spot", (F.col("_n") - 1) * F.col("share"))
-    ends = wanted.select(*group, "share", "_spot", F.explode(F.array_distinct(F.array(F.floor("_spot"), F.ceil("_spot")))).alias("_at"))
-    same = [placed["_at"] == ends["_at"], *(placed[c].eqNullSafe(ends[c]) for c in group)]
-    found = ends.join(placed, same).select(*(ends[c] for c in group), "share", "_spot", ends["_at"].alias("_at"), "_v")
+    values = written(df.select(*group, F.col(value).cast("double").alias("_v")).filter("_v is not null").groupBy(*group, "_v").agg(F.count("*").alias("_n")), "values")
+    key = F.struct(*group, "_v")
+    rows = values.count()
+    parts = parts or max(1, rows // 50_000)
+    drawn = values.select(key.alias("k")).sample(min(1.0, 64 * parts / max(rows, 1)), 1).orderBy("k").collect() if parts > 1 and rows else []
+    kinds = {f.name: f.dataType for f in values.schema.fields}
+    cuts = [drawn[len(drawn) * i // parts]["k"] for i in range(1, parts)] if len(drawn) >= parts else []
+    points = F.array(*(F.struct(*(F.lit(c[k]).cast(kinds[k]).alias(k) for k in [*group, "_v"])) for c in cuts))
+    cut = values.withColumn("_part", F.size(F.filter(points, lambda p: p <= key)) if cuts else F.lit(0))
+    window = Window.partitionBy(*group) if group else Window.partitionBy(F.lit(0))
+    counts = cut.groupBy(*group, "_part").agg(F.sum("_n").alias("_size")).withColumn("_upto", F.sum("_size").over(window.orderBy("_part")))
+    counts = counts.withColumn("_all", F.sum("_size").over(window)).withColumn("share", F.explode(F.array(*(F.lit(s) for s in shares))))
+    spot = (F.col("_all") - 1) * F.col("share")
+    wanted = counts.withColumn("_spot", spot).withColumn("_at", F.explode(F.array_distinct(F.array(F.floor(spot), F.ceil(spot)))))
+    wanted = wanted.filter((F.col("_at") < F.col("_upto")) & (F.col("_at") >= F.col("_upto") - F.col("_size")))
+    wanted = wanted.select(*(F.col(c).alias(f"_g{i}") for i, c in enumerate(group)), F.col("_part").alias("_p"), "share", "_spot", "_at", (F.col("_upto") - F.col("_size")).alias("_before"))
+    names = [f"_g{i}" for i in range(len(group))]
+    same = [F.col(c).eqNullSafe(F.col(n)) for c, n in zip(group, names, strict=True)] + [F.col("_part") == F.col("_p")]
+    needed = cut.join(wanted.select(*names, "_p", "_before").distinct(), same)
+    needed = needed.withColumn("_end", F.col("_before") + F.sum("_n").over(Window.partitionBy(*group, "_part").orderBy("_v"))).drop(*names, "_p", "_before")
+    found = needed.join(wanted, same + [(F.col("_at") < F.col("_end")) & (F.col("_at") >= F.col("_end") - F.col("_n"))])
     return found.groupBy(*group, "share", "_spot").agg(F.min_by("_v", "_at").alias("_low"), F.max_by("_v", "_at").alias("_high")).select(
         *group, "share", (F.col("_low") + (F.col("_high") - F.col("_low")) * (F.col("_spot") - F.floor("_spot"))).alias("quantile")
     )

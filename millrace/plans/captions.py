@@ -42,7 +42,7 @@ def caption_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "documents").select("doc_id", "text", F.lower("text").alias("low"))
     return rows.select(
         "doc_id", F.size(T.split_words(t)).cast("long").alias("n_words"), T.sd_tokens(t).cast("long").alias("sd_tokens"), T.pattern_tokens(t).cast("long").alias("pattern_tokens"),
-        T.quarter_tokens(t).cast("long").alias("quarter_tokens"), T.list_tokens(t).cast("long").alias("list_tokens"), T.style(t).alias("style"), F.md5("low").alias("digest"),
+        T.quarter_tokens(t).cast("long").alias("quarter_tokens"), T.list_tokens(t).cast("long").alias("list_tokens"), T.style(t, F.col("low")).alias("style"), F.md5("low").alias("digest"),
         F.col("low").contains("the").alias("has_trigger"),
     )
 
