@@ -173,3 +173,22 @@ def cluster_sizes(df: DataFrame, label: str, noise: int = -1) -> DataFrame:
         F.count(real).alias("clusters"), F.avg(real).alias("mean"), F.stddev_pop(real).alias("std"), F.min(real).alias("least"), F.max(real).alias("most"),
         F.median(real).alias("median"), (F.coalesce(F.sum(F.when(F.col(label) == noise, F.col("n"))), F.lit(0)) / F.sum("n")).alias("noise"),
     )
+
+
+def pair_moments(df: DataFrame, label: str, vector: str) -> DataFrame:
+    """label, pairs, mean, std of the dot products over all pairs of a label, without making pairs.
+
+    The sum over pairs is (|s|^2 - q) / 2, the sum of squares (|P|^2 - r) / 2: s is the sum of the vectors, P that of their
+    outer products, q and r are those of |x|^2 and |x|^4. All are sums, made by Spark's own summary of each component product.
+    """
+    parts = df.select(label, F.transform(vector, lambda x: x.cast("double")).alias("x"))
+    norms = parts.withColumn("m", F.aggregate("x", F.lit(0.0), lambda s, v: s + v * v)).groupBy(label).agg(F.count("*").alias("n"), F.sum("m").alias("q"), F.sum(F.col("m") * F.col("m")).alias("r"))
+    rows = parts.select(label, "x", F.posexplode("x").alias("i", "xi"))
+    sums = rows.groupBy(label, "i").agg(F.sum("xi").alias("s")).groupBy(label).agg(F.sum(F.col("s") * F.col("s")).alias("ss"))
+    width = parts.select(F.size("x").alias("d")).agg(F.max("d")).first()[0] or 0
+    products = rows.groupBy(label, "i").agg(*(F.sum(F.col("xi") * F.get("x", F.lit(j))).alias(f"p{j}") for j in range(width)))
+    squares = products.select(label, sum((F.col(f"p{j}") * F.col(f"p{j}") for j in range(width)), F.lit(0.0)).alias("pp")).groupBy(label).agg(F.sum("pp").alias("pp"))
+    pairs = F.col("n") * (F.col("n") - 1) / 2
+    mean = (F.col("ss") - F.col("q")) / 2 / pairs
+    both = norms.filter("n > 1").join(sums, label).join(squares, label)
+    return both.select(label, pairs.cast("long").alias("pairs"), mean.alias("mean"), F.sqrt(F.greatest(F.lit(0.0), (F.col("pp") - F.col("r")) / 2 / pairs - mean * mean)).alias("std"))
