@@ -80,3 +80,58 @@ def greedy_gap(df: DataFrame, group: str, position: str, score: str, gap: int, t
     named = df.join(first, [group, position], "left")
     rank = F.row_number().over(Window.partitionBy(group).orderBy(F.col("pick").isNull(), "pick", F.desc(score), position))
     return named.withColumn("rank", rank).filter(F.col("rank") <= target).select(*df.columns)
+
+
+def strided(df: DataFrame, group: str, order: list[str], n: int) -> DataFrame:
+    """The rows at floor(k len / n) for k from 0 to n - 1 in each group's order; all rows of a group of at most n."""
+    w = Window.partitionBy(group)
+    placed = df.withColumn("_i", F.row_number().over(w.orderBy(*order)) - 1).withColumn("_n", F.count("*").over(w))
+    # the first k whose place is not before the row
+    k = F.ceil(F.col("_i") * n / F.col("_n"))
+    return placed.filter((F.col("_n") <= n) | ((k < n) & (F.floor(k * F.col("_n") / n) == F.col("_i")))).drop("_i", "_n")
+
+
+def with_coverage(names: DataFrame, name: str, n: int, seed: int) -> DataFrame:
+    """k, name for k from 0 to n - 1: every name once in random order, then draws with replacement. names: a stated list of distinct names."""
+    ranked = names.withColumn("i", (F.row_number().over(Window.orderBy(*random_order(seed, name))) - 1).cast("long"))
+    size = names.count()
+    turns = names.sparkSession.range(n).withColumnRenamed("id", "k")
+    pick = F.when(F.col("k") < size, F.col("k")).otherwise(md5_key(F.lit(f"{seed}:"), F.col("k").cast("string")) % max(size, 1))
+    return turns.withColumn("i", pick).join(ranked, "i").select("k", name)
+
+
+def category_sample(df: DataFrame, category: str, key: str, each: int, n: int, seed: int) -> DataFrame:
+    """`each` rows of every category in random order, then rows of all, which may repeat those, up to n; fill is 1 for the latter."""
+    rank = F.row_number().over(Window.partitionBy(category).orderBy(*random_order(seed, key)))
+    first = df.withColumn("_r", rank).filter(F.col("_r") <= each).drop("_r").withColumn("fill", F.lit(0))
+    draw = [md5_key(F.lit(f"{seed}:fill"), F.col(key).cast("string")), F.col(key)]
+    more = df.orderBy(*draw).limit(n).withColumn("fill", F.lit(1))
+    return first.unionByName(more).withColumn("_d", F.when(F.col("fill") == 0, random_order(seed, key)[0]).otherwise(draw[0])).transform(lambda t: _filled(t, key, n, seed))
+
+
+def _filled(df: DataFrame, key: str, n: int, seed: int) -> DataFrame:
+    """The first rows, and of the fill (in the order of its draw) as many as are missing; of too many, the first n at random."""
+    count = F.sum(F.when(F.col("fill") == 0, 1)).over(Window.partitionBy(F.lit(0)))  # a few rows a category
+    place = F.row_number().over(Window.partitionBy("fill").orderBy("_d", key))
+    kept = df.withColumns({"_c": F.coalesce(count, F.lit(0)), "_p": place}).filter((F.col("fill") == 0) | (F.col("_p") <= n - F.col("_c")))
+    return kept.orderBy("fill", *random_order(seed, key)).limit(n).drop("_d", "_c", "_p")
+
+
+def tiered_review(df: DataFrame, group: str, tier: str, score: str, key: str, wanted: dict[str, int], target: int, seed: int, bins: int = 5) -> DataFrame:
+    """Of each group and tier so many rows, spread over bins of the tier's score, filled at random; `target` of all in random order."""
+    edges = quantiles(df, [tier], score, [i / bins for i in range(1, bins)]).groupBy(tier).agg(F.collect_list("quantile").alias("_edges"))
+    cut = df.join(edges, tier).withColumn("_bin", F.size(F.filter("_edges", lambda e: F.col(score) >= e))).drop("_edges")
+    most = F.coalesce(*(F.when(F.col(tier) == t, F.lit(n)) for t, n in wanted.items()), F.lit(0))
+    each = F.greatest(F.lit(1), F.floor(most / bins))
+    nth = F.row_number().over(Window.partitionBy(group, tier, "_bin").orderBy(*random_order(seed, key)))
+    turn = F.row_number().over(Window.partitionBy(group, tier).orderBy(F.col("_nth") > each, *random_order(seed, key)))
+    few = cut.withColumn("_nth", nth).filter(F.col("_nth") <= most).withColumn("_turn", turn).filter(F.col("_turn") <= most)
+    return few.orderBy(*random_order(seed, key)).limit(target).drop("_bin", "_nth", "_turn")
+
+
+def combinations(lists: list[DataFrame], n: int) -> DataFrame:
+    """All combinations of short lists, a column each, in order, up to n. The lists are stated and short; each is sent to all tasks."""
+    out = lists[0]
+    for part in lists[1:]:
+        out = out.crossJoin(F.broadcast(part))
+    return out.orderBy(*out.columns).limit(n)

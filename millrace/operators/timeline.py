@@ -52,3 +52,18 @@ def interpolate(df: DataFrame, group: str, order: str, value: str, times: int) -
 def fold_last(df: DataFrame, group: str, order: list[str], fields: list[str]) -> DataFrame:
     """The last value that is not null of each field, by group."""
     return df.groupBy(group).agg(*(F.max_by(f, F.when(F.col(f).isNotNull(), F.struct(*order))).alias(f) for f in fields))
+
+
+def activity_runs(df: DataFrame, group: str, order: str, voice: str, width: int, step: float, least: float) -> DataFrame:
+    """group, start, stop (frames from 1, stop excluded), duration: runs of true after a median filter over `width` frames.
+
+    Frames outside the sequence are false. A run ends at a false frame; one that reaches the end of the sequence is left out.
+    """
+    w = Window.partitionBy(group).orderBy(order)
+    half = width // 2
+    near = F.sum(F.col(voice).cast("int")).over(w.rowsBetween(-half, half))
+    rows = df.select(group, order, F.row_number().over(w).alias("i"), (near > half).alias("smooth"), F.count("*").over(Window.partitionBy(group)).alias("last"))
+    rows = rows.withColumn("run", F.col("i") - F.row_number().over(Window.partitionBy(group, "smooth").orderBy(order))).filter("smooth")
+    runs = rows.groupBy(group, "run").agg(F.min("i").alias("start"), (F.max("i") + 1).alias("stop"), F.max("last").alias("last")).filter("stop <= last")
+    length = F.round((F.col("stop") - F.col("start")) * step, 6)
+    return runs.select(group, "start", "stop", length.alias("duration")).filter(F.col("duration") >= least)

@@ -192,3 +192,9 @@ def pair_moments(df: DataFrame, label: str, vector: str) -> DataFrame:
     mean = (F.col("ss") - F.col("q")) / 2 / pairs
     both = norms.filter("n > 1").join(sums, label).join(squares, label)
     return both.select(label, pairs.cast("long").alias("pairs"), mean.alias("mean"), F.sqrt(F.greatest(F.lit(0.0), (F.col("pp") - F.col("r")) / 2 / pairs - mean * mean)).alias("std"))
+
+
+def representatives(df: DataFrame, digest: str, key: str, size: str, seed: int = 7) -> DataFrame:
+    """digest, n, first, largest, random: the row of each group that a mode keeps; the least key of equally large ones."""
+    draw = md5_key(F.lit(f"{seed}:"), F.col(key).cast("string"))
+    return df.groupBy(digest).agg(F.count("*").alias("n"), F.min(key).alias("first"), F.max_by(key, F.struct(size, -F.col(key))).alias("largest"), F.min_by(key, F.struct(draw, key)).alias("random"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from millrace.plans import assessments, captions, evaluations, filters, lookups, relations, reports, samples, timelines, vectors
+from millrace.plans import assessments, captions, evaluations, filters, lookups, relations, reports, samples, selections, timelines, vectors
 from millrace.plans.registry import ORACLES, QUERIES
 
-__all__ = ["ORACLES", "QUERIES", "assessments", "captions", "evaluations", "filters", "lookups", "relations", "reports", "samples", "timelines", "vectors"]
+__all__ = ["ORACLES", "QUERIES", "assessments", "captions", "evaluations", "filters", "lookups", "relations", "reports", "samples", "selections", "timelines", "vectors"]
