@@ -6,7 +6,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # COCO joint numbers and the score from which a joint counts.
-NOSE, LEFT_SHOULDER, RIGHT_SHOULDER, LEFT_WRIST, RIGHT_WRIST, LEFT_HIP, RIGHT_HIP, LEFT_KNEE, RIGHT_KNEE = 0, 5, 6, 9, 10, 11, 12, 13, 14
+NOSE, LEFT_SHOULDER, RIGHT_SHOULDER, LEFT_WRIST, RIGHT_WRIST, LEFT_HIP, RIGHT_HIP, LEFT_KNEE, RIGHT_KNEE, LEFT_ANKLE, RIGHT_ANKLE = 0, 5, 6, 9, 10, 11, 12, 13, 14, 15, 16
+BODY = (LEFT_SHOULDER, RIGHT_SHOULDER, LEFT_HIP, RIGHT_HIP, LEFT_KNEE, RIGHT_KNEE)
 SEEN = 0.3
 
 
@@ -63,3 +64,43 @@ def view(points: Column, scores: Column) -> Column:
         name = F.when(angle == kind, F.when(turn.isNull(), flat[kind][0]).otherwise(F.concat(F.lit(f"{turned[kind][0]}_"), turn))).otherwise(name)
         sure = F.when(angle == kind, F.when(turn.isNull(), flat[kind][1]).otherwise(turned[kind][1])).otherwise(sure)
     return F.struct(name.alias("name"), sure.alias("confidence"))
+
+
+def _apart(points: Column, a: int, b: int) -> Column:
+    return F.sqrt(F.pow(joint(points, a, "x") - joint(points, b, "x"), 2) + F.pow(joint(points, a, "y") - joint(points, b, "y"), 2))
+
+
+def features(points: Column, scores: Column) -> Column:
+    """struct of torso height and angle, widths, spreads of the knees, bends and aspect; null where a joint of the body is not seen."""
+    dx, dy = torso(points)
+    height = F.sqrt(dx * dx + dy * dy)
+    across, down = (F.abs(joint(points, LEFT_KNEE, a) - joint(points, RIGHT_KNEE, a)) for a in "xy")
+    bend = lambda hip, knee: joint(points, hip, "y") - joint(points, knee, "y")
+    found = F.struct(
+        height.alias("torso_height"), F.degrees(F.atan2(dx, dy)).alias("torso_angle"), _apart(points, RIGHT_SHOULDER, LEFT_SHOULDER).alias("shoulder_width"), _apart(points, RIGHT_HIP, LEFT_HIP).alias("hip_width"),
+        across.alias("leg_spread_horizontal"), down.alias("leg_spread_vertical"), bend(LEFT_HIP, LEFT_KNEE).alias("left_knee_bend"), bend(RIGHT_HIP, RIGHT_KNEE).alias("right_knee_bend"),
+        (across / (height + 1e-6)).alias("aspect_ratio"),
+    )
+    return F.when(seen(scores, *BODY), found)
+
+
+def classified(points: Column, scores: Column) -> Column:
+    """struct(pose, confidence) by rules in the order jumping, running, walking, sitting, crouching, reaching, standing; unknown where a joint of the body is not seen or none fits."""
+    dx, dy = torso(points)
+    size, lean = F.sqrt(dx * dx + dy * dy), F.abs(F.degrees(F.atan2(dx, dy)))
+    across, down = (F.abs(joint(points, LEFT_KNEE, a) - joint(points, RIGHT_KNEE, a)) for a in "xy")
+    bend = middle(points, LEFT_HIP, RIGHT_HIP, "y") - middle(points, LEFT_KNEE, RIGHT_KNEE, "y")
+    reach = middle(points, LEFT_ANKLE, RIGHT_ANKLE, "y") - middle(points, LEFT_HIP, RIGHT_HIP, "y")
+    low = (joint(points, LEFT_KNEE, "y") > joint(points, LEFT_HIP, "y") + 20) | (joint(points, RIGHT_KNEE, "y") > joint(points, RIGHT_HIP, "y") + 20)
+    arm = lambda wrist, shoulder: F.when(seen(scores, wrist, shoulder), _apart(points, wrist, shoulder)).otherwise(0.0)
+    rules = [
+        ("jumping", 0.75, (reach > size * 1.2) & (across < size * 0.4)),
+        ("running", 0.75, ((across > size * 0.6) | (down > size * 0.3)) & (bend < size * 0.5)),
+        ("walking", 0.70, (lean < 20) & ((across > size * 0.3) | (down > size * 0.2)) & (across < size * 0.8)),
+        ("sitting", 0.75, (bend < size * 0.3) & low & (lean < 30)),
+        ("crouching", 0.70, (bend < size * 0.2) & (reach < size * 0.8)),
+        ("reaching", 0.65, (arm(LEFT_WRIST, LEFT_SHOULDER) > size) | (arm(RIGHT_WRIST, RIGHT_SHOULDER) > size)),
+        ("standing", 0.70, (lean < 15) & (across < size * 0.5) & (bend > size * 0.3)),
+    ]
+    named = F.coalesce(*(F.when(fits, F.struct(F.lit(name).alias("pose"), F.lit(sure).alias("confidence"))) for name, sure, fits in rules))
+    return F.coalesce(F.when(seen(scores, *BODY), named), F.struct(F.lit("unknown").alias("pose"), F.lit(0.0).alias("confidence")))

@@ -163,3 +163,82 @@ where length(word) > 1 and word not in ({', '.join(f"'{w}'" for w in T.STOPWORDS
 def word_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
     words = table(spark, sf_dir, "documents").select(F.explode(T.content_words(F.col("text"))).alias("word"))
     return words.groupBy("word").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "word").limit(50)
+
+
+@query()
+def caption_simplified(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Plain captions; tested against a plain version of the rule."""
+    from millrace.functions.simplify import simplified
+
+    more = F.when(F.col("doc_id") % 5 == 0, ", 8K, high-resolution PBR materials , , a young Italian boy with wild, curly brown hair .  . Stunning")
+    more = more.when(F.col("doc_id") % 5 == 1, ". Rendered at 4k resolution, sun-kissed tanned skin, yellow tank top, close-up, smiling").otherwise("")
+    return table(spark, sf_dir, "documents").select("doc_id", simplified(F.concat("text", more)).alias("caption"))
+
+
+@query(r"""
+select doc_id, floor(len(""" + plain_words_sql("text") + r""") * 1.3 + len(regexp_extract_all(text, '[,.:;!?()]')) + (length(text) - length(replace(text, '-', ''))) * 0.5)::bigint as tokens, case when doc_id % 3 = 0 then 'misc' else 'prompt_' || lpad((doc_id % 100)::varchar, 4, '0') end as key,
+  md5(concat_ws(', ', case when doc_id % 2 = 0 then 'masterpiece' end, nullif(text, ''), 'soft light')) as expanded_md5 from documents""")
+def caption_conversion(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token estimate of the converter, prompt key of a name, and the caption with its prefix and details."""
+    from millrace.functions import simplify as P
+
+    name = F.concat(F.lit("/a/b/"), F.when(F.col("doc_id") % 3 == 0, "image_1_2.png").otherwise(F.concat(F.lit("prompt_"), F.lpad((F.col("doc_id") % 100).cast("string"), 4, "0"), F.lit("_img_01.png"))))
+    full = P.expanded(F.col("text"), F.when(F.col("doc_id") % 2 == 0, "masterpiece").otherwise(""), F.lit("soft light"))
+    return table(spark, sf_dir, "documents").select("doc_id", P.converter_tokens(F.col("text")).alias("tokens"), P.prompt_key(name).alias("key"), F.md5(full).alias("expanded_md5"))
+
+
+_GROUP_CTE = _ISSUES_CTE.replace("issues as (", "named as (", 1) + f""",
+m as (select d.doc_id, d.source, {SD_SQL} as tokens, contains(lower(text), 'the') as has_trigger, {STYLE_SQL} as style, md5(lower(text)) as digest, len(i.issues) as n_issues from documents d join named i on d.doc_id = i.doc_id),
+u as (select source, count(*) filter (n > 1) as duplicates from (select source, digest, count(*) as n from m group by source, digest) group by source),
+y as (select source, any_value(style order by n desc, style) as top, max(n) as most, count(*) as kinds from (select source, style, count(*) as n from m group by source, style) group by source),
+g as (select source, count(*) as captions, avg(tokens) as mean, stddev_pop(tokens) as std, avg(has_trigger::int) as trigger_rate, sum(n_issues) as issues from m group by source),
+q as (select g.source, captions, mean, trigger_rate, duplicates, issues, case when kinds = 1 then top when most / captions > 0.8 then 'mostly_' || top else 'mixed' end as style,
+  greatest(0, least(100, 100.0 - least(30, issues / captions * 10) - case when trigger_rate < 0.9 then (1 - trigger_rate) * 20 else 0 end - least(20, duplicates / captions * 50) - case when std > 20 then 10 else 0 end)) as score,
+  (mean > 77)::int + (mean < 20)::int + (trigger_rate < 0.9)::int + (duplicates > 0)::int as complaints from g join u using (source) join y using (source))"""
+
+
+def _groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Caption statistics and score of each source."""
+    t, low = F.col("text"), F.col("low")
+    m = table(spark, sf_dir, "documents").select("source", "text", F.lower("text").alias("low")).withColumn("words", T.caption_words(low))
+    m = m.withColumn("tokens", F.size("words") + F.floor(F.char_length("text") / 8))
+    m = m.select("source", "tokens", low.contains("the").alias("has_trigger"), T.style(t, low).alias("style"), F.md5("low").alias("digest"), F.size(T.caption_issues(t, F.col("words"), F.col("tokens"))).alias("n_issues"))
+    g = m.groupBy("source").agg(F.count("*").alias("captions"), F.avg("tokens").alias("mean"), F.stddev_pop("tokens").alias("std"), F.avg(F.col("has_trigger").cast("int")).alias("trigger_rate"), F.sum("n_issues").alias("issues"))
+    u = m.groupBy("source", "digest").agg(F.count("*").alias("n")).groupBy("source").agg(F.count_if(F.col("n") > 1).alias("duplicates"))
+    y = m.groupBy("source", "style").agg(F.count("*").alias("n")).groupBy("source").agg(F.min_by("style", F.struct(-F.col("n"), "style")).alias("top"), F.max("n").alias("most"), F.count("*").alias("kinds"))
+    c = F.col
+    q = g.join(u, "source").join(y, "source")
+    style = F.when(c("kinds") == 1, c("top")).when(c("most") / c("captions") > 0.8, F.concat(F.lit("mostly_"), "top")).otherwise("mixed")
+    missing = F.when(c("trigger_rate") < 0.9, (1 - c("trigger_rate")) * 20).otherwise(0.0)
+    score = 100.0 - F.least(F.lit(30.0), c("issues") / c("captions") * 10) - missing - F.least(F.lit(20.0), c("duplicates") / c("captions") * 50) - F.when(c("std") > 20, 10).otherwise(0)
+    complaints = sum(((c("mean") > 77).cast("int"), (c("mean") < 20).cast("int"), (c("trigger_rate") < 0.9).cast("int"), (c("duplicates") > 0).cast("int")), F.lit(0))
+    return q.select("source", "captions", "mean", "trigger_rate", "duplicates", "issues", style.alias("style"), F.greatest(F.lit(0.0), F.least(F.lit(100.0), score)).alias("score"), complaints.alias("complaints"))
+
+
+@query(_GROUP_CTE + " select source, captions::bigint as captions, round(mean, 6) as mean_tokens, round(trigger_rate, 6) as trigger_rate, duplicates::bigint as duplicates, issues::bigint as issues, style, round(score, 6)::double as score, complaints::int as complaints from q")
+def caption_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Caption quality of each source: tokens, trigger rate, duplicates, style, and a score of 0 to 100."""
+    return _groups(spark, sf_dir).select(
+        "source", "captions", F.round("mean", 6).alias("mean_tokens"), F.round("trigger_rate", 6).alias("trigger_rate"), "duplicates", "issues", "style", F.round("score", 6).alias("score"), "complaints"
+    )
+
+
+@query(_GROUP_CTE + """,
+t as (select 'total' as ranking, null as source, count(*)::int as place, round(avg(score), 1)::double as value, sum(captions)::bigint as captions, sum(duplicates)::bigint as duplicates from q),
+r as (select 'best' as ranking, source, row_number() over (order by round(score, 6) desc, source)::int as place, round(score, 1)::double as value, captions::bigint as captions, duplicates::bigint as duplicates from q
+  union all select 'worst', source, row_number() over (order by round(score, 6), source), round(score, 1), captions, duplicates from q union all select 'issues', source, row_number() over (order by complaints desc, source), complaints, captions, duplicates from q where complaints > 0)
+select ranking, source, place::int as place, value, captions, duplicates from (select * from t union all select * from r) where ranking = 'total' or place <= case ranking when 'best' then 20 else 10 end""")
+def caption_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Totals over all sources, and three rankings of them: the twenty best, the ten worst, the ten with most complaints."""
+    from pyspark.sql import Window
+
+    from millrace.operators.rounds import written
+
+    q = written(_groups(spark, sf_dir), "caption-groups")
+    total = q.agg(F.count("*").cast("int").alias("place"), F.round(F.avg("score"), 1).alias("value"), F.sum("captions").alias("captions"), F.sum("duplicates").alias("duplicates"))
+    out = total.select(F.lit("total").alias("ranking"), F.lit(None).cast("string").alias("source"), "place", "value", "captions", "duplicates")
+    score = F.round("score", 6)
+    for name, n, order, value, rows in (("best", 20, -score, F.round("score", 1), q), ("worst", 10, score, F.round("score", 1), q), ("issues", 10, -F.col("complaints"), F.col("complaints").cast("double"), q.filter("complaints > 0"))):
+        top = rows.withColumn("_o", order).orderBy("_o", "source").limit(n)
+        out = out.unionByName(top.select(F.lit(name).alias("ranking"), "source", F.row_number().over(Window.orderBy("_o", "source")).alias("place"), value.alias("value"), "captions", "duplicates"))
+    return out

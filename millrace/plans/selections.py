@@ -46,12 +46,12 @@ def strided_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(r"""
-with l as (select user_id, event_id, 'step ' || event_id || case when event_id % 3 = 0 then ' loss=' || round(value / 10, 2)::varchar else ' saving' end as line from events),
+with l as (select user_id, event_id, 'step ' || event_id || case when event_id % 3 = 0 then ' loss=' || value::varchar else ' saving' end as line from events),
 p as (select user_id, event_id, try_cast(regexp_extract(line, 'loss=([0-9]*\.?[0-9]+)', 1) as double) as loss from l), r as (select *, row_number() over (partition by user_id order by event_id desc) as n from p where loss is not null)
 select user_id, round(avg(loss), 6) as mean_of_ten, min(loss) as least, arg_max(loss, event_id) as last, count(*)::bigint as n from r where n <= 10 group by user_id""")
 def last_losses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The last ten losses of each job's log, and the last one."""
-    line = F.concat(F.lit("step "), "event_id", F.when(F.col("event_id") % 3 == 0, F.concat(F.lit(" loss="), F.round(F.col("value") / 10, 2).cast("string"))).otherwise(" saving"))
+    line = F.concat(F.lit("step "), "event_id", F.when(F.col("event_id") % 3 == 0, F.concat(F.lit(" loss="), F.col("value").cast("string"))).otherwise(" saving"))
     p = table(spark, sf_dir, "events").select("user_id", "event_id", F.nullif(F.regexp_extract(line, r"loss=([0-9]*\.?[0-9]+)", 1), F.lit("")).try_cast("double").alias("loss")).filter("loss is not null")
     r = R.top_per_group(p, ["user_id"], [F.desc("event_id")], 10)
     return r.groupBy("user_id").agg(F.round(F.avg("loss"), 6).alias("mean_of_ten"), F.min("loss").alias("least"), F.max_by("loss", "event_id").alias("last"), F.count("*").alias("n"))
