@@ -98,10 +98,10 @@ def stratified_sample(df: DataFrame, key: str, vector: str, quality: str, target
     """target // clusters rows of each k-means cluster by quality and distance from the centre (scaled to 0 to 1 within it), filled by quality."""
     rows = _scaled(df, vector)
     model = KMeans(k=clusters, seed=seed, featuresCol="_x", predictionCol="cluster").fit(rows)
-    centres = df.sparkSession.createDataFrame([(i, [float(v) for v in c]) for i, c in enumerate(model.clusterCenters())], "cluster int, centre array<double>")
-    placed = model.transform(rows).select(*df.columns, "cluster", vector_to_array("_x").alias("v")).join(F.broadcast(centres), "cluster")
-    away = F.sqrt(F.aggregate(F.zip_with("v", "centre", lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda s, x: s + x))
-    placed = written(placed.withColumn("away", away).drop("v", "centre"), "stratified")
+    centres = df.sparkSession.createDataFrame([(i, [float(v) for v in c]) for i, c in enumerate(model.clusterCenters())], "cluster int, _centre array<double>")
+    placed = model.transform(rows).select(*df.columns, "cluster", vector_to_array("_x").alias("_v")).join(F.broadcast(centres), "cluster")
+    away = F.sqrt(F.aggregate(F.zip_with("_v", "_centre", lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda s, x: s + x))
+    placed = written(placed.withColumn("away", away).drop("_v", "_centre"), "stratified")
     ends = placed.groupBy("cluster").agg(F.min("away").alias("_low"), F.max("away").alias("_high"), F.count("*").alias("_n"))
     spread = F.when(F.col("_n") > 1, (F.col("away") - F.col("_low")) / (F.col("_high") - F.col("_low") + 1e-8)).otherwise(1.0)
     scored = placed.join(ends, "cluster").withColumn("score", weights[0] * F.col(quality) + weights[1] * spread)

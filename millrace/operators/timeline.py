@@ -62,8 +62,8 @@ def activity_runs(df: DataFrame, group: str, order: str, voice: str, width: int,
     w = Window.partitionBy(group).orderBy(order)
     half = width // 2
     near = F.sum(F.col(voice).cast("int")).over(w.rowsBetween(-half, half))
-    rows = df.select(group, order, F.row_number().over(w).alias("i"), (near > half).alias("smooth"), F.count("*").over(Window.partitionBy(group)).alias("last"))
-    rows = rows.withColumn("run", F.col("i") - F.row_number().over(Window.partitionBy(group, "smooth").orderBy(order))).filter("smooth")
-    runs = rows.groupBy(group, "run").agg(F.min("i").alias("start"), (F.max("i") + 1).alias("stop"), F.max("last").alias("last")).filter("stop <= last")
+    rows = df.select(group, order, F.row_number().over(w).alias("_i"), (near > half).alias("_on"), F.count("*").over(Window.partitionBy(group)).alias("_last"))
+    rows = rows.withColumn("_run", F.col("_i") - F.row_number().over(Window.partitionBy(group, "_on").orderBy(order))).filter("_on")
+    runs = rows.groupBy(group, "_run").agg(F.min("_i").alias("start"), (F.max("_i") + 1).alias("stop"), F.max("_last").alias("_last")).filter("stop <= _last")
     length = F.round((F.col("stop") - F.col("start")) * step, 6)
     return runs.select(group, "start", "stop", length.alias("duration")).filter(F.col("duration") >= least)

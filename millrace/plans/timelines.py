@@ -163,7 +163,7 @@ def stream_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("select user_id, time_bucket(interval 1 hour, ts) as hour, count(*)::bigint as n from events group by user_id, hour")
 def stream_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hourly counts by user from the same stream."""
-    return incremental.stream_windows(spark, f"{sf_dir}/events.parquet", "1 hour")
+    return incremental.stream_windows(spark, f"{sf_dir}/events.parquet", "1 hour", "60 days")
 
 
 @query("select event_id, event_type, value from events where event_id % 3 <> 0")
@@ -171,3 +171,34 @@ def stream_new_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Items that arrive on the stream and are not among those processed before."""
     done = table(spark, sf_dir, "events").filter("event_id % 3 = 0").select("event_id")
     return incremental.stream_new_items(spark, f"{sf_dir}/events.parquet", done, "event_id").select("event_id", "event_type", "value")
+
+
+@query("select event_id, min(ts) as first_seen from events group by event_id")
+def stream_marks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Items marked as processed once."""
+    return incremental.mark_processed(spark, f"{sf_dir}/events.parquet", "event_id").select("event_id", "first_seen")
+
+
+@query("select u.user_id, coalesce(max(event_id) + 1, 0)::bigint as resume from (select c_custkey as user_id from customer) u left join events e on u.user_id = e.user_id and event_type <> 'error' group by u.user_id")
+def resume_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where each job goes on: one after its last index, 0 for one that has not begun."""
+    done = incremental.resume_index(table(spark, sf_dir, "events").filter("event_type <> 'error'"), "user_id", "event_id")
+    jobs = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("user_id"))
+    return jobs.join(done, "user_id", "left").select("user_id", F.coalesce("resume", F.lit(0)).cast("long").alias("resume"))
+
+
+@query(r"""
+with l as (select user_id, event_id, case event_id % 5 when 0 then 'epoch ' || event_id % 9 || '/10' when 1 then 'steps: ' || event_id || '/9000 loss=' || value::varchar when 2 then 'CUDA out of memory' when 3 then 'RuntimeError: x' else 'fine' end as line from events),
+f as (select user_id, event_id, try_cast(regexp_extract(line, '(?i)epoch\s+(\d+)/\d+', 1) as int) as epoch, try_cast(regexp_extract(line, '(?i)steps?:?\s+(\d+)/\d+', 1) as int) as step, try_cast(regexp_extract(line, 'loss[=:\s]+([0-9]*\.?[0-9]+)', 1) as double) as loss,
+  case when regexp_matches(line, '(?i)out of memory|oom') then 'oom_error' when regexp_matches(line, '(?i)error|exception|traceback') then 'generic_error' end as error from l)
+select user_id, arg_max(epoch, event_id) filter (epoch is not null) as epoch, arg_max(step, event_id) filter (step is not null) as step, arg_max(loss, event_id) filter (loss is not null) as loss, arg_max(error, event_id) filter (error is not null) as error, count(error)::bigint as errors from f group by user_id""")
+def log_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The record that a job's log lines fold into, with its last error and their number."""
+    from millrace.functions.scores import log_fields
+
+    e, text = F.col("event_id"), F.col("event_id").cast("string")
+    line = F.when(e % 5 == 0, F.concat(F.lit("epoch "), (e % 9).cast("string"), F.lit("/10"))).when(e % 5 == 1, F.concat(F.lit("steps: "), text, F.lit("/9000 loss="), F.col("value").cast("string")))
+    line = line.when(e % 5 == 2, "CUDA out of memory").when(e % 5 == 3, "RuntimeError: x").otherwise("fine")
+    rows = table(spark, sf_dir, "events").select("user_id", "event_id", line.alias("line")).select("user_id", "event_id", *(v.alias(k) for k, v in log_fields(F.col("line")).items()))
+    fields = ["epoch", "step", "loss", "error"]
+    return L.fold_last(rows, "user_id", ["event_id"], fields).join(rows.groupBy("user_id").agg(F.count("error").alias("errors")), "user_id")

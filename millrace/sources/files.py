@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -31,13 +32,27 @@ def load_records(spark: SparkSession, path: str, schema: StructType | None = Non
     return require_columns(spark.createDataFrame([], schema), required or [])
 
 
-def save_records(df: DataFrame, path: str) -> str:
-    """Write by suffix; an empty table keeps its schema."""
-    if path.endswith(".csv"):
-        df.write.mode("overwrite").csv(path, header=True)
-    else:
-        df.write.mode("overwrite").parquet(path)
-    return path
+def save_records(df: DataFrame, path: str, prefer: str | None = None) -> str:
+    """Write as Parquet or CSV, as the suffix or `prefer` says, and as the other one where that format can't hold the columns; returns the path.
+
+    The suffix is changed to what is written. An empty table keeps its schema.
+    """
+    stem, dot, suffix = path.rpartition(".")
+    stem = stem if dot and suffix in ("parquet", "csv") else path
+    first = prefer or (suffix if suffix in ("parquet", "csv") else "parquet")
+    for kind in (first, "csv" if first == "parquet" else "parquet"):
+        place = f"{stem}.{kind}"
+        try:
+            if kind == "csv":
+                df.write.mode("overwrite").csv(place, header=True)
+            else:
+                df.write.mode("overwrite").parquet(place)
+        except AnalysisException:  # a column type that the format doesn't have
+            if kind != first:
+                raise
+            continue
+        return place
+    raise AssertionError
 
 
 def load_report_csv(spark: SparkSession, path: str, index: str, numbers: list[str], texts: list[str]) -> DataFrame:
@@ -108,3 +123,46 @@ def manifest(tables: dict[str, DataFrame]) -> DataFrame:
     for p in parts[1:]:
         out = out.unionByName(p)
     return out.withColumn("status", F.when(F.col("rows") > 0, "complete").otherwise("empty"))
+
+
+def frame_rows(videos: DataFrame, video: str, frames: str) -> DataFrame:
+    """A row for each frame of each video: frame_id is the video and the number in six digits."""
+    rows = videos.filter(F.col(frames) > 0).select(video, F.explode(F.sequence(F.lit(0).cast("long"), F.col(frames).cast("long") - 1)).alias("frame_index"))
+    return rows.select(F.concat(F.col(video).cast("string"), F.lit("_"), F.lpad(F.col("frame_index").cast("string"), 6, "0")).alias("frame_id"), video, "frame_index")
+
+
+def stub_frames(spark: SparkSession, video: str, n: int, width: int = 64, height: int = 64) -> DataFrame:
+    """n frames without pictures: the hash of each is the sha1 of its id."""
+    rows = frame_rows(spark.range(1).select(F.lit(video).alias("video_id"), F.lit(n).alias("n")), "video_id", "n")
+    return rows.select("frame_id", "video_id", "frame_index", F.lit(width).alias("width"), F.lit(height).alias("height"), F.sha1("frame_id").alias("phash"))
+
+
+def interval_step(fps, seconds: float | None = None, frames: int | None = None):  # noqa: ANN001, ANN201
+    """Frames between two samples: from seconds, from frames, or one second's; 1 at least."""
+    step = F.floor(fps * seconds) if seconds is not None else F.lit(frames) if frames is not None else F.floor(fps)
+    return F.greatest(step.cast("long"), F.lit(1).cast("long"))
+
+
+def interval_positions(total, step):  # noqa: ANN001, ANN201
+    """0, step, 2 step, ... below total; none of an empty video."""
+    return F.when(total > 0, F.sequence(F.lit(0).cast("long"), total.cast("long") - 1, step.cast("long"))).otherwise(F.array().cast("array<bigint>"))
+
+
+def flat_tracks(tracks: DataFrame, track: str, detections: str) -> DataFrame:
+    """A row for each detection of each track; tracks without any have none."""
+    return tracks.select(track, F.explode(detections).alias("d")).select(track, "d.*")
+
+
+def export_tracks(tracks: DataFrame, track: str, detections: str, path: str) -> str:
+    """Flat tracks as Parquet, CSV or JSON lines, by the suffix."""
+    rows = flat_tracks(tracks, track, detections)
+    if path.endswith(".json"):
+        rows.write.mode("overwrite").json(path)
+        return path
+    return save_records(rows, path)
+
+
+def merged_names(df: DataFrame, name: str, source: str, sources: list, target: str) -> DataFrame:
+    """The rows of several sources under one target, each name with its source in front."""
+    moved = df.filter(F.col(source).isin(sources))
+    return moved.withColumns({name: F.concat_ws("_", F.col(source).cast("string"), F.col(name)), "target": F.lit(target)})

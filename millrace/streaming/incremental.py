@@ -2,17 +2,18 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
+
+from millrace.operators.rounds import shared_dir
 
 
 def _work_dir(spark: SparkSession, name: str) -> str:
-    """A folder for a stream's checkpoint and output: in spark.checkpoint.dir, or a temporary one where that is unset."""
-    base = spark.sparkContext.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="millrace-stream-")
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A folder of the shared one for a stream's checkpoint and output."""
+    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 def source(spark: SparkSession, path: str) -> DataFrame:
@@ -31,16 +32,35 @@ def _is_file(spark: SparkSession, path: str) -> bool:
     return where.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(where).isFile()
 
 
-def run_available(df: DataFrame, work: str, mode: str) -> DataFrame:
-    """Run a stream over what is there, keep its last complete table or all appended rows, and return that."""
+def timed(stream: DataFrame, column: str = "ts") -> DataFrame:
+    """The stream with its event time in the type that watermarks need."""
+    return stream.withColumn(column, F.col(column).cast("timestamp"))
+
+
+def run_available(df: DataFrame, work: str, mode: str, key: list[str] | None = None) -> DataFrame:
+    """Run a stream over what is there, keep its last complete table or all appended rows, and return that.
+
+    A batch is written to a folder of its number, so one that runs again replaces itself. In update mode later batches
+    win for each key.
+    """
     out = f"{work}/out"
 
     def save(batch: DataFrame, epoch: int) -> None:
-        batch.write.mode("overwrite" if mode == "complete" else "append").parquet(out)
+        batch.write.mode("overwrite").parquet(out if mode == "complete" else f"{out}/batch={epoch}")
 
     job = df.writeStream.outputMode(mode).foreachBatch(save).option("checkpointLocation", f"{work}/state").trigger(availableNow=True).start()
     job.awaitTermination()
-    return df.sparkSession.read.schema(df.schema).parquet(out)
+    spark = df.sparkSession
+    if mode == "complete":
+        return spark.read.schema(df.schema).parquet(out)
+    where = spark._jvm.org.apache.hadoop.fs.Path(out)
+    if not where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where):
+        return spark.createDataFrame([], df.schema)
+    rows = spark.read.schema(StructType([*df.schema.fields, StructField("batch", LongType())])).parquet(out)
+    if mode == "update" and key:
+        rest = [c for c in df.columns if c not in key]
+        return rows.groupBy(*key).agg(F.max_by(F.struct(*rest), "batch").alias("_last")).select(*key, "_last.*").select(*df.columns)
+    return rows.drop("batch")
 
 
 def stream_stats(spark: SparkSession, path: str) -> DataFrame:
@@ -49,13 +69,25 @@ def stream_stats(spark: SparkSession, path: str) -> DataFrame:
     return run_available(totals, _work_dir(spark, "stream-stats"), "complete")
 
 
-def stream_windows(spark: SparkSession, path: str, size: str) -> DataFrame:
-    """Counts by user and tumbling window."""
-    counts = source(spark, path).groupBy("user_id", F.window("ts", size)).agg(F.count("*").alias("n"))
-    return run_available(counts.select("user_id", F.col("window.start").alias("hour"), "n"), _work_dir(spark, "stream-windows"), "complete")
+def stream_windows(spark: SparkSession, path: str, size: str, late: str = "2 days") -> DataFrame:
+    """Counts by user and tumbling window. Windows are dropped from the state once the watermark has passed them; rows later than that don't count."""
+    counts = timed(source(spark, path)).withWatermark("ts", late).groupBy("user_id", F.window("ts", size)).agg(F.count("*").alias("n"))
+    rows = counts.select("user_id", F.col("window.start").cast("timestamp_ntz").alias("hour"), "n")
+    return run_available(rows, _work_dir(spark, "stream-windows"), "update", ["user_id", "hour"])
 
 
 def stream_new_items(spark: SparkSession, path: str, done: DataFrame, key: str) -> DataFrame:
     """Rows whose key is not in `done`, appended as they come."""
     fresh = source(spark, path).join(done.select(key).distinct(), key, "left_anti")
     return run_available(fresh, _work_dir(spark, "stream-new"), "append")
+
+
+def mark_processed(spark: SparkSession, path: str, key: str, late: str = "30 days") -> DataFrame:
+    """key, first_seen of each item on a stream, once, however often it comes within the watermark."""
+    items = timed(source(spark, path)).withWatermark("ts", late).dropDuplicatesWithinWatermark([key]).select(key, F.col("ts").cast("timestamp_ntz").alias("first_seen"))
+    return run_available(items, _work_dir(spark, "stream-marks"), "append")
+
+
+def resume_index(marks: DataFrame, group: str, index: str) -> DataFrame:
+    """group, resume: where each job goes on, one after its last index."""
+    return marks.groupBy(group).agg((F.max(index) + 1).alias("resume"))
