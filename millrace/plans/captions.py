@@ -7,12 +7,16 @@ from pyspark.sql import functions as F
 
 from millrace.functions import text as T
 from millrace.plans.registry import query
-from millrace.session import table
+from millrace.session import spread, table
 
 _CLEAN = """translate({0}, '.,!?;:()[]{{}}"''-', repeat(' ', 15))"""
 _WORDS = rf"list_filter(string_split_regex({{0}}, '{T.SPACE.replace('{', '{{').replace('}', '}}')}+'), lambda w: w <> '')"
 
 
+def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spread(table(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang"))
+
+
 def words_sql(text: str) -> str:
     return _WORDS.format(_CLEAN.format(text))
 
@@ -39,7 +43,7 @@ select doc_id, len({plain_words_sql('text')})::bigint as n_words, {SD_SQL}::bigi
 from documents""")
 def caption_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = F.col("text")
-    rows = table(spark, sf_dir, "documents").select("doc_id", "text", F.lower("text").alias("low"))
+    rows = _docs(spark, sf_dir).select("doc_id", "text", F.lower("text").alias("low"))
     return rows.select(
         "doc_id", F.size(T.split_words(t)).cast("long").alias("n_words"), T.sd_tokens(t).cast("long").alias("sd_tokens"), T.pattern_tokens(t).cast("long").alias("pattern_tokens"),
         T.quarter_tokens(t).cast("long").alias("quarter_tokens"), T.list_tokens(t).cast("long").alias("list_tokens"), T.style(t, F.col("low")).alias("style"), F.md5("low").alias("digest"),
@@ -64,7 +68,7 @@ issues as (
 
 
 def _issues(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "text", T.caption_words(F.lower("text")).alias("words"))
+    rows = _docs(spark, sf_dir).select("doc_id", "source", "lang", "text", T.caption_words(F.lower("text")).alias("words"))
     tokens = F.size("words") + F.floor(F.char_length("text") / 8)  # as many words as in the text as it is
     rows = rows.withColumn("tokens", tokens)
     return rows.select("doc_id", "source", "lang", T.caption_issues(F.col("text"), F.col("words"), F.col("tokens")).alias("issues"))
@@ -104,7 +108,7 @@ scored as (select *, greatest(0, least(100, 100 - case when tokens < 10 then 30
 
 def validated(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = F.col("text")
-    rows = table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "text", T.pattern_tokens(t).alias("tokens"), F.lower(t).alias("low"))
+    rows = _docs(spark, sf_dir).select("doc_id", "source", "lang", "text", T.pattern_tokens(t).alias("tokens"), F.lower(t).alias("low"))
     rows = rows.select("doc_id", "source", "lang", "tokens", T.validation_issues(t, None, F.col("tokens"), F.col("low")).alias("issues"))
     return rows.withColumn("score", T.validation_score(F.col("tokens"), F.col("issues")))
 
@@ -133,14 +137,14 @@ _FIX = f"case when contains(lower({_FIX}), 'the') then {_FIX} else 'the, ' || {_
 
 @query(rf"with f as (select doc_id, {_FIX} as t from documents) select doc_id, md5(regexp_replace(upper(t[1:1]) || t[2:], ',\z', '')) as fixed_md5, length(regexp_replace(t, ',\z', ''))::bigint as fixed_chars from f")
 def caption_fix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    fixed = table(spark, sf_dir, "documents").select("doc_id", T.fix_caption(F.col("text"), "the").alias("t"))
+    fixed = _docs(spark, sf_dir).select("doc_id", T.fix_caption(F.col("text"), "the").alias("t"))
     return fixed.select("doc_id", F.md5("t").alias("fixed_md5"), F.char_length("t").cast("long").alias("fixed_chars"))
 
 
 @query(r"select doc_id, md5(regexp_replace(regexp_replace(text, '\s+', ' ', 'g'), '\A[ ,]+|[ ,]+\z', '', 'g')) as normalized_md5, md5(case when starts_with(lower(trim(text)), 'the,') or starts_with(lower(trim(text)), 'the ') or starts_with(lower(trim(text)), 'a 3d animated character, the') then trim(text) else 'the, ' || trim(text) end) as prefixed_md5 from documents")
 def caption_prefix(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = F.col("text")
-    return table(spark, sf_dir, "documents").select("doc_id", F.md5(T.normalized_caption(t)).alias("normalized_md5"), F.md5(T.with_prefix(t, "the")).alias("prefixed_md5"))
+    return _docs(spark, sf_dir).select("doc_id", F.md5(T.normalized_caption(t)).alias("normalized_md5"), F.md5(T.with_prefix(t, "the")).alias("prefixed_md5"))
 
 
 @query(f"""
@@ -151,7 +155,7 @@ from t group by source, lang""")
 def token_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = F.col("n")
     band = lambda low, high: F.count_if((n >= low) & (n < high))
-    return table(spark, sf_dir, "documents").select("source", "lang", T.sd_tokens(F.col("text")).alias("n")).groupBy("source", "lang").agg(
+    return _docs(spark, sf_dir).select("source", "lang", T.sd_tokens(F.col("text")).alias("n")).groupBy("source", "lang").agg(
         F.count("*").alias("total"), F.count_if(n < 20).alias("under_20"), band(20, 40).alias("from_20"), band(40, 60).alias("from_40"), band(60, 77).alias("from_60"),
         F.count_if(n >= 77).alias("from_77"), F.round(F.avg("n"), 6).alias("avg_tokens"), F.min("n").cast("long").alias("min_tokens"), F.max("n").cast("long").alias("max_tokens"),
     )
@@ -161,7 +165,7 @@ def token_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
 select word, count(*)::bigint as n from (select unnest({words_sql('lower(text)')}) as word from documents)
 where length(word) > 1 and word not in ({', '.join(f"'{w}'" for w in T.STOPWORDS)}) group by word order by n desc, word limit 50""")
 def word_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
-    words = table(spark, sf_dir, "documents").select(F.explode(T.content_words(F.col("text"))).alias("word"))
+    words = _docs(spark, sf_dir).select(F.explode(T.content_words(F.col("text"))).alias("word"))
     return words.groupBy("word").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "word").limit(50)
 
 
@@ -172,7 +176,7 @@ def caption_simplified(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     more = F.when(F.col("doc_id") % 5 == 0, ", 8K, high-resolution PBR materials , , a young Italian boy with wild, curly brown hair .  . Stunning")
     more = more.when(F.col("doc_id") % 5 == 1, ". Rendered at 4k resolution, sun-kissed tanned skin, yellow tank top, close-up, smiling").otherwise("")
-    return table(spark, sf_dir, "documents").select("doc_id", simplified(F.concat("text", more)).alias("caption"))
+    return _docs(spark, sf_dir).select("doc_id", simplified(F.concat("text", more)).alias("caption"))
 
 
 @query(r"""
@@ -184,7 +188,7 @@ def caption_conversion(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     name = F.concat(F.lit("/a/b/"), F.when(F.col("doc_id") % 3 == 0, "image_1_2.png").otherwise(F.concat(F.lit("prompt_"), F.lpad((F.col("doc_id") % 100).cast("string"), 4, "0"), F.lit("_img_01.png"))))
     full = P.expanded(F.col("text"), F.when(F.col("doc_id") % 2 == 0, "masterpiece").otherwise(""), F.lit("soft light"))
-    return table(spark, sf_dir, "documents").select("doc_id", P.converter_tokens(F.col("text")).alias("tokens"), P.prompt_key(name).alias("key"), F.md5(full).alias("expanded_md5"))
+    return _docs(spark, sf_dir).select("doc_id", P.converter_tokens(F.col("text")).alias("tokens"), P.prompt_key(name).alias("key"), F.md5(full).alias("expanded_md5"))
 
 
 _GROUP_CTE = _ISSUES_CTE.replace("issues as (", "named as (", 1) + f""",
@@ -200,7 +204,7 @@ q as (select g.source, captions, mean, trigger_rate, duplicates, issues, case wh
 def _groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Caption statistics and score of each source."""
     t, low = F.col("text"), F.col("low")
-    m = table(spark, sf_dir, "documents").select("source", "text", F.lower("text").alias("low")).withColumn("words", T.caption_words(low))
+    m = _docs(spark, sf_dir).select("source", "text", F.lower("text").alias("low")).withColumn("words", T.caption_words(low))
     m = m.withColumn("tokens", F.size("words") + F.floor(F.char_length("text") / 8))
     m = m.select("source", "tokens", low.contains("the").alias("has_trigger"), T.style(t, low).alias("style"), F.md5("low").alias("digest"), F.size(T.caption_issues(t, F.col("words"), F.col("tokens"))).alias("n_issues"))
     g = m.groupBy("source").agg(F.count("*").alias("captions"), F.avg("tokens").alias("mean"), F.stddev_pop("tokens").alias("std"), F.avg(F.col("has_trigger").cast("int")).alias("trigger_rate"), F.sum("n_issues").alias("issues"))

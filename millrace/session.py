@@ -31,3 +31,12 @@ def build_session(cpus: str = "*", app: str = "millrace", shuffle_partitions: in
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One input table; the path may be in any store that Spark can read."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """df dealt to all cores where its input has fewer files than there are cores, for work that takes long a row.
+
+    Such a file may be a single row group, which only one task can read. Inputs of many files stay as they are.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if len(df.inputFiles()) < cores else df
