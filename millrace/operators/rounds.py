@@ -93,6 +93,14 @@ def picked_in_rounds(df: DataFrame, group: str, key: str, columns: list[str], sc
     return taken.select(group, F.posexplode("picks").alias("pick", "p")).select(group, "pick", "p.*")
 
 
+def _part_of(key: Column, points: list[Column], first: int = 0) -> Column:
+    """How many of the sorted points are not after key: a balanced tree of comparisons."""
+    if not points:
+        return F.lit(first)
+    middle = len(points) // 2
+    return F.when(key < points[middle], _part_of(key, points[:middle], first)).otherwise(_part_of(key, points[middle + 1 :], first + middle + 1))
+
+
 def positions(df: DataFrame, order: list[str], name: str, parts: int | None = None, group: list[str] | None = None) -> DataFrame:
     """Add name: 0, 1, ... in the given order, in the whole table or in each group, without one task for all rows.
 
@@ -108,8 +116,7 @@ def positions(df: DataFrame, order: list[str], name: str, parts: int | None = No
     kinds = {f.name: f.dataType for f in df.select(*keys).schema.fields}
     cuts = [drawn[len(drawn) * i // parts]["k"] for i in range(1, parts)] if len(drawn) >= parts else []
     points = [F.struct(*(F.lit(c[k]).cast(kinds[k]).alias(k) for k in keys)) for c in cuts]
-    part = F.size(F.filter(F.array(*points), lambda p: p <= key)) if points else F.lit(0)
-    cut = df.withColumn("_part", part)
+    cut = df.withColumn("_part", _part_of(key, points))
     window = Window.partitionBy(*(group or [])) if group else Window.partitionBy(F.lit(0))
     counts = cut.groupBy(*(group or []), "_part").agg(F.count("*").alias("_n"))
     before = counts.withColumn("_before", F.sum("_n").over(window.orderBy("_part")) - F.col("_n")).drop("_n")
@@ -135,8 +142,8 @@ def quantiles(df: DataFrame, group: list[str], value: str, shares: list[float],
     drawn = values.select(key.alias("k")).sample(min(1.0, 64 * parts / max(rows, 1)), 1).orderBy("k").collect() if parts > 1 and rows else []
     kinds = {f.name: f.dataType for f in values.schema.fields}
     cuts = [drawn[len(drawn) * i // parts]["k"] for i in range(1, parts)] if len(drawn) >= parts else []
-    points = F.array(*(F.struct(*(F.lit(c[k]).cast(kinds[k]).alias(k) for k in [*group, "_v"])) for c in cuts))
-    cut = values.withColumn("_part", F.size(F.filter(points, lambda p: p <= key)) if cuts else F.lit(0))
+    points = [F.struct(*(F.lit(c[k]).cast(kinds[k]).alias(k) for k in [*group, "_v"])) for c in cuts]
+    cut = values.withColumn("_part", _part_of(key, points))
     window = Window.partitionBy(*group) if group else Window.partitionBy(F.lit(0))
     counts = cut.groupBy(*group, "_part").agg(F.sum("_n").alias("_size")).withColumn("_upto", F.sum("_size").over(window.orderBy("_part")))
     counts = counts.withColumn("_all", F.sum("_size").over(window)).withColumn("share", F.explode(F.array(*(F.lit(s) for s in shares))))
