@@ -1,17 +1,13 @@
-"""Row filters that add whether a row passed and why not; filters compose."""
+"""Row filters as reasons: a filter is the reason for which a row fails, null where it passes; filters compose."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from functools import reduce
 from operator import and_, or_
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: A filter gives the reason for which a row fails, or null where it passes.
-Filter = Callable[[], Column]
-
 
 def first_failure(checks: list[tuple[Column, str]]) -> Column:
     """Name of the first check that fails a row; null where none does."""

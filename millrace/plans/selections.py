@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from millrace.functions.vector import md5_key
 from millrace.operators import records as R
 from millrace.operators import sampling as S
 from millrace.operators import timeline as L
