@@ -18,6 +18,7 @@ from millrace.llm.quality import quality_scores
 from millrace.llm.secret_scan import secret_report
 from millrace.llm.token_counts import token_counts
 from millrace.llm.url_filter import judge_urls
+from millrace.llm.whitening import whitened_components
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -64,6 +65,10 @@ def op10_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kd_shards(_table(spark, sf_dir, "documents"), shards=40)
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitened_components(_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -77,6 +82,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_url_filter,
         op9_fuzzy_passages,
         op10_kd_shards,
+        op11_whitening,
     )
 }
 #: Equivalents in DuckDB SQL; the other queries are tested against brute force.
