@@ -12,6 +12,8 @@ from millrace.llm import kd_shards as _kd
 from millrace.llm import secret_scan as _secrets
 from millrace.llm.kd_shards import kd_shards
 from millrace.llm.media_source import media_columns
+from millrace.llm import merkle as _merkle
+from millrace.llm.merkle import document_manifest
 from millrace.llm.near_dedup import near_duplicate_classes
 from millrace.llm.packing import pack_documents
 from millrace.llm.quality import quality_scores
@@ -69,6 +71,10 @@ def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitened_components(_table(spark, sf_dir, "embeddings"))
 
 
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return document_manifest(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -83,7 +89,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_fuzzy_passages,
         op10_kd_shards,
         op11_whitening,
+        op12_merkle,
     )
 }
 #: Equivalents in DuckDB SQL; the other queries are tested against brute force.
-ORACLES: dict[str, str] = {"op3_secret_scan": _secrets.oracle_sql(), "op10_kd_shards": _kd.oracle_sql(40)}
+ORACLES: dict[str, str] = {"op3_secret_scan": _secrets.oracle_sql(), "op10_kd_shards": _kd.oracle_sql(40), "op12_merkle": _merkle.oracle_sql()}
