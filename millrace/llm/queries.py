@@ -11,6 +11,7 @@ from millrace.llm.fuzzy_passages import fuzzy_passages
 from millrace.llm import kd_shards as _kd
 from millrace.llm import secret_scan as _secrets
 from millrace.llm.kd_shards import kd_shards
+from millrace.llm.main_text import extract_pages
 from millrace.llm.media_source import media_columns
 from millrace.llm import merkle as _merkle
 from millrace.llm.merkle import document_manifest
@@ -75,6 +76,10 @@ def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return document_manifest(_table(spark, sf_dir, "documents"))
 
 
+def op13_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_pages(_table(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -90,6 +95,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op10_kd_shards,
         op11_whitening,
         op12_merkle,
+        op13_main_text,
     )
 }
 #: Equivalents in DuckDB SQL; the other queries are tested against brute force.
