@@ -30,6 +30,8 @@ from millrace.llm._shared import slices, texts_of, written
 
 #: White space on both sides of a space: here a piece between spaces can't be encoded by itself.
 _RUN = re.compile(r"\s \s")
+#: A line end with neither white space nor a border beside it.
+_LINE_END = re.compile(r"(?<=\S)\n(?=\S)")
 _SPECIAL = "<|endoftext|>"
 _ENCODERS: dict[str, "PieceEncoder"] = {}
 
@@ -59,26 +61,40 @@ class PieceEncoder:
     def _ids(self, text: str) -> bytes:
         return array("I", self.pieces.encode_ordinary(text)).tobytes()
 
-    def _learn(self, piece: str, lead: str = " ") -> bytes:
-        """Ids of lead and a piece that has not been met. Letters with one mark after them are put together from two parts."""
-        line, mark, rest = piece.partition("\n")
-        if piece.isalpha():
-            ids = array("I", self.merge((lead + piece).encode())).tobytes()
-        elif piece[-1:] in (".", ",") and piece[:-1].isalpha():
-            ids = self._of(piece[:-1], lead) + self.marks[piece[-1]]
-        elif mark and rest and line and not line[-1].isspace() and not rest[0].isspace():
-            ids = self._of(line, lead) + self.marks[mark] + self._of(rest, "")
+    def _line(self, line: str, lead: str) -> bytes:
+        """Ids of lead and a part without a line end that could be cut. Letters with one mark after them are put together from two parts."""
+        kept = self.known if lead else self.begun
+        ids = kept.get(line)
+        if ids is not None:
+            return ids
+        if line.isalpha():
+            ids = array("I", self.merge((lead + line).encode())).tobytes()
+        elif line[-1:] in (".", ",") and line[:-1].isalpha():
+            word = kept.get(line[:-1])
+            ids = (array("I", self.merge((lead + line[:-1]).encode())).tobytes() if word is None else word) + self.marks[line[-1]]
         else:
-            ids = self._ids(lead + piece)
-        if len(piece) < 64:
-            kept = self.known if lead else self.begun
+            ids = self._ids(lead + line)
+        if len(line) < 64:
             if len(kept) >= self.limit:
                 kept.clear()
-            kept[piece] = ids
+            kept[line] = ids
         return ids
 
-    def _of(self, piece: str, lead: str) -> bytes:
-        return (self.known if lead else self.begun).get(piece) or self._learn(piece, lead)
+    def _learn(self, piece: str) -> bytes:
+        """Ids of a space and a piece that has not been met. A line end between two marks or letters is encoded alone, so lines are, too."""
+        parts: list[bytes] = []
+        lead = " "
+        for line in _LINE_END.split(piece) if "\n" in piece else [piece]:
+            if parts:
+                parts.append(self.marks["\n"])
+            parts.append(self._line(line, lead))
+            lead = ""
+        ids = b"".join(parts)
+        if len(piece) < 64:
+            if len(self.known) >= self.limit:
+                self.known.clear()
+            self.known[piece] = ids
+        return ids
 
     def __call__(self, text: str) -> bytes:
         if _SPECIAL in text:

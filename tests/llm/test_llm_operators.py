@@ -311,6 +311,21 @@ def test_pieces_between_spaces_encode_alone():
         assert np.frombuffer(fast(t), "<u4").tolist() == whole.encode(t, add_special_tokens=False).ids, repr(t)
 
 
+def test_long_stretches_without_a_space_encode_as_the_tokenizer_does(spark):
+    """Lists of words, numbers and minified code by line, and runs of letters, of up to a million lines or characters."""
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    whole, fast = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json")), encoder("byte_bpe_50k.json", "byte_bpe_50k.tiktoken")
+    rnd = random.Random(9)
+    cell = lambda: rnd.choice(["ab", "Word", "x1;", "é.", "12,", "if(a){b}", "'s", "", "\ttab", "end,"])
+    texts = ["a " + "\n".join(cell() for _ in range(n)) for n in (1, 2, 600, 2_000, 100_000)] + ["a " + "x\n" * 1_000_000, "start\n" * 2_000 + " x", "ab" * 50_000, "a " + "\n\n".join("ab" for _ in range(2_000))]
+    for t in texts:
+        assert np.frombuffer(fast(t), "<u4").tolist() == whole.encode(t, add_special_tokens=False).ids
+    lengths = {r["doc_id"]: r["n"] for r in pack_documents(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).groupBy("doc_id").agg(F.sum("length").alias("n")).collect()}
+    assert all(lengths[i] == len(fast(t)) // 4 + 1 for i, t in enumerate(texts))
+
+
 # secrets
 
 
