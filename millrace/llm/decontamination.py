@@ -16,6 +16,7 @@ nothing; repeated rows give repeated results; an empty table gives an empty resu
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -41,91 +42,202 @@ def _grams(plain: np.ndarray) -> np.ndarray:
         return (x ^ (x >> _U(29))) * _U(0xBF58476D1CE4E5B9)
 
 
+def _four_grams(rows: np.ndarray) -> np.ndarray:
+    """A 16-bit hash of the 4 bytes from each place on, of each row."""
+    x = sum((rows[:, i : rows.shape[1] - 3 + i].astype(np.uint32) << np.uint32(8 * i) for i in range(4)), np.uint32(0))
+    return ((x * np.uint32(0x9E3779B1)) >> np.uint32(16)).astype(np.uint16)
+
+
+def _join(regions: list[list[int]], a: int, b: int, e: int) -> None:
+    """Add a region; one that begins within the last is joined with it."""
+    if regions and regions[-1][0] <= a <= regions[-1][1]:
+        regions[-1][1], regions[-1][2] = max(regions[-1][1], b), max(regions[-1][2], e)
+    else:
+        regions.append([a, b, e])
+
+
+class _Postings:
+    """Which owners (windows, or templates) have a gram, and where. count_bands finds the owners' bands with enough shared grams."""
+
+    def __init__(self, gram: np.ndarray, owner: np.ndarray, place: np.ndarray, length: np.ndarray, edits: np.ndarray, need: np.ndarray) -> None:
+        order = np.argsort(gram, kind="stable")
+        self.owner, self.place, self.length, self.need = owner[order].astype(np.int64), place[order].astype(np.int64), length, need
+        self.step = edits + 1
+        self.gram, self.first = np.unique(gram[order], return_index=True)
+        self.count = np.diff(np.concatenate([self.first, [len(gram)]]))
+        self.table = np.zeros(1 << TABLE_BITS, bool)
+        self.table[(self.gram >> _U(64 - TABLE_BITS)).astype(np.int64)] = True
+
+    def count_bands(self, grams: np.ndarray, offsets: np.ndarray, most: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """Document, owner and least diagonal of each band with at least `need` hits.
+
+        Hits are made by at most `most` at a time (or one position's), in the order of the text; a band that no later position
+        can reach is settled at once, so only counts of bands that are still open are held.
+        """
+        if not len(grams) or not len(self.gram):
+            return
+        ends = offsets[1:]
+        at = np.flatnonzero(self.table[(grams >> _U(64 - TABLE_BITS)).astype(np.int64)])
+        known = np.minimum(np.searchsorted(self.gram, grams[at]), len(self.gram) - 1)
+        same = self.gram[known] == grams[at]
+        known, at = known[same], at[same]
+        doc = np.searchsorted(ends, at, side="right")
+        inside = at + Q <= ends[doc]
+        known, at, doc = known[inside], at[inside], doc[inside]
+        times = self.count[known]
+        upto = np.cumsum(times)
+        owners, many = len(self.length), int((np.diff(offsets).max() + 2 * self.length.max()) // self.step.min()) + 3
+        keys, counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        lo = 0
+        while lo < len(at):
+            hi = max(lo + 1, int(np.searchsorted(upto, (upto[lo - 1] if lo else 0) + most, side="right")))
+            n = times[lo:hi]
+            entry = np.repeat(self.first[known[lo:hi]], n) + np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
+            owner, where, of = self.owner[entry], np.repeat(at[lo:hi], n), np.repeat(doc[lo:hi], n)
+            band = (where - self.place[entry] - offsets[of] + self.length[owner]) // self.step[owner]  # not negative
+            key = (of * owners + owner) * many + band
+            key, n = np.unique(np.concatenate([key, key[band > 0] - 1]), return_counts=True)
+            keys, back = np.unique(np.concatenate([keys, key]), return_inverse=True)
+            counts = np.bincount(back, np.concatenate([counts, n]), len(keys)).astype(np.int64)
+            owner, of, band = keys // many % owners, keys // many // owners, keys % many
+            after = int(at[hi]) if hi < len(at) else 1 << 62
+            closed = (offsets[of] + (band + 2) * self.step[owner] < after) | (ends[of] <= after)
+            enough = closed & (counts >= self.need[owner])
+            if enough.any():
+                yield of[enough], owner[enough], band[enough] * self.step[owner[enough]] - self.length[owner[enough]]
+            keys, counts = keys[~closed], counts[~closed]
+            lo = hi
+
+
+def _longest_run(flags: np.ndarray) -> tuple[int, int]:
+    """First and end of the longest run of true flags."""
+    edges = np.flatnonzero(np.diff(np.concatenate([[0], flags.view(np.int8), [0]])))
+    if not len(edges):
+        return 0, 0
+    i = int((edges[1::2] - edges[::2]).argmax())
+    return int(edges[2 * i]), int(edges[2 * i + 1])
+
+
 class BenchmarkIndex:
-    """The q-grams of the windows of one block of items."""
+    """The q-grams of the windows of one block of items; equal windows are one.
+
+    A gram that more than `hot` windows have is a template's. Of each window the longest run of such grams is left out of the first
+    count, as the lemma holds for any of its grams: of the g others at least g - kq must be met. Where g is at most kq, the window may
+    also lie where none of the others is met; then its run alone must have all the hits that are needed. Runs are counted once for
+    all windows that have them, and these windows are then told apart by their grams of 4 bytes, of which m - 3 - 4k must occur.
+    """
 
-    def __init__(self, items: list[tuple[int | None, str | None]]) -> None:
-        self.windows: list[np.ndarray] = []
+    def __init__(self, items: list[tuple[int | None, str | None]], hot: int = 64, most: int = 1 << 18) -> None:
         self.ids = [item for item, _ in items]  # any, also null or repeated; inside, an item is known by its number
-        self.item: list[int] = []
+        self.most = most
         self.short: list[tuple[int, bytes]] = []
+        owners: dict[bytes, list[int]] = {}
         for item, (_, text) in enumerate(items):
             plain = _PLAIN[np.frombuffer((text or "").strip().encode(), np.uint8)]
             if len(plain) < Q:
                 self.short += [(item, plain.tobytes())] if len(plain) else []
                 continue
             for start in sorted({*range(0, max(1, len(plain) - WINDOW + 1), WINDOW // 2), max(0, len(plain) - WINDOW)}):
-                self.windows.append(plain[start : start + WINDOW])
-                self.item.append(item)
-        grams = [_grams(w) for w in self.windows]
-        every = np.concatenate(grams) if grams else np.zeros(0, _U)
-        order = np.argsort(every, kind="stable")
-        self.window = np.repeat(np.arange(len(grams)), [len(g) for g in grams])[order]
-        self.place = np.concatenate([np.arange(len(g)) for g in grams])[order] if grams else np.zeros(0, np.int64)
-        self.gram, self.first = np.unique(every[order], return_index=True)
-        self.count = np.diff(np.concatenate([self.first, [len(every)]]))
-        self.table = np.zeros(1 << TABLE_BITS, bool)
-        self.table[(self.gram >> _U(64 - TABLE_BITS)).astype(np.int64)] = True
+                of = owners.setdefault(plain[start : start + WINDOW].tobytes(), [])
+                if not of or of[-1] != item:
+                    of.append(item)
+        self.windows = [np.frombuffer(w, np.uint8) for w in owners]
+        self.items = list(owners.values())
         self.length = np.array([len(w) for w in self.windows], np.int64)
         self.edits = np.minimum(self.length // EDIT_SHARE, np.maximum((self.length - Q) // Q, 0))
         self.bound = np.maximum(self.length - Q + 1 - self.edits * Q, 1)
+        sizes = self.length - Q + 1
+        every = np.concatenate([_grams(w) for w in self.windows]) if self.windows else np.zeros(0, _U)
+        window = np.repeat(np.arange(len(sizes)), sizes)
+        place = np.arange(len(every)) - np.repeat(np.cumsum(sizes) - sizes, sizes) if len(every) else np.zeros(0, np.int64)
+        _, back, times = np.unique(every, return_inverse=True, return_counts=True)
+        is_hot, counted, need = times[back] > hot, np.ones(len(every), bool), self.bound.copy()
+        runs: dict[tuple[bytes, int], list[tuple[int, int]]] = {}
+        begins = np.cumsum(sizes) - sizes
+        for w in np.unique(window[is_hot]).tolist():
+            begin = int(begins[w])
+            first, end = _longest_run(is_hot[begin : begin + sizes[w]])
+            counted[begin + first : begin + end] = False
+            left = int(sizes[w]) - (end - first) - int(self.edits[w]) * Q
+            need[w] = max(1, left)
+            if left <= 0 and end - first >= self.bound[w]:
+                runs.setdefault((self.windows[w][first : end + Q - 1].tobytes(), int(self.length[w])), []).append((w, first))
+        self.grams = _Postings(every[counted], window[counted], place[counted], self.length, self.edits, need)
+        self.members = list(runs.values())  # windows of each template, and where it begins in them
+        found = [_grams(np.frombuffer(run, np.uint8)) for run, _ in runs]
+        one = np.array([m[0][0] for m in self.members], np.int64)
+        self.templates = _Postings(
+            np.concatenate(found) if found else np.zeros(0, _U), np.repeat(np.arange(len(found)), [len(g) for g in found]), np.concatenate([np.arange(len(g)) for g in found]) if found else np.zeros(0, np.int64),
+            self.length[one], self.edits[one], self.bound[one],
+        )
+        self.fours: dict[int, np.ndarray] = {}
+
+    def _told_apart(self, template: int, text: np.ndarray) -> np.ndarray:
+        """The template's windows that may lie in the text by their grams of 4 bytes."""
+        members, size = self.members[template], int(self.length[self.members[template][0][0]])
+        if template not in self.fours:
+            if len(self.fours) >= 64:
+                self.fours.clear()
+            self.fours[template] = _four_grams(np.stack([self.windows[w] for w, _ in members]))
+        there = np.zeros(1 << 16, bool)
+        there[_four_grams(text[None, :])[0]] = True
+        enough = size - 3 - 4 * int(self.edits[members[0][0]])
+        grams = self.fours[template]
+        return np.concatenate([np.flatnonzero(there[grams[lo : lo + 1024]].sum(axis=1) >= enough) + lo for lo in range(0, len(grams), 1024)])
+
+    def _candidates(self, plain: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """Document, window and least diagonal of all bands in which a window may lie."""
+        grams = _grams(plain) if len(plain) >= Q else np.zeros(0, _U)
+        yield from self.grams.count_bands(grams, offsets, self.most)
+        for docs, templates, lows in self.templates.count_bands(grams, offsets, self.most) if self.members else ():
+            for d, t, low in zip(docs.tolist(), templates.tolist(), lows.tolist(), strict=True):
+                w, first = self.members[t][0]
+                size, reach = int(self.length[w]), 2 * int(self.edits[w]) + 3
+                shifts = np.array([f for _, f in self.members[t]], np.int64)
+                begin = max(0, low - int(shifts.max()))
+                text = plain[offsets[d] + begin : min(offsets[d + 1], offsets[d] + max(0, low + size + reach))]
+                if len(text) < 4:
+                    continue
+                left = self._told_apart(t, text)
+                if len(left):
+                    yield np.full(len(left), d), np.array([self.members[t][i][0] for i in left], np.int64), low - shifts[left]
 
-    def hits(self, plain: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Document, position in the concatenated texts and index entry of each shared q-gram."""
-        if len(plain) < Q or not len(self.gram):
-            return (np.zeros(0, np.int64),) * 3
-        grams = _grams(plain)
-        maybe = np.flatnonzero(self.table[(grams >> _U(64 - TABLE_BITS)).astype(np.int64)])
-        at = np.minimum(np.searchsorted(self.gram, grams[maybe]), len(self.gram) - 1)
-        same = self.gram[at] == grams[maybe]
-        at, maybe = at[same], maybe[same]
-        doc = np.searchsorted(ends, maybe, side="right")
-        inside = maybe + Q <= ends[doc]
-        at, maybe, doc = at[inside], maybe[inside], doc[inside]
-        times = self.count[at]
-        entry = np.repeat(self.first[at], times) + np.arange(int(times.sum())) - np.repeat(np.cumsum(times) - times, times)
-        return np.repeat(doc, times), np.repeat(maybe, times), entry
-
-    def regions(self, data: np.ndarray, offsets: np.ndarray) -> list[tuple[int, int, int, int, int]]:
+    def regions(self, data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[int, int, int, int, int]]:
         """(text, item, first byte, end byte, edits) of all verified regions, those of an item merged where they overlap."""
         plain = _PLAIN[data]
-        ends = offsets[1:]
-        doc, at, entry = self.hits(plain, ends)
-        found: list[tuple[int, int, int, int, int]] = []
-        if len(doc):
-            window = self.window[entry]
-            step = self.edits[window] + 1
-            diagonal = at - self.place[entry] - offsets[doc] + self.length[window]  # not negative
-            band = diagonal // step
-            many = int(band.max()) + 2
-            key = (doc * len(self.windows) + window) * many + band
-            key, n = np.unique(np.concatenate([key, key[band > 0] - 1]), return_counts=True)
-            window = key // many % len(self.windows)
-            enough = n >= self.bound[window]
-            key, window = key[enough], window[enough]
-            doc, low = key // many // len(self.windows), (key % many) * (self.edits[window] + 1) - self.length[window]
-            for lo in range(0, len(key), 512):
-                part = slice(lo, lo + 512)
-                distance, first, last = self._align(plain, offsets, doc[part], window[part], low[part])
-                for d, w, e, a, b in zip(doc[part], window[part], distance, first, last, strict=True):
-                    if e <= self.edits[w]:
-                        found.append((int(d), self.item[w], int(a), int(b), int(e)))
-        if self.short:
-            for d, (a, b) in enumerate(zip(offsets[:-1], offsets[1:], strict=True)):
-                text = plain[a:b].tobytes()
-                for item, pattern in self.short:
-                    spot = text.find(pattern)
-                    while spot >= 0:
-                        found.append((d, item, spot, spot + len(pattern), 0))
-                        spot = text.find(pattern, spot + len(pattern))
-        merged: list[tuple[int, int, int, int, int]] = []
-        for region in sorted(found):
-            if merged and merged[-1][:2] == region[:2] and region[2] <= merged[-1][3]:
-                d, item, a, b, e = merged[-1]
-                merged[-1] = (d, item, a, max(b, region[3]), max(e, region[4]))
-            else:
-                merged.append(region)
-        return [(d, self.ids[item], a, b, e) for d, item, a, b, e in merged]
+        found: dict[tuple[int, int], list[list[int]]] = {}  # of each text and window
+        if self.windows:
+            for doc, window, low in self._candidates(plain, offsets):
+                for lo in range(0, len(doc), 512):
+                    part = slice(lo, lo + 512)
+                    distance, first, last = self._align(plain, offsets, doc[part], window[part], low[part])
+                    good = np.flatnonzero(distance <= self.edits[window[part]])
+                    for d, w, a, b, e in zip(doc[part][good].tolist(), window[part][good].tolist(), first[good].tolist(), last[good].tolist(), distance[good].tolist(), strict=True):
+                        _join(found.setdefault((d, w), []), a, b, e)
+        shorts: dict[int, list[tuple[int, int, int]]] = {}
+        for d, (a, b) in enumerate(zip(offsets[:-1], offsets[1:], strict=True)) if self.short else ():
+            text = plain[a:b].tobytes()
+            for item, pattern in self.short:
+                spot = text.find(pattern)
+                while spot >= 0:
+                    shorts.setdefault(d, []).append((item, spot, spot + len(pattern)))
+                    spot = text.find(pattern, spot + len(pattern))
+        texts: dict[int, list[int]] = {}
+        for d, w in found:
+            texts.setdefault(d, []).append(w)
+        for d in sorted(texts.keys() | shorts.keys()):
+            of: dict[int, list[tuple[int, int, int]]] = {}
+            for w in texts.get(d, []):
+                for item in self.items[w]:
+                    of.setdefault(item, []).extend(map(tuple, found[d, w]))
+            for item, spot, end in shorts.get(d, []):
+                of.setdefault(item, []).append((spot, end, 0))
+            for item in sorted(of):
+                merged: list[list[int]] = []
+                for a, b, e in sorted(of[item]):
+                    _join(merged, a, b, e)
+                for a, b, e in merged:
+                    yield d, self.ids[item], a, b, e
 
     def _align(self, plain: np.ndarray, offsets: np.ndarray, doc: np.ndarray, window: np.ndarray, low: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Least edits of each window against its document within diagonals low to low + 2k + 2, and where that begins and ends."""
@@ -165,7 +277,7 @@ class BenchmarkIndex:
 
 
 def benchmark_blocks(benchmark: DataFrame, item_id: str = "item_id", text: str = "text", block_bytes: int = 4 << 20) -> Iterator[BenchmarkIndex]:
-    """Indexes of blocks of the benchmark; only one block at a time is on the driver."""
+    """Indexes of blocks of the benchmark, made one after another on the driver; each is one pass over the documents."""
     block: list[tuple[int, str]] = []
     held = 0
     for row in benchmark.select(F.col(item_id).alias("i"), F.coalesce(F.col(text), F.lit("")).alias("t")).toLocalIterator():
@@ -187,15 +299,16 @@ def contaminated_regions(df: DataFrame, benchmark: DataFrame, text: str = "text"
         shipped = df.sparkSession.sparkContext.broadcast(index)
 
         def run(batches: Iterator[pa.RecordBatch], shipped=shipped) -> Iterator[pa.RecordBatch]:
+            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32())
             for batch, data, offsets in slices(batches, "text"):
-                out = []
-                for d, item, a, b, edits in shipped.value.regions(data, offsets):
-                    body = data[offsets[d] : offsets[d + 1]]
-                    points = np.cumsum((body & 0xC0) != 0x80)  # code points begun up to each byte
-                    out.append((batch.column(0)[d].as_py(), item, int(points[a - 1]) if a else 0, int(points[b - 1]) if b else 0, edits))
-                if out:
-                    kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32())
-                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], ["doc_id", "item_id", "start", "end", "edits"])
+                found, of, points = shipped.value.regions(data, offsets), -1, np.zeros(0, np.int64)
+                while out := list(islice(found, 10_000)):
+                    rows = []
+                    for d, item, a, b, edits in out:
+                        if d != of:
+                            of, points = d, np.cumsum((data[offsets[d] : offsets[d + 1]] & 0xC0) != 0x80)  # code points begun up to each byte
+                        rows.append((batch.column(0)[d].as_py(), item, int(points[a - 1]) if a else 0, int(points[b - 1]) if b else 0, edits))
+                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], ["doc_id", "item_id", "start", "end", "edits"])
 
         result = result.unionByName(rows.mapInArrow(run, schema))
     return result
