@@ -54,11 +54,15 @@ def first_reason(checks: list[tuple[Column, str]]) -> Column:
     return F.coalesce(*(F.when(failed, F.lit(name)) for failed, name in checks))
 
 
-def describe(df: DataFrame, columns: list[str]) -> DataFrame:
-    """count, mean, sample deviation, min, linear quartiles and max of each column, a row a column."""
+def describe(df: DataFrame, columns: list[str], scale: int = 12) -> DataFrame:
+    """count, mean, sample deviation, min, linear quartiles and max of each column, a row a column.
+
+    Sums are of decimals with `scale` digits, so a mean is the same for any order of the rows.
+    """
     rows = df.select(F.expr("stack({}, {}) as (metric, value)".format(len(columns), ", ".join(f"'{c}', cast(`{c}` as double)" for c in columns))))
+    total = F.sum(F.col("value").cast(f"decimal(28,{scale})")).cast("double")
     sums = rows.groupBy("metric").agg(
-        F.count("value").alias("n"), F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"), F.min("value").alias("min"), F.max("value").alias("max")
+        F.count("value").alias("n"), (total / F.nullif(F.count("value"), F.lit(0))).alias("mean"), F.stddev_samp("value").alias("std"), F.min("value").alias("min"), F.max("value").alias("max")
     )
     at = lambda p: F.max(F.when(F.col("share") == p, F.col("quantile")))
     cuts = quantiles(rows, ["metric"], "value", [0.25, 0.5, 0.75]).groupBy("metric").agg(at(0.25).alias("q25"), at(0.5).alias("q50"), at(0.75).alias("q75"))

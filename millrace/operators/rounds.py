@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder of spark.checkpoint.dir; on a local master, where that is unset, one under the warehouse."""
+    """The folder of spark.checkpoint.dir; on a local master, where that is unset, a temporary one."""
     sc = spark.sparkContext
     base = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
     if base is None:
@@ -32,18 +32,28 @@ def written(df: DataFrame, name: str) -> DataFrame:
 def components(links: DataFrame) -> DataFrame:
     """node, component (its least node) for every node that has a link; links: a, b of one orderable type.
 
-    Least labels travel along links and, to shorten chains, along the labels themselves, until nothing changes.
+    Each round replaces a node by that of least rank within two steps, ranks being hashes drawn anew, and drops links that
+    become loops: chains shrink by a share in every round and stars go in one. A hub is only ever a key of a grouping.
     """
-    both = written(links.select("a", "b").union(links.select("b", "a")).distinct(), "links")
-    labels = written(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("label")), "labels")
-    while True:
-        least = both.join(labels.toDF("b", "near"), "b").groupBy("a").agg(F.min("near").alias("near"))
-        moved = labels.join(least, "a").select("a", F.least("label", "near").alias("to"), F.col("label").alias("was"))
-        jumped = moved.join(labels.toDF("to", "root"), "to").select("a", F.least("to", "root").alias("label"), "was")
-        after = written(jumped, "labels")
-        labels = after.select("a", "label")
-        if after.filter("label <> was").isEmpty():
-            return labels.select(F.col("a").alias("node"), F.col("label").alias("component"))
+    edges = written(links.filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "links")
+    rounds: list[DataFrame] = []
+    while not edges.isEmpty():
+        rank = lambda c, salt=len(rounds): F.xxhash64(F.lit(salt), F.col(c))
+        both = edges.select("a", "b").union(edges.select("b", "a")).toDF("u", "v")
+        near = both.union(both.select("u", F.col("u").alias("v"))).groupBy("u").agg(F.min_by("v", rank("v")).alias("m"))
+        moved = both.join(near.toDF("v", "m"), "v").select("u", "m").union(near).groupBy("u").agg(F.min_by("m", rank("m")).alias("to"))
+        rounds.append(written(moved, "moved"))
+        ends = edges.join(rounds[-1].toDF("a", "x"), "a").join(rounds[-1].toDF("b", "y"), "b").filter("x <> y")
+        edges = written(ends.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct(), "links")
+    nodes = links.select(F.col("a").alias("node")).union(links.select("b")).distinct()
+    if not rounds:
+        return nodes.withColumn("component", F.col("node"))
+    labels = rounds[0]
+    for moved in rounds[1:]:
+        labels = labels.join(moved.toDF("to", "next"), "to", "left").select("u", F.coalesce("next", "to").alias("to"))
+    labels = written(labels, "labels")
+    least = labels.join(labels.groupBy("to").agg(F.min("u").alias("least")), "to").select(F.col("u").alias("node"), "least")
+    return nodes.join(least, "node", "left").select("node", F.coalesce("least", "node").alias("component"))
 
 
 def settle_first_wins(nodes: DataFrame, conflicts: DataFrame) -> DataFrame:
@@ -72,15 +82,15 @@ def settle_first_wins(nodes: DataFrame, conflicts: DataFrame) -> DataFrame:
     return nodes.join(dropped, "k", "left").select("k", F.coalesce("leader", "k").alias("leader"))
 
 
-def picked_in_rounds(df: DataFrame, group: str, key: str, columns: list[str], score: Column, allowed: Column, n: int) -> DataFrame:
+def picked_in_rounds(df: DataFrame, group: str, key: str, columns: list[str], score: Column, allowed: Column, n: int, reads: tuple[str, ...] = ()) -> DataFrame:
     """Up to n rows of each group, one for each group and round: the greatest score among rows that are allowed.
 
-    score and allowed see `picks`, the rows taken so far as an array of structs of key and columns. A round is one
+    score and allowed read key, columns and `reads`, and see `picks`, the rows taken so far as an array of structs of key and columns. A round is one
     grouping with a running maximum, so a group of any size is spread over tasks. Adds pick (0, 1, ...); ties go to the least key.
     """
     row = F.struct(key, *columns)
     kinds = ", ".join(f"{f.name}: {f.dataType.simpleString()}" for f in df.select(key, *columns).schema.fields)
-    taken = None
+    df, taken = written(df.select(*dict.fromkeys([group, key, *columns, *reads])), "candidates"), None  # the rounds read it again and again
     for _ in range(n):
         rows = df.withColumn("picks", F.array().cast(f"array<struct<{kinds}>>")) if taken is None else df.join(taken, group)
         free = rows.filter(allowed & ~F.exists("picks", lambda p: p[key] == F.col(key)))
@@ -93,69 +103,58 @@ def picked_in_rounds(df: DataFrame, group: str, key: str, columns: list[str], sc
     return taken.select(group, F.posexplode("picks").alias("pick", "p")).select(group, "pick", "p.*")
 
 
-def _part_of(key: Column, points: list[Column], first: int = 0) -> Column:
-    """How many of the sorted points are not after key: a balanced tree of comparisons."""
-    if not points:
-        return F.lit(first)
-    middle = len(points) // 2
-    return F.when(key < points[middle], _part_of(key, points[:middle], first)).otherwise(_part_of(key, points[middle + 1 :], first + middle + 1))
-
-
 def positions(df: DataFrame, order: list[str], name: str, parts: int | None = None, group: list[str] | None = None) -> DataFrame:
     """Add name: 0, 1, ... in the given order, in the whole table or in each group, without one task for all rows.
 
-    Rows are dealt by cut points that come from a sample and are then fixed, so each row's part depends on the row alone;
-    the parts' counts (one row each) add up to where a part begins.
+    Rows are dealt by ranges of group and order, sorted and written with their part and place in it; the counts of the
+    written parts, a row a part and group, tell where a part begins.
     """
     keys = [*(group or []), *order]
-    key = F.struct(*keys)
-    rows = df.count()
-    parts = parts or max(1, rows // 1_000_000)
-    share = min(1.0, 64 * parts / max(rows, 1))
-    drawn = df.select(key.alias("k")).sample(share, 1).orderBy("k").collect() if parts > 1 and rows else []  # some 64 rows a part
-    kinds = {f.name: f.dataType for f in df.select(*keys).schema.fields}
-    cuts = [drawn[len(drawn) * i // parts]["k"] for i in range(1, parts)] if len(drawn) >= parts else []
-    points = [F.struct(*(F.lit(c[k]).cast(kinds[k]).alias(k) for k in keys)) for c in cuts]
-    cut = df.withColumn("_part", _part_of(key, points))
-    window = Window.partitionBy(*(group or [])) if group else Window.partitionBy(F.lit(0))
-    counts = cut.groupBy(*(group or []), "_part").agg(F.count("*").alias("_n"))
-    before = counts.withColumn("_before", F.sum("_n").over(window.orderBy("_part")) - F.col("_n")).drop("_n")
-    nth = F.row_number().over(Window.partitionBy(*(group or []), "_part").orderBy(*order)) - 1
-    named = cut.withColumn("_nth", nth)
-    if group:
-        same = [named[c].eqNullSafe(before[c]) for c in group]
-        joined = named.join(before, [named["_part"] == before["_part"], *same])
-        return joined.select(*(named[c] for c in df.columns), (F.col("_nth") + F.col("_before")).cast("long").alias(name))
-    return named.join(before, "_part").withColumn(name, (F.col("_nth") + F.col("_before")).cast("long")).drop("_part", "_nth", "_before")
-
-
-def quantiles(df: DataFrame, group: list[str], value: str, shares: list[float], parts: int | None = None) -> DataFrame:
-    """group, share, quantile: exact quantiles with linear interpolation, nulls left out.
-
-    Equal values are counted first. Values are dealt to parts by cut points from a sample; the parts' counts tell which few
-    parts hold the wanted places, and only these are sorted. So no task holds all values of a group.
+    dealt = df.repartitionByRange(parts, *keys) if parts else df.repartitionByRange(*keys)
+    kept = dealt.sortWithinPartitions(*keys).withColumn("_at", F.monotonically_increasing_id()).withColumn("_part", F.shiftright("_at", 33))
+    kept = written(kept, "positions")
+    counts = kept.groupBy(*(group or []), "_part").agg(F.min("_at").alias("_first"), F.count("*").alias("_n"))
+    window = Window.partitionBy(*(group or [F.lit(0)])).orderBy("_part")
+    begins = counts.withColumn("_before", F.sum("_n").over(window) - F.col("_n"))
+    begins = begins.select(F.col("_part").alias("_p"), "_first", "_before", *(F.col(c).alias(f"_g{i}") for i, c in enumerate(group or [])))
+    same = [F.col("_part") == F.col("_p"), *(F.col(c).eqNullSafe(F.col(f"_g{i}")) for i, c in enumerate(group or []))]
+    return kept.join(begins, same).select(*df.columns, (F.col("_before") + F.col("_at") - F.col("_first")).cast("long").alias(name))
+
+
+def quantiles(df: DataFrame, group: list[str], value: str, shares: list[float], bins: int = 1 << 14, salts: int = 16) -> DataFrame:
+    """group, share, quantile: exact quantiles with linear interpolation; nulls and NaN are left out.
+
+    A histogram of at most `bins` bins tells in which bin each wanted place lies; that bin's least and greatest values are the
+    ends of the next histogram, until they are equal. A bin holds the ends alone, so each round gets on, whatever the values.
+    Only counts of bins are shuffled, and no row or value comes to the driver. Salts spread a group that has most rows.
     """
-    values = written(df.select(*group, F.col(value).cast("double").alias("_v")).filter("_v is not null").groupBy(*group, "_v").agg(F.count("*").alias("_n")), "values")
-    key = F.struct(*group, "_v")
-    rows = values.count()
-    parts = parts or max(1, rows // 50_000)
-    drawn = values.select(key.alias("k")).sample(min(1.0, 64 * parts / max(rows, 1)), 1).orderBy("k").collect() if parts > 1 and rows else []
-    kinds = {f.name: f.dataType for f in values.schema.fields}
-    cuts = [drawn[len(drawn) * i // parts]["k"] for i in range(1, parts)] if len(drawn) >= parts else []
-    points = [F.struct(*(F.lit(c[k]).cast(kinds[k]).alias(k) for k in [*group, "_v"])) for c in cuts]
-    cut = values.withColumn("_part", _part_of(key, points))
-    window = Window.partitionBy(*group) if group else Window.partitionBy(F.lit(0))
-    counts = cut.groupBy(*group, "_part").agg(F.sum("_n").alias("_size")).withColumn("_upto", F.sum("_size").over(window.orderBy("_part")))
-    counts = counts.withColumn("_all", F.sum("_size").over(window)).withColumn("share", F.explode(F.array(*(F.lit(s) for s in shares))))
-    spot = (F.col("_all") - 1) * F.col("share")
-    wanted = counts.withColumn("_spot", spot).withColumn("_at", F.explode(F.array_distinct(F.array(F.floor(spot), F.ceil(spot)))))
-    wanted = wanted.filter((F.col("_at") < F.col("_upto")) & (F.col("_at") >= F.col("_upto") - F.col("_size")))
-    wanted = wanted.select(*(F.col(c).alias(f"_g{i}") for i, c in enumerate(group)), F.col("_part").alias("_p"), "share", "_spot", "_at", (F.col("_upto") - F.col("_size")).alias("_before"))
     names = [f"_g{i}" for i in range(len(group))]
-    same = [F.col(c).eqNullSafe(F.col(n)) for c, n in zip(group, names, strict=True)] + [F.col("_part") == F.col("_p")]
-    needed = cut.join(wanted.select(*names, "_p", "_before").distinct(), same)
-    needed = needed.withColumn("_end", F.col("_before") + F.sum("_n").over(Window.partitionBy(*group, "_part").orderBy("_v"))).drop(*names, "_p", "_before")
-    found = needed.join(wanted, same + [(F.col("_at") < F.col("_end")) & (F.col("_at") >= F.col("_end") - F.col("_n"))])
-    return found.groupBy(*group, "share", "_spot").agg(F.min_by("_v", "_at").alias("_low"), F.max_by("_v", "_at").alias("_high")).select(
-        *group, "share", (F.col("_low") + (F.col("_high") - F.col("_low")) * (F.col("_spot") - F.floor("_spot"))).alias("quantile")
-    )
+    v = F.col(value).cast("double")
+    values = df.select(*(F.col(c).alias(n) for c, n in zip(group, names, strict=True)), v.alias("_v")).filter(v.isNotNull() & ~F.isnan(v))
+    values = written(values, "values").withColumn("_salt", F.pmod(F.spark_partition_id(), F.lit(salts)))
+    spot = (F.col("_all") - 1) * F.col("share")
+    ends = values.groupBy(*names).agg(F.count("*").alias("_all"), F.min("_v").alias("_low"), F.max("_v").alias("_high")).filter("_all > 0")
+    wanted = ends.withColumn("share", F.explode(F.array(*(F.lit(float(s)) for s in shares)))).withColumn("_spot", spot)
+    wanted = wanted.withColumn("_at", F.explode(F.array_distinct(F.array(F.floor("_spot"), F.ceil("_spot"))))).withColumn("_left", F.col("_at"))
+    wanted = wanted.select(*names, "share", "_spot", "_at", "_left", "_low", "_high")
+    done = None
+    while True:
+        wanted = written(wanted, "wanted")  # a few rows a group
+        done = wanted.filter("_low = _high") if done is None else done.unionByName(wanted.filter("_low = _high"))
+        open_ = wanted.filter("_low < _high")
+        if open_.isEmpty():
+            break
+        spans = open_.select(*(F.col(n).alias(f"{n}s") for n in names), F.col("_low").alias("_lo"), F.col("_high").alias("_hi")).distinct().withColumn("_s", F.explode(F.array(*map(F.lit, range(salts)))))
+        meets = [F.col("_salt") == F.col("_s"), *(F.col(n).eqNullSafe(F.col(f"{n}s")) for n in names), (F.col("_v") >= F.col("_lo")) & (F.col("_v") <= F.col("_hi"))]
+        width = F.col("_hi") / bins - F.col("_lo") / bins
+        inner = F.when(width > 0, F.least(F.lit(bins - 3), F.floor((F.col("_v") - F.col("_lo")) / width))).otherwise(0)
+        bin_ = F.when(F.col("_v") <= F.col("_lo"), 0).when(F.col("_v") >= F.col("_hi"), bins - 1).otherwise(1 + inner)
+        counts = values.join(spans, meets).groupBy(*names, "_lo", "_hi", bin_.alias("_bin")).agg(F.count("*").alias("_n"), F.min("_v").alias("_first"), F.max("_v").alias("_last"))
+        upto = F.sum("_n").over(Window.partitionBy(*names, "_lo", "_hi").orderBy("_bin"))  # at most `bins` rows a span
+        counts = counts.withColumn("_upto", upto).select(*(F.col(n).alias(f"{n}c") for n in names), "_lo", "_hi", "_n", "_upto", "_first", "_last")
+        inside = [F.col("_low") == F.col("_lo"), F.col("_high") == F.col("_hi"), *(F.col(n).eqNullSafe(F.col(f"{n}c")) for n in names), (F.col("_left") < F.col("_upto")) & (F.col("_left") >= F.col("_upto") - F.col("_n"))]
+        found = open_.join(counts, inside)
+        wanted = found.select(*names, "share", "_spot", "_at", (F.col("_left") - F.col("_upto") + F.col("_n")).alias("_left"), F.col("_first").alias("_low"), F.col("_last").alias("_high"))
+    both = done.groupBy(*names, "share", "_spot").agg(F.min_by("_low", "_at").alias("_lo"), F.max_by("_low", "_at").alias("_hi"))
+    quantile = F.col("_lo") + (F.col("_hi") - F.col("_lo")) * (F.col("_spot") - F.floor("_spot"))
+    return both.select(*(F.col(n).alias(c) for c, n in zip(group, names, strict=True)), "share", quantile.alias("quantile"))

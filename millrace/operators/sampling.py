@@ -76,7 +76,7 @@ def greedy_gap(df: DataFrame, group: str, position: str, score: str, gap: int, t
     Positions are unique in a group. The sequential rule takes one row of each group in a round, `target` rounds in all.
     """
     apart = ~F.exists("picks", lambda p: F.abs(p[position] - F.col(position)) < gap)
-    first = picked_in_rounds(df, group, position, [], F.col(score), apart, target).select(group, position, "pick")
+    first = picked_in_rounds(df, group, position, [], F.col(score), apart, target, (score,)).select(group, position, "pick")
     named = df.join(first, [group, position], "left")
     rank = F.row_number().over(Window.partitionBy(group).orderBy(F.col("pick").isNull(), "pick", F.desc(score), position))
     return named.withColumn("rank", rank).filter(F.col("rank") <= target).select(*df.columns)

@@ -11,14 +11,17 @@ from millrace.functions.vector import dot, hamming, md5_key
 from millrace.operators.rounds import picked_in_rounds, settle_first_wins, written
 
 
-def fingerprints(df: DataFrame, key: list[str], text: str) -> DataFrame:
-    """key, bits: 60 bits of a text, each the last bit of the least hash among the words that fall to it.
+def fingerprints(df: DataFrame, text: str) -> DataFrame:
+    """df with bits: 60 bits of a text, each the last bit of the least hash among the words that fall to it; null without words.
 
-    Stands in for an image's perceptual hash: texts that differ in few words differ in few bits.
+    Stands in for an image's perceptual hash: texts that differ in few words differ in few bits. All of it is made in the row.
     """
-    words = df.select(*key, F.explode(F.array_distinct(F.split(F.lower(text), r"\s+"))).alias("w")).filter("w <> ''").withColumn("m", md5_key(F.col("w")))
-    least = words.groupBy(*key, (F.col("m") % 60).alias("spot")).agg(F.min(F.expr("m div 60")).alias("m"))
-    return least.groupBy(*key).agg(F.bit_or(F.call_function("shiftleft", F.col("m") % 2, F.col("spot").cast("int"))).alias("bits"))
+    words = F.filter(F.array_distinct(F.split(F.lower(text), r"\s+")), lambda w: w != "")
+    hashed = F.array_sort(F.transform(words, lambda w: F.struct((md5_key(w) % 60).alias("spot"), md5_key(w).alias("m"))))
+    start = F.struct(F.lit(-1).cast("long").alias("spot"), F.lit(0).cast("long").alias("bits"))
+    bit = lambda x: F.call_function("shiftleft", F.call_function("div", x["m"], F.lit(60)) % 2, x["spot"].cast("int"))
+    first = lambda s, x: F.when(x["spot"] == s["spot"], s).otherwise(F.struct(x["spot"].alias("spot"), s["bits"].bitwiseOR(bit(x)).alias("bits")))
+    return df.withColumn("bits", F.when(F.size(words) > 0, F.aggregate(hashed, start, first)["bits"]))
 
 
 def _long(x: int) -> Column:
@@ -80,10 +83,10 @@ def hamming_pairs(df: DataFrame, key: str, bits: Column, distance: int, total_bi
 
     Of m bands one differs in at most distance // m bits. So hashes meet that are equal in a band after up to `radius` bits
     of it are turned over; m is the least number that loses no pair, and bands are wide, so few others meet.
-    Equal hashes are one class: the pairs are between the classes' least keys, `members` has their sizes.
+    Rows without a hash have no pairs. Equal hashes are one class: the pairs are between the classes' least keys, `members` has their sizes.
     """
     group = group or []
-    classes = df.select(*group, F.col(key).alias("k"), bits.alias("h")).groupBy(*group, "h").agg(F.min("k").alias("k"), F.count("*").alias("members"))
+    classes = df.select(*group, F.col(key).alias("k"), bits.alias("h")).filter("h is not null").groupBy(*group, "h").agg(F.min("k").alias("k"), F.count("*").alias("members"))
     radius = 0 if distance < 4 else 2
     bands = -(-(distance + 1) // (radius + 1))
     width = total_bits // bands
@@ -100,13 +103,15 @@ def hamming_pairs(df: DataFrame, key: str, bits: Column, distance: int, total_bi
 def first_wins(df: DataFrame, group: str, key: str, bits: str, distance: int, total_bits: int = 64) -> DataFrame:
     """Greedy dedup within groups: a row is kept unless it is within `distance` bits of a row kept before, in key order.
 
-    Adds duplicate_of, the first kept row that is near (null for kept rows). Keys are unique. Rows with a kept leader are
+    Adds duplicate_of, the first kept row that is near (null for kept rows). Rows without a hash are kept. Keys are unique. Rows with a kept leader are
     also what leader clustering gives: there each free row takes every later free row that is near.
     """
-    firsts = df.groupBy(group, bits).agg(F.min(key).alias("k"))
+    firsts = df.filter(F.col(bits).isNotNull()).groupBy(group, bits).agg(F.min(key).alias("k"))
     pairs = hamming_pairs(df, key, F.col(bits), distance, total_bits, [group]).select(F.col("k_a").alias("a"), F.col("k_b").alias("b"))
     led = firsts.join(settle_first_wins(firsts.select("k"), pairs), "k").select(group, bits, "leader")
-    return df.join(led, [group, bits]).withColumn("duplicate_of", F.when(F.col("leader") != F.col(key), F.col("leader"))).select(*df.columns, "duplicate_of")
+    led = led.select(F.col(group).alias("_group"), F.col(bits).alias("_bits"), "leader")
+    same = df[group].eqNullSafe(F.col("_group")) & (df[bits] == F.col("_bits"))
+    return df.join(led, same, "left").withColumn("duplicate_of", F.when(F.col("leader") != F.col(key), F.col("leader"))).select(*df.columns, "duplicate_of")
 
 
 def farthest_points(df: DataFrame, group: str, key: str, bits: str, n: int) -> DataFrame:

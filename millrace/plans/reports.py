@@ -10,7 +10,7 @@ from millrace.operators import records as R
 from millrace.operators import sampling as S
 from millrace.plans.captions import _VALID_CTE, validated
 from millrace.plans.registry import query
-from millrace.session import spread, table
+from millrace.session import table
 
 
 @query(_VALID_CTE + """,
@@ -52,12 +52,12 @@ def tier_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-select metric, count(v)::bigint as n, round(avg(v), 6) as mean, round(stddev_samp(v), 6) as std, min(v) as min, round(quantile_cont(v, 0.25), 6) as q25, round(quantile_cont(v, 0.5), 6) as q50, round(quantile_cont(v, 0.75), 6) as q75, max(v) as max
+select metric, count(v)::bigint as n, sum(v::decimal(28,12))::double / count(v) as mean, round(stddev_samp(v), 6) as std, min(v) as min, round(quantile_cont(v, 0.25), 6) as q25, round(quantile_cont(v, 0.5), 6) as q50, round(quantile_cont(v, 0.75), 6) as q75, max(v) as max
 from (select unnest(['l_quantity', 'l_extendedprice', 'l_discount', 'l_tax']) as metric, unnest([l_quantity, l_extendedprice, l_discount, l_tax]) as v from lineitem) group by metric""")
 def describe_numeric(spark: SparkSession, sf_dir: str) -> DataFrame:
     columns = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
-    d = R.describe(spread(table(spark, sf_dir, "lineitem").select(*columns)), columns)
-    return d.select("metric", "n", *(F.round(c, 6).alias(c) for c in ("mean", "std")), "min", *(F.round(c, 6).alias(c) for c in ("q25", "q50", "q75")), "max")
+    d = R.describe(table(spark, sf_dir, "lineitem").select(*columns), columns)
+    return d.select("metric", "n", "mean", F.round("std", 6).alias("std"), "min", *(F.round(c, 6).alias(c) for c in ("q25", "q50", "q75")), "max")
 
 
 _STRICT = "case when l_quantity < 5 then 'low_quantity' end, case when l_discount > 0.08 then 'high_discount' end, case when l_tax < 0.01 then 'low_tax' end, case when l_extendedprice < 2000 or l_extendedprice > 80000 then 'price_range' end"

@@ -106,15 +106,16 @@ def duplicate_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(_PRINTS + """, p as (select b.doc_id from h a join h b on a.doc_id < b.doc_id and bit_count(xor(a.bits, b.bits)) <= 3)
-select doc_id, source, doc_id not in (select doc_id from p) as is_unique from h""")
+select doc_id, source, doc_id not in (select doc_id from p) as is_unique from documents""")
 def unique_set(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows without a nearer earlier one: all less the duplicates, each kept row once."""
+    """Rows without a nearer earlier one: all less the duplicates, each kept row once; texts without words stay."""
     prints = _prints(spark, sf_dir)
     pairs = V.hamming_pairs(prints, "doc_id", F.col("bits"), 3, 60)
-    firsts = prints.groupBy("bits").agg(F.min("doc_id").alias("k"))
+    firsts = prints.filter("bits is not null").groupBy("bits").agg(F.min("doc_id").alias("k"))
     late = firsts.join(pairs.select(F.col("k_b").alias("k")).distinct(), "k", "left_semi").select("bits", F.lit(True).alias("late"))
-    j = prints.join(firsts, "bits").join(late, "bits", "left")
-    return j.select("doc_id", "source", ((F.col("doc_id") == F.col("k")) & F.col("late").isNull()).alias("is_unique"))
+    j = prints.join(firsts, "bits", "left").join(late, "bits", "left")
+    first = F.col("bits").isNull() | (F.col("doc_id") == F.col("k")) & F.col("late").isNull()
+    return j.select("doc_id", "source", first.alias("is_unique"))
 
 
 @query()

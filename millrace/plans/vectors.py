@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from millrace.functions.vector import sign_hash
 from millrace.operators import vectors as V
 from millrace.plans.registry import query
-from millrace.session import spread, table
+from millrace.session import table
 
 _CENT = """
 with x as (select vec_id, label, unnest(embedding)::double as v, generate_subscripts(embedding, 1) as i from embeddings),
@@ -76,7 +76,7 @@ l as (select doc_id, source, m % 60 as spot, min(m // 60) as m from m group by a
 
 
 def _prints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return V.fingerprints(spread(table(spark, sf_dir, "documents").select("doc_id", "source", "text")), ["doc_id", "source"], "text")
+    return V.fingerprints(table(spark, sf_dir, "documents").select("doc_id", "source", "text"), "text").drop("text")
 
 
 @query(_PRINTS + """, c as (select bits, min(doc_id) as k, count(*) as members from h group by bits)

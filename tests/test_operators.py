@@ -66,12 +66,38 @@ def test_quantiles_interpolate(spark):
 
     data = [("a", float(i * i % 37)) for i in range(50)] + [("b", 1.0)] * 9 + [("b", 5.0), (None, 2.0), ("a", None)]
     df = spark.createDataFrame(data, "g string, v double")
-    got = {(r["g"], r["share"]): r["quantile"] for r in P.quantiles(df, ["g"], "v", [0.0, 0.3, 0.95], 3).collect()}
+    got = {(r["g"], r["share"]): r["quantile"] for r in P.quantiles(df, ["g"], "v", [0.0, 0.3, 0.95], 5).collect()}
     for g in ("a", "b", None):
         own = [v for k, v in data if k == g and v is not None]
         assert [round(got[g, s], 9) for s in (0.0, 0.3, 0.95)] == [round(float(np.percentile(own, 100 * s)), 9) for s in (0.0, 0.3, 0.95)]
 
 
+def test_quantiles_of_uneven_values(spark):
+    import numpy as np
+
+    data = [0.0] * 30 + [2.0**-i for i in range(0, 300, 9)] + [1e300, -1e300, 5.0, 5.0, float("nan")]
+    df = spark.createDataFrame([(v,) for v in data], "v double")
+    got = {r["share"]: r["quantile"] for r in P.quantiles(df, [], "v", [0.01, 0.5, 0.77, 1.0], 8).collect()}
+    own = [v for v in data if v == v]
+    assert all(np.isclose(got[s], np.percentile(own, 100 * s), rtol=1e-12) for s in got) and len(got) == 4
+    assert P.quantiles(df.limit(0), [], "v", [0.5]).count() == 0
+
+
+def test_means_do_not_depend_on_the_order(spark):
+    df = spark.createDataFrame([(0.1 * (i % 7), None) for i in range(1000)], "a double, b double")
+    means = {tuple((r["metric"], r["mean"]) for r in R.describe(df.repartition(n).orderBy("a" if n % 2 else "b"), ["a", "b"]).orderBy("metric").collect()) for n in (1, 2, 5)}
+    assert len(means) == 1 and dict(means.pop())["b"] is None
+
+
+def test_rows_without_words_have_no_fingerprint(spark):
+    from millrace.operators import vectors as V
+
+    df = spark.createDataFrame([(1, "g", "a b c"), (2, "g", None), (3, "g", " "), (4, "g", "c b a a"), (5, None, "a b c"), (6, None, "a b c")], "id long, g string, text string")
+    prints = V.fingerprints(df, "text")
+    assert {r["id"] for r in prints.filter("bits is null").collect()} == {2, 3} and prints.select("bits").distinct().count() == 2
+    assert rows(V.first_wins(prints, "g", "id", "bits", 3, 60), "id", "duplicate_of") == [(1, None), (2, None), (3, None), (4, 1), (5, None), (6, 5)]
+
+
 def test_components_equal_union_find(spark):
     links = [(i, i + 1) for i in range(20)] + [(50, x) for x in range(51, 60)] + [(70, 70), (3, 1)]
     got = {r["node"]: r["component"] for r in P.components(spark.createDataFrame(links, "a long, b long")).collect()}
