@@ -171,12 +171,12 @@ def word_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def caption_simplified(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Plain captions; tested against a plain version of the rule."""
+    """Plain captions; tested on stated captions and by what must hold of each."""
     from millrace.functions.simplify import simplified
 
     more = F.when(F.col("doc_id") % 5 == 0, ", 8K, high-resolution PBR materials , , a young Italian boy with wild, curly brown hair .  . Stunning")
     more = more.when(F.col("doc_id") % 5 == 1, ". Rendered at 4k resolution, sun-kissed tanned skin, yellow tank top, close-up, smiling").otherwise("")
-    return _docs(spark, sf_dir).select("doc_id", simplified(F.concat("text", more)).alias("caption"))
+    return _docs(spark, sf_dir).select("doc_id", simplified(F.concat("text", more), "alberto").alias("caption"))
 
 
 @query(r"""
