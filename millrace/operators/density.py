@@ -63,6 +63,8 @@ def dbscan_vectors(df: DataFrame, key: str, vector: str, eps: float, least: int,
     key that is near. Rows without a sound vector are noise.
     """
     cells = _cells(df, key, vector, standardize, pivots)
+    if not len(cells.pivots):
+        return df.select(F.col(key).cast("long").alias(key), F.lit(None).cast("long").alias("cluster"), F.lit(False).alias("is_core"))
     slack = eps + 1e-6 * (1 + eps)
 
     def pairs(s: dict[str, np.ndarray], t: dict[str, np.ndarray]) -> np.ndarray:
@@ -102,7 +104,8 @@ def dbscan_vectors(df: DataFrame, key: str, vector: str, eps: float, least: int,
 # the spanning tree of mutual reachability
 
 
-_EDGE = F.struct("w", "a", "b").alias("edge")
+def _edge() -> Column:
+    return F.struct("w", "a", "b").alias("edge")
 
 
 def _least_edges(comp: np.ndarray, w: np.ndarray, a: np.ndarray, b: np.ndarray, name: str = "comp") -> pa.RecordBatch:
@@ -149,7 +152,7 @@ def reachability_tree(cells: Cells, cores: DataFrame, near: DataFrame) -> DataFr
         ends = placed.select("k", "comp")
         crossing = known.join(ends.toDF("a", "comp_a"), "a").join(ends.toDF("b", "comp_b"), "b").filter("comp_a <> comp_b")
         both = crossing.select(F.col("comp_a").alias("comp"), "w", "a", "b").unionByName(crossing.select(F.col("comp_b").alias("comp"), "w", "a", "b")).unionByName(pivotal)
-        bound = written(both.groupBy("comp").agg(F.min(_EDGE).alias("edge")), "bounds")
+        bound = written(both.groupBy("comp").agg(F.min(_edge()).alias("edge")), "bounds")
         seeking = placed.join(bound.select("comp", F.col("edge.w").alias("least")), "comp").filter(F.greatest("core", "reach") <= F.col("least"))
         lone = np.full(len(cells.pivots), -1, np.int64)
         for r in placed.groupBy("home").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).filter("low = high").collect():  # a row a pivot
@@ -166,7 +169,7 @@ def reachability_tree(cells: Cells, cores: DataFrame, near: DataFrame) -> DataFr
         resident = placed.withColumn("cell", F.col("home"))
         names = ["k", "x", "home", "away", "comp", "core", "least"]
         searched = meet(searches(cells, seeking.select(*names), F.col("least"), lone, "comp"), resident, ["k", "x", "comp", "core", "least"], ["k", "x", "comp", "core"], lightest, schema, "lightest")
-        every = bound.unionByName(searched.select("comp", _EDGE)).groupBy("comp").agg(F.min("edge").alias("edge"))
+        every = bound.unionByName(searched.select("comp", _edge())).groupBy("comp").agg(F.min("edge").alias("edge"))
         chosen = written(every.select("edge.*").distinct().select("a", "b", "w"), "tree-edges")
         tree = chosen if tree is None else tree.unionByName(chosen)
         across = chosen.join(ends.toDF("a", "x"), "a").join(ends.toDF("b", "y"), "b").select(F.col("x").alias("a"), F.col("y").alias("b"))
@@ -311,6 +314,8 @@ def hdbscan(df: DataFrame, key: str, vector: str, min_cluster_size: int = 10, mi
     A point's core distance is that to its min_samples-th nearest other row. Rows without a sound vector are noise.
     """
     cells = _cells(df, key, vector, standardize, pivots)
+    if not len(cells.pivots):
+        return df.select(F.col(key).cast("long").alias(key), F.lit(-1).cast("long").alias("cluster"))
     near = nearest(cells, max(min_samples, 8))
     members = cells.points.select(F.col("k").alias("b"), F.col("members").alias("m"))
     counted = near.join(members, "b").groupBy("a").agg(F.array_sort(F.collect_list(F.struct("distance", "b", "m"))).alias("n"))

@@ -74,7 +74,7 @@ def deal_cells(points: DataFrame, pivots: int | None = None, seed: int = 7) -> C
     pivots = pivots or max(1, min(1024, n // 200 + 8))
     drawn = points.select("k", "x").orderBy(F.xxhash64(F.lit(seed), "k"), "k").limit(pivots).collect()  # a bounded sample
     keys = np.array([r["k"] for r in drawn], np.int64)
-    where = np.array([r["x"] for r in drawn], np.float64).reshape(len(drawn), -1)
+    where = np.array([r["x"] for r in drawn], np.float64).reshape(len(drawn), -1 if drawn else 0)
     shipped = points.sparkSession.sparkContext.broadcast(where)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
