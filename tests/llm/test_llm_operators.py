@@ -923,3 +923,22 @@ def test_registered_queries_have_their_columns(spark):
     assert set(names) == {f"op{i}" for i in range(1, 11)}
     for op, columns in want.items():
         assert set(columns.split()) <= set(Q.QUERIES[names[op]](spark, SF).columns), op
+
+
+def test_links_across_range_ends(spark):
+    """A passage of many documents over more ranges than rows: links don't depend on where ranges end."""
+    rnd = random.Random(10)
+    text = lambda n: [f"w{rnd.randrange(10**6)}" for _ in range(n)]
+    passage = text(60)
+    rows = [(i, " ".join(text(20) + passage + text(20))) for i in range(40)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    before, found = spark.conf.get("spark.sql.shuffle.partitions"), []
+    try:
+        for n in ("1", "97"):
+            spark.conf.set("spark.sql.shuffle.partitions", n)
+            spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+            found.append({x for r in fuzzy_passages(df).collect() for x in (r["doc_id"], r["other_doc_id"])})
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert found == [set(range(40))] * 2
