@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from millrace.plans import assessments, captions, clusters, evaluations, filters, intake, lookups, poses, relations, reports, samples, selections, timelines, vectors
+from millrace.plans import assessments, captions, clusters, evaluations, filters, images, intake, lookups, poses, relations, reports, samples, selections, streams, timelines, vectors
 from millrace.plans.registry import ORACLES, QUERIES
 
-__all__ = ["ORACLES", "QUERIES", "assessments", "captions", "clusters", "evaluations", "filters", "intake", "lookups", "poses", "relations", "reports", "samples", "selections", "timelines", "vectors"]
+__all__ = ["ORACLES", "QUERIES", "assessments", "captions", "clusters", "evaluations", "filters", "images", "intake", "lookups", "poses", "relations", "reports", "samples", "selections", "streams", "timelines", "vectors"]

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from millrace.functions.vector import norm
 from millrace.operators import clusters as K
+from millrace.operators import density as D
+from millrace.operators import reduction as R
 from millrace.operators import sampling as S
 from millrace.plans.registry import query
 from millrace.session import table
@@ -66,3 +68,67 @@ def subcluster_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Vectors with a weighted one-hot of their label, of unit length."""
     f = K.subcluster_features(table(spark, sf_dir, "embeddings").withColumn("name", F.format_string("l%03d", F.col("label").cast("int"))), "embedding", "name")
     return f.select("vec_id", F.round(F.col("features")[0] / norm(F.col("features")), 8).alias("first"), F.round(F.array_max(F.slice("features", 65, F.size("features"))), 8).alias("hot"), F.size("features").alias("width"))
+
+
+_APART = "list_distance(a.embedding::double[], b.embedding::double[])"
+
+
+@query(f"""
+with recursive n as (select a.vec_id as k, b.vec_id as o from embeddings a join embeddings b on {_APART} <= 1.15), c as (select k from n group by k having count(*) >= 4),
+e as (select n.k, n.o from n join c a on a.k = n.k join c b on b.k = n.o), r(k, cluster) as (select k, k from c union select e.o, r.cluster from r join e on e.k = r.k where e.o > r.cluster), l as (select k, min(cluster) as cluster from r group by k),
+b as (select n.k, arg_min(l.cluster, l.k) as cluster from n join l on l.k = n.o where n.k not in (select k from c) group by n.k)
+select v.vec_id, coalesce(l.cluster, b.cluster) as cluster, l.k is not null as is_core from embeddings v left join l on l.k = v.vec_id left join b on b.k = v.vec_id""")
+def density_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Density clusters of whole embeddings: at least four within 1.15."""
+    return D.dbscan_vectors(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", 1.15, 4)
+
+
+@query()
+def identity_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clusters of standardised embeddings by the hierarchy of their density; -1 is noise."""
+    return D.hdbscan(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", 3, 2)
+
+
+@query()
+def graph_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spectral clusters of embeddings on the graph of their ten nearest neighbours."""
+    return R.graph_clusters(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", 6)
+
+
+@query()
+def component_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clusters of unit vectors on their first 16 principal components, as many as the silhouette says."""
+    return R.component_clusters(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", 16, [4, 6, 8])[0]
+
+
+@query("""
+with u as (select vec_id, list_transform(embedding::double[], lambda v: v / sqrt(list_sum(list_transform(embedding::double[], lambda w: w * w)))) as x from embeddings),
+x as (select vec_id, unnest(x) as v, generate_subscripts(x, 1) as i from u), m as (select i, avg(v) as m from x group by i), c as (select vec_id, x.i, v - m as v from x join m on m.i = x.i),
+p as (select a.i, b.i as j, sum(a.v * b.v) / (select count(*) from u) as s from c a join c b on a.vec_id = b.vec_id group by a.i, b.i)
+select (select count(*) from u)::bigint as rows, round(sum(s) filter (i = j), 9) as total, round(sum(s * s), 9) as squares from p""")
+def component_variance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sum and sum of squares of the variances of all principal components of unit vectors; the equivalent has them from the covariance."""
+    model = R.principal_components(R.unit_vectors(table(spark, sf_dir, "embeddings"), "embedding"), "embedding", 64)
+    return spark.range(1).select(F.lit(model.n).cast("long").alias("rows"), F.round(F.lit(float(model.variances.sum())), 9).alias("total"), F.round(F.lit(float((model.variances**2).sum())), 9).alias("squares"))
+
+
+@query(f"""
+with e as (select * from embeddings where label <> 9), p as (select a.vec_id, a.label, b.label as other, avg({_APART} ** 2) filter (a.vec_id <> b.vec_id) as d, count(*) as n from e a, e b group by all),
+s as (select vec_id, max(d) filter (label = other) as own, min(d) filter (label <> other) as away, max(n) filter (label = other) as n from p group by vec_id),
+x as (select label, unnest(embedding)::double as v, generate_subscripts(embedding, 1) as i from e), g as (select label, i, avg(v) as m from x group by label, i), c as (select label, list(m order by i) as embedding from g group by label),
+w as (select a.label, avg({_APART}) as away from e a join c b on a.label = b.label group by a.label),
+r as (select a.label, max((wa.away + wb.away) / {_APART}) as worst from c a join c b on a.label <> b.label join w wa on wa.label = a.label join w wb on wb.label = b.label group by a.label)
+select (select count(*) from c)::bigint as clusters, (select count(*) from embeddings)::bigint as rows, (select count(*) from embeddings where label = 9)::bigint as noise,
+  round((select avg(case when n < 2 then 0 else (away - own) / greatest(away, own) end) from s), 9) as silhouette, round((select avg(worst) from r), 9) as davies_bouldin""")
+def cluster_measures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silhouette and Davies-Bouldin index of the labels, the last of which is taken as noise."""
+    m = R.cluster_metrics(table(spark, sf_dir, "embeddings"), "label", "embedding", noise=9)
+    return m.select("clusters", "rows", "noise", F.round("silhouette", 9).alias("silhouette"), F.round("davies_bouldin", 9).alias("davies_bouldin"))
+
+
+@query("""
+with p as (select a.vec_id as a, b.vec_id as b, round(list_cosine_similarity(a.embedding::double[], b.embedding::double[]), 9) as similarity from embeddings a join embeddings b on a.vec_id < b.vec_id)
+(select 'least' as kind, * from p order by similarity, a, b limit 1) union all (select 'greatest' as kind, * from p order by similarity desc, a, b limit 1)""")
+def pair_extremes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The least and the most similar pair of embeddings, without making pairs."""
+    return R.extreme_pairs(table(spark, sf_dir, "embeddings"), "vec_id", "embedding").withColumn("similarity", F.round("similarity", 9))

@@ -11,7 +11,7 @@ from millrace.operators import timeline as L
 from millrace.operators import vectors as V
 from millrace.operators.rounds import positions, quantiles
 from millrace.plans.registry import query
-from millrace.plans.vectors import _PRINTS, _prints
+from millrace.plans.vectors import _PRINTS, greedy_sql, _prints
 from millrace.session import table
 
 
@@ -118,7 +118,7 @@ def unique_set(spark: SparkSession, sf_dir: str) -> DataFrame:
     return j.select("doc_id", "source", first.alias("is_unique"))
 
 
-@query()
+@query(greedy_sql("doc_id, source, n_chars, dup is null as kept", 3, "n_chars desc, d.doc_id"))
 def keep_highest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicates within each source, the highest score first: a row stays unless a kept one is within 3 bits."""
     scored = _prints(spark, sf_dir).join(table(spark, sf_dir, "documents").select("doc_id", "n_chars"), "doc_id")

@@ -75,6 +75,15 @@ with w as (select distinct doc_id, source, unnest(string_split_regex(lower(text)
 l as (select doc_id, source, m % 60 as spot, min(m // 60) as m from m group by all), h as (select doc_id, source, bit_or((m % 2) << spot)::bigint as bits from l group by all)"""
 
 
+def greedy_sql(columns: str, distance: int, order: str = "d.doc_id") -> str:
+    """DuckDB: dup is the first kept row of the source that is near, null for kept rows; a row a step, in the given order."""
+    near = f"list_filter(r.kept, lambda x: bit_count(xor(x.b, o.bits)) <= {distance})"
+    return f"""with recursive {_PRINTS.strip().removeprefix("with")}, o as (select d.*, h.bits, row_number() over (partition by d.source order by {order}) as i from documents d left join h on d.doc_id = h.doc_id),
+r as (select o.* exclude (text), case when bits is null then cast([] as struct(k bigint, b bigint)[]) else [{{'k': doc_id, 'b': bits}}] end as kept, null::bigint as dup from o where i = 1
+  union all select o.* exclude (text), case when o.bits is null or len({near}) > 0 then r.kept else list_append(r.kept, {{'k': o.doc_id, 'b': o.bits}}) end, {near}[1].k from r join o on o.source is not distinct from r.source and o.i = r.i + 1)
+select {columns} from r"""
+
+
 def _prints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return V.fingerprints(table(spark, sf_dir, "documents").select("doc_id", "source", "text"), "text").drop("text")
 
@@ -86,13 +95,13 @@ def near_dup_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return V.hamming_pairs(_prints(spark, sf_dir), "doc_id", F.col("bits"), 8, 60)
 
 
-@query()
+@query(greedy_sql("doc_id, source, dup as duplicate_of", 3))
 def first_wins_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Greedy first-wins dedup of fingerprints within each source, at most 3 bits apart."""
     return V.first_wins(_prints(spark, sf_dir), "source", "doc_id", "bits", 3, 60).select("doc_id", "source", "duplicate_of")
 
 
-@query()
+@query(greedy_sql("doc_id, source, coalesce(dup, doc_id) as leader", 12))
 def leader_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Leader clusters of fingerprints within each source, at most 12 bits apart."""
     return V.leader_clusters(_prints(spark, sf_dir), "source", "doc_id", "bits", 12, 60).select("doc_id", "source", "leader")

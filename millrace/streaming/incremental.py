@@ -37,8 +37,9 @@ def timed(stream: DataFrame, column: str = "ts") -> DataFrame:
     return stream.withColumn(column, F.col(column).cast("timestamp"))
 
 
-def run_available(df: DataFrame, work: str, mode: str, key: list[str] | None = None) -> DataFrame:
-    """Run a stream over what is there, keep its last complete table or all appended rows, and return that.
+def run_available(df: DataFrame, work: str, mode: str, key: list[str] | None = None, dropped: bool = False) -> DataFrame | tuple[DataFrame, int]:
+    """Run a stream over what is there, keep its last complete table or all appended rows, and return that; with `dropped`, also how
+    many rows came behind the watermark.
 
     A batch is written to a folder of its number, so one that runs again replaces itself. In update mode later batches
     win for each key.
@@ -51,6 +52,14 @@ def run_available(df: DataFrame, work: str, mode: str, key: list[str] | None = N
     job = df.writeStream.outputMode(mode).foreachBatch(save).option("checkpointLocation", f"{work}/state").trigger(availableNow=True).start()
     job.awaitTermination()
     spark = df.sparkSession
+    if dropped:
+        late = sum(int(state.get("numRowsDroppedByWatermark", 0)) for step in job.recentProgress for state in step["stateOperators"])
+        return _kept(spark, df, out, mode, key), late
+    return _kept(spark, df, out, mode, key)
+
+
+def _kept(spark: SparkSession, df: DataFrame, out: str, mode: str, key: list[str] | None) -> DataFrame:
+    """What a stream's batches have written."""
     if mode == "complete":
         return spark.read.schema(df.schema).parquet(out)
     where = spark._jvm.org.apache.hadoop.fs.Path(out)
