@@ -1,4 +1,4 @@
-"""Principal components before clustering, graph clusters, measures of clusters, and the most and least similar pairs."""
+"""Principal components before clustering, measures of clusters, and the most and least similar pairs."""
 
 from __future__ import annotations
 
@@ -7,13 +7,13 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.ml.clustering import KMeans, PowerIterationClustering
+from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.operators.clusters import best_k
-from millrace.operators.neighbours import deal_cells, distances, distinct_vectors, exact_distance, matrix, meet, nearest, searches
+from millrace.operators.neighbours import deal_cells, distances, distinct_vectors, exact_distance, matrix, meet, searches
 from millrace.operators.rounds import written
 
 
@@ -91,24 +91,6 @@ def component_clusters(df: DataFrame, key: str, vector: str, components: int, ks
     return df.select(key).join(placed, key, "left"), model
 
 
-def graph_clusters(df: DataFrame, key: str, vector: str, k: int, neighbours: int = 10, rounds: int = 40, pivots: int | None = None) -> DataFrame:
-    """key, cluster: spectral clusters by power iteration on the graph of nearest neighbours.
-
-    A link weighs 1 if both are among each other's neighbours and a half if one is, so a row has `neighbours` links of its own.
-    Equal vectors are one node; rows without a sound vector have no cluster.
-    """
-    rows = sound_vectors(df, vector).select(F.col(key).cast("long").alias(key), F.transform(vector, lambda v: v.cast("double")).alias("x"))
-    cells = deal_cells(written(distinct_vectors(rows, key, "x"), "graph-points"), pivots)
-    if len(cells.pivots) == 0:
-        return df.select(key, F.lit(None).cast("int").alias("cluster"))
-    links = nearest(cells, neighbours).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    graph = written(links.groupBy("a", "b").agg((F.count("*") / 2).alias("weight")), "graph")
-    found = PowerIterationClustering(k=k, maxIter=rounds, initMode="random", srcCol="a", dstCol="b", weightCol="weight").assignClusters(graph)
-    named = cells.points.select("k", F.col("x").alias("_x")).join(found.withColumnRenamed("id", "k"), "k").select("_x", "cluster")
-    placed = rows.join(named, F.col("x") == F.col("_x")).select(F.col(key).alias("_k"), "cluster")
-    return df.select(key).join(placed, F.col(key) == F.col("_k"), "left").select(key, "cluster")
-
-
 def cluster_metrics(df: DataFrame, label: str, vector: str, noise: int = -1, most: int = 10_000) -> DataFrame:
     """One row: clusters, rows, noise, silhouette (of squared distances) and Davies-Bouldin index of the rows that are not noise.
 

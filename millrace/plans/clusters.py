@@ -89,12 +89,6 @@ def identity_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return D.hdbscan(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", 3, 2)
 
 
-@query()
-def graph_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Spectral clusters of embeddings on the graph of their ten nearest neighbours."""
-    return R.graph_clusters(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", 6)
-
-
 @query()
 def component_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Clusters of unit vectors on their first 16 principal components, as many as the silhouette says."""

@@ -91,7 +91,11 @@ def global_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return positions(table(spark, sf_dir, "events").select("event_id", "ts"), ["ts", "event_id"], "position").select("event_id", "position")
 
 
-@query()
+@query("""
+with recursive p as (select event_id, user_id, value, row_number() over (partition by user_id order by ts, event_id) as position from events), o as (select *, row_number() over (partition by user_id order by value desc, position) as i from p),
+r as (select *, [position] as picks, true as taken from o where i = 1
+  union all select o.*, case when len(r.picks) < 12 and len(list_filter(r.picks, lambda x: abs(x - o.position) < 5)) = 0 then list_append(r.picks, o.position) else r.picks end, len(r.picks) < 12 and len(list_filter(r.picks, lambda x: abs(x - o.position) < 5)) = 0 from r join o on o.user_id = r.user_id and o.i = r.i + 1),
+k as (select *, row_number() over (partition by user_id order by case when taken then 0 else 1 end, i) as rank from r) select event_id, user_id, position, value from k where rank <= 12""")
 def quality_weighted_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per user the best events at least 5 positions apart, then the best of the rest, twelve in all."""
     ev = table(spark, sf_dir, "events").select("event_id", "user_id", "ts", "value")

@@ -202,3 +202,19 @@ def log_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "events").select("user_id", "event_id", line.alias("line")).select("user_id", "event_id", *(v.alias(k) for k, v in log_fields(F.col("line")).items()))
     fields = ["epoch", "step", "loss", "error"]
     return L.fold_last(rows, "user_id", ["event_id"], fields).join(rows.groupBy("user_id").agg(F.count("error").alias("errors")), "user_id")
+
+
+@query("""
+with d as (select user_id as track, event_id as frame, value as x1, event_id % 7 as y1, value + 60 as x2, event_id % 7 + 10 as y2 from events),
+w as (select *, row_number() over t - 1 as place, frame - lag(frame) over t as gap, lag(x1) over t as a1, lag(y1) over t as b1, lag(x2) over t as a2, lag(y2) over t as b2 from d window t as (partition by track order by frame)),
+s as (select *, greatest(0, least(x2, a2) - greatest(x1, a1)) * greatest(0, least(y2, b2) - greatest(y1, b1)) as shared from w)
+select track, frame, place::int as place, gap::bigint as gap, case when a1 is not null then round(shared / ((x2 - x1) * (y2 - y1) + (a2 - a1) * (b2 - b1) - shared), 9) end as overlap from s""")
+def track_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Detections of each track in order, with the gap to the one before and the overlap with its box, by a table function in SQL."""
+    from millrace.functions.tables import register_table_functions
+
+    register_table_functions(spark)
+    boxes = "select user_id as track, event_id as frame, value as x1, event_id % 7 as y1, value + 60 as x2, event_id % 7 + 10 as y2"
+    table(spark, sf_dir, "events").createOrReplaceTempView("_millrace_events")
+    rows = spark.sql(f"select * from track_rows(table({boxes} from _millrace_events), 'track', 'frame')")
+    return rows.select("track", "frame", "place", "gap", F.round("overlap", 9).alias("overlap"))

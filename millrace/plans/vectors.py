@@ -107,7 +107,18 @@ def leader_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return V.leader_clusters(_prints(spark, sf_dir), "source", "doc_id", "bits", 12, 60).select("doc_id", "source", "leader")
 
 
-@query()
+def _farthest_sql(n: int) -> str:
+    """The max-min rule a round a table: of each label the row farthest from those taken, the least id of equal ones."""
+    rounds = ["p1 as (select label, [min(vec_id)] as ids, [arg_min(bits, vec_id)] as picks from h group by label)"]
+    for k in range(1, n):
+        away = "list_min(list_transform(p.picks, lambda b: bit_count(xor(b, h.bits))))"
+        next_ = f"select p.label, p.ids, p.picks, h.vec_id, h.bits, row_number() over (partition by p.label order by {away} desc, h.vec_id) as nth from p{k} p join h on h.label = p.label where not list_contains(p.ids, h.vec_id)"
+        rounds.append(f"p{k + 1} as (select label, list_append(ids, vec_id) as ids, list_append(picks, bits) as picks from ({next_}) where nth = 1)")
+    taken = " union all ".join(f"select ids[{k}] as vec_id, label, {k - 1} as pick from p{k}" for k in range(1, n + 1))
+    return f"with h as (select vec_id, label, list_reduce(list_prepend(0::hugeint, list_transform(embedding, lambda v: case when v > 0 then 1::hugeint else 0::hugeint end)), lambda s, b: s * 2 + b) as bits from embeddings), {', '.join(rounds)} {taken}"
+
+
+@query(_farthest_sql(10))
 def diverse_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ten vectors of each label, each as far as can be from those before, on sign hashes of all components."""
     rows = _vectors(spark, sf_dir).select("vec_id", "label", sign_hash(F.col("embedding")).alias("bits"))
