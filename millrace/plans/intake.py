@@ -56,8 +56,9 @@ def parsed_names(spark: SparkSession, sf_dir: str) -> DataFrame:
 def exported_tracks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tracks with their detections, flat, written to the shared folder and read again."""
     ev = table(spark, sf_dir, "events").filter(F.col("event_type").isin("click", "view"))
-    # a detection is a track of its own list here: tracks are never gathered in one row
-    tracks = ev.select(F.concat_ws(":", F.col("user_id").cast("string"), "event_type").alias("track"), F.array(F.struct("event_id", F.col("value").alias("score"))).alias("detections"))
+    # a row has a stretch of a track, of a bounded number of events, so long tracks are not gathered in one
+    stretch = F.floor(F.col("event_id") / 2000)
+    tracks = ev.groupBy(F.concat_ws(":", F.col("user_id").cast("string"), "event_type").alias("track"), stretch.alias("stretch")).agg(F.array_sort(F.collect_list(F.struct("event_id", F.col("value").alias("score")))).alias("detections")).drop("stretch")
     import uuid
 
     path = files.export_tracks(tracks, "track", "detections", f"{shared_dir(spark)}/tracks-{uuid.uuid4().hex}.parquet")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from millrace.operators import records as R
 from millrace.operators import vectors as V
+from millrace.operators.rounds import positions
 from millrace.plans.registry import query
 from millrace.session import table
 
@@ -40,12 +41,12 @@ def unprocessed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("select a.n_name as first, b.n_name as second, (row_number() over (order by a.n_nationkey, b.n_nationkey) - 1)::bigint as pair from nation a join nation b on a.n_nationkey < b.n_nationkey")
 def all_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All combinations of two names of the nation table, numbered in order."""
-    from pyspark.sql import Window
-
-    n = table(spark, sf_dir, "nation")
-    a, b = n.select(F.col("n_nationkey").alias("i"), F.col("n_name").alias("first")), n.select(F.col("n_nationkey").alias("j"), F.col("n_name").alias("second"))
-    return a.join(F.broadcast(b), F.col("i") < F.col("j")).select("first", "second", (F.row_number().over(Window.orderBy("i", "j")) - 1).cast("long").alias("pair"))
+    """All combinations of two names of the nation table, numbered in order; a pair's number follows from its places."""
+    n = positions(table(spark, sf_dir, "nation").select("n_nationkey", "n_name"), ["n_nationkey"], "i")
+    size = n.count()
+    a, b = n.select("i", F.col("n_name").alias("first")), n.select(F.col("i").alias("j"), F.col("n_name").alias("second"))
+    before = F.expr(f"i * (2 * {size} - i - 1) div 2")
+    return a.join(b, F.col("i") < F.col("j")).select("first", "second", (before + F.col("j") - F.col("i") - 1).cast("long").alias("pair"))
 
 
 @query("""

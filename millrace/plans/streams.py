@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from millrace.plans.registry import query
 from millrace.plans.vectors import _prints, greedy_sql
 from millrace.session import table
+from millrace.streaming import incremental
 from millrace.streaming import stateful as S
 
 
@@ -57,3 +58,16 @@ def stream_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     late = F.col("event_id") % 50 == 0
     parts = [first.filter(~late), second, third.unionByName(first.filter(late))]
     return S.fed(spark, parts, lambda s: S.sessions(s, "user_id", gap="12 hours"), "append", "stream-sessions")[0]
+
+
+@query("""
+with b as (select min(epoch_us(ts)) as low, max(epoch_us(ts)) as high from events), e as (select *, epoch_us(ts) < low + (high - low) // 3 as early from events, b),
+m as (select max(ts) filter (early and event_id % 40 <> 0) - interval 2 days as mark from e), k as (select user_id, time_bucket(interval 1 hour, ts) as hour, early and event_id % 40 = 0 as late from e)
+select user_id, hour, count(*)::bigint as n from k, m where not late or hour + interval 1 hour > mark group by user_id, hour""")
+def stream_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hourly counts by user. Some early events come late: those of the last two days before the first part's end count, the others don't."""
+    events = table(spark, sf_dir, "events").select("event_id", "user_id", "ts")
+    first, second, third = _thirds(events, F.unix_micros(F.col("ts").cast("timestamp")))
+    late = F.col("event_id") % 40 == 0
+    parts = [first.filter(~late), first.filter(late).unionByName(second).unionByName(third)]
+    return S.fed(spark, parts, lambda s: incremental.windows(s, "1 hour"), "update", "stream-windows", ["user_id", "hour"])[0]

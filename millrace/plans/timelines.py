@@ -160,12 +160,6 @@ def stream_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return incremental.stream_stats(spark, f"{sf_dir}/events.parquet").select("event_type", "n", F.round("total", 4).alias("total"), "top")
 
 
-@query("select user_id, time_bucket(interval 1 hour, ts) as hour, count(*)::bigint as n from events group by user_id, hour")
-def stream_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Hourly counts by user from the same stream."""
-    return incremental.stream_windows(spark, f"{sf_dir}/events.parquet", "1 hour", "60 days")
-
-
 @query("select event_id, event_type, value from events where event_id % 3 <> 0")
 def stream_new_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Items that arrive on the stream and are not among those processed before."""

@@ -78,11 +78,10 @@ def stream_stats(spark: SparkSession, path: str) -> DataFrame:
     return run_available(totals, _work_dir(spark, "stream-stats"), "complete")
 
 
-def stream_windows(spark: SparkSession, path: str, size: str, late: str = "2 days") -> DataFrame:
-    """Counts by user and tumbling window. Windows are dropped from the state once the watermark has passed them; rows later than that don't count."""
-    counts = timed(source(spark, path)).withWatermark("ts", late).groupBy("user_id", F.window("ts", size)).agg(F.count("*").alias("n"))
-    rows = counts.select("user_id", F.col("window.start").cast("timestamp_ntz").alias("hour"), "n")
-    return run_available(rows, _work_dir(spark, "stream-windows"), "update", ["user_id", "hour"])
+def windows(stream: DataFrame, size: str, late: str = "2 days") -> DataFrame:
+    """user_id, hour, n: counts by user and tumbling window. Windows leave the state once the watermark has passed them; rows later than that don't count."""
+    counts = timed(stream).withWatermark("ts", late).groupBy("user_id", F.window("ts", size)).agg(F.count("*").alias("n"))
+    return counts.select("user_id", F.col("window.start").cast("timestamp_ntz").alias("hour"), "n")
 
 
 def stream_new_items(spark: SparkSession, path: str, done: DataFrame, key: str) -> DataFrame:
