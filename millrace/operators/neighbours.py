@@ -93,6 +93,20 @@ def deal_cells(points: DataFrame, pivots: int | None = None, seed: int = 7) -> C
     return Cells(homed, where, keys, radii * (1 + 1e-9) + 1e-9)
 
 
+def rehomed(points: DataFrame, pivots: np.ndarray) -> DataFrame:
+    """Points with home and away by these pivots."""
+    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in points.schema.fields)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                away = distances(matrix(batch.column(batch.schema.get_field_index("x"))), pivots)
+                home = away.argmin(axis=1)
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(home.astype(np.int32)), pa.array(away[np.arange(len(home)), home])], [*batch.schema.names, "home", "away"])
+
+    return points.mapInArrow(run, f"{kinds}, home int, away double")
+
+
 def searches(cells: Cells, points: DataFrame, radius: Column, skip: np.ndarray | None = None, group: str | None = None, home: bool | None = None) -> DataFrame:
     """points (columns of cells.points and more) with a row for each cell in which something may lie within the radius.
 

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.operators.clusters import best_k
-from millrace.operators.neighbours import deal_cells, distances, distinct_vectors, exact_distance, matrix, meet, searches
+from millrace.operators.neighbours import deal_cells, distances, distinct_vectors, exact_distance, matrix, meet, rehomed, searches
 from millrace.operators.rounds import written
 
 
@@ -173,22 +173,8 @@ def extreme_pairs(df: DataFrame, key: str, vector: str, pivots: int | None = Non
             first = np.lexsort((high, low, np.round(-sign * similarity, 12)))[:1]
             return pa.RecordBatch.from_arrays([pa.array([kind] * len(first)), pa.array(low[first]), pa.array(high[first]), pa.array(similarity[first])], ["kind", "a", "b", "similarity"])
 
-        seeking = turned if sign > 0 else _rehomed(turned.drop("home", "away"), cells.pivots)
+        seeking = turned if sign > 0 else rehomed(turned.drop("home", "away"), cells.pivots)
         met = meet(searches(cells, seeking, F.lit(float(bound) if np.isfinite(bound) else float("inf"))), cells.points.withColumn("cell", F.col("home")), ["k", "x"], ["k", "x"], closest, schema, f"extremes-{kind}")
         best = met.groupBy("kind").agg(F.min_by(F.struct("a", "b", "similarity"), F.struct(F.round(-sign * F.col("similarity"), 12), "a", "b")).alias("p")).select("kind", "p.*")
         out = best if out is None else out.unionByName(best)
     return out
-
-
-def _rehomed(points: DataFrame, pivots: np.ndarray) -> DataFrame:
-    """Points with home and away by these pivots."""
-    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in points.schema.fields)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                away = distances(matrix(batch.column(batch.schema.get_field_index("x"))), pivots)
-                home = away.argmin(axis=1)
-                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(home.astype(np.int32)), pa.array(away[np.arange(len(home)), home])], [*batch.schema.names, "home", "away"])
-
-    return points.mapInArrow(run, f"{kinds}, home int, away double")

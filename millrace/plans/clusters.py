@@ -73,11 +73,14 @@ def subcluster_features(spark: SparkSession, sf_dir: str) -> DataFrame:
 _APART = "list_distance(a.embedding::double[], b.embedding::double[])"
 
 
-@query(f"""
+_DENSE = f"""
 with recursive n as (select a.vec_id as k, b.vec_id as o from embeddings a join embeddings b on {_APART} <= 1.15), c as (select k from n group by k having count(*) >= 4),
 e as (select n.k, n.o from n join c a on a.k = n.k join c b on b.k = n.o), r(k, cluster) as (select k, k from c union select e.o, r.cluster from r join e on e.k = r.k where e.o > r.cluster), l as (select k, min(cluster) as cluster from r group by k),
 b as (select n.k, arg_min(l.cluster, l.k) as cluster from n join l on l.k = n.o where n.k not in (select k from c) group by n.k)
-select v.vec_id, coalesce(l.cluster, b.cluster) as cluster, l.k is not null as is_core from embeddings v left join l on l.k = v.vec_id left join b on b.k = v.vec_id""")
+select v.vec_id, coalesce(l.cluster, b.cluster) as cluster, l.k is not null as is_core from embeddings v left join l on l.k = v.vec_id left join b on b.k = v.vec_id"""
+
+
+@query(_DENSE)
 def density_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Density clusters of whole embeddings: at least four within 1.15."""
     return D.dbscan_vectors(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", 1.15, 4)
@@ -126,3 +129,13 @@ with p as (select a.vec_id as a, b.vec_id as b, round(list_cosine_similarity(a.e
 def pair_extremes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The least and the most similar pair of embeddings, without making pairs."""
     return R.extreme_pairs(table(spark, sf_dir, "embeddings"), "vec_id", "embedding").withColumn("similarity", F.round("similarity", 9))
+
+
+@query(f"select vec_id, coalesce(cluster, -1) as cluster from ({_DENSE})")
+def fitted_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same clusters by the estimator, fitted and then applied; -1 is noise."""
+    from millrace.operators.estimators import VectorClusterer
+
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    estimator = VectorClusterer(method="dbscan", keyCol="vec_id", vectorCol="embedding", eps=1.15, minSamples=4)
+    return estimator.fit(vectors).transform(vectors).select("vec_id", "cluster")
