@@ -121,7 +121,7 @@ def positions(df: DataFrame, order: list[str], name: str, parts: int | None = No
     return kept.join(begins, same).select(*df.columns, (F.col("_before") + F.col("_at") - F.col("_first")).cast("long").alias(name))
 
 
-def quantiles(df: DataFrame, group: list[str], value: str, shares: list[float], bins: int = 1 << 14, salts: int = 16) -> DataFrame:
+def quantiles(df: DataFrame, group: list[str], value: str, shares: list[float], bins: int = 1 << 16, salts: int = 4) -> DataFrame:
     """group, share, quantile: exact quantiles with linear interpolation; nulls and NaN are left out.
 
     A histogram of at most `bins` bins tells in which bin each wanted place lies; that bin's least and greatest values are the

@@ -17,7 +17,7 @@ def fingerprints(df: DataFrame, text: str) -> DataFrame:
     Stands in for an image's perceptual hash: texts that differ in few words differ in few bits. All of it is made in the row.
     """
     words = F.filter(F.array_distinct(F.split(F.lower(text), r"\s+")), lambda w: w != "")
-    hashed = F.array_sort(F.transform(words, lambda w: F.struct((md5_key(w) % 60).alias("spot"), md5_key(w).alias("m"))))
+    hashed = F.array_sort(F.transform(F.transform(words, lambda w: md5_key(w)), lambda m: F.struct((m % 60).alias("spot"), m.alias("m"))))
     start = F.struct(F.lit(-1).cast("long").alias("spot"), F.lit(0).cast("long").alias("bits"))
     bit = lambda x: F.call_function("shiftleft", F.call_function("div", x["m"], F.lit(60)) % 2, x["spot"].cast("int"))
     first = lambda s, x: F.when(x["spot"] == s["spot"], s).otherwise(F.struct(x["spot"].alias("spot"), s["bits"].bitwiseOR(bit(x)).alias("bits")))

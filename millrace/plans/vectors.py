@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from millrace.functions.vector import sign_hash
 from millrace.operators import vectors as V
+from millrace.operators.rounds import written
 from millrace.plans.registry import query
-from millrace.session import table
+from millrace.session import spread, table
 
 _CENT = """
 with x as (select vec_id, label, unnest(embedding)::double as v, generate_subscripts(embedding, 1) as i from embeddings),
@@ -85,7 +86,8 @@ select {columns} from r"""
 
 
 def _prints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return V.fingerprints(table(spark, sf_dir, "documents").select("doc_id", "source", "text"), "text").drop("text")
+    rows = spread(table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
+    return written(V.fingerprints(rows, "text").drop("text"), "prints")  # read several times
 
 
 @query(_PRINTS + """, c as (select bits, min(doc_id) as k, count(*) as members from h group by bits)
