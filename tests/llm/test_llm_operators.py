@@ -918,9 +918,10 @@ def test_registered_queries_have_their_columns(spark):
         "op2": "doc_id piece start length ids_crc32 sequence_id offset", "op3": "doc_id n_assign n_access n_hex base_sha256 spans", "op6": "doc_id held_out score predicted",
         "op5": "doc_id n_bytes payload_bytes payload_sha256 tail_crc32 media_bytes media_sha256 feature", "op8": "page_id host path rule verdict",
         "op10": "doc_id size text_crc32 law shard slot grown_shard", "op7": "doc_id class_id",
+        "op11": "vec_id component n deviation whitened explained identity_error", "op12": "doc_id leaf subroot root proof_sha256 folded_root verified", "op13": "page_id url text n_chars",
     }
     names = {n.split("_")[0]: n for n in Q.QUERIES}
-    assert set(names) == {f"op{i}" for i in range(1, 11)}
+    assert set(names) == {f"op{i}" for i in range(1, 14)}
     for op, columns in want.items():
         assert set(columns.split()) <= set(Q.QUERIES[names[op]](spark, SF).columns), op
 
