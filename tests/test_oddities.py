@@ -25,3 +25,11 @@ def test_caption_fix_capitals_of_several_letters_and_vertical_tabs(spark, both):
     found, wanted = both("caption_fix", documents=docs)
     assert found == wanted
     assert [r[2] for r in found][:3] == [10, 6, 8]
+
+
+def test_clustering_comparison_ties_are_not_left_to_chance(spark, both):
+    # 3 n + 1 rows a segment: both qualities are the same mean, whatever the order of the sum
+    rows = [(i, i % 25, ((i * 7919) % 1_000_003) / 100.0 - 999.99, "ABC"[i % 3]) for i in range(3 * 40_000)]
+    customer = spark.createDataFrame(rows, "c_custkey long, c_nationkey int, c_acctbal double, c_mktsegment string").repartition(7)
+    found, wanted = both("clustering_comparison", customer=customer)
+    assert found == wanted and {r[3] for r in found} == {"both have trade-offs"}
