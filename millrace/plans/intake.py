@@ -45,8 +45,9 @@ select event_id, split_part(regexp_replace(name, '\\.[^.]+$', ''), '_', 1) as sc
 def parsed_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scene, position and frame number out of file names of three kinds."""
     e = F.col("event_id")
-    long = F.concat(F.lit("scene"), "user_id", F.lit("_pos"), e % 9, F.lit("_frame"), F.lpad(e.cast("string"), 6, "0"), F.lit("_t"), F.col("value").cast("string"), F.lit("s.jpg"))
-    name = F.when(e % 3 == 0, long).when(e % 3 == 1, F.concat(F.lit("x_"), F.lpad(e.cast("string"), 4, "0"), F.lit(".png"))).otherwise("plain.png")
+    digits = lambda n: F.lpad(e.cast("string"), F.greatest(F.lit(n), F.length(e.cast("string"))), F.lit("0"))  # noqa: E731  # lpad alone would cut longer numbers
+    long = F.concat(F.lit("scene"), "user_id", F.lit("_pos"), e % 9, F.lit("_frame"), digits(6), F.lit("_t"), F.col("value").cast("string"), F.lit("s.jpg"))
+    name = F.when(e % 3 == 0, long).when(e % 3 == 1, F.concat(F.lit("x_"), digits(4), F.lit(".png"))).otherwise("plain.png")
     named = table(spark, sf_dir, "events").select("event_id", name.alias("name"))
     parts = files.parse_frame_name(F.col("name"))
     return named.select("event_id", parts["scene"].alias("scene"), parts["pos"].alias("pos"), files.frame_number(F.col("name")).alias("number"))

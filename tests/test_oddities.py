@@ -33,3 +33,10 @@ def test_clustering_comparison_ties_are_not_left_to_chance(spark, both):
     customer = spark.createDataFrame(rows, "c_custkey long, c_nationkey int, c_acctbal double, c_mktsegment string").repartition(7)
     found, wanted = both("clustering_comparison", customer=customer)
     assert found == wanted and {r[3] for r in found} == {"both have trade-offs"}
+
+
+def test_parsed_names_keep_long_numbers(spark, both):
+    ids = [0, 1, 2, 9_999, 10_000, 10_002, 99_999, 100_000, 999_999, 1_000_000, 1_000_002, 5_999_999, 6_000_000, 123_456_789]
+    events = spark.createDataFrame([(i, i % 7, 1.5) for i in ids], "event_id long, user_id long, value double")
+    found, wanted = both("parsed_names", events=events)
+    assert found == wanted and {r[3] for r in found} >= {1_000_002, 100_000}
