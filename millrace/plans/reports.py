@@ -90,7 +90,8 @@ b as (select p_brand, case when w * h = 0 then 'unknown' when w * h >= 2073600 t
   case when w / h > 1.3 then 'landscape' when w / h < 0.77 then 'portrait' else 'square' end as shape from p)
 select p_brand, bucket, shape, count(*)::bigint as n from b group by all""")
 def resolution_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = table(spark, sf_dir, "part").select("p_brand", (F.col("p_size") * 40).alias("w"), F.round("p_retailprice").cast("int").alias("h"))
+    """Parts by brand, band of pixels and shape; a price, as the height, is rounded with halves to the even number."""
+    p = table(spark, sf_dir, "part").select("p_brand", (F.col("p_size") * 40).alias("w"), F.rint("p_retailprice").cast("int").alias("h"))
     rows = p.select("p_brand", G.resolution_bucket(F.col("w"), F.col("h")).alias("bucket"), G.aspect_class(F.col("w"), F.col("h")).alias("shape"))
     return rows.groupBy("p_brand", "bucket", "shape").agg(F.count("*").alias("n"))
 

@@ -40,3 +40,10 @@ def test_parsed_names_keep_long_numbers(spark, both):
     events = spark.createDataFrame([(i, i % 7, 1.5) for i in ids], "event_id long, user_id long, value double")
     found, wanted = both("parsed_names", events=events)
     assert found == wanted and {r[3] for r in found} >= {1_000_002, 100_000}
+
+
+def test_resolution_buckets_round_halves_as_the_equivalent_does(spark, both):
+    prices = [1024.5, 1023.5, 2048.5, 512.5, 511.5, 640.5, 320.5, 1280.5, 900.5, 901.5, 1040.5, 1000.0]
+    part = spark.createDataFrame([(f"b{i}", w, p) for i, p in enumerate(prices) for w in range(1, 52)] + [("edge", 11, 930.5)], "p_brand string, p_size int, p_retailprice double")
+    found, wanted = both("resolution_buckets", part=part)
+    assert found == wanted
