@@ -38,6 +38,18 @@ def ssim(a: np.ndarray, b: np.ndarray, window: int = WINDOW) -> np.ndarray:
     return (((2 * ma * mb + C1) * (2 * vab + C2)) / ((ma * ma + mb * mb + C1) * (va + vb + C2))).mean(axis=(1, 2))
 
 
+def rough_ssim(a: np.ndarray, b: np.ndarray, window: int = WINDOW) -> np.ndarray:
+    """ssim of every image of a (n x h x w) with every one of b, but for rounding: a window's products of all pairs are one matrix product."""
+    n, total = window * window, np.zeros((len(a), len(b)))
+    (ma, va), (mb, vb) = moments(a, window), moments(b, window)
+    for i in range(ma.shape[1]):
+        for j in range(ma.shape[2]):
+            x, y = (np.ascontiguousarray(v[:, i : i + window, j : j + window].reshape(len(v), n) - m[:, i, j, None]) for v, m in ((a, ma), (b, mb)))
+            light = (2 * np.outer(ma[:, i, j], mb[:, i, j]) + C1) / (ma[:, i, j, None] ** 2 + mb[:, i, j] ** 2 + C1)
+            total += light * (x @ y.T * (2 / (n - 1)) + C2) / (va[:, i, j, None] + vb[:, i, j] + C2)
+    return total / ma[0].size
+
+
 def image_keys(x: np.ndarray, window: int = WINDOW) -> np.ndarray:
     """Light and contrast of images: the means over windows of log(m^2 + C1 / 2) and log(v + C2 / 2)."""
     mean, variance = moments(x, window)
@@ -85,12 +97,17 @@ def similar_images(df: DataFrame, key: str, grid: str, height: int, width: int,
     cell = lambda i, j: (places[0] + i) * (1 << 20) + places[1] + j
     around = F.array(*(cell(F.lit(i), F.lit(j)) for i in (-1, 0, 1) for j in (-1, 0, 1)))
 
-    def found(s: dict[str, np.ndarray], t: dict[str, np.ndarray]) -> pa.RecordBatch:
+    def found(s: dict[str, np.ndarray], t: dict[str, np.ndarray]) -> pa.RecordBatch | None:
         may = s["k"][:, None] < t["k"]
         for c, d in zip(("light", "contrast"), far, strict=True):
             may &= np.abs(s[c][:, None] - t[c]) <= d
-        i, j = np.nonzero(may)
-        score = np.concatenate([ssim(s["x"][i[lo : lo + 512]].reshape(-1, height, width), t["x"][j[lo : lo + 512]].reshape(-1, height, width), window) for lo in range(0, len(i), 512)] or [np.zeros(0)])
+        rows, columns = np.flatnonzero(may.any(axis=1)), np.flatnonzero(may.any(axis=0))
+        if not len(rows):
+            return None
+        x, y = s["x"].reshape(-1, height, width), t["x"].reshape(-1, height, width)
+        i, j = np.nonzero(may[np.ix_(rows, columns)] & (rough_ssim(x[rows], y[columns], window) >= threshold - 1e-6))  # the rest is checked exactly
+        i, j = rows[i], columns[j]
+        score = np.concatenate([ssim(x[i[lo : lo + 512]], y[j[lo : lo + 512]], window) for lo in range(0, len(i), 512)] or [np.zeros(0)])
         good = score >= threshold
         return pa.RecordBatch.from_arrays([pa.array(s["k"][i[good]]), pa.array(t["k"][j[good]]), pa.array(score[good])], ["a", "b", "similarity"])
 

@@ -105,3 +105,16 @@ def test_leaders_equal_the_sequential_rule(spark):
     got = {r["id"]: r["leader"] for r in S.ssim_leaders(df, "id", "g", 16, 16).collect()}
     assert got == want and len(set(want.values())) < len(x)
     assert S.ssim_leaders(df.limit(0), "id", "g", 16, 16).count() == 0
+
+
+def test_rough_similarity_of_all_pairs_is_that_of_each_pair():
+    import numpy as np
+
+    from millrace.operators.similarity import rough_ssim, ssim
+
+    draw = np.random.default_rng(3)
+    a, b = draw.uniform(0, 255, (9, 8, 11)), draw.uniform(0, 255, (6, 8, 11))
+    b[:4] = a[:4] + draw.normal(0, 3, (4, 8, 11))
+    b[4] = 100.0
+    exact = np.stack([ssim(np.repeat(a[i : i + 1], len(b), axis=0), b) for i in range(len(a))])
+    assert np.abs(rough_ssim(a, b) - exact).max() < 1e-9
