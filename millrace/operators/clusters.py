@@ -13,39 +13,59 @@ from pyspark.sql import functions as F
 from millrace.operators.rounds import components, written
 
 
+FINE = 8
+
+
 def dbscan(df: DataFrame, key: str, x: str, y: str, eps: float, least: int) -> DataFrame:
     """key, cluster (the least key of its core points; null: noise), is_core: DBSCAN of points in a plane.
 
-    Points meet in cells of side eps and the eight around them. Cells of half a diagonal, whose points are all near each
-    other, are one point of the graph each, so a dense place costs no pairs of its own: only cells meet, by their points.
+    Equal points are one with members. Points meet in cells of half a diagonal, whose points are all near each other, so a cell
+    is one point of the graph. Two cells are linked if the boxes of two of their fine cells are all near; only where boxes leave
+    it open do points meet, so a dense place costs no pairs of its own. Tables that grow are merged, never broadcast.
     A border point goes to the cluster of the least core key that is near.
     """
     # cells so small that any two points of one are near
     side = eps / 2**0.5
-    points = df.select(F.col(key).alias("k"), F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y")).withColumns({"cx": F.floor(F.col("x") / side), "cy": F.floor(F.col("y") / side)})
-    points = written(points, "dbscan-points")
-    sizes = points.groupBy("cx", "cy").agg(F.count("*").alias("n"))
-    dense = sizes.filter(F.col("n") >= least).select("cx", "cy")
-    thin = points.join(dense, ["cx", "cy"], "left_anti")  # fewer than `least` points a cell
+    rows = df.select(F.col(key).alias("k"), (F.col(x).cast("double") + F.lit(0.0)).alias("x"), (F.col(y).cast("double") + F.lit(0.0)).alias("y"))
+    sound = ~(F.col("x").isNull() | F.col("y").isNull() | F.isnan("x") | F.isnan("y"))
+    points = rows.filter(sound).groupBy("x", "y").agg(F.min("k").alias("k"), F.count("*").alias("members"))
+    points = written(points.select("k", "x", "y", "members", F.floor(F.col("x") / side).alias("cx"), F.floor(F.col("y") / side).alias("cy")), "dbscan-points")
+    dense = points.groupBy("cx", "cy").agg(F.sum("members").alias("n")).filter(F.col("n") >= least).select("cx", "cy")
+    thin = written(points.join(dense.hint("merge"), ["cx", "cy"], "left_anti").select("k", "x", "y", "cx", "cy"), "dbscan-thin")  # fewer than `least` rows a cell
     steps = F.array(*(F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in range(-2, 3) for j in range(-2, 3)))
-    around = thin.withColumn("s", F.explode(steps)).select("k", "x", "y", (F.col("cx") + F.col("s.i")).alias("cx"), (F.col("cy") + F.col("s.j")).alias("cy"))
-    near = (F.pow(F.col("x") - F.col("ox"), 2) + F.pow(F.col("y") - F.col("oy"), 2)) <= eps * eps
-    others = points.select("cx", "cy", F.col("k").alias("ok"), F.col("x").alias("ox"), F.col("y").alias("oy"))
-    counted = around.join(others, ["cx", "cy"]).filter(near).groupBy("k").agg(F.count("*").alias("n"))
-    cores = written(points.join(dense, ["cx", "cy"], "left_semi").select(*points.columns).union(thin.join(counted.filter(F.col("n") >= least).select("k"), "k", "left_semi").select(*points.columns)), "dbscan-cores")
+    moved = lambda t, *columns: t.withColumn("s", F.explode(steps)).select(*columns, (F.col("cx") + F.col("s.i")).alias("cx"), (F.col("cy") + F.col("s.j")).alias("cy"))
+    dx, dy = F.col("x") - F.col("ox"), F.col("y") - F.col("oy")
+    near = dx * dx + dy * dy <= eps * eps
+    others = points.select("cx", "cy", F.col("x").alias("ox"), F.col("y").alias("oy"), "members")
+    counted = moved(thin, "k", "x", "y").join(others.hint("merge"), ["cx", "cy"]).filter(near).groupBy("k").agg(F.sum("members").alias("n"))
+    full = counted.filter(F.col("n") >= least).select("k")
+    places = points.select("k", "x", "y", "cx", "cy")
+    cores = written(places.join(dense.hint("merge"), ["cx", "cy"], "left_semi").select(*places.columns).union(thin.join(full.hint("merge"), "k", "left_semi").select(*places.columns)), "dbscan-cores")
     # cells of cores are linked when two of their cores are near
     cells = cores.groupBy("cx", "cy").agg(F.min("k").alias("cell"))
-    named = cores.join(cells, ["cx", "cy"])
-    wide = named.withColumn("s", F.explode(steps)).select("cell", "x", "y", (F.col("cx") + F.col("s.i")).alias("cx"), (F.col("cy") + F.col("s.j")).alias("cy"))
-    met = wide.join(named.select("cx", "cy", F.col("cell").alias("other"), F.col("x").alias("ox"), F.col("y").alias("oy")), ["cx", "cy"]).filter(F.col("cell") < F.col("other")).filter(near)
-    joined = components(met.select(F.col("cell").alias("a"), F.col("other").alias("b")).distinct())
-    labels = named.join(joined.withColumnRenamed("node", "cell"), "cell", "left").select("k", "cx", "cy", "x", "y", F.coalesce("component", "cell").alias("cluster"))
+    fine = [F.floor((F.col(v) / side - F.col(c)) * FINE).alias(f"f{v}") for v, c in (("x", "cx"), ("y", "cy"))]
+    named = written(cores.join(cells.hint("merge"), ["cx", "cy"]).select("cell", "k", "x", "y", "cx", "cy", *fine), "dbscan-named")
+    ends = {f"{e}{v}": f(v) for v in "xy" for e, f in (("low_", F.min), ("high_", F.max))}
+    boxes = written(named.groupBy("cell", "cx", "cy", "fx", "fy").agg(*(f.alias(n) for n, f in ends.items())), "dbscan-boxes")
+    theirs = boxes.select("cx", "cy", F.col("cell").alias("other"), F.col("fx").alias("ofx"), F.col("fy").alias("ofy"), *(F.col(n).alias(f"o{n}") for n in ends))
+    gap = lambda v: F.greatest(F.lit(0.0), F.col(f"olow_{v}") - F.col(f"high_{v}"), F.col(f"low_{v}") - F.col(f"ohigh_{v}"))
+    span = lambda v: F.greatest(F.col(f"ohigh_{v}") - F.col(f"low_{v}"), F.col(f"high_{v}") - F.col(f"olow_{v}"))
+    pairs = moved(boxes, "cell", "fx", "fy", *ends).join(theirs.hint("merge"), ["cx", "cy"]).filter(F.col("cell") < F.col("other"))
+    pairs = pairs.withColumn("sure", span("x") * span("x") + span("y") * span("y") <= eps * eps).filter(gap("x") * gap("x") + gap("y") * gap("y") <= eps * eps * (1 + 1e-9))
+    # of each two cells one pair of boxes that is all near, or else all pairs that may have near points
+    met = pairs.groupBy("cell", "other").agg(F.max("sure").alias("sure"))
+    met = written(met, "dbscan-met")
+    open_ = pairs.select("cell", "fx", "fy", "other", "ofx", "ofy").join(met.filter("not sure").select("cell", "other").hint("merge"), ["cell", "other"])
+    mine, theirs = named.select("cell", "fx", "fy", "x", "y"), named.select(F.col("cell").alias("other"), F.col("fx").alias("ofx"), F.col("fy").alias("ofy"), F.col("x").alias("ox"), F.col("y").alias("oy"))
+    close = open_.join(mine.hint("merge"), ["cell", "fx", "fy"]).join(theirs.hint("merge"), ["other", "ofx", "ofy"]).filter(near).select("cell", "other")
+    joined = components(met.filter("sure").select("cell", "other").union(close).distinct().toDF("a", "b"))
+    labels = named.join(joined.withColumnRenamed("node", "cell").hint("merge"), "cell", "left").select("k", "cx", "cy", "x", "y", F.coalesce("component", "cell").alias("cluster"))
     labels = written(labels, "dbscan-labels")
-    border = thin.join(cores.select("k"), "k", "left_anti").withColumn("s", F.explode(steps)).select("k", "x", "y", (F.col("cx") + F.col("s.i")).alias("cx"), (F.col("cy") + F.col("s.j")).alias("cy"))
+    border = moved(thin.join(cores.select("k").hint("merge"), "k", "left_anti"), "k", "x", "y")
     near_core = labels.select("cx", "cy", F.col("x").alias("ox"), F.col("y").alias("oy"), F.col("k").alias("ok"), "cluster")
-    taken = border.join(near_core, ["cx", "cy"]).filter(near).groupBy("k").agg(F.min_by("cluster", "ok").alias("cluster"))
-    found = labels.select("k", "cluster", F.lit(True).alias("is_core")).union(taken.select("k", "cluster", F.lit(False)))
-    return points.select("k").join(found, "k", "left").select(F.col("k").alias(key), "cluster", F.coalesce("is_core", F.lit(False)).alias("is_core"))
+    taken = border.join(near_core.hint("merge"), ["cx", "cy"]).filter(near).groupBy("x", "y").agg(F.min_by("cluster", "ok").alias("cluster"))
+    found = labels.select("x", "y", "cluster", F.lit(True).alias("is_core")).union(taken.select("x", "y", "cluster", F.lit(False)))
+    return rows.join(found.hint("merge"), ["x", "y"], "left").select(F.col("k").alias(key), "cluster", F.coalesce("is_core", F.lit(False)).alias("is_core"))
 
 
 def _scaled(df: DataFrame, vector: str) -> DataFrame:
