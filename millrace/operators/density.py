@@ -15,8 +15,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.operators.neighbours import Cells, deal_cells, distances, distinct_vectors, exact_distance, matrix, meet, nearest, searches
-from millrace.operators.rounds import components, positions, written
+from millrace.operators.neighbours import Cells, deal_cells, distances, distinct_vectors, exact_distance, matrix, meet_cells, nearest, searches
+from millrace.operators.rounds import components, positions, stars, written
 
 #: The least distance that counts in 1 / distance; nearer points have the density of this one.
 LEAST = 1e-9
@@ -87,15 +87,27 @@ def dbscan_vectors(df: DataFrame, key: str, vector: str, eps: float, least: int,
         core = np.where(pairs(s, t), t["k"], top).min(axis=1)
         return pa.RecordBatch.from_arrays([pa.array(s["k"][core < top]), pa.array(core[core < top])], ["k", "core"])
 
-    resident = cells.points.withColumn("cell", F.col("home"))
-    counts = meet(searches(cells, cells.points, F.lit(eps)), resident, ["k", "x"], ["k", "x", "members"], count, "k long, n long", "near-counts")
+    def total(r: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
+        k, at = np.unique(r["k"], return_inverse=True)
+        n = np.zeros(len(k), np.int64)
+        np.add.at(n, at, r["n"])
+        return {"k": k, "n": n}
+
+    def first(r: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
+        order = np.lexsort((r["core"], r["k"]))
+        k, at = np.unique(r["k"][order], return_index=True)
+        return {"k": k, "core": r["core"][order][at]}
+
+    def tie(r: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
+        return dict(zip("ab", stars(r["a"], r["b"]), strict=True))
+
+    counts = meet_cells(cells, searches(cells, cells.points, F.lit(eps)), cells.points, ["k", "x"], ["k", "x", "members"], count, "k long, n long", "near-counts", total)
     dense = counts.groupBy("k").agg(F.sum("n").alias("n")).filter(F.col("n") >= least).select("k")
     cores = written(cells.points.join(dense, "k", "left_semi").select(*cells.points.columns), "cores")
-    at_home = cores.withColumn("cell", F.col("home"))
-    joined = components(meet(searches(cells, cores, F.lit(eps)), at_home, ["k", "x"], ["k", "x"], link, "a long, b long", "core-links"))
+    joined = components(meet_cells(cells, searches(cells, cores, F.lit(eps)), cores, ["k", "x"], ["k", "x"], link, "a long, b long", "core-links", tie))
     labels = written(cores.select("k", "x").join(joined.withColumnRenamed("node", "k"), "k", "left").select("k", "x", F.coalesce("component", "k").alias("cluster")), "core-labels")
     thin = cells.points.join(cores.select("k"), "k", "left_anti").select(*cells.points.columns)
-    touched = meet(searches(cells, thin, F.lit(eps)), at_home, ["k", "x"], ["k", "x"], touch, "k long, core long", "borders").groupBy("k").agg(F.min("core").alias("core"))
+    touched = meet_cells(cells, searches(cells, thin, F.lit(eps)), cores, ["k", "x"], ["k", "x"], touch, "k long, core long", "borders", first).groupBy("k").agg(F.min("core").alias("core"))
     border = thin.select("k", "x").join(touched, "k").join(labels.select(F.col("k").alias("core"), "cluster"), "core")
     found = labels.select("x", "cluster", F.lit(True).alias("is_core")).unionByName(border.select("x", "cluster", F.lit(False).alias("is_core")))
     return _spread_out(df, key, vector, standardize, found, ["cluster", "is_core"], [F.lit(None).cast("long"), F.lit(False)])
@@ -166,9 +178,12 @@ def reachability_tree(cells: Cells, cores: DataFrame, near: DataFrame) -> DataFr
             exact = np.maximum(np.maximum(exact_distance(s["x"][i], t["x"][j]), s["core"][i]), t["core"][j])
             return _least_edges(s["comp"][i], exact, s["k"][i], t["k"][j])
 
-        resident = placed.withColumn("cell", F.col("home"))
+        def least(r: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
+            rows = _least_edges(r["comp"], r["w"], r["a"], r["b"])
+            return {n: rows.column(n).to_numpy() for n in rows.schema.names}
+
         names = ["k", "x", "home", "away", "comp", "core", "least"]
-        searched = meet(searches(cells, seeking.select(*names), F.col("least"), lone, "comp"), resident, ["k", "x", "comp", "core", "least"], ["k", "x", "comp", "core"], lightest, schema, "lightest")
+        searched = meet_cells(cells, searches(cells, seeking.select(*names), F.col("least"), lone, "comp"), placed, ["k", "x", "comp", "core", "least"], ["k", "x", "comp", "core"], lightest, schema, "lightest", least)
         every = bound.unionByName(searched.select("comp", _edge())).groupBy("comp").agg(F.min("edge").alias("edge"))
         chosen = written(every.select("edge.*").distinct().select("a", "b", "w"), "tree-edges")
         tree = chosen if tree is None else tree.unionByName(chosen)
@@ -282,11 +297,42 @@ def condensed_tree(tree: DataFrame, points: DataFrame, least: int, limit: int =
     return written(clusters, "clusters"), written(own, "places")
 
 
-def most_stable(clusters: DataFrame) -> DataFrame:
+def _selected(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rule of most_stable for a whole hierarchy, given as cluster, parent, stability: leaves first, then back."""
+    held = [b for b in batches if b.num_rows]
+    if not held:
+        return
+    cluster, parent, stability = (pa.Table.from_batches(held).column(c).to_pylist() for c in range(3))
+    above, own = dict(zip(cluster, parent, strict=True)), dict(zip(cluster, stability, strict=True))
+    open_ = dict.fromkeys(cluster, 0)
+    for p in parent:
+        if p is not None:
+            open_[p] += 1
+    under, inner, chosen, order = dict.fromkeys(cluster, 0.0), {c for c, n in open_.items() if n}, set(), [c for c, n in open_.items() if not n]
+    for c in order:  # grows by the parents whose children are all settled
+        p = above[c]
+        wins = p is not None and (c not in inner or own[c] >= under[c])
+        if wins:
+            chosen.add(c)
+        if p is not None:
+            under[p] += own[c] if wins else under[c]
+            open_[p] -= 1
+            if not open_[p]:
+                order.append(p)
+    label: dict[str, str | None] = {}
+    for c in reversed(order):
+        label[c] = (label[above[c]] if above[c] is not None else None) or (c if c in chosen else None)
+    yield pa.RecordBatch.from_arrays([pa.array(order, pa.string()), pa.array([label[c] for c in order], pa.string())], ["cluster", "label"])
+
+
+def most_stable(clusters: DataFrame, few: int = 500_000) -> DataFrame:
     """cluster, label: the selected cluster that each cluster is in (null: none), by excess of mass; the root is never selected.
 
     A cluster is selected if it is at least as stable as the best of those under it; settled level by level, upwards, then downwards.
+    Up to `few` clusters are settled by one task, as a hierarchy may have as many levels as clusters.
     """
+    if clusters.count() <= few:
+        return written(clusters.select("cluster", "parent", "stability").coalesce(1).mapInArrow(_selected, "cluster string, label string"), "labels")
     inner = clusters.filter("parent is not null").groupBy(F.col("parent").alias("cluster")).agg(F.count("*").alias("children"))
     rows = written(clusters.join(inner, "cluster", "left").select("cluster", "parent", "stability", F.coalesce("children", F.lit(0)).alias("children")), "tree")
     best = written(rows.filter("children = 0").select("cluster", "parent", F.col("stability").alias("best"), F.col("parent").isNotNull().alias("chosen")), "best")

@@ -2,9 +2,10 @@
 
 Every point's home is the cell of its nearest pivot. A point meets another cell only if a point within its radius may live there:
 half the difference of its distances to both pivots, and its distance to the pivot less the cell's own radius, must not exceed it.
-Points of a cell are packed into blocks of bounded size, and a block of searching points meets the blocks of each cell it needs;
-distances are made for whole blocks, so there is no row for a pair that isn't wanted. The cost is that of the pairs of blocks that
-meet: with p pivots (a bounded sample, broadcast as p x d numbers) cells have about n / p points.
+Cells are put together in about 8 tiles of at most 65,536 points, and a tile meets a tile in one task, so a point is shuffled once a
+tile, not once a cell. Inside, blocks of searching points meet the cells that one of them needs; distances are made for whole blocks,
+what they give is reduced in the task, and there is no row for a pair that isn't wanted. Where cells exclude little (many dimensions)
+the arithmetic grows with the square of the points; rows shuffled and memory don't, up to half a million points, and memory never does.
 """
 
 from __future__ import annotations
@@ -21,6 +22,8 @@ from pyspark.sql import functions as F
 from millrace.operators.rounds import written
 
 BLOCK = 256
+#: Points of a tile, and distances that are held at once.
+TILE, AREA = 1 << 16, 1 << 20
 _BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
@@ -53,12 +56,35 @@ def exact_distance(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 class Cells(NamedTuple):
-    """points: k, x, members and further columns, with home (cell) and away (distance to its pivot); pivots and radii of the cells."""
+    """points: k, x, members and further columns, with home (cell) and away (distance to its pivot); pivots, radii and points of the cells."""
 
     points: DataFrame
     pivots: np.ndarray
     pivot_keys: np.ndarray
     radii: np.ndarray
+    sizes: np.ndarray
+
+
+class Tiles(NamedTuple):
+    """Cells in a row that make a tile: starts (and the end), and the chunks of bounded size that each tile's points are dealt to."""
+
+    starts: np.ndarray
+    chunks: np.ndarray
+
+    def chunk(self, home: np.ndarray, key: np.ndarray) -> np.ndarray:
+        """The chunk of points, by their tile and a hash of their key."""
+        tile = np.searchsorted(self.starts, home, side="right") - 1
+        mixed = key.astype(np.int64).view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(33)
+        return self.chunks[tile] + (mixed % np.diff(self.chunks)[tile].astype(np.uint64)).astype(np.int64)
+
+
+def tiles(cells: Cells, times: int = 1) -> Tiles:
+    """About 8 tiles of equal numbers of points; more, if they would have over TILE. Great cells, and `times` as many points, make chunks."""
+    room = min(TILE, max(BLOCK, -(-int(cells.sizes.sum()) // 8)))
+    number = (np.cumsum(cells.sizes) - cells.sizes) // room
+    starts = np.flatnonzero(np.append(True, number[1:] != number[:-1]))
+    parts = -(-np.add.reduceat(cells.sizes, starts) * times // (2 * room))
+    return Tiles(np.append(starts, len(cells.sizes)), np.append(0, np.cumsum(np.maximum(parts, 1))))
 
 
 def distinct_vectors(df: DataFrame, key: str, vector: str) -> DataFrame:
@@ -87,10 +113,10 @@ def deal_cells(points: DataFrame, pivots: int | None = None, seed: int = 7) -> C
 
     kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in points.schema.fields)
     homed = written(points.mapInArrow(run, f"{kinds}, home int, away double"), "homes")
-    radii = np.zeros(len(drawn))
-    for r in homed.groupBy("home").agg(F.max("away").alias("radius")).collect():  # a row a pivot
-        radii[r["home"]] = r["radius"]
-    return Cells(homed, where, keys, radii * (1 + 1e-9) + 1e-9)
+    radii, sizes = np.zeros(len(drawn)), np.zeros(len(drawn), np.int64)
+    for r in homed.groupBy("home").agg(F.max("away").alias("radius"), F.count("*").alias("n")).collect():  # a row a pivot
+        radii[r["home"]], sizes[r["home"]] = r["radius"], r["n"]
+    return Cells(homed, where, keys, radii * (1 + 1e-9) + 1e-9, sizes)
 
 
 def rehomed(points: DataFrame, pivots: np.ndarray) -> DataFrame:
@@ -107,17 +133,19 @@ def rehomed(points: DataFrame, pivots: np.ndarray) -> DataFrame:
     return points.mapInArrow(run, f"{kinds}, home int, away double")
 
 
-def searches(cells: Cells, points: DataFrame, radius: Column, skip: np.ndarray | None = None, group: str | None = None, home: bool | None = None) -> DataFrame:
-    """points (columns of cells.points and more) with a row for each cell in which something may lie within the radius.
+def searches(cells: Cells, points: DataFrame, radius: Column, skip: np.ndarray | None = None, group: str | None = None, home: bool | None = None, times: int = 1) -> DataFrame:
+    """points (columns of cells.points and more) with a row for each chunk of a tile in which something may lie within the radius.
 
-    home: only the own cell, or only others. skip: a group a cell, or -1; points of the same group don't visit such a cell.
+    s and t are the point's own chunk and that of the tile, wanted has a bit for each cell of the tile. home: only the own cell, or
+    only others. skip: a group a cell, or -1; points of the same group don't visit such a cell. times: how many times as many as the
+    cells' points these may be.
     """
-    shipped = points.sparkSession.sparkContext.broadcast((cells.pivots, cells.radii, skip))
+    shipped = points.sparkSession.sparkContext.broadcast((cells.pivots, cells.radii, skip, tiles(cells), tiles(cells, times)))
     wide = points.withColumn("_radius", radius.cast("double"))
     names = points.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pivots, radii, skipped = shipped.value
+        pivots, radii, skipped, live, seek = shipped.value
         for batch in batches:
             if not batch.num_rows:
                 continue
@@ -131,14 +159,19 @@ def searches(cells: Cells, points: DataFrame, radius: Column, skip: np.ndarray |
                 may &= is_home if home else ~is_home
             if skipped is not None:
                 may &= skipped != column(group)[:, None]
-            row, cell = np.nonzero(may)
-            for lo in range(0, len(row), 4096):
-                part = slice(lo, lo + 4096)
-                taken = batch.take(pa.array(row[part]))
-                yield pa.RecordBatch.from_arrays([*(taken.column(i) for i in range(len(names))), pa.array(cell[part].astype(np.int32))], [*names, "cell"])
+            chunk = seek.chunk(own, column("k"))
+            for tile, (low, high) in enumerate(zip(live.starts[:-1], live.starts[1:], strict=True)):
+                rows = np.flatnonzero(may[:, low:high].any(axis=1))
+                bits = np.packbits(may[rows, low:high], axis=1)
+                for t in range(live.chunks[tile], live.chunks[tile + 1]):
+                    for lo in range(0, len(rows), 4096):
+                        part = rows[lo : lo + 4096]
+                        taken = batch.take(pa.array(part))
+                        wanted = pa.array([b.tobytes() for b in bits[lo : lo + 4096]], pa.binary())
+                        yield pa.RecordBatch.from_arrays([*(taken.column(i) for i in range(len(names))), pa.array(chunk[part]), pa.array(np.full(len(part), t)), wanted], [*names, "s", "t", "wanted"])
 
     kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in points.schema.fields)
-    return wide.select(*names, "_radius").mapInArrow(run, f"{kinds}, cell int")
+    return wide.select(*names, "_radius").mapInArrow(run, f"{kinds}, s long, t long, wanted binary")
 
 
 def _packed(rows: DataFrame, columns: list[str], name: str) -> DataFrame:
@@ -175,6 +208,83 @@ def meet(seeking: DataFrame, resident: DataFrame, seek_columns: list[str], live_
         return written(left.join(right, "cell").select("seek", "live").mapInArrow(run, schema), name)
 
 
+Fold = Callable[[dict[str, np.ndarray]], dict[str, np.ndarray]]
+_KINDS = {"long": pa.int64(), "double": pa.float64(), "string": pa.string()}
+
+
+def meet_cells(cells: Cells, seeking: DataFrame, resident: DataFrame, seek_columns: list[str], live_columns: list[str], found: Pair, schema: str, name: str, fold: Fold | None = None, times: int = 1) -> DataFrame:
+    """What `found` makes of blocks of searching points and the points of the cells that one of them needs; a written table.
+
+    seeking: what `searches` gives, with the same `times`; resident: points with their home. found gets a dict of arrays a side and
+    returns rows of the schema, or None; a pair comes up once at most. fold reduces the rows of a task: what it gives, for rows of
+    several tasks, must be what the caller's own grouping of them reads.
+    """
+    sent = seeking.sparkSession.sparkContext.broadcast(tiles(cells))
+    fields = [f.split() for f in schema.split(", ")]
+    kind = pa.schema([(n, _KINDS[t]) for n, t in fields])
+    own = list(dict.fromkeys([*live_columns, "home"]))
+    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in resident.select(*own).schema.fields)
+    everyone = int(tiles(cells, times).chunks[-1])
+
+    def dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                chunk = sent.value.chunk(batch.column(own.index("home")).to_numpy(), batch.column(own.index("k")).to_numpy())
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(chunk)], [*own, "t"])
+
+    def arrays(table: pa.Table, names: list[str]) -> dict[str, np.ndarray]:
+        whole = table.select(names).combine_chunks()
+        return {n: matrix(whole.column(n).combine_chunks()) if n == "x" else whole.column(n).to_numpy() for n in names}
+
+    def folded(held: list[pa.RecordBatch]) -> list[pa.RecordBatch]:
+        if not fold or not held:
+            return held
+        table = pa.Table.from_batches(held)
+        rows = fold({n: table.column(n).to_numpy() for n in table.column_names})
+        return [pa.RecordBatch.from_arrays([pa.array(rows[n]) for n in table.column_names], table.column_names)]
+
+    def run(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
+        held: list[pa.RecordBatch] = []
+        if left.num_rows and right.num_rows:
+            tile = int(np.searchsorted(sent.value.chunks, key[1].as_py(), side="right")) - 1
+            cell = np.arange(sent.value.starts[tile], sent.value.starts[tile + 1] + 1)
+            t = arrays(right, own)
+            t = {n: v[np.argsort(t["home"], kind="stable")] for n, v in t.items()}
+            begins = np.searchsorted(t.pop("home"), cell)
+            s = arrays(left, list(dict.fromkeys([*seek_columns, "home"])))
+            order = np.argsort(s["home"], kind="stable")
+            wanted = np.frombuffer(b"".join(left.column("wanted").to_pylist()), np.uint8).reshape(left.num_rows, -1)
+            wanted = np.unpackbits(wanted, axis=1)[:, : len(cell) - 1].astype(bool)
+            wanted &= np.diff(begins) > 0
+            at, rows = 0, 0
+            while at < len(order):
+                part = order[at : at + BLOCK]
+                room = max(16, AREA // max(1, int(np.diff(begins)[wanted[part].any(axis=0)].sum())))
+                part = part[:room]
+                at += len(part)
+                need = np.flatnonzero(wanted[part].any(axis=0))
+                if not len(need):
+                    continue
+                live = np.concatenate([np.arange(begins[c], begins[c + 1]) for c in need])
+                here = {n: v[live] if len(live) < len(t["k"]) else v for n, v in t.items()}
+                out = found({n: s[n][part] for n in seek_columns}, here)
+                if out is not None and out.num_rows:
+                    held.append(out)
+                    rows += out.num_rows
+                if fold and rows > AREA:
+                    held = folded(held)
+                    rows = held[0].num_rows // 2  # what can't be reduced is not folded again at once
+            held = folded(held)
+        return pa.Table.from_batches(held).cast(kind) if held else kind.empty_table()
+
+    spare = [c for c in seek_columns if c != "home"]
+    left = seeking.select("s", "t", *spare, "home", "wanted")
+    right = resident.select(*own).mapInArrow(dealt, f"{kinds}, t long").withColumn("s", F.explode(F.sequence(F.lit(0), F.lit(everyone - 1)))).withColumn("s", F.col("s").cast("long"))
+    tasks = min(everyone * int(tiles(cells).chunks[-1]), 4 * seeking.sparkSession.sparkContext.defaultParallelism)
+    left, right = (side.repartition(tasks, "s", "t") for side in (left, right))
+    return written(left.groupBy("s", "t").cogroup(right.groupBy("s", "t")).applyInArrow(run, ", ".join(f"{n} {t}" for n, t in fields)), name)
+
+
 def pairs_within(cells: Cells, eps: float) -> DataFrame:
     """a, b, distance of all pairs of points at most eps apart, a < b."""
 
@@ -185,11 +295,17 @@ def pairs_within(cells: Cells, eps: float) -> DataFrame:
         return pa.RecordBatch.from_arrays([pa.array(s["k"][i[good]]), pa.array(t["k"][j[good]]), pa.array(d[good])], ["a", "b", "distance"])
 
     seeking = searches(cells, cells.points, F.lit(eps))
-    return meet(seeking, cells.points.withColumn("cell", F.col("home")), ["k", "x"], ["k", "x"], near, "a long, b long, distance double", "pairs")
+    return meet_cells(cells, seeking, cells.points, ["k", "x"], ["k", "x"], near, "a long, b long, distance double", "pairs")
 
 
-def _nearest(seeking: DataFrame, resident: DataFrame, k: int) -> DataFrame:
-    """a, b, distance: of each block that a point meets, the k nearest others."""
+def _nearest(cells: Cells, seeking: DataFrame, k: int, times: int = 1) -> DataFrame:
+    """a, b, distance: of each chunk that a point meets, the k nearest others."""
+
+    def first(a: np.ndarray, b: np.ndarray, d: np.ndarray) -> tuple[np.ndarray, ...]:
+        order = np.lexsort((b, d, a))
+        a, b, d = a[order], b[order], d[order]
+        few = np.arange(len(a)) - np.searchsorted(a, a) < k
+        return a[few], b[few], d[few]
 
     def best(s: dict[str, np.ndarray], t: dict[str, np.ndarray]) -> pa.RecordBatch:
         rough = distances(s["x"], t["x"])
@@ -198,14 +314,10 @@ def _nearest(seeking: DataFrame, resident: DataFrame, k: int) -> DataFrame:
         cut = np.partition(rough, few - 1, axis=1)[:, few - 1]
         cut = np.where(np.isfinite(cut), cut * (1 + 1e-6) + 1e-6, np.finfo(float).max)
         i, j = np.nonzero(rough <= cut[:, None])
-        d = exact_distance(s["x"][i], t["x"][j])
-        order = np.lexsort((t["k"][j], d, i))
-        i, j, d = i[order], j[order], d[order]
-        rank = np.arange(len(i)) - np.searchsorted(i, i)
-        i, j, d = i[rank < k], j[rank < k], d[rank < k]
-        return pa.RecordBatch.from_arrays([pa.array(s["k"][i]), pa.array(t["k"][j]), pa.array(d)], ["a", "b", "distance"])
+        rows = first(s["k"][i], t["k"][j], exact_distance(s["x"][i], t["x"][j]))
+        return pa.RecordBatch.from_arrays([pa.array(v) for v in rows], ["a", "b", "distance"])
 
-    return meet(seeking, resident, ["k", "x"], ["k", "x"], best, "a long, b long, distance double", "nearest")
+    return meet_cells(cells, seeking, cells.points, ["k", "x"], ["k", "x"], best, "a long, b long, distance double", "nearest", times=times)
 
 
 def nearest(cells: Cells, k: int) -> DataFrame:
@@ -213,12 +325,11 @@ def nearest(cells: Cells, k: int) -> DataFrame:
 
     The own cell gives a radius that holds k points; only cells that may have nearer ones are searched then.
     """
-    resident = cells.points.withColumn("cell", F.col("home"))
-    own = _nearest(resident, resident, k)
+    own = _nearest(cells, searches(cells, cells.points, F.lit(float("inf")), home=True), k)
     bound = own.groupBy("a").agg(F.when(F.count("*") >= k, F.array_sort(F.collect_list("distance"))[k - 1]).alias("bound"))
     placed = written(cells.points.join(bound.withColumnRenamed("a", "k"), "k", "left"), "bounds")
     radius = F.coalesce("bound", F.lit(float("inf")))
-    others = _nearest(searches(cells, placed, radius, home=False), resident, k)
-    every = own.unionByName(others).groupBy("a").agg(F.slice(F.array_sort(F.collect_list(F.struct("distance", "b"))), 1, k).alias("near"))
+    others = _nearest(cells, searches(cells, placed, radius, home=False), k)
+    every = own.unionByName(others).groupBy("a").agg(F.slice(F.array_sort(F.collect_set(F.struct("distance", "b"))), 1, k).alias("near"))
     rows = every.select("a", F.posexplode("near").alias("at", "n"))
     return written(rows.select("a", F.col("n.b").alias("b"), F.col("n.distance").alias("distance"), (F.col("at") + 1).alias("rank")), "neighbours")

@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -29,15 +32,47 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def components(links: DataFrame) -> DataFrame:
+def stars(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The nodes of links, and the least node of each one's component."""
+    nodes, at = np.unique(np.concatenate([a, b]), return_inverse=True)
+    i, j, label = at[: len(a)], at[len(a) :], np.arange(len(nodes))
+    while (label[i] != label[j]).any():
+        low = np.minimum(label[i], label[j])
+        for end in (i, j):
+            np.minimum.at(label, label[end], low)
+        while (label[label] != label).any():
+            label = label[label]
+    return nodes, nodes[label]
+
+
+def _settled(edges: DataFrame) -> DataFrame:
+    """u, to: the nodes of a few links and the least node of each one's component, by one task."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [b for b in batches if b.num_rows]
+        if held:
+            whole = pa.Table.from_batches(held)
+            kind = whole.schema.field(0).type
+            found = stars(*(whole.column(c).to_numpy() for c in range(2)))
+            yield pa.RecordBatch.from_arrays([pa.array(v, kind) for v in found], ["u", "to"])
+
+    kind = edges.schema["a"].dataType.simpleString()
+    return edges.select("a", "b").coalesce(1).mapInArrow(run, f"u {kind}, to {kind}")
+
+
+def components(links: DataFrame, few: int = 100_000) -> DataFrame:
     """node, component (its least node) for every node that has a link; links: a, b of one orderable type.
 
     Each round replaces a node by that of least rank within two steps, ranks being hashes drawn anew, and drops links that
     become loops: chains shrink by a share in every round and stars go in one. A hub is only ever a key of a grouping.
+    The last `few` links are settled by one task.
     """
     edges = written(links.filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "links")
     rounds: list[DataFrame] = []
-    while not edges.isEmpty():
+    while n := edges.count():
+        if n <= few:
+            rounds.append(written(_settled(edges), "moved"))
+            break
         rank = lambda c, salt=len(rounds): F.xxhash64(F.lit(salt), F.col(c))
         both = edges.select("a", "b").union(edges.select("b", "a")).toDF("u", "v")
         near = both.union(both.select("u", F.col("u").alias("v"))).groupBy("u").agg(F.min_by("v", rank("v")).alias("m"))

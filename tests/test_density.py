@@ -145,3 +145,22 @@ def test_standardized_components(spark):
     assert np.allclose(got, (x - x.mean(axis=0)) / x.std(axis=0))
     flat = spark.createDataFrame([([1.0],), ([1.0],), (None,)], "v array<double>")
     assert [r["v"] for r in D.standardized(flat, "v").collect()] == [[0.0], [0.0], None]
+
+
+def test_a_tile_meets_each_tile_once_and_points_go_to_tiles_not_cells(spark):
+    x = np.random.default_rng(5).normal(size=(900, 24))  # many dimensions: no cell excludes another
+    cells = N.deal_cells(N.distinct_vectors(frame(spark, x), "id", "v"), 60)
+    seeking = N.searches(cells, cells.points, N.F.lit(30.0))
+    assert seeking.count() == len(x) * N.tiles(cells).chunks[-1] <= 9 * len(x)  # 60 rows a point, when each cell had its own
+    d = all_distances(x)
+    assert N.pairs_within(cells, 5.0).count() == int((d <= 5.0).sum() - len(x)) // 2
+    whole = N.tiles(cells._replace(sizes=np.array([700, 0, 3, 4, 193])))  # a great cell is dealt to chunks
+    assert whole.chunks.tolist() == [0, 2, 3]
+    assert set(whole.chunk(np.zeros(700, np.int32), np.arange(700)).tolist()) == {0, 1}
+
+
+def test_a_hierarchy_settled_by_one_task_is_that_of_the_levels(spark):
+    rng = np.random.default_rng(6)
+    rows = [("c0", None, 0.0)] + [(f"c{i}", f"c{rng.integers(max(0, i - 3), i)}", float(rng.integers(0, 9))) for i in range(1, 40)]
+    clusters = spark.createDataFrame(rows, "cluster string, parent string, stability double")
+    assert sorted(D.most_stable(clusters).collect()) == sorted(D.most_stable(clusters, few=0).collect())
