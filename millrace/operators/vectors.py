@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from itertools import combinations
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -78,24 +80,65 @@ def transitions(df: DataFrame, group: str, order: str, vector: str, threshold: f
     return df.withColumn("kept", ends | F.coalesce(F.round(before, 9) >= threshold, F.lit(False)) | F.coalesce(F.round(after, 9) >= threshold, F.lit(False)))
 
 
-def hamming_pairs(df: DataFrame, key: str, bits: Column, distance: int, total_bits: int = 64, group: list[str] | None = None) -> DataFrame:
+#: Hashes of a chunk, and pairs of hashes that are compared at once.
+CHUNK, AREA = 1 << 14, 1 << 18
+
+
+def _chunk_pairs(classes: DataFrame, distance: int, group: list[str], chunk: int) -> DataFrame:
+    """Pairs of classes at most `distance` bits apart: of each group every chunk of hashes meets every other one, in a task of their own."""
+    names = [f"_g{i}" for i in range(len(group))]
+    rows = written(classes.select(*(F.col(c).alias(n) for c, n in zip(group, names, strict=True)), "k", "h", "members"), "classes")
+    parts = rows.groupBy(*names).agg(F.ceil(F.count("*") / chunk).cast("int").alias("parts"))
+    own = F.pmod(F.xxhash64("h"), F.col("parts")).cast("int")
+    placed = (rows.join(parts, names) if names else rows.crossJoin(F.broadcast(parts))).withColumn("own", own)
+    dealt = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    dealt = dealt.select(*names, F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "k", "h", "members")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = pa.Table.from_batches(list(batches)).combine_chunks()
+        at, first = table.column("own").to_numpy(), table.column("i")[0].as_py()
+        left, right = np.flatnonzero(at == first), np.flatnonzero(at == table.column("j")[0].as_py())
+        h, k = table.column("h").to_numpy().view(np.uint64), table.column("k").to_numpy()
+        inside, there = first == table.column("j")[0].as_py(), h[right]
+        step = max(1, AREA // max(1, len(right)))
+        for lo in range(0, len(left), step):
+            apart = np.bitwise_count(h[left[lo : lo + step], None] ^ there)
+            near = np.flatnonzero(apart.ravel() <= distance)
+            far, x, y = apart.ravel()[near], left[lo + near // len(right)], right[near % len(right)]
+            if inside:
+                once = k[x] < k[y]
+                far, x, y = far[once], x[once], y[once]
+            if len(x):
+                swap = k[y] < k[x]
+                x, y = pa.array(np.where(swap, y, x)), pa.array(np.where(swap, x, y))
+                a, b = table.take(x), table.take(y)
+                columns = [*(a.column(n) for n in names), a.column("k"), b.column("k"), a.column("members"), b.column("members"), pa.chunked_array([pa.array(far.astype(np.int32))])]
+                yield from pa.Table.from_arrays(columns, [*names, "k_a", "k_b", "members_a", "members_b", "distance"]).to_batches()
+
+    kind = {f.name: f.dataType.simpleString() for f in rows.schema.fields}
+    schema = ", ".join([*(f"{n} {kind[n]}" for n in names), f"k_a {kind['k']}, k_b {kind['k']}, members_a long, members_b long, distance int"])
+    found = dealt.groupBy(*names, "i", "j").applyInArrow(run, schema)
+    return found.select(*(F.col(n).alias(c) for c, n in zip(group, names, strict=True)), "k_a", "k_b", "members_a", "members_b", "distance")
+
+
+def hamming_pairs(df: DataFrame, key: str, bits: Column, distance: int, total_bits: int = 64, group: list[str] | None = None, chunk: int = CHUNK) -> DataFrame:
     """Pairs of distinct hashes within `distance` bits, in each group.
 
-    Of m bands one differs in at most distance // m bits. So hashes meet that are equal in a band after up to `radius` bits
-    of it are turned over; m is the least number that loses no pair, and bands are wide, so few others meet.
+    Up to 3 bits: of 4 bands (one more than the bits) one is equal, so only hashes that share a band meet. More bits: bands would be
+    short, and of texts of few words most bits are 0, so frequent ones would hold most hashes; there chunks of `chunk` hashes meet in
+    tasks of bounded memory and all their pairs are counted, a nanosecond or two each.
     Rows without a hash have no pairs. Equal hashes are one class: the pairs are between the classes' least keys, `members` has their sizes.
     """
     group = group or []
-    classes = df.select(*group, F.col(key).alias("k"), bits.alias("h")).filter("h is not null").groupBy(*group, "h").agg(F.min("k").alias("k"), F.count("*").alias("members"))
-    radius = 0 if distance < 4 else 2
-    bands = -(-(distance + 1) // (radius + 1))
+    classes = df.select(*group, F.col(key).alias("k"), bits.cast("long").alias("h")).filter("h is not null").groupBy(*group, "h").agg(F.min("k").alias("k"), F.count("*").alias("members"))
+    if distance > 3:
+        return _chunk_pairs(classes, distance, group, chunk)
+    bands = distance + 1
     width = total_bits // bands
-    turned = [sum(1 << p for p in c) for r in range(radius + 1) for c in combinations(range(width), r)]
     part = lambda i: F.shiftrightunsigned("h", i * width).bitwiseAND(_long((1 << width) - 1))
     cut = F.array(*(F.struct(F.lit(i).alias("band"), part(i).alias("part")) for i in range(bands)))
     entries = classes.withColumn("b", F.explode(cut)).select(*group, "k", "h", "members", "b.*")
-    probes = entries.withColumn("part", F.explode(F.transform(F.array(*map(_long, turned)), lambda t: F.col("part").bitwiseXOR(t)))) if radius else entries
-    a, b = (t.select(*group, "band", "part", *(F.col(c).alias(f"{c}_{s}") for c in ("k", "h", "members"))) for t, s in ((probes, "a"), (entries, "b")))
+    a, b = (entries.select(*group, "band", "part", *(F.col(c).alias(f"{c}_{s}") for c in ("k", "h", "members"))) for s in "ab")
     met = a.join(b, [*group, "band", "part"]).filter("k_a < k_b").withColumn("distance", hamming(F.col("h_a"), F.col("h_b"))).filter(F.col("distance") <= distance)
     return met.select(*group, "k_a", "k_b", "members_a", "members_b", "distance").distinct()
 

@@ -245,3 +245,16 @@ def test_poses(spark):
     assert (got["front"]["z"][5]["x"], got["front"]["z"][5]["y"], got["front"]["up"]) == (-0.1, 1.0, True)
     assert got["hidden"]["z"] is None and tuple(got["side"]["v"]) == ("side_left", 0.8)
     assert got["front"]["v"]["name"] == "three_quarter_right" and got["hidden"]["v"]["name"] == "back_right"
+
+
+def test_hashes_of_mostly_zeros_meet_in_chunks_of_bounded_size(spark):
+    import random
+
+    rng = random.Random(5)
+    data = [(k, k % 2, sum(1 << rng.randrange(60) for _ in range(rng.randrange(7)))) for k in range(300)]  # nearly all share their bands
+    first = {}
+    for k, g, h in data:
+        first.setdefault((g, h), k)
+    want = sorted((a, b) for (g, x), a in first.items() for (f, y), b in first.items() if g == f and a < b and (x ^ y).bit_count() <= 8)
+    df = spark.createDataFrame([*data, (900, 1, None)], "k long, g int, h long")
+    assert sorted((r["k_a"], r["k_b"]) for r in V.hamming_pairs(df, "k", F.col("h"), 8, 60, ["g"], chunk=20).collect()) == want
