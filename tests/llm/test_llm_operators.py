@@ -12,9 +12,10 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from millrace.llm import fuzzy_passages as P9
 from millrace.llm import queries as Q
 from millrace.llm.decontamination import BenchmarkIndex, contaminated_regions, decontaminate
-from millrace.llm.fuzzy_passages import aligned, chains, fuzzy_passages, stretches
+from millrace.llm.fuzzy_passages import aligned, chains, fuzzy_passages, repeated_stretches, stretches
 from millrace.llm.kd_shards import kd_shards
 from millrace.llm.media_source import ArchiveReader, from_image, media_columns, read_archives, to_image, write_archives
 from millrace.llm.near_dedup import bag_min_hash, near_duplicate_classes
@@ -943,3 +944,50 @@ def test_links_across_range_ends(spark):
         spark.conf.set("spark.sql.shuffle.partitions", before)
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
     assert found == [set(range(40))] * 2
+
+
+@pytest.mark.parametrize("tile", [4096, 60])
+def test_links_of_a_frequent_seed_equal_brute_force(spark, monkeypatch, tile):
+    """500 occurrences of a seed, some of them alike but far apart in their order, copies, and documents with several."""
+    monkeypatch.setattr(P9, "TILE", tile)
+    rnd = random.Random(12)
+    rows = []
+    while len(rows) < 500:
+        right, left = rnd.getrandbits(64), rnd.getrandbits(64)
+        for _ in range(rnd.choice((1, 1, 2, 3))):
+            edit = rnd.choice((0, 0, 3 << 62, 3 << 60, 0b1101 << 56))  # of the first words, so that the order tears them apart
+            rows.append((right ^ edit, left ^ rnd.choice((0, rnd.getrandbits(64))), rnd.randrange(-300, 300), len(rows)))
+    agree = lambda a, b, n: sum((a >> 62 - 2 * k & 3) == (b >> 62 - 2 * k & 3) for k in range(n))
+    want = set()
+    for i, (right, left, key, place) in enumerate(rows):
+        lead, best = None, None
+        for j, (r, l, k, p) in enumerate(rows):
+            if k != key and max(agree(right, r, 24), agree(left, l, 24)) >= 15:
+                sides = agree(right, r, 32), agree(left, l, 32)
+                lead = min(lead or (k, p), (k, p)) if k < key else lead
+                best = min(best or (-sum(sides), k, p), (-sum(sides), k, p))
+                if lead == (k, p):
+                    score, sure = sum(sides), min(sides) >= 26
+        found = [lead] if lead else []
+        if best and (not lead or not sure and -best[0] >= score + 3):
+            found.append(best[1:])
+        want |= {(*min((key, place), f), *max((key, place), f)) for f in found}
+    signed = lambda v: v - (1 << 64) if v >> 63 else v
+    sketch = spark.createDataFrame([(7, signed(r), signed(l), k, p) for r, l, k, p in rows], "seed long, right long, left long, key long, place int")
+    got = {(r["a"], r["x"], r["b"], r["y"]) for r in P9.links(sketch).collect()}
+    assert len(want) > 200 and got == want
+
+
+def test_every_member_of_a_passage_has_a_row(spark):
+    """Copies of two passages in unlike contexts: a row a document and passage, a class a passage."""
+    rnd = random.Random(13)
+    text = lambda n: [f"w{rnd.randrange(10**6)}" for _ in range(n)]
+    one, two = text(60), text(70)
+    rows = [text(20) + one + text(30) for _ in range(50)] + [text(25) + two + text(10) for _ in range(2)] + [text(100) for _ in range(5)]
+    df = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(rows)], "doc_id long, text string")
+    got = Q.repeated_stretches(df).collect()
+    assert sorted((r["doc_id"], r["start_word"], r["end_word"]) for r in got) == [(i, 20, 80) for i in range(50)] + [(50, 25, 95), (51, 25, 95)]
+    classes = {r["doc_id"]: r["passage_id"] for r in got}
+    assert len({classes[i] for i in range(50)}) == 1 and classes[50] == classes[51] != classes[0]
+    assert all(r["n_links"] >= 1 and classes[r["other_doc_id"]] == r["passage_id"] and r["doc_id"] != r["other_doc_id"] for r in got)
+    assert repeated_stretches(df.limit(0)).count() == 0
