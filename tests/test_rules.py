@@ -200,3 +200,24 @@ def test_shared_folder_is_needed_on_a_cluster(spark):
     sc = SimpleNamespace(getConf=lambda: SimpleNamespace(get=lambda k: None), getCheckpointDir=lambda: None, master="spark://host:7077")
     with pytest.raises(ValueError, match="checkpoint"):
         shared_dir(SimpleNamespace(sparkContext=sc))
+
+
+def test_terms_in_few_passes_are_removed_as_one_by_one(spark):
+    """Random texts of whole, cut and joined terms: the merged passes against a pass a term, in the stated order."""
+    from millrace.functions import simplify as S
+
+    rnd = random.Random(3)
+    plain = [t.replace(r"\b", "").replace(r"\d+", "4").replace(".*?", " big ") for t in S.TECHNICAL_TERMS]
+    parts = plain + [w for t in plain for w in t.replace("-", " ").split()] + ["at 8k resolution", "at 40px", "é", "skin", "\n", ",", "x"]
+    texts = ["".join(rnd.choice(parts).upper() + rnd.choice(" - ") if rnd.random() < 0.2 else rnd.choice(parts) + rnd.choice([" ", " ", " ", "-", "", ", "]) for _ in range(rnd.randrange(1, 9))) for _ in range(20000)]
+    texts += [" ".join(p) for p in zip(plain, plain[1:])] + [f"{a} {b}" for a in plain for b in parts[-60:]]
+    passes = S._passes(S.TECHNICAL_TERMS)
+    assert len(passes) <= 8  # each is a scan of the whole text
+    whole = few = F.col("t")
+    for p in S.TECHNICAL_TERMS:
+        whole = F.regexp_replace(whole, f"(?i){p}", "")
+    for p in passes:
+        few = F.regexp_replace(few, f"(?i){p}", "")
+    df = spark.createDataFrame([(t,) for t in texts], "t string").repartition(8)
+    assert df.filter(whole != F.col("t")).count() > 10000 and df.filter(whole != few).limit(5).collect() == []
+    assert all(S._first([p]) for p in S.VERBOSE_PHRASES) and S._letters("(alberto )?stands in a") == {"a", "s"}
