@@ -2,6 +2,7 @@
 
 import datetime as dt
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -53,6 +54,61 @@ def test_job_records_after_each_part(spark):
     assert seen[3][0]["c"] == (4, None, None, "running", None, 2, 2)
 
 
+@pytest.mark.parametrize("shards", [1, 7])
+def test_jobs_of_a_shard_keep_records_of_their_own(spark, shards):
+    at = lambda h: dt.datetime(2024, 1, 1) + dt.timedelta(hours=h)
+    texts = ["epoch {}/90", "steps: {}/900 loss=0.{}", "fine", "loss: {}.5 lr=1e-4"]
+    lines = [(f"j{j}", n, "CUDA out of memory" if j % 5 == 0 and n == 4 else texts[(j + n) % 4].format(n, j), at(n * (1 + j % 7))) for j in range(60) for n in range(9)]
+    lines.append(("end", 0, "fine", at(49)))  # the watermark ends at 48 hours, when the quiet time of the jobs of 5 hours a line is just over
+    edges, seen, want = [(-1, 16), (16, 32), (32, 50)], {}, {}
+    parts = [[r for r in lines if at(lo) < r[3] <= at(hi)] for lo, hi in edges]
+    for job, n, line, ts in sorted(sum(parts, []), key=lambda r: r[:2]):
+        last = want.get(job, (None, "running", -1, 0, None))
+        if last[1] == "running":
+            epoch = int(line.split()[1].split("/")[0]) if line.startswith("epoch") else last[0]
+            want[job] = (epoch, "oom_error" if "CUDA" in line else "running", n, last[3] + 1, ts)
+    end = at(49) - dt.timedelta(hours=1)
+    want = {j: (e, "completed" if s == "running" and t + dt.timedelta(hours=8) <= end else s, n, k) for j, (e, s, n, k, t) in want.items()}
+    frames = [spark.createDataFrame(p, "job string, n long, line string, ts timestamp_ntz") for p in parts]
+    got, _ = S.fed(spark, frames, lambda s: S.monitor_jobs(s, "job", "n", "line", quiet_seconds=8 * 3600, shards=shards), "update", "test-shards", ["job"])
+    for r in got.collect():
+        seen[r["job"]] = (r["epoch"], r["status"], r["line"], r["lines"])
+    assert seen == want and {s for _, s, _, _ in want.values()} == {"running", "completed", "oom_error"}
+
+
+def test_a_batch_costs_calls_by_shard_not_by_job():
+    calls = []
+
+    class Value:
+        kept = None
+
+        def get(self):
+            calls.append("get")
+            return self.kept
+
+        def update(self, value):
+            calls.append("update")
+            self.kept = value
+
+    class Handle:
+        def getValueState(self, *_):  # noqa: N802
+            return Value()
+
+        def registerTimer(self, at):  # noqa: N802
+            calls.append(("register", at))
+
+        def deleteTimer(self, at):  # noqa: N802
+            calls.append(("delete", at))
+
+    records = S._JobRecords(1000)
+    records.init(Handle())
+    for k in (0, 1):
+        lines = pd.DataFrame([(f"j{j}", k, None, 5000 * k + j, k, None, None, None, None) for j in range(500)], columns=["job", "line_no", "line", "at", "epoch", "step", "loss", "rate", "error"])
+        (rows,) = records.handleInputRows((0,), iter([lines]), None)
+        assert len(rows) == 500 and set(rows["lines"]) == {k + 1}
+    assert calls == ["get", "update", ("register", 1000), "get", "update", ("delete", 1000), ("register", 6000)]
+
+
 def test_sessions_and_late_rows(spark):
     at = lambda h: dt.datetime(2024, 1, 1) + dt.timedelta(hours=h)
     rows = [[("u", at(0)), ("u", at(0.3)), ("v", at(1))], [("u", at(0.6)), ("u", at(30)), ("w", at(30.2))], [("u", at(1.0)), ("v", at(29.9)), ("u", at(80)), ("w", at(30.6))]]
