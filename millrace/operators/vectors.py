@@ -19,11 +19,13 @@ def fingerprints(df: DataFrame, text: str) -> DataFrame:
     Stands in for an image's perceptual hash: texts that differ in few words differ in few bits. All of it is made in the row.
     """
     words = F.filter(F.array_distinct(F.split(F.lower(text), r"\s+")), lambda w: w != "")
-    hashed = F.array_sort(F.transform(F.transform(words, lambda w: md5_key(w)), lambda m: F.struct((m % 60).alias("spot"), m.alias("m"))))
-    start = F.struct(F.lit(-1).cast("long").alias("spot"), F.lit(0).cast("long").alias("bits"))
-    bit = lambda x: F.call_function("shiftleft", F.call_function("div", x["m"], F.lit(60)) % 2, x["spot"].cast("int"))
-    first = lambda s, x: F.when(x["spot"] == s["spot"], s).otherwise(F.struct(x["spot"].alias("spot"), s["bits"].bitwiseOR(bit(x)).alias("bits")))
-    return df.withColumn("bits", F.when(F.size(words) > 0, F.aggregate(hashed, start, first)["bits"]))
+    # one long a word: the place in the upper bits, the rest of the hash in the lower 55; sorted, the least of each place comes first
+    place = lambda x: F.shiftright(x, 55)
+    coded = F.transform(F.transform(words, lambda w: md5_key(w)), lambda m: F.shiftleft(m % 60, 55).bitwiseOR(F.call_function("div", m, F.lit(60))))
+    firsts = lambda xs: F.filter(xs, lambda x, i: (i == 0) | (place(x) != place(F.get(xs, i - 1))))
+    bit = lambda x: F.call_function("shiftleft", x.bitwiseAND(F.lit(1)), place(x).cast("int"))
+    bits = lambda xs: F.when(F.size(xs) > 0, F.aggregate(firsts(xs), F.lit(0).cast("long"), lambda s, x: s.bitwiseOR(bit(x))))
+    return df.withColumn("bits", F.transform(F.array(F.sort_array(coded)), bits)[0])  # as a lambda's variable the array is made once
 
 
 def _long(x: int) -> Column:

@@ -24,7 +24,7 @@ def _thirds(df: DataFrame, value: Column) -> list[DataFrame]:
 def stream_first_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
     """First-wins dedup of fingerprints by source, with the kept ones as a stream's state: what the batch rule gives."""
     parts = _thirds(_prints(spark, sf_dir), F.col("doc_id"))
-    return S.fed(spark, parts, lambda s: S.first_wins_stream(s, "source", "doc_id", "bits", 3), "append", "stream-first-wins")[0]
+    return S.fed(spark, parts, lambda s: S.first_wins_stream(s, "source", "doc_id", "bits", 3, total_bits=60), "append", "stream-first-wins")[0]
 
 
 _LINE = """case when event_id % 97 = 2 then 'CUDA out of memory' when event_id % 89 = 3 then 'RuntimeError: x' when event_id % 5 = 0 then 'epoch ' || event_id % 9 || '/10' when event_id % 5 = 1 then 'steps: ' || event_id || '/9000 loss=' || value::varchar else 'fine' end"""

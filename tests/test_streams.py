@@ -1,6 +1,7 @@
 """Streams with state: files in parts, restarts, resets, repeated and late lines, against batch rules."""
 
 import datetime as dt
+import random
 
 import pandas as pd
 import pytest
@@ -26,6 +27,34 @@ def test_first_wins_in_parts_is_the_batch_rule(spark, prints):
     assert {tuple(r) for r in got.collect()} == want and any(d for *_, d in want)
 
 
+def test_first_wins_of_wide_hashes_with_nulls(spark):
+    rng = random.Random(5)
+    bits = [rng.getrandbits(60) for _ in range(400)]
+    for i in range(50, 400, 2):  # some are 1 to 5 bits from an earlier one
+        bits[i] = bits[rng.randrange(i)] ^ sum(1 << b for b in rng.sample(range(60), 1 + i % 5))
+    rows = spark.createDataFrame([(i, "a" if i % 9 else "b", None if i % 40 == 7 else b) for i, b in enumerate(bits)], "id long, g string, bits long")
+    want = {(r["g"], r["id"], r["duplicate_of"]) for r in first_wins(rows, "g", "id", "bits", 3, 60).collect()}
+    got, _ = S.fed(spark, in_thirds(rows, n=402), lambda s: S.first_wins_stream(s, "g", "id", "bits", 3, total_bits=60), "append", "test-wide")
+    assert {tuple(r) for r in got.collect()} == want and any(d for *_, d in want)
+
+
+@pytest.mark.parametrize("distance", [0, 3, 12, 64])
+def test_kept_hashes_are_found_as_by_comparing_all(distance):
+    rng = random.Random(distance)
+    kept, plain = S._Kept(distance, 64), []
+    for i in range(3000):
+        value = rng.getrandbits(64) - (1 << 63)
+        if plain and i % 3:
+            value = plain[rng.randrange(len(plain))][1]
+            for b in rng.sample(range(64), i % 6):
+                value ^= (1 << b) if b < 63 else -1 << 63
+        near = next((k for k, v in plain if ((v ^ value) & (1 << 64) - 1).bit_count() <= distance), None)
+        assert kept.first(value) == near
+        if near is None:
+            kept.add(i, value)
+            plain.append((i, value))
+
+
 def test_a_reset_clears_its_group_only(spark, prints):
     rows = prints.withColumn("reset", F.lit(False)).unionByName(spark.createDataFrame([(60, "a", None, True)], "id long, g string, bits long, reset boolean"))
     got, _ = S.fed(spark, in_thirds(rows), lambda s: S.first_wins_stream(s, "g", "id", "bits", 2, "reset"), "append", "test-reset")
