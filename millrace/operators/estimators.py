@@ -78,7 +78,7 @@ class VectorClusterModel(Model, _ClusterParams, MLWritable, MLReadable):
             cells = deal_cells(written(self.labels.select("k", "x"), "fitted"))
             seeking = rehomed(new, cells.pivots)
             times = -(-new.count() // int(cells.sizes.sum()))
-            near = _nearest(cells, searches(cells, seeking, F.col("away"), times=times), 1, times)
+            near = _nearest(cells, searches(cells, seeking.withColumn("bound", F.lit(float("inf"))), F.col("away"), times=times), 1, times)
             best = near.groupBy("a").agg(F.min_by("b", F.struct("distance", "b")).alias("b"))
             found = best.join(self.labels.select(F.col("k").alias("b"), "label"), "b").join(new.withColumnRenamed("k", "a"), "a")
             named = named.unionByName(found.select("x", "label"))

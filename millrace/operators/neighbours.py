@@ -3,39 +3,28 @@
 Every point's home is the cell of its nearest pivot. A point meets another cell only if a point within its radius may live there:
 half the difference of its distances to both pivots, and its distance to the pivot less the cell's own radius, must not exceed it.
 Cells are put together in about 8 tiles of at most 65,536 points, and a tile meets a tile in one task, so a point is shuffled once a
-tile, not once a cell. Inside, blocks of searching points meet the cells that one of them needs; distances are made for whole blocks,
-what they give is reduced in the task, and there is no row for a pair that isn't wanted. Where cells exclude little (many dimensions)
+tile, not once a cell. Inside, blocks of searching points meet the cells that one of them needs: a product in single precision tells
+of whole blocks which pairs may be near, with a bound of its rounding, and those are measured exactly. What they give is reduced in
+the task, and there is no row for a pair that isn't wanted. Where cells exclude little (many dimensions)
 the arithmetic grows with the square of the points; rows shuffled and memory don't, up to half a million points, and memory never does.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
-from contextlib import contextmanager
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.operators.rounds import written
 
-BLOCK = 256
-#: Points of a tile, and distances that are held at once.
+#: Points that search at once, and how many of a tile they meet at once.
+BLOCK, WIDE = 256, 4096
+#: Points of a tile, and rows or pairs that are held at once.
 TILE, AREA = 1 << 16, 1 << 20
-_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
-
-
-@contextmanager
-def _small_batches(spark: SparkSession, rows: int) -> Iterator[None]:
-    """Rows that hold whole blocks go to Python a few at a time."""
-    before = spark.conf.get(_BATCH)
-    spark.conf.set(_BATCH, str(rows))
-    try:
-        yield
-    finally:
-        spark.conf.set(_BATCH, before)
 
 
 def matrix(column: pa.Array) -> np.ndarray:
@@ -55,6 +44,36 @@ def exact_distance(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.sqrt(((a - b) ** 2).sum(axis=1))
 
 
+def half_squares(s: dict[str, np.ndarray], t: dict[str, np.ndarray]) -> tuple[np.ndarray, float]:
+    """Half the squared distances of all points of s and t, turned negative, by one product; and how far they may be off by rounding."""
+    return s["f"] @ t["f"].T, (s["f"].shape[1] + 8) * 2 * float(np.finfo(s["f"].dtype).eps) * (s["long"] + t["long"]) + 1e-30
+
+
+def lifted(x: np.ndarray, centre: np.ndarray) -> tuple[np.ndarray, np.ndarray, float]:
+    """Points as factors of `half_squares`, for the searching and the other side, and their greatest squared length from the centre.
+
+    Single precision if no square overflows, else double.
+    """
+    moved = x - centre
+    squares = (moved * moved).sum(axis=1)
+    longest = float(squares[np.isfinite(squares)].max(initial=0.0))
+    kind = np.float32 if longest < 1e30 else np.float64
+    one, half = np.ones((len(x), 1)), squares[:, None] / 2
+    return np.hstack([moved, -half, one]).astype(kind), np.hstack([moved, one, -half]).astype(kind), longest
+
+
+def near_pairs(s: dict[str, np.ndarray], t: dict[str, np.ndarray], radius: np.ndarray | float) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Row, column and exact distance of pairs, all those within the radius (one, or one a row of s) among them; some thousands at once."""
+    rough, off = half_squares(s, t)
+    with np.errstate(over="ignore"):
+        least = np.asarray(-0.5 * np.square(np.asarray(radius, np.float64)) - off).astype(rough.dtype)
+    least = np.nextafter(least, np.array(-np.inf, rough.dtype))
+    at = np.flatnonzero(rough >= (least[:, None] if least.ndim else least))
+    for lo in range(0, len(at), AREA // 16):
+        i, j = np.divmod(at[lo : lo + AREA // 16], rough.shape[1])
+        yield i, j, exact_distance(s["x"][i], t["x"][j])
+
+
 class Cells(NamedTuple):
     """points: k, x, members and further columns, with home (cell) and away (distance to its pivot); pivots, radii and points of the cells."""
 
@@ -133,13 +152,14 @@ def rehomed(points: DataFrame, pivots: np.ndarray) -> DataFrame:
     return points.mapInArrow(run, f"{kinds}, home int, away double")
 
 
-def searches(cells: Cells, points: DataFrame, radius: Column, skip: np.ndarray | None = None, group: str | None = None, home: bool | None = None, times: int = 1) -> DataFrame:
+def searches(cells: Cells, points: DataFrame, radius: Column, skip: np.ndarray | None = None, group: str | None = None, place: str | None = None, times: int = 1) -> DataFrame:
     """points (columns of cells.points and more) with a row for each chunk of a tile in which something may lie within the radius.
 
-    s and t are the point's own chunk and that of the tile, wanted has a bit for each cell of the tile. home: only the own cell, or
-    only others. skip: a group a cell, or -1; points of the same group don't visit such a cell. times: how many times as many as the
-    cells' points these may be.
+    s and t are the point's own chunk and that of the tile, wanted has a bit for each cell of the tile. place: only the own tile, the
+    others, the own and later ones, or later ones. skip: a group a cell, or -1; points of the same group don't visit such a cell.
+    times: how many times as many as the cells' points these may be.
     """
+    goes = {None: lambda tile, own: own >= 0, "own": np.equal, "others": np.not_equal, "from": np.greater_equal, "later": np.greater}[place]
     shipped = points.sparkSession.sparkContext.broadcast((cells.pivots, cells.radii, skip, tiles(cells), tiles(cells, times)))
     wide = points.withColumn("_radius", radius.cast("double"))
     names = points.columns
@@ -154,14 +174,11 @@ def searches(cells: Cells, points: DataFrame, radius: Column, skip: np.ndarray |
             own, r = column("home"), column("_radius")[:, None]
             slack = r + 1e-6 * (1 + np.where(np.isfinite(r), r, 0)) + 1e-7 * away  # for rounding; pairs are checked exactly
             may = (away - column("away")[:, None] <= 2 * slack) & (away - radii <= slack)
-            is_home = np.arange(len(pivots)) == own[:, None]
-            if home is not None:
-                may &= is_home if home else ~is_home
             if skipped is not None:
                 may &= skipped != column(group)[:, None]
-            chunk = seek.chunk(own, column("k"))
+            chunk, place_of = seek.chunk(own, column("k")), np.searchsorted(live.starts, own, side="right") - 1
             for tile, (low, high) in enumerate(zip(live.starts[:-1], live.starts[1:], strict=True)):
-                rows = np.flatnonzero(may[:, low:high].any(axis=1))
+                rows = np.flatnonzero(may[:, low:high].any(axis=1) & goes(tile, place_of))
                 bits = np.packbits(may[rows, low:high], axis=1)
                 for t in range(live.chunks[tile], live.chunks[tile + 1]):
                     for lo in range(0, len(rows), 4096):
@@ -174,52 +191,43 @@ def searches(cells: Cells, points: DataFrame, radius: Column, skip: np.ndarray |
     return wide.select(*names, "_radius").mapInArrow(run, f"{kinds}, s long, t long, wanted binary")
 
 
-def _packed(rows: DataFrame, columns: list[str], name: str) -> DataFrame:
-    """cell and an array of structs of at most about BLOCK rows; which rows share a block follows from a hash of the key."""
-    rows = written(rows.select("cell", *columns), name)
-    counts = rows.groupBy("cell").agg(F.ceil(F.count("*") / BLOCK).alias("_parts"))
-    dealt = rows.join(counts, "cell").withColumn("_part", F.pmod(F.xxhash64("k"), F.col("_parts")))
-    return dealt.groupBy("cell", "_part").agg(F.collect_list(F.struct(*columns)).alias(name)).drop("_part")
-
-
 Pair = Callable[[dict[str, np.ndarray], dict[str, np.ndarray]], pa.RecordBatch | None]
-
-
-def meet(seeking: DataFrame, resident: DataFrame, seek_columns: list[str], live_columns: list[str], found: Pair, schema: str, name: str) -> DataFrame:
-    """What `found` makes of every block of searching points and every block of the cell's points; a written table.
-
-    Both sides have cell, k and x. found gets a dict of arrays a side and returns rows of the schema, or None.
-    """
-    left, right = _packed(seeking, seek_columns, "seek"), _packed(resident, live_columns, "live")
-
-    def arrays(column: pa.Array, row: int) -> dict[str, np.ndarray]:
-        own = column.slice(row, 1).flatten()
-        parts = dict(zip([own.type.field(i).name for i in range(own.type.num_fields)], own.flatten(), strict=True))
-        return {n: matrix(v) if n == "x" else v.to_numpy(zero_copy_only=False) for n, v in parts.items()}
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i in range(batch.num_rows):
-                out = found(arrays(batch.column(0), i), arrays(batch.column(1), i))
-                if out is not None and out.num_rows:
-                    yield out
-
-    with _small_batches(seeking.sparkSession, 16):
-        return written(left.join(right, "cell").select("seek", "live").mapInArrow(run, schema), name)
-
-
 Fold = Callable[[dict[str, np.ndarray]], dict[str, np.ndarray]]
 _KINDS = {"long": pa.int64(), "double": pa.float64(), "string": pa.string()}
 
 
-def meet_cells(cells: Cells, seeking: DataFrame, resident: DataFrame, seek_columns: list[str], live_columns: list[str], found: Pair, schema: str, name: str, fold: Fold | None = None, times: int = 1) -> DataFrame:
+def _spans(begins: np.ndarray, need: np.ndarray) -> Iterator[slice | np.ndarray]:
+    """The rows of cells (sorted by cell, cell c from begins[c] on) in parts of about WIDE: slices of long runs, and short runs together."""
+    low, high = begins[need], begins[need + 1]
+    new = np.flatnonzero(low[1:] != high[:-1]) + 1
+    held, size = [], 0
+    for a, b in zip(low[np.append(0, new)].tolist(), high[np.append(new - 1, len(high) - 1)].tolist(), strict=True):
+        while b - a >= WIDE:
+            yield slice(a, a + WIDE)
+            a += WIDE
+        if b > a:
+            held.append(np.arange(a, b))
+            size += b - a
+        if size >= WIDE:
+            yield np.concatenate(held)
+            held, size = [], 0
+    if len(held) == 1:
+        yield slice(int(held[0][0]), int(held[0][-1]) + 1)
+    elif held:
+        yield np.concatenate(held)
+
+
+def meet_cells(cells: Cells, seeking: DataFrame, resident: DataFrame, seek_columns: list[str], live_columns: list[str], found: Pair, schema: str, name: str, fold: Fold | None = None, times: int = 1, last: Callable[[dict[str, np.ndarray]], pa.RecordBatch | None] | None = None) -> DataFrame:
     """What `found` makes of blocks of searching points and the points of the cells that one of them needs; a written table.
 
     seeking: what `searches` gives, with the same `times`; resident: points with their home. found gets a dict of arrays a side and
-    returns rows of the schema, or None; a pair comes up once at most. fold reduces the rows of a task: what it gives, for rows of
-    several tasks, must be what the caller's own grouping of them reads.
+    returns rows of the schema, or None; a pair comes up once at most. A side also has f and long, for `half_squares`, and at, its
+    places in the task; the searching one is the same dict for all it meets, and what found keeps there `last` makes rows of. Its
+    "task" is a dict that lasts as long as the task, and has all points of it under s and t. fold reduces the rows of a task: what it
+    gives, for rows of several tasks, must be what the caller's own grouping of them reads.
     """
-    sent = seeking.sparkSession.sparkContext.broadcast(tiles(cells))
+    centre = cells.pivots.mean(axis=0) if len(cells.pivots) else np.zeros(0)
+    sent = seeking.sparkSession.sparkContext.broadcast((tiles(cells), np.where(np.isfinite(centre), centre, 0.0)))
     fields = [f.split() for f in schema.split(", ")]
     kind = pa.schema([(n, _KINDS[t]) for n, t in fields])
     own = list(dict.fromkeys([*live_columns, "home"]))
@@ -229,12 +237,12 @@ def meet_cells(cells: Cells, seeking: DataFrame, resident: DataFrame, seek_colum
     def dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                chunk = sent.value.chunk(batch.column(own.index("home")).to_numpy(), batch.column(own.index("k")).to_numpy())
+                chunk = sent.value[0].chunk(batch.column(own.index("home")).to_numpy(), batch.column(own.index("k")).to_numpy())
                 yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(chunk)], [*own, "t"])
 
     def arrays(table: pa.Table, names: list[str]) -> dict[str, np.ndarray]:
         whole = table.select(names).combine_chunks()
-        return {n: matrix(whole.column(n).combine_chunks()) if n == "x" else whole.column(n).to_numpy() for n in names}
+        return {n: matrix(whole.column(n).combine_chunks()) if pa.types.is_list(whole.schema.field(n).type) else whole.column(n).to_numpy() for n in names}
 
     def folded(held: list[pa.RecordBatch]) -> list[pa.RecordBatch]:
         if not fold or not held:
@@ -246,31 +254,35 @@ def meet_cells(cells: Cells, seeking: DataFrame, resident: DataFrame, seek_colum
     def run(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
         held: list[pa.RecordBatch] = []
         if left.num_rows and right.num_rows:
-            tile = int(np.searchsorted(sent.value.chunks, key[1].as_py(), side="right")) - 1
-            cell = np.arange(sent.value.starts[tile], sent.value.starts[tile + 1] + 1)
+            tiled, centre = sent.value
+            tile = int(np.searchsorted(tiled.chunks, key[1].as_py(), side="right")) - 1
+            cell = np.arange(tiled.starts[tile], tiled.starts[tile + 1] + 1)
             t = arrays(right, own)
             t = {n: v[np.argsort(t["home"], kind="stable")] for n, v in t.items()}
-            begins = np.searchsorted(t.pop("home"), cell)
+            begins = np.searchsorted(t["home"], cell)
             s = arrays(left, list(dict.fromkeys([*seek_columns, "home"])))
             order = np.argsort(s["home"], kind="stable")
-            wanted = np.frombuffer(b"".join(left.column("wanted").to_pylist()), np.uint8).reshape(left.num_rows, -1)
+            s = {n: v[order] for n, v in s.items()}
+            wanted = np.frombuffer(b"".join(left.column("wanted").to_pylist()), np.uint8).reshape(left.num_rows, -1)[order]
             wanted = np.unpackbits(wanted, axis=1)[:, : len(cell) - 1].astype(bool)
             wanted &= np.diff(begins) > 0
-            at, rows = 0, 0
-            while at < len(order):
-                part = order[at : at + BLOCK]
-                room = max(16, AREA // max(1, int(np.diff(begins)[wanted[part].any(axis=0)].sum())))
-                part = part[:room]
-                at += len(part)
+            (s["f"], _, long), (_, t["f"], wide) = lifted(s["x"], centre), lifted(t["x"], centre)
+            if s["f"].dtype != t["f"].dtype:
+                s["f"], t["f"] = s["f"].astype(np.float64), t["f"].astype(np.float64)
+            task = {"s": s, "t": t}
+            rows = 0
+            for at in range(0, len(order), BLOCK):
+                part = slice(at, at + BLOCK)
                 need = np.flatnonzero(wanted[part].any(axis=0))
                 if not len(need):
                     continue
-                live = np.concatenate([np.arange(begins[c], begins[c + 1]) for c in need])
-                here = {n: v[live] if len(live) < len(t["k"]) else v for n, v in t.items()}
-                out = found({n: s[n][part] for n in seek_columns}, here)
-                if out is not None and out.num_rows:
-                    held.append(out)
-                    rows += out.num_rows
+                mine = {n: v[part] for n, v in s.items()} | {"at": part, "long": long, "task": task}
+                out = []
+                for live in _spans(begins, need):
+                    out.append(found(mine, {n: v[live] for n, v in t.items()} | {"at": live, "long": wide}))
+                out.append(last(mine) if last else None)
+                held += [b for b in out if b is not None and b.num_rows]
+                rows += sum(b.num_rows for b in out if b is not None)
                 if fold and rows > AREA:
                     held = folded(held)
                     rows = held[0].num_rows // 2  # what can't be reduced is not folded again at once
@@ -288,48 +300,64 @@ def meet_cells(cells: Cells, seeking: DataFrame, resident: DataFrame, seek_colum
 def pairs_within(cells: Cells, eps: float) -> DataFrame:
     """a, b, distance of all pairs of points at most eps apart, a < b."""
 
-    def near(s: dict[str, np.ndarray], t: dict[str, np.ndarray]) -> pa.RecordBatch:
-        i, j = np.nonzero((distances(s["x"], t["x"]) <= eps + 1e-6 * (1 + eps)) & (s["k"][:, None] < t["k"]))
-        d = exact_distance(s["x"][i], t["x"][j])
-        good = d <= eps
-        return pa.RecordBatch.from_arrays([pa.array(s["k"][i[good]]), pa.array(t["k"][j[good]]), pa.array(d[good])], ["a", "b", "distance"])
+    def near(s: dict[str, np.ndarray], t: dict[str, np.ndarray]) -> pa.RecordBatch | None:
+        out = []
+        for i, j, d in near_pairs(s, t, eps):
+            a, b, good = s["k"][i], t["k"][j], d <= eps
+            good &= a < b
+            out.append(pa.RecordBatch.from_arrays([pa.array(v[good]) for v in (a, b, d)], ["a", "b", "distance"]))
+        return pa.Table.from_batches(out).combine_chunks().to_batches()[0] if sum(b.num_rows for b in out) else None
 
     seeking = searches(cells, cells.points, F.lit(eps))
     return meet_cells(cells, seeking, cells.points, ["k", "x"], ["k", "x"], near, "a long, b long, distance double", "pairs")
 
 
 def _nearest(cells: Cells, seeking: DataFrame, k: int, times: int = 1) -> DataFrame:
-    """a, b, distance: of each chunk that a point meets, the k nearest others."""
-
-    def first(a: np.ndarray, b: np.ndarray, d: np.ndarray) -> tuple[np.ndarray, ...]:
-        order = np.lexsort((b, d, a))
-        a, b, d = a[order], b[order], d[order]
-        few = np.arange(len(a)) - np.searchsorted(a, a) < k
-        return a[few], b[few], d[few]
-
-    def best(s: dict[str, np.ndarray], t: dict[str, np.ndarray]) -> pa.RecordBatch:
-        rough = distances(s["x"], t["x"])
-        rough[s["k"][:, None] == t["k"]] = np.inf
-        few = min(k, rough.shape[1])
-        cut = np.partition(rough, few - 1, axis=1)[:, few - 1]
-        cut = np.where(np.isfinite(cut), cut * (1 + 1e-6) + 1e-6, np.finfo(float).max)
-        i, j = np.nonzero(rough <= cut[:, None])
-        rows = first(s["k"][i], t["k"][j], exact_distance(s["x"][i], t["x"][j]))
-        return pa.RecordBatch.from_arrays([pa.array(v) for v in rows], ["a", "b", "distance"])
-
-    return meet_cells(cells, seeking, cells.points, ["k", "x"], ["k", "x"], best, "a long, b long, distance double", "nearest", times=times)
+    """a, b, distance: of each chunk that a point meets, the k nearest others within its bound."""
+
+    def best(s: dict[str, np.ndarray], t: dict[str, np.ndarray]) -> None:
+        if "cut" not in s:
+            s["cut"] = s["bound"].copy()
+            s["near"] = [np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)]
+        wide = np.flatnonzero(~np.isfinite(s["cut"]))
+        if len(wide):  # k and one more (it may be the point itself) of a few points are a bound
+            few = {"f": t["f"][: max(BLOCK, 64 * (k + 1))], "long": t["long"]}
+            rough, off = half_squares({"f": s["f"][wide], "long": s["long"]}, few)
+            if rough.shape[1] > k:
+                high = 2 * (off - np.partition(rough, rough.shape[1] - k - 1, axis=1)[:, rough.shape[1] - k - 1].astype(np.float64))
+                s["cut"][wide] = np.sqrt(np.maximum(high, 0.0)) * (1 + 1e-9)
+        new = [s["near"]]
+        for i, j, d in near_pairs(s, t, s["cut"]):
+            good = (d <= s["cut"][i]) & (s["k"][i] != t["k"][j])
+            new.append([i[good], t["k"][j[good]], d[good]])
+        if sum(len(n[0]) for n in new[1:]):
+            i, b, d = (np.concatenate(v) for v in zip(*new, strict=True))
+            order = np.lexsort((b, d, i))
+            i, b, d = i[order], b[order], d[order]
+            first = np.searchsorted(i, np.arange(len(s["k"]) + 1))
+            keep = np.arange(len(i)) - first[i] < k
+            full = np.flatnonzero(np.diff(first) >= k)
+            s["cut"][full] = np.minimum(s["cut"][full], d[first[full] + k - 1])
+            s["near"] = [i[keep], b[keep], d[keep]]
+
+    def last(s: dict[str, np.ndarray]) -> pa.RecordBatch:
+        i, b, d = s["near"]
+        return pa.RecordBatch.from_arrays([pa.array(v) for v in (s["k"][i], b, d)], ["a", "b", "distance"])
+
+    return meet_cells(cells, seeking, cells.points, ["k", "x", "bound"], ["k", "x"], best, "a long, b long, distance double", "nearest", times=times, last=last)
 
 
 def nearest(cells: Cells, k: int) -> DataFrame:
     """a, b, distance, rank (from 1): the k nearest other points of each point, ties by key.
 
-    The own cell gives a radius that holds k points; only cells that may have nearer ones are searched then.
+    The own tile gives a radius that holds k points; only cells that may have nearer ones are searched then.
     """
-    own = _nearest(cells, searches(cells, cells.points, F.lit(float("inf")), home=True), k)
+    open_ = cells.points.withColumn("bound", F.lit(float("inf")))
+    own = _nearest(cells, searches(cells, open_, F.col("bound"), place="own"), k)
     bound = own.groupBy("a").agg(F.when(F.count("*") >= k, F.array_sort(F.collect_list("distance"))[k - 1]).alias("bound"))
-    placed = written(cells.points.join(bound.withColumnRenamed("a", "k"), "k", "left"), "bounds")
-    radius = F.coalesce("bound", F.lit(float("inf")))
-    others = _nearest(cells, searches(cells, placed, radius, home=False), k)
+    placed = cells.points.join(bound.withColumnRenamed("a", "k"), "k", "left").withColumn("bound", F.coalesce("bound", F.lit(float("inf"))))
+    placed = written(placed, "bounds")
+    others = _nearest(cells, searches(cells, placed, F.col("bound"), place="others"), k)
     every = own.unionByName(others).groupBy("a").agg(F.slice(F.array_sort(F.collect_set(F.struct("distance", "b"))), 1, k).alias("near"))
     rows = every.select("a", F.posexplode("near").alias("at", "n"))
     return written(rows.select("a", F.col("n.b").alias("b"), F.col("n.distance").alias("distance"), (F.col("at") + 1).alias("rank")), "neighbours")

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.operators.neighbours import matrix, meet
+from millrace.operators.neighbours import deal_cells, matrix, meet_cells, near_pairs, searches
 from millrace.operators.rounds import settle_first_wins, written
 
 # The constants of structural similarity for grey values of 0 to 255, and its window.
@@ -74,45 +74,93 @@ def key_reach(threshold: float, widest: float) -> float:
     return bend + (f(bend) - threshold) * (widest - bend) / (f(bend) - f(widest))
 
 
-def similar_images(df: DataFrame, key: str, grid: str, height: int, width: int, threshold: float = 0.92, window: int = WINDOW) -> DataFrame:
+def image_points(x: np.ndarray, window: int = WINDOW) -> np.ndarray:
+    """A unit vector an image: two images' product is at least their similarity, but for windows whose product is below 0.
+
+    A window's similarity is (2 m m' + C1) (2 c + C2) over sums of two squares, which are at least twice the root of their product (by the
+    inequality of means). With that for the sums it is the product of unit vectors: (m, root of C1 / 2) for the light, the differences
+    from the mean and the root of C2 / 2 for the contrast, and all products of an entry of either for both.
+    """
+    n, parts = window * window, []
+    for i in range(x.shape[1] - window + 1):
+        for j in range(x.shape[2] - window + 1):
+            patch = x[:, i : i + window, j : j + window].reshape(len(x), n)
+            mean = patch.mean(axis=1, keepdims=True)
+            light = np.hstack([mean, np.full_like(mean, math.sqrt(C1 / 2))])
+            shape = np.hstack([(patch - mean) / math.sqrt(n - 1), np.full_like(mean, math.sqrt(C2 / 2))])
+            both = light[:, :, None] * shape[:, None]
+            parts.append(both.reshape(len(x), -1) / np.sqrt((light**2).sum(axis=1) * (shape**2).sum(axis=1))[:, None])
+    return np.hstack(parts) / math.sqrt(len(parts))
+
+
+def shortened(points: np.ndarray, axes: np.ndarray) -> np.ndarray:
+    """Unit vectors along orthonormal axes (a column each), and the length of what is left: products of these are at least those of the vectors."""
+    kept = points @ axes
+    return np.hstack([kept, np.sqrt(np.maximum(1 - (kept**2).sum(axis=1, keepdims=True), 0.0))])
+
+
+def point_reach(threshold: float, windows: int) -> float:
+    """How far apart the points of two similar images may be: no more windows than are missing to the threshold may have a product below 0."""
+    product = threshold - math.floor(windows * (1 - threshold) + 1e-9) / windows
+    return math.sqrt(2 * (1 - product)) * (1 + 1e-9) + 1e-6
+
+
+def similar_images(df: DataFrame, key: str, grid: str, height: int, width: int, threshold: float = 0.92, window: int = WINDOW, axes: int = 64) -> DataFrame:
     """a, b, similarity of all pairs of different images with at least this similarity, a < b; equal ones are one, under their least key.
 
-    Images meet whose light and contrast are near enough; grids of another size, or with nulls, are left out.
+    Images meet as points on `axes` principal axes of a sample, and only pairs whose points, light and contrast are near enough are
+    measured. Grids of another size, or with nulls, NaN or infinite values, are left out.
     """
     if not 0 < threshold <= 1:
         raise ValueError("the threshold must be over 0 and at most 1")
     flat = F.flatten(F.transform(grid, lambda r: F.transform(r, lambda v: v.cast("double"))))
-    sound = (F.size(grid) == height) & F.forall(grid, lambda r: F.size(r) == width) & F.forall(flat, lambda v: v.isNotNull())
-    images = df.filter(F.coalesce(sound, F.lit(False))).select(F.col(key).cast("long").alias("k"), flat.alias("x")).groupBy("x").agg(F.min("k").alias("k"))
-
-    def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    sound = (F.size(grid) == height) & F.forall(grid, lambda r: F.size(r) == width) & F.forall(flat, lambda v: v.isNotNull() & (F.abs(v) < float("inf")))
+    images = df.filter(F.coalesce(sound, F.lit(False))).select(F.col(key).cast("long").alias("k"), flat.alias("image")).groupBy("image").agg(F.min("k").alias("k"))
+    images = written(images.select("k", "image"), "images")
+    windows = (height - window + 1) * (width - window + 1)
+    entries = 2 * windows * (window * window + 1)
+    drawn = images.orderBy(F.xxhash64(F.lit(7), "k"), "k").limit(max(1, min(1024, (1 << 24) // entries))).collect()  # a bounded sample
+    if not drawn:
+        return df.sparkSession.createDataFrame([], "a long, b long, similarity double")
+    sample = image_points(np.array([r["image"] for r in drawn]).reshape(-1, height, width), window)
+    sent = df.sparkSession.sparkContext.broadcast(np.linalg.svd(sample, full_matrices=False)[2][:axes].T)
+
+    def pointed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if batch.num_rows:
-                keys = image_keys(matrix(batch.column(1)).reshape(-1, height, width), window)
-                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(keys[:, 0].copy()), pa.array(keys[:, 1].copy())], ["k", "x", "light", "contrast"])
-
-    images = written(images.select("k", "x").mapInArrow(keyed, "k long, x array<double>, light double, contrast double"), "images")
+            step = max(1, (1 << 20) // entries)
+            for lo in range(0, batch.num_rows, step):
+                part = batch.slice(lo, step)
+                x = matrix(part.column(1)).reshape(-1, height, width)
+                keys = image_keys(x, window)
+                points = pa.array(list(shortened(image_points(x, window), sent.value)))
+                yield pa.RecordBatch.from_arrays([part.column(0), points, pa.array(keys[:, 0].copy()), pa.array(keys[:, 1].copy())], ["k", "x", "light", "contrast"])
+
+    cells = deal_cells(images.mapInArrow(pointed, "k long, x array<double>, light double, contrast double"))
     far = [key_reach(threshold, math.log((255.0**2 + c / 2) / (c / 2))) * (1 + 1e-9) + 1e-9 for c in (C1, C2)]
-    places = [F.floor(F.col(c) / d).cast("long") for c, d in zip(("light", "contrast"), far, strict=True)]
-    cell = lambda i, j: (places[0] + i) * (1 << 20) + places[1] + j
-    around = F.array(*(cell(F.lit(i), F.lit(j)) for i in (-1, 0, 1) for j in (-1, 0, 1)))
+    reach = point_reach(threshold, windows)
 
     def found(s: dict[str, np.ndarray], t: dict[str, np.ndarray]) -> pa.RecordBatch | None:
-        may = s["k"][:, None] < t["k"]
-        for c, d in zip(("light", "contrast"), far, strict=True):
-            may &= np.abs(s[c][:, None] - t[c]) <= d
-        rows, columns = np.flatnonzero(may.any(axis=1)), np.flatnonzero(may.any(axis=0))
-        if not len(rows):
-            return None
-        x, y = s["x"].reshape(-1, height, width), t["x"].reshape(-1, height, width)
-        i, j = np.nonzero(may[np.ix_(rows, columns)] & (rough_ssim(x[rows], y[columns], window) >= threshold - 1e-6))  # the rest is checked exactly
-        i, j = rows[i], columns[j]
-        score = np.concatenate([ssim(x[i[lo : lo + 512]], y[j[lo : lo + 512]], window) for lo in range(0, len(i), 512)] or [np.zeros(0)])
-        good = score >= threshold
-        return pa.RecordBatch.from_arrays([pa.array(s["k"][i[good]]), pa.array(t["k"][j[good]]), pa.array(score[good])], ["a", "b", "similarity"])
+        a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for i, j, _ in near_pairs(s, t, reach):
+            good = s["k"][i] < t["k"][j]
+            for c, d in zip(("light", "contrast"), far, strict=True):
+                good &= np.abs(s[c][i] - t[c][j]) <= d
+            a.append(s["k"][i[good]])
+            b.append(t["k"][j[good]])
+        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(v)) for v in (a, b)], ["a", "b"])
+
+    def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lo in range(0, batch.num_rows, 512):
+                a, b, x, y = batch.slice(lo, 512).columns
+                score = ssim(matrix(x).reshape(-1, height, width), matrix(y).reshape(-1, height, width), window)
+                good = pa.array(score >= threshold)
+                yield pa.RecordBatch.from_arrays([a.filter(good), b.filter(good), pa.array(score).filter(good)], ["a", "b", "similarity"])
 
     columns = ["k", "x", "light", "contrast"]
-    return meet(images.withColumn("cell", F.explode(around)), images.withColumn("cell", cell(F.lit(0), F.lit(0))), columns, columns, found, "a long, b long, similarity double", "similar")
+    pairs = meet_cells(cells, searches(cells, cells.points, F.lit(reach)), cells.points, columns, columns, found, "a long, b long", "near-images")
+    sides = pairs.join(images.toDF("a", "left"), "a").join(images.toDF("b", "right"), "b").select("a", "b", "left", "right")
+    return written(sides.mapInArrow(measured, "a long, b long, similarity double"), "similar")
 
 
 def ssim_leaders(df: DataFrame, key: str, grid: str, height: int, width: int, threshold: float = 0.92) -> DataFrame:

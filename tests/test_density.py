@@ -164,3 +164,28 @@ def test_a_hierarchy_settled_by_one_task_is_that_of_the_levels(spark):
     rows = [("c0", None, 0.0)] + [(f"c{i}", f"c{rng.integers(max(0, i - 3), i)}", float(rng.integers(0, 9))) for i in range(1, 40)]
     clusters = spark.createDataFrame(rows, "cluster string, parent string, stability double")
     assert sorted(D.most_stable(clusters).collect()) == sorted(D.most_stable(clusters, few=0).collect())
+
+
+@pytest.mark.parametrize(("scale", "offset"), [(1.0, 0.0), (1.0, 1e6), (1e-20, 0.0), (1e20, 0.0)])
+def test_products_in_single_precision_lose_no_pair(scale, offset):
+    rng = np.random.default_rng(7)
+    x = (rng.normal(size=(300, 24)) + offset) * scale
+    x[200:] = x[:100] + rng.normal(size=(100, 24)) * scale * 1e-3
+    x[7] = np.inf
+    centre = x[8:40].mean(axis=0) * 0.9
+    (left, _, long), (_, right, wide) = N.lifted(x[:150], centre), N.lifted(x[100:], centre)
+    s, t = {"x": x[:150], "f": left, "long": long}, {"x": x[100:], "f": right, "long": wide}
+    with np.errstate(all="ignore"):
+        d = np.sqrt(((x[:150, None] - x[None, 100:]) ** 2).sum(axis=2))
+        for radius in (0.0, float(d[20, 120]), float(np.nanmedian(d)), np.where(np.isfinite(d[:, 150]), d[:, 150], 0.0)):
+            got = {(a, b) for i, j, far in N.near_pairs(s, t, radius) for a, b, good in zip(i.tolist(), j.tolist(), (far <= np.broadcast_to(radius, 150)[i]).tolist(), strict=True) if good}
+            assert got == set(zip(*(v.tolist() for v in np.nonzero(d <= np.broadcast_to(radius, 150)[:, None])), strict=True)) and len(got) >= 50
+
+
+def test_spans_have_each_row_of_the_needed_cells_once():
+    begins = np.cumsum(np.append(0, np.random.default_rng(3).integers(0, 900, 60)))
+    for need in (np.arange(60), np.arange(0, 60, 3), np.array([4, 5, 6, 40]), np.array([59])):
+        rows = [np.arange(begins[-1])[span] for span in N._spans(begins, need)]
+        want = np.concatenate([np.arange(begins[c], begins[c + 1]) for c in need])
+        assert sorted(np.concatenate(rows).tolist()) == want.tolist()
+        assert max(map(len, rows)) < 2 * N.WIDE

@@ -118,3 +118,31 @@ def test_rough_similarity_of_all_pairs_is_that_of_each_pair():
     b[4] = 100.0
     exact = np.stack([ssim(np.repeat(a[i : i + 1], len(b), axis=0), b) for i in range(len(a))])
     assert np.abs(rough_ssim(a, b) - exact).max() < 1e-9
+
+
+def test_points_of_images_lose_no_pair_and_part_unlike_ones_of_equal_light():
+    rng = np.random.default_rng(8)
+    x = np.array(pictures(3, 40))
+    x = np.concatenate([x, -x[:20], x[:20] - 128])
+    i, j = np.triu_indices(len(x), 1)
+    for threshold in (0.3, 0.92, 0.99):
+        similar = S.ssim(x[i], x[j]) >= threshold
+        for points in (S.image_points(x), S.shortened(S.image_points(x), np.linalg.svd(S.image_points(x[::9]), full_matrices=False)[2][:12].T)):
+            assert np.allclose((points**2).sum(axis=1), 1)
+            apart = np.linalg.norm(points[i] - points[j], axis=1)
+            assert similar.any() and not (similar & (apart > S.point_reach(threshold, 100))).any()
+    noise = 128 + 20 * rng.normal(size=(200, 8, 8))  # light and contrast tell none of these apart
+    keys, points = S.image_keys(noise), S.image_points(noise)
+    i, j = np.triu_indices(len(noise), 1)
+    assert (np.abs(keys[i] - keys[j]) <= S.key_reach(0.92, 20.0)).all(axis=1).mean() > 0.9
+    assert (np.linalg.norm(points[i] - points[j], axis=1) <= S.point_reach(0.92, 4)).mean() == 0
+
+
+def test_images_that_are_not_finite_have_no_pairs_and_hide_none(spark):
+    x = pictures(9, 6)
+    odd = [np.where(np.arange(256).reshape(16, 16) == 5, v, x[0]) for v in (np.nan, np.inf)]
+    rows = [(2 * i, g.tolist()) for i, g in enumerate(x)] + [(901 + 2 * i, g.tolist()) for i, g in enumerate(odd)] + [(1001, x[2].tolist())]
+    df = spark.createDataFrame(rows, "id long, g array<array<double>>")
+    got = {r["id"]: r["leader"] for r in S.ssim_leaders(df, "id", "g", 16, 16).collect()}
+    plain = {r["id"]: r["leader"] for r in S.ssim_leaders(df.filter("id not in (901, 903)"), "id", "g", 16, 16).collect()}
+    assert got == plain | {901: 901, 903: 903} and got[1001] == got[4] and len(set(plain.values())) < len(x)
