@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.operators.neighbours import Cells, deal_cells, distances, distinct_vectors, exact_distance, matrix, meet_cells, nearest, searches
+from millrace.operators.neighbours import Cells, deal_cells, distances, distinct_vectors, exact_distance, matrix, meet_cells, near_pairs, nearest, searches
 from millrace.operators.rounds import components, positions, stars, written
 
 #: The least distance that counts in 1 / distance; nearer points have the density of this one.
@@ -44,18 +44,6 @@ def _spread_out(df: DataFrame, key: str, vector: str, scale: bool, found: DataFr
     return joined.select(key, *(F.coalesce(F.col(f"_{c}"), n).alias(c) for c, n in zip(columns, none, strict=True)))
 
 
-def _labels(near: np.ndarray) -> np.ndarray:
-    """Component of each row and column of a table of near pairs: the least index, rows first; a lone one has its own."""
-    n, m = near.shape
-    rows, columns = np.arange(n), np.arange(n, n + m)
-    while True:
-        down = np.minimum(columns, np.where(near, rows[:, None], n + m).min(axis=0))
-        up = np.minimum(rows, np.where(near, down, n + m).min(axis=1))
-        if (down == columns).all() and (up == rows).all():
-            return np.concatenate([rows, columns])
-        rows, columns = up, down
-
-
 def dbscan_vectors(df: DataFrame, key: str, vector: str, eps: float, least: int, standardize: bool = False, pivots: int | None = None) -> DataFrame:
     """key, cluster (the least key of its core points; null: noise), is_core: DBSCAN by Euclidean distance.
 
@@ -65,26 +53,51 @@ def dbscan_vectors(df: DataFrame, key: str, vector: str, eps: float, least: int,
     cells = _cells(df, key, vector, standardize, pivots)
     if not len(cells.pivots):
         return df.select(F.col(key).cast("long").alias(key), F.lit(None).cast("long").alias("cluster"), F.lit(False).alias("is_core"))
-    slack = eps + 1e-6 * (1 + eps)
-
-    def pairs(s: dict[str, np.ndarray], t: dict[str, np.ndarray]) -> np.ndarray:
-        near = distances(s["x"], t["x"])
-        i, j = np.nonzero(np.abs(near - eps) <= 1e-6 * (1 + eps))  # too near the bound for rounding
-        near = near <= slack
-        near[i, j] = exact_distance(s["x"][i], t["x"][j]) <= eps
-        return near
 
-    def count(s: dict[str, np.ndarray], t: dict[str, np.ndarray]) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(s["k"]), pa.array((pairs(s, t) * t["members"]).sum(axis=1).astype(np.int64))], ["k", "n"])
-
-    def link(s: dict[str, np.ndarray], t: dict[str, np.ndarray]) -> pa.RecordBatch:
-        both, label = np.concatenate([s["k"], t["k"]]), _labels(pairs(s, t))
-        tied = label != np.arange(len(label))
-        return pa.RecordBatch.from_arrays([pa.array(both[tied]), pa.array(both[label[tied]])], ["a", "b"])
+    def count(s: dict[str, np.ndarray], t: dict[str, np.ndarray]) -> None:
+        """Rows near each point, until they are enough."""
+        n = s.setdefault("n", np.zeros(len(s["k"]), np.int64))
+        rows = np.flatnonzero(n < least)
+        if len(rows):
+            for i, j, d in near_pairs({c: s[c][rows] for c in ("x", "f")} | {"long": s["long"]}, t, eps):
+                np.add.at(n, rows[i[d <= eps]], t["members"][j[d <= eps]])
+
+    def counted(s: dict[str, np.ndarray]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(s["k"]), pa.array(s["n"])], ["k", "n"])
+
+    def link(s: dict[str, np.ndarray], t: dict[str, np.ndarray]) -> pa.RecordBatch | None:
+        """Links between components of the task, which are known so far; the greatest one's own pairs aren't made."""
+        task, out = s["task"], []
+        labels = task.setdefault("labels", [task[c]["comp"].copy() for c in "st"])
+        if "main" not in s:
+            names, sizes = np.unique(labels[1], return_counts=True)
+            s["main"] = names[sizes.argmax()]
+        for inside in (False, True):
+            rows = np.flatnonzero((labels[0][s["at"]] == s["main"]) == inside)
+            for columns in np.array_split(np.flatnonzero(labels[1][t["at"]] != s["main"]) if inside else np.arange(len(t["k"])), 4):
+                own, theirs = labels[0][s["at"]][rows], labels[1][t["at"]][columns]
+                if not len(rows) or not len(columns) or own.min() == own.max() == theirs.min() == theirs.max():
+                    continue
+                pairs: list[np.ndarray] = []
+                for i, j, d in near_pairs({c: s[c][rows] for c in ("x", "f")} | {"long": s["long"]}, {c: t[c][columns] for c in ("x", "f")} | {"long": t["long"]}, eps):
+                    good = (d <= eps) & (own[i] != theirs[j])
+                    pairs.append(np.stack([own[i[good]], theirs[j[good]]]))
+                a, b = np.concatenate(pairs, axis=1) if pairs else np.zeros((2, 0), np.int64)
+                if len(a):
+                    nodes, to = stars(a, b)
+                    out.append((nodes, to))
+                    for label in labels:
+                        at = np.minimum(np.searchsorted(nodes, label), len(nodes) - 1)
+                        label[:] = np.where(nodes[at] == label, to[at], label)
+        if not out:
+            return None
+        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(v)) for v in zip(*out, strict=True)], ["a", "b"])
 
     def touch(s: dict[str, np.ndarray], t: dict[str, np.ndarray]) -> pa.RecordBatch:
         top = np.iinfo(np.int64).max
-        core = np.where(pairs(s, t), t["k"], top).min(axis=1)
+        core = np.full(len(s["k"]), top)
+        for i, j, d in near_pairs(s, t, eps):
+            np.minimum.at(core, i[d <= eps], t["k"][j[d <= eps]])
         return pa.RecordBatch.from_arrays([pa.array(s["k"][core < top]), pa.array(core[core < top])], ["k", "core"])
 
     def total(r: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
@@ -101,12 +114,33 @@ def dbscan_vectors(df: DataFrame, key: str, vector: str, eps: float, least: int,
     def tie(r: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
         return dict(zip("ab", stars(r["a"], r["b"]), strict=True))
 
-    counts = meet_cells(cells, searches(cells, cells.points, F.lit(eps)), cells.points, ["k", "x"], ["k", "x", "members"], count, "k long, n long", "near-counts", total)
-    dense = counts.groupBy("k").agg(F.sum("n").alias("n")).filter(F.col("n") >= least).select("k")
-    cores = written(cells.points.join(dense, "k", "left_semi").select(*cells.points.columns), "cores")
-    joined = components(meet_cells(cells, searches(cells, cores, F.lit(eps)), cores, ["k", "x"], ["k", "x"], link, "a long, b long", "core-links", tie))
-    labels = written(cores.select("k", "x").join(joined.withColumnRenamed("node", "k"), "k", "left").select("k", "x", F.coalesce("component", "k").alias("cluster")), "core-labels")
-    thin = cells.points.join(cores.select("k"), "k", "left_anti").select(*cells.points.columns)
+    def enough(points: DataFrame, place: str) -> DataFrame:
+        """k, n of points, and rows near them in such tiles; n is right up to `least`."""
+        met = meet_cells(cells, searches(cells, points, F.lit(eps), place=place), cells.points, ["k", "x"], ["k", "x", "members"], count, "k long, n long", "near-counts", total, last=counted)
+        return met.groupBy("k").agg(F.sum("n").alias("n"))
+
+    def tied(cores: DataFrame, place: str, lone: np.ndarray | None = None) -> DataFrame:
+        """node, component: components of cores that are linked by pairs of such tiles."""
+        names = ["k", "x", "comp"]
+        return components(meet_cells(cells, searches(cells, cores, F.lit(eps), lone, "comp", place), cores, names, names, link, "a long, b long", "core-links", tie))
+
+    # most points have enough rows near them, and most cores are tied, in their own tile; the others meet the rest
+    some = written(cells.points.join(enough(cells.points, "own"), "k", "left").withColumn("n", F.coalesce("n", F.lit(0))), "own-counts")
+    few = some.filter(F.col("n") < least)
+    more = enough(few.select(*cells.points.columns), "others").withColumnRenamed("n", "more")
+    dense = some.filter(F.col("n") >= least).unionByName(few.join(more, "k").filter(F.col("n") + F.col("more") >= least).drop("more"))
+    cores = written(dense.select(*cells.points.columns, F.col("k").alias("comp")), "cores")
+    for place in ("own", "later"):
+        lone = np.full(len(cells.pivots), -1, np.int64)
+        for r in cores.groupBy("home").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).filter("low = high").collect():  # a row a pivot
+            lone[r["home"]] = r["low"]
+        if place == "later" and cores.select("comp").distinct().limit(2).count() < 2:
+            break
+        joined = tied(cores, place, lone)
+        moved = cores.join(joined.select(F.col("node").alias("comp"), "component"), "comp", "left")
+        cores = written(moved.select(*cells.points.columns, F.coalesce("component", "comp").alias("comp")), "cores")
+    labels = cores.select("k", "x", F.col("comp").alias("cluster"))
+    thin = written(cells.points.join(cores.select("k"), "k", "left_anti").select(*cells.points.columns), "thin")
     touched = meet_cells(cells, searches(cells, thin, F.lit(eps)), cores, ["k", "x"], ["k", "x"], touch, "k long, core long", "borders", first).groupBy("k").agg(F.min("core").alias("core"))
     border = thin.select("k", "x").join(touched, "k").join(labels.select(F.col("k").alias("core"), "cluster"), "core")
     found = labels.select("x", "cluster", F.lit(True).alias("is_core")).unionByName(border.select("x", "cluster", F.lit(False).alias("is_core")))

@@ -189,3 +189,13 @@ def test_spans_have_each_row_of_the_needed_cells_once():
         want = np.concatenate([np.arange(begins[c], begins[c + 1]) for c in need])
         assert sorted(np.concatenate(rows).tolist()) == want.tolist()
         assert max(map(len, rows)) < 2 * N.WIDE
+
+
+def test_dense_points_are_counted_in_their_own_tile_and_cores_tied_once_a_pair_of_tiles(spark, monkeypatch):
+    x = np.random.default_rng(9).normal(size=(900, 24))  # many dimensions: no cell excludes another
+    x[-1] += 90.0
+    rows, plain = [], D.searches
+    monkeypatch.setattr(D, "searches", lambda *a, **b: rows.append((out := plain(*a, **b)).count()) or out)
+    got = D.dbscan_vectors(frame(spark, x), "id", "v", 8.0, 4, pivots=60).collect()
+    assert {(r["cluster"], r["is_core"]) for r in got if r["id"] < 3 * 899} == {(1, True)} and sum(r["cluster"] is None for r in got) == 1
+    assert sum(rows) < 5 * len(x)  # 8 rows a point, when every point met all 4 tiles for its count and again for its links
