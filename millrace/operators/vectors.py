@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -123,6 +124,84 @@ def _chunk_pairs(classes: DataFrame, distance: int, group: list[str], chunk: int
     return found.select(*(F.col(n).alias(c) for c, n in zip(group, names, strict=True)), "k_a", "k_b", "members_a", "members_b", "distance")
 
 
+#: Hashes of a part that `near_counts` sends to a task, at most.
+PART = 1 << 20
+
+
+def close_pairs(left: np.ndarray, right: np.ndarray, distance: int, total_bits: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Indexes of all pairs of hashes of left and right at most `distance` bits apart, each pair once, some at a time.
+
+    The bits are cut into bands so that in one of them a near pair is at most 1 bit apart. For each band the right hashes are sorted by
+    it, and those of a value meet the left ones whose values are that near; a pair counts in the first band that has it so. Where few
+    values hold most hashes, as of short texts, that would make more pairs than there are, and all meet all instead.
+    """
+    cuts = np.linspace(0, total_bits, max(distance // 2 + 1, -(-total_bits // 16)) + 1).astype(int).tolist()
+    masks = [np.uint64((1 << b) - (1 << a)) for a, b in zip(cuts, cuts[1:], strict=False)]
+    bands, met = [], 0
+    for a, b, mask in zip(cuts, cuts[1:], masks, strict=False):
+        flips = np.array([0, *(1 << i for i in range(b - a))])
+        side = [((h & mask) >> np.uint64(a)).astype(np.int64) for h in (left, right)]
+        sizes = [np.bincount(v, minlength=1 << (b - a)) for v in side]
+        met += sum(int((sizes[0] * sizes[1][np.arange(1 << (b - a)) ^ f]).sum()) for f in flips.tolist()) + (AREA << (b - a) >> 2)
+        bands.append((flips, [np.argsort(v, kind="stable") for v in side], [np.append(0, np.cumsum(n)) for n in sizes]))
+    if met > len(left) * len(right):
+        step = max(1, AREA // max(1, len(right)))
+        for lo in range(0, len(left), step):
+            near = np.flatnonzero(np.bitwise_count(left[lo : lo + step, None] ^ right) <= distance)
+            yield lo + near // len(right), near % len(right)
+        return
+    for n, (flips, order, begins) in enumerate(bands):
+        sorted_right = right[order[1]]
+        for value in np.flatnonzero(np.diff(begins[0])).tolist():
+            there = value ^ flips
+            low, high = begins[1][there], begins[1][there + 1]
+            low, size = low[high > low], (high - low)[high > low]
+            if not len(low):
+                continue
+            columns = np.arange(int(size.sum())) + np.repeat(low - np.cumsum(size) + size, size)
+            there, rows = sorted_right[columns], order[0][begins[0][value] : begins[0][value + 1]]
+            step = max(1, AREA // len(columns))
+            for lo in range(0, len(rows), step):
+                apart = left[rows[lo : lo + step], None] ^ there
+                near = np.flatnonzero(np.bitwise_count(apart) <= distance)
+                x = apart.ravel()[near]
+                for mask in masks[:n]:
+                    later = np.bitwise_count(x & mask) > 1
+                    near, x = near[later], x[later]
+                if len(near):
+                    yield rows[lo + near // len(columns)], order[1][columns[near % len(columns)]]
+
+
+def near_counts(df: DataFrame, key: str, bits: Column, distance: int, total_bits: int = 64, part: int = PART) -> DataFrame:
+    """k, h, same, near: each distinct hash with its least key, its rows, and the rows of other hashes within `distance` bits.
+
+    Hashes are dealt to parts, and a part meets a part in one task that adds up what is near, so there is no row a pair.
+    """
+    classes = written(df.select(F.col(key).alias("k"), bits.cast("long").alias("h")).filter("h is not null").groupBy("h").agg(F.min("k").alias("k"), F.count("*").alias("same")), "classes")
+    n, cores = classes.count(), df.sparkSession.sparkContext.defaultParallelism
+    parts = max(-(-n // part), min(-(-n // 4096), math.ceil(math.sqrt(12 * cores))), 1)
+    own = F.pmod(F.xxhash64("h"), F.lit(parts)).cast("int")
+    dealt = classes.select("h", "same", own.alias("own")).withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
+    dealt = dealt.select(F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "h", "same")
+
+    def run(key: tuple, table: pa.Table) -> pa.Table:
+        i, j = (v.as_py() for v in key)
+        own, h, same = (table.column(c).to_numpy() for c in ("own", "h", "same"))
+        sides = [(h[own == p], same[own == p]) for p in (i, j)]
+        near = [np.zeros(len(s[0]), np.int64) for s in sides]
+        for x, y in close_pairs(sides[0][0].view(np.uint64), sides[1][0].view(np.uint64), distance, total_bits):
+            if i == j:  # each pair comes up in both orders, and each hash with itself
+                x, y = x[x != y], y[x != y]
+            np.add.at(near[0], x, sides[1][1][y])
+            if i != j:
+                np.add.at(near[1], y, sides[0][1][x])
+        found = [(s[0][n > 0], n[n > 0]) for s, n in zip(sides, near, strict=True)][: 1 if i == j else 2]
+        return pa.table({"h": np.concatenate([f[0] for f in found]), "near": np.concatenate([f[1] for f in found])})
+
+    met = dealt.repartition(max(1, min(parts * (parts + 1) // 2, 8 * cores)), "i", "j").groupBy("i", "j").applyInArrow(run, "h long, near long")
+    return classes.join(met.groupBy("h").agg(F.sum("near").alias("near")), "h", "left").select("k", "h", "same", F.coalesce("near", F.lit(0)).alias("near"))
+
+
 def hamming_pairs(df: DataFrame, key: str, bits: Column, distance: int, total_bits: int = 64, group: list[str] | None = None, chunk: int = CHUNK) -> DataFrame:
     """Pairs of distinct hashes within `distance` bits, in each group.
 

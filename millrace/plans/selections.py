@@ -98,10 +98,7 @@ select doc_id, n::bigint as duplicates from c where n > 0""")
 def duplicate_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How many other texts are within 8 bits of each text, also of texts that are duplicates themselves."""
     prints = _prints(spark, sf_dir).select("doc_id", "bits")
-    pairs = V.hamming_pairs(prints, "doc_id", F.col("bits"), 8, 60)
-    near = pairs.select(F.col("k_a").alias("k"), F.col("members_b").alias("m")).union(pairs.select("k_b", "members_a")).groupBy("k").agg(F.sum("m").alias("near"))
-    own = prints.groupBy("bits").agg(F.min("doc_id").alias("k"), F.count("*").alias("same"))
-    counted = own.join(near, "k", "left").select("bits", (F.col("same") - 1 + F.coalesce("near", F.lit(0))).alias("duplicates"))
+    counted = V.near_counts(prints, "doc_id", F.col("bits"), 8, 60).select(F.col("h").alias("bits"), (F.col("same") - 1 + F.col("near")).alias("duplicates"))
     return prints.join(counted, "bits").filter("duplicates > 0").select("doc_id", "duplicates")
 
 

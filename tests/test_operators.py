@@ -1,5 +1,6 @@
 """Small tables with ties, nulls, boundaries and order."""
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -258,3 +259,28 @@ def test_hashes_of_mostly_zeros_meet_in_chunks_of_bounded_size(spark):
     want = sorted((a, b) for (g, x), a in first.items() for (f, y), b in first.items() if g == f and a < b and (x ^ y).bit_count() <= 8)
     df = spark.createDataFrame([*data, (900, 1, None)], "k long, g int, h long")
     assert sorted((r["k_a"], r["k_b"]) for r in V.hamming_pairs(df, "k", F.col("h"), 8, 60, ["g"], chunk=20).collect()) == want
+
+
+@pytest.mark.parametrize("distance", [1, 3, 8])
+def test_close_pairs_by_bands_are_those_of_all_pairs(monkeypatch, distance):
+    rng = np.random.default_rng(distance)
+    base = rng.integers(0, 1 << 60, 60, dtype=np.int64).view(np.uint64)
+    near = [b ^ np.bitwise_or.reduce(np.uint64(1) << rng.integers(0, 60, rng.integers(1, 11)).astype(np.uint64)) for b in np.repeat(base, 12)]
+    few = np.bitwise_or(np.uint64(1) << rng.integers(0, 60, 300).astype(np.uint64), np.uint64(1) << rng.integers(0, 60, 300).astype(np.uint64))  # of short texts
+    h = rng.permutation(np.unique(np.concatenate([base, np.array(near, np.uint64), few])))
+    left, right = h[:600], h[300:]
+    want = set(map(tuple, np.argwhere(np.bitwise_count(left[:, None] ^ right) <= distance).tolist()))
+    for area in (1, 40, V.AREA):  # bands, bands in steps, all pairs
+        monkeypatch.setattr(V, "AREA", area)
+        got = [p for x, y in V.close_pairs(left, right, distance, 60) for p in zip(x.tolist(), y.tolist(), strict=True)]
+        assert len(got) == len(set(got)) and set(got) == want and len(want) > 300
+
+
+def test_near_counts_of_hashes_in_parts(spark):
+    rng = np.random.default_rng(6)
+    h = [int(x) for x in rng.integers(0, 1 << 20, 150)] * 2 + [int(x) for x in rng.integers(0, 1 << 60, 100)]
+    df = spark.createDataFrame([*enumerate(h), (900, None)], "id long, bits long")
+    want = {x: (h.index(x), h.count(x), sum(0 < (x ^ y).bit_count() <= 8 for y in h)) for x in h}
+    for part in (1 << 20, 60):
+        assert {r["h"]: (r["k"], r["same"], r["near"]) for r in V.near_counts(df, "id", F.col("bits"), 8, 60, part).collect()} == want
+    assert sum(n for _, _, n in want.values()) > 1000 and V.near_counts(df.limit(0), "id", F.col("bits"), 8).count() == 0
