@@ -200,17 +200,26 @@ def reachability_tree(cells: Cells, cores: DataFrame, near: DataFrame) -> DataFr
         both = crossing.select(F.col("comp_a").alias("comp"), "w", "a", "b").unionByName(crossing.select(F.col("comp_b").alias("comp"), "w", "a", "b")).unionByName(pivotal)
         bound = written(both.groupBy("comp").agg(F.min(_edge()).alias("edge")), "bounds")
         seeking = placed.join(bound.select("comp", F.col("edge.w").alias("least")), "comp").filter(F.greatest("core", "reach") <= F.col("least"))
+        # the greatest component needs no edge of its own: the others' edges shrink their number by half at least
+        main = placed.groupBy("comp").count().orderBy(F.desc("count"), "comp").first()["comp"]
+        seeking = seeking.filter(F.col("comp") != main)
         lone = np.full(len(cells.pivots), -1, np.int64)
         for r in placed.groupBy("home").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).filter("low = high").collect():  # a row a pivot
             lone[r["home"]] = r["low"]
 
-        def lightest(s: dict[str, np.ndarray], t: dict[str, np.ndarray]) -> pa.RecordBatch:
-            w = np.maximum(np.maximum(distances(s["x"], t["x"]), s["core"][:, None]), t["core"])
-            w[s["comp"][:, None] == t["comp"]] = np.inf
-            cut = np.minimum(w.min(axis=1), s["least"])
-            i, j = np.nonzero(w <= (cut * (1 + 1e-6) + 1e-6)[:, None])
-            exact = np.maximum(np.maximum(exact_distance(s["x"][i], t["x"][j]), s["core"][i]), t["core"][j])
-            return _least_edges(s["comp"][i], exact, s["k"][i], t["k"][j])
+        def lightest(s: dict[str, np.ndarray], t: dict[str, np.ndarray]) -> pa.RecordBatch | None:
+            out, first = [], 256 if "cut" not in s else 0  # a few points first, as they may have nearer ones than the bound
+            cut = s.setdefault("cut", s["least"].copy())
+            for part in (slice(0, first), slice(first, None)) if first else (slice(None),):
+                for i, j, d in near_pairs(s, {c: t[c][part] for c in ("x", "f")} | {"long": t["long"]}, cut):
+                    j = j + (part.start or 0)
+                    w = np.maximum(np.maximum(d, s["core"][i]), t["core"][j])
+                    good = (w <= cut[i]) & (s["comp"][i] != t["comp"][j])
+                    i, j, w = i[good], j[good], w[good]
+                    if len(i):
+                        np.minimum.at(cut, i, w)
+                        out.append((s["comp"][i], w, s["k"][i], t["k"][j]))
+            return _least_edges(*(np.concatenate(v) for v in zip(*out, strict=True))) if out else None
 
         def least(r: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
             rows = _least_edges(r["comp"], r["w"], r["a"], r["b"])
@@ -218,7 +227,7 @@ def reachability_tree(cells: Cells, cores: DataFrame, near: DataFrame) -> DataFr
 
         names = ["k", "x", "home", "away", "comp", "core", "least"]
         searched = meet_cells(cells, searches(cells, seeking.select(*names), F.col("least"), lone, "comp"), placed, ["k", "x", "comp", "core", "least"], ["k", "x", "comp", "core"], lightest, schema, "lightest", least)
-        every = bound.unionByName(searched.select("comp", _edge())).groupBy("comp").agg(F.min("edge").alias("edge"))
+        every = bound.unionByName(searched.select("comp", _edge())).filter(F.col("comp") != main).groupBy("comp").agg(F.min("edge").alias("edge"))
         chosen = written(every.select("edge.*").distinct().select("a", "b", "w"), "tree-edges")
         tree = chosen if tree is None else tree.unionByName(chosen)
         across = chosen.join(ends.toDF("a", "x"), "a").join(ends.toDF("b", "y"), "b").select(F.col("x").alias("a"), F.col("y").alias("b"))

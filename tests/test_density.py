@@ -199,3 +199,11 @@ def test_dense_points_are_counted_in_their_own_tile_and_cores_tied_once_a_pair_o
     got = D.dbscan_vectors(frame(spark, x), "id", "v", 8.0, 4, pivots=60).collect()
     assert {(r["cluster"], r["is_core"]) for r in got if r["id"] < 3 * 899} == {(1, True)} and sum(r["cluster"] is None for r in got) == 1
     assert sum(rows) < 5 * len(x)  # 8 rows a point, when every point met all 4 tiles for its count and again for its links
+
+
+def test_places_of_searches_deal_every_pair_of_tiles_once(spark):
+    x = np.random.default_rng(5).normal(size=(900, 24))
+    cells = N.deal_cells(N.distinct_vectors(frame(spark, x), "id", "v"), 60)
+    met = {p: [(r["k"], r["s"], r["t"]) for r in N.searches(cells, cells.points, N.F.lit(30.0), place=p).select("k", "s", "t").collect()] for p in (None, "own", "others", "from", "later")}
+    assert sorted(met["own"] + met["others"]) == sorted(met[None]) and sorted(met["own"] + met["later"]) == sorted(met["from"])
+    assert all(s == t for _, s, t in met["own"]) and all(s < t for _, s, t in met["later"]) and len(set(met[None])) == len(met[None])
