@@ -991,3 +991,18 @@ def test_every_member_of_a_passage_has_a_row(spark):
     assert len({classes[i] for i in range(50)}) == 1 and classes[50] == classes[51] != classes[0]
     assert all(r["n_links"] >= 1 and classes[r["other_doc_id"]] == r["passage_id"] and r["doc_id"] != r["other_doc_id"] for r in got)
     assert repeated_stretches(df.limit(0)).count() == 0
+
+
+def test_an_occurrence_is_linked_to_all_that_share_its_left_or_its_right_side():
+    rnd = np.random.default_rng(4)
+    side = lambda n=1: rnd.integers(-(1 << 62), 1 << 62, n)
+    one, two = side()[0], side()[0]  # a side shared by 1 and 5, and the other shared by 2, 3 and 5
+    rows = np.zeros(6, P9._ROW)
+    rows["seed"], rows["key"], rows["place"] = 7, [1, 2, 3, 5, 8, 9], 40
+    rows["right"], rows["left"] = [one, *side(2), one, *side(2)], [side()[0], two, two, two, *side(2)]
+    i, j = P9.neighbours(rows)
+    got = {tuple(sorted(p)) for p in zip(rows["key"][i].tolist(), rows["key"][j].tolist(), strict=True)}
+    assert got == {(1, 5), (2, 3), (2, 5), (3, 5)}  # 5 was linked to 1 alone
+    rows["left"], rows["right"] = two, one  # all agree on both sides
+    i, j = P9.neighbours(rows)
+    assert {tuple(sorted(p)) for p in zip(rows["key"][i].tolist(), rows["key"][j].tolist(), strict=True)} == {(1, k) for k in (2, 3, 5, 8, 9)}
